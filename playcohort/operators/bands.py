@@ -17,26 +17,24 @@ def band_name(prefix: str, band: Band) -> str:
     return prefix + "_".join(str(x) for x in (low, high) if x is not None)
 
 
-def in_band(value: Column, band: Band, half_open: bool) -> Column:
+def in_band(value: str, band: Band, half_open: bool) -> str:
+    """SQL text of the band's test; an open side has none."""
     low, high = band
-    test = F.lit(True)
-    if low is not None:
-        test = test & (value >= low)
+    tests = [f"{value} >= {low}"] if low is not None else []
     if high is not None:
-        test = test & ((value < high) if half_open else (value <= high))
-    return test
+        tests.append(f"{value} {'<' if half_open else '<='} {high}")
+    return " AND ".join(tests)
 
 
 def banded(df: DataFrame, group: Sequence[str], value: str, bands: Sequence[Band], prefix: str, half_open: bool = False,
-           where: Column | None = None, extra: Sequence[Column] = ()) -> DataFrame:
+           where: str = "true", extra: Sequence[Column] = ()) -> DataFrame:
     """Rows of ``df`` (one per entity) counted per band in a single aggregate."""
-    keep = F.lit(True) if where is None else where
-    counts = [F.sum((in_band(F.col(value), b, half_open) & keep).cast("long")).alias(band_name(prefix, b)) for b in bands]
+    counts = [F.expr(f"count_if({in_band(value, b, half_open)} AND {where}) AS {band_name(prefix, b)}") for b in bands]
     return df.groupBy(*group).agg(*counts, *extra)
 
 
 def histogram(rows: DataFrame, entity: Sequence[str], group: Sequence[str], bands: Sequence[Band], prefix: str,
-              measure: Column | None = None, half_open: bool = False, where: Column | None = None,
+              measure: Column | None = None, half_open: bool = False, where: str = "true",
               extra: Sequence[Column] = ()) -> DataFrame:
     """Measure per entity (rows by default), then bands per group.
 

@@ -34,19 +34,19 @@ def active_days(activity: DataFrame, entity: Sequence[str], time: str, origin: d
     row per task, and the join that follows meets exactly one row per entity.
     """
     day = F.datediff(F.to_date(time), F.lit(origin))
-    words = []
-    for k in range(-(-n_days // BITS)):
-        low, high = k * BITS, min((k + 1) * BITS, n_days)
-        bit = F.when(day.between(low, high - 1), F.call_function("shiftleft", F.lit(1).cast("long"), day - low))
-        words.append(F.bit_or(F.coalesce(bit, F.lit(0).cast("long"))))
+    words = [
+        f"bit_or(CASE WHEN _day BETWEEN {low} AND {low + BITS - 1} THEN shiftleft(1L, _day - {low}) ELSE 0L END)"
+        for low in range(0, n_days, BITS)
+    ]
     last = origin + dt.timedelta(days=n_days - 1)
-    return activity.filter(day_range(time, origin, last)).groupBy(*entity).agg(F.array(*words).alias("days"))
+    days = activity.filter(day_range(time, origin, last)).withColumn("_day", day)
+    return days.groupBy(*entity).agg(F.expr(f"array({', '.join(words)})").alias("days"))
 
 
-def was_active(day_index: Column) -> Column:
-    """1 when the bit of that day is set; days outside the window were not active."""
-    word = F.get("days", F.floor(day_index / BITS).cast("int"))
-    return F.coalesce(F.when(day_index >= 0, F.getbit(word, F.pmod(day_index, F.lit(BITS)))).cast("long"), F.lit(0).cast("long"))
+def was_active(index: str) -> str:
+    """SQL text: 1 when the bit of that day is set; days outside the window were not active."""
+    word = f"get(days, cast(({index}) div {BITS} AS int))"
+    return f"coalesce(CASE WHEN {index} >= 0 THEN cast(getbit({word}, ({index}) % {BITS}) AS bigint) END, 0L)"
 
 
 def retention(members: DataFrame, activity: DataFrame, entity: Sequence[str], report: Sequence[str], offsets: Sequence[int],
@@ -59,10 +59,9 @@ def retention(members: DataFrame, activity: DataFrame, entity: Sequence[str], re
     """
     n_days = (last - first).days + 1
     seen = members.join(active_days(activity, entity, time, first, n_days), list(entity), "left" if size else "inner")
-    index = F.datediff("reg_date", F.lit(first))
+    seen = seen.withColumn("_i", F.datediff("reg_date", F.lit(first)))
     names = [f"retained_{n}day" for n in offsets]
-    flags = [was_active(index + n).alias(name) for n, name in zip(offsets, names)]
-    kept = [F.col(size)] if size else []
-    sizes = [F.sum(size).alias(size)] if size else []
-    counts = seen.select(*report, *kept, *flags).groupBy(*report).agg(*sizes, *[F.sum(n).alias(n) for n in names])
-    return counts.filter(F.greatest(*names) > 0)
+    sums = [f"sum({was_active(f'_i + {n}')}) AS {name}" for n, name in zip(offsets, names)]
+    if size:
+        sums.insert(0, f"sum({size}) AS {size}")
+    return seen.groupBy(*report).agg(*map(F.expr, sums)).filter(" OR ".join(f"{n} > 0" for n in names))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from playcohort import constants as C
@@ -30,10 +30,6 @@ def daily_spend(orders: DataFrame, keys: Sequence[str], gross: bool) -> DataFram
         F.sum(signed(amount, F.col("order_status"))).alias("amount"))
 
 
-def _within(days: Column, horizon: int) -> Column:
-    return (days >= 0) & (days < horizon)
-
-
 def ltv(members: DataFrame, spend: DataFrame, on: Sequence[str], report: Sequence[str], horizons: Sequence[int],
         account: str = "game_account", shift: int = 0) -> DataFrame:
     """Cohort size and cumulative cents per horizon ``n``: days 0 to n-1. No orders give 0.
@@ -41,15 +37,12 @@ def ltv(members: DataFrame, spend: DataFrame, on: Sequence[str], report: Sequenc
     One join and one conditional aggregate for all horizons. ``members`` has one row per (report keys,
     account); ``shift`` renames horizon ``n`` to ``n - shift``.
     """
-    days = F.datediff("order_date", "reg_date")
-    sums = [
-        F.coalesce(cents(F.sum(F.when(_within(days, n), F.col("amount")))), F.lit(0).cast("long")).alias(f"ltv_{n - shift}day")
-        for n in horizons
-    ]
-    # the account level first: the cohort size then is a plain count
-    per_member = members.join(spend, list(on), "left").groupBy(*report, account).agg(*sums)
-    return per_member.groupBy(*report).agg(
-        F.count(F.lit(1)).alias("accounts"), *[F.sum(f"ltv_{n - shift}day").alias(f"ltv_{n - shift}day") for n in horizons])
+    # the account level first, which the join has clustered already: the cohort size then is a plain count
+    joined = members.join(spend, list(on), "left").withColumn("_off", F.datediff("order_date", "reg_date"))
+    per_member = joined.groupBy(*report, account).agg(
+        *[F.expr(f"sum(CASE WHEN _off BETWEEN 0 AND {n - 1} THEN amount END) AS h{n}") for n in horizons])
+    return per_member.groupBy(*report).agg(F.count("*").alias("accounts"), *[
+        F.expr(f"coalesce(cast(sum(h{n}) * 100 AS bigint), 0L) AS ltv_{n - shift}day") for n in horizons])
 
 
 def ltv_by_join(members: DataFrame, spend: DataFrame, on: Sequence[str], report: Sequence[str], horizons: Sequence[int]) -> DataFrame:
@@ -64,5 +57,5 @@ def ltv_by_join(members: DataFrame, spend: DataFrame, on: Sequence[str], report:
     steps = F.explode(F.filter(F.array(*map(F.lit, horizons)), lambda n: n > F.col("offset")))
     wide = by_offset.withColumn("horizon", steps).groupBy(*report).pivot("horizon", list(horizons)).agg(F.sum("amount"))
     sizes = members.groupBy(*report).agg(F.count(F.lit(1)).alias("accounts"))
-    return sizes.join(wide, list(report), "left").select(
-        *report, "accounts", *[F.coalesce(F.col(str(n)), F.lit(0).cast("long")).alias(f"ltv_{n}day") for n in horizons])
+    return sizes.join(wide, list(report), "left").selectExpr(
+        *report, "accounts", *[f"coalesce(`{n}`, 0L) AS ltv_{n}day" for n in horizons])

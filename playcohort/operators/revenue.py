@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from playcohort import constants as C
@@ -99,22 +99,19 @@ def opera_ltv(cohorts: DataFrame, orders: DataFrame, shares: DataFrame, costs: D
     rows = revenue.unionByName(spent, allowMissingColumns=True).unionByName(spine, allowMissingColumns=True)
     per_game = rows.groupBy("game_id", "day").agg(*[F.sum(c).alias(c) for c in ("a", "b", "proxy", "publish_cost")])
     index = F.datediff("day", F.lit(run_day - dt.timedelta(days=back_days)))
-    by_day = Window.partitionBy("game_id").orderBy("_i")
-    whole = by_day.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    out = []
-    for n in horizons:
-        ahead = by_day.rangeBetween(0, n - 1)
-        out += [F.coalesce(F.sum("b").over(ahead), F.lit(0)).cast("long").alias(f"amountb{n}"),
-                F.coalesce(F.sum("a").over(ahead), F.lit(0)).cast("long").alias(f"amounta{n}")]
-    elsewhere = F.greatest(F.max("publish_cost").over(by_day.rowsBetween(Window.unboundedPreceding, -1)),
-                           F.max("publish_cost").over(by_day.rowsBetween(1, Window.unboundedFollowing)),
-                           F.when(F.col("publish_cost").isNotNull(), F.lit(0)))
-    windowed = per_game.withColumn("_i", index).select(
-        "game_id", F.col("day").alias("reg_date"), *out,
-        F.coalesce(F.sum("proxy").over(whole), F.lit(0)).cast("long").alias("behalf_water"),
-        F.coalesce(elsewhere, F.lit(0)).cast("long").alias("publish_cost"),
-        F.coalesce(F.sum("b").over(whole), F.lit(0)).cast("long").alias("amount_b"),
-        F.coalesce(F.sum("a").over(whole), F.lit(0)).cast("long").alias("amount_a"))
+    by_day = "PARTITION BY game_id ORDER BY _i"
+    whole = f"{by_day} ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING"
+
+    def total(column: str, frame: str, name: str) -> str:
+        return f"cast(coalesce(sum({column}) OVER ({frame}), 0) AS bigint) AS {name}"
+
+    ahead = [total(c, f"{by_day} RANGE BETWEEN CURRENT ROW AND {n - 1} FOLLOWING", f"amount{c}{n}") for n in horizons for c in "ba"]
+    # the greatest cost of any other day; the cohort's own day counts as 0
+    elsewhere = (f"greatest(max(publish_cost) OVER ({by_day} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), "
+                 f"max(publish_cost) OVER ({by_day} ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), 0)")
+    windowed = per_game.withColumn("_i", index).selectExpr(
+        "game_id", "day AS reg_date", *ahead, f"cast({elsewhere} AS bigint) AS publish_cost",
+        total("proxy", whole, "behalf_water"), total("b", whole, "amount_b"), total("a", whole, "amount_a"))
     return cohorts.join(windowed, ["game_id", "reg_date"])
 
 

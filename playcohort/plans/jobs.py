@@ -16,6 +16,7 @@ from playcohort.operators import attribution, bands, dims, kpi, merge, revenue
 from playcohort.operators.cohort import day_range, first_registration, published_only, retention
 from playcohort.operators.ltv import daily_spend, distinct_orders, ltv, ltv_by_join
 from playcohort.operators.paycurve import pay_curve
+from playcohort.session import materialize
 
 COHORT = ("reg_date", "game_id", "channel")
 
@@ -30,7 +31,7 @@ def clean_accounts(df: DataFrame) -> DataFrame:
 
 def clean_regi(regi: DataFrame) -> DataFrame:
     """Registrations with a normalised account, a default channel and its parts."""
-    rows = clean_accounts(regi.filter(F.col("game_id").isNotNull())).withColumn("channel", ch.clean_channel(F.col("expand_channel")))
+    rows = clean_accounts(regi.filter("game_id IS NOT NULL")).withColumn("channel", ch.clean_channel("expand_channel"))
     return ch.with_channel_parts(rows, "expand_channel")
 
 
@@ -41,9 +42,9 @@ def clean_login(login: DataFrame) -> DataFrame:
 
 def account_members(regi: DataFrame, first: dt.date, last: dt.date) -> DataFrame:
     """One row per (day, game, channel, account) with its number of registrations."""
-    rows = clean_regi(regi.filter(day_range("reg_time", first, last)))
-    return rows.groupBy(F.to_date("reg_time").alias("reg_date"), "game_id", "channel", "game_account").agg(
-        F.count(F.lit(1)).alias("accounts"))
+    rows = clean_accounts(regi.filter(day_range("reg_time", first, last)).filter("game_id IS NOT NULL"))
+    return rows.groupBy(F.to_date("reg_time").alias("reg_date"), "game_id", ch.clean_channel("expand_channel").alias("channel"),
+                        "game_account").agg(F.count("*").alias("accounts"))
 
 
 def account_retention(regi: DataFrame, login: DataFrame, games: DataFrame, run_day: dt.date,
@@ -51,7 +52,7 @@ def account_retention(regi: DataFrame, login: DataFrame, games: DataFrame, run_d
     """Accounts of each (day, game, channel) that logged in again, in any game, n days later."""
     first = days_before(run_day, max(offsets))
     cohort = account_members(published_only(regi, games), first, run_day)
-    return retention(cohort, clean_login(login), ["game_account"], COHORT, offsets, "login_time", first, run_day, size="accounts")
+    return retention(cohort, clean_accounts(login), ["game_account"], COHORT, offsets, "login_time", first, run_day, size="accounts")
 
 
 def device_retention(regi: DataFrame, login: DataFrame, games: DataFrame, sdk: DataFrame, packages: DataFrame, run_day: dt.date) -> DataFrame:
@@ -69,12 +70,12 @@ def account_retention_long(regi: DataFrame, login: DataFrame, sdk: DataFrame, pa
     known = regi.join(sdk.select(F.col("old_game_id").alias("game_id")).distinct(), "game_id", "left_semi")
     cohort = account_members(known, first, run_day).drop("accounts")
     last = run_day + dt.timedelta(days=30)
-    counts = retention(cohort, clean_login(login), ["game_account"], COHORT, C.RETENTION_LONG, "login_time", first, last)
+    counts = retention(cohort, clean_accounts(login), ["game_account"], COHORT, C.RETENTION_LONG, "login_time", first, last)
     return _with_attributes(counts, sdk, packages)
 
 
 def _with_attributes(counts: DataFrame, sdk: DataFrame, packages: DataFrame) -> DataFrame:
-    keyed = counts.withColumn("pkg_code", ch.channel_part(F.col("channel"), 2))
+    keyed = counts.withColumn("pkg_code", ch.channel_part("channel", 2))
     ranges = (("mstart_date", "mend_date"), ("astart_date", "aend_date"))
     attrs = ("promotion_channel", "medium_account", "promotion_mode", "head_people")
     return dims.with_game_dim(dims.with_effective_dim(keyed, packages, "pkg_code", "reg_date", ranges, attrs), sdk, keep_unknown=True)
@@ -101,7 +102,7 @@ def first_members(regi: DataFrame, games: DataFrame, run_day: dt.date, back_days
     """One row per (account, game): the first registration, if it lies in the window."""
     firsts = first_registration(clean_accounts(regi.filter(F.col("game_id").isNotNull())), ["game_account", "game_id"])
     firsts = published_only(firsts, games).filter(day_range("reg_time", days_before(run_day, back_days), run_day))
-    return firsts.select(F.to_date("reg_time").alias("reg_date"), "game_id", ch.clean_channel(F.col("expand_channel")).alias("channel"),
+    return firsts.select(F.to_date("reg_time").alias("reg_date"), "game_id", ch.clean_channel("expand_channel").alias("channel"),
                          "game_account")
 
 
@@ -176,10 +177,9 @@ def device_account_histogram(regi: DataFrame, sdk: DataFrame) -> DataFrame:
     """Devices per number of accounts, and accounts without a device, per (day, game)."""
     rows = clean_regi(regi.filter(F.col("game_account").isNotNull())).select(
         F.to_date("reg_time").alias("reg_date"), "game_id", blank_zero_device(F.col("imei")).alias("imei"), "game_account").distinct()
-    real = F.col("imei") != ""
     per_device = rows.groupBy("reg_date", "game_id", "imei").agg(F.count(F.lit(1)).alias("n"))
-    out = bands.banded(per_device, ["reg_date", "game_id"], "n", C.ACCOUNTS_PER_DEVICE, "dev_acc_", where=real,
-                       extra=[F.sum(F.when(real, 0).otherwise(F.col("n"))).alias("amount_no_dev_num")])
+    out = bands.banded(per_device, ["reg_date", "game_id"], "n", C.ACCOUNTS_PER_DEVICE, "dev_acc_", where="imei <> ''",
+                       extra=[F.expr("sum(CASE WHEN imei = '' THEN n ELSE 0 END) AS amount_no_dev_num")])
     return dims.with_game_dim(out, sdk.filter("state = 0"))
 
 
@@ -190,11 +190,10 @@ def pay_accounts_by_offset(regi: DataFrame, orders: DataFrame, sdk: DataFrame) -
     paid = clean_accounts(distinct_orders(orders, [C.PAID], C.GAME_PRODUCT)).select(
         "game_account", F.to_date("order_time").alias("order_date")).distinct()
     offset = F.datediff("order_date", "reg_date")
-    flags = [F.max((offset == n).cast("long")).alias(f"pay_account_num_{n + 1}day") for n in C.PAY_OFFSETS]
-    per_account = cohort.join(paid, "game_account", "left").groupBy("reg_date", "game_id", "game_account").agg(*flags)
-    out = per_account.groupBy("reg_date", "game_id").agg(
-        F.count(F.lit(1)).alias("game_account_num"),
-        *[F.coalesce(F.sum(f"pay_account_num_{n + 1}day"), F.lit(0).cast("long")).alias(f"pay_account_num_{n + 1}day") for n in C.PAY_OFFSETS])
+    # days are distinct per account, so every offset meets an account at most once
+    out = cohort.join(paid, "game_account", "left").withColumn("_off", offset).groupBy("reg_date", "game_id", "game_account").agg(
+        *[F.expr(f"count_if(_off = {n}) AS n{n}") for n in C.PAY_OFFSETS]).groupBy("reg_date", "game_id").agg(
+        F.count("*").alias("game_account_num"), *[F.expr(f"sum(n{n}) AS pay_account_num_{n + 1}day") for n in C.PAY_OFFSETS])
     return dims.with_game_dim(out, sdk.filter("state = 0"))
 
 
@@ -215,9 +214,18 @@ def registration_base(regi: DataFrame, games: DataFrame) -> DataFrame:
 
 
 def attribution_chain(active: DataFrame, clicks: DataFrame, regi: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(attributed activations, attributed registrations)."""
-    acts = attribution.attribute_activations(ch.with_channel_parts(active, "expand_channel"), clicks)
-    return acts, attribution.attribute_registrations(clean_regi(regi), acts)
+    """(attributed activations, attributed registrations), the two detail tables of the chain.
+
+    Activations are read by the registration step and by every statistic, so they are written once to
+    the shared folder, as are the registrations.
+    """
+    acts = activation_detail(active, clicks)
+    return acts, materialize(attribution.attribute_registrations(clean_regi(regi), acts), "registration-detail")
+
+
+def activation_detail(active: DataFrame, clicks: DataFrame) -> DataFrame:
+    found = attribution.attribute_activations(ch.with_channel_parts(active, "expand_channel"), clicks)
+    return materialize(found, "activation-detail")
 
 
 def clean_order_log(orders: DataFrame) -> DataFrame:

@@ -75,7 +75,7 @@ def _order(f: Fields) -> dict[str, Column]:
 
 def _channel_click(f: Fields) -> dict[str, Column]:
     return {
-        "expand_channel": ch.clean_channel(f(2)), "game_id": _game(f, 5),
+        "expand_channel": ch.clean_channel("get(_f, 2)"), "game_id": _game(f, 5),
         "publish_time": day_key(parse_time(f(4))), "type": f(1).try_cast("int"), "ip": f(3),
     }
 
@@ -128,9 +128,10 @@ def _parse_request(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Landing-page hits of a web access log; the client is the first forwarded address."""
     hits = lines.filter(~F.col("value").contains(NOT_FOUND) & F.col("value").rlike(LANDING_LINE))
     quoted = F.split("value", '"', -1)
+    hits = hits.withColumn("_p", F.regexp_extract("value", LANDING_ARGS, 1))
     typed = hits.select(
         "value",
-        ch.clean_channel(F.regexp_extract("value", LANDING_ARGS, 1)).alias("expand_channel"),
+        ch.clean_channel("_p").alias("expand_channel"),
         F.regexp_extract("value", LANDING_ARGS, 2).try_cast("int").alias("game_id"),
         access_log_day(F.col("value")).alias("publish_time"),
         F.lit(4).alias("type"),

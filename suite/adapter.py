@@ -8,9 +8,11 @@ Whole tables are used throughout; the modulo arithmetic only shapes values.
 from __future__ import annotations
 
 import re
-from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
+
+from playcohort.session import shared_dir
 
 BASE = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 
@@ -110,14 +112,16 @@ VIEWS: dict[str, str] = {
 }
 
 
-def needed(name: str) -> list[str]:
-    """The views a view depends on, itself included, in definition order."""
+def needed(name: str, stop: tuple[str, ...] = ()) -> list[str]:
+    """The views a view depends on, itself included, in definition order; not looking below ``stop``."""
     found, todo = set(), [name]
     while todo:
         view = todo.pop()
         if view in found:
             continue
         found.add(view)
+        if view in stop:
+            continue
         todo += [v for v in VIEWS if v not in found and re.search(rf"\b(FROM|JOIN) {v}\b", VIEWS[view])]
     return [v for v in VIEWS if v in found]
 
@@ -128,8 +132,16 @@ def prelude(names: list[str]) -> str:
     return ",\n".join(f"{v} AS ({VIEWS[v]})" for v in VIEWS if v in wanted)
 
 
+_LANDED: dict[tuple[str, str], tuple[str, StructType]] = {}
+
+
 class Tables:
-    """The logical tables of one folder as Spark frames: ``Tables(spark, dir).regi``."""
+    """The logical tables of one folder as Spark frames: ``Tables(spark, dir).regi``.
+
+    The shared event derivations (``ev``) are landed once per application as a typed table partitioned
+    by event type, the way the log parsers land their rows; the log tables are projections of one
+    partition each.
+    """
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.dir = spark, sf_dir.rstrip("/")
@@ -137,19 +149,27 @@ class Tables:
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_") or (name not in VIEWS and name not in BASE):
             raise AttributeError(name)
-        frame = self.base(name) if name in BASE else self.view(name)
+        frame = self.spark.read.parquet(f"{self.dir}/{name}.parquet") if name in BASE else self.landed() if name == "ev" else self.view(name)
         self.__dict__[name] = frame
         return frame
 
-    def base(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.dir}/{name}.parquet")
+    def landed(self) -> DataFrame:
+        key = (self.spark.sparkContext.applicationId, self.dir)
+        if key not in _LANDED:
+            path = shared_dir(self.spark, "event-log")
+            events = self.view("ev")
+            events.write.partitionBy("event_type").parquet(path)
+            _LANDED[key] = (path, events.schema)
+        path, schema = _LANDED[key]
+        return self.spark.read.schema(schema).parquet(path)
 
     def view(self, name: str) -> DataFrame:
-        sql = f"WITH {prelude([name])} SELECT * FROM {name}"
-        for table in BASE:
-            sql = re.sub(rf"\b(FROM|JOIN) {table}\b", rf"\1 parquet.`{self.dir}/{table}.parquet`", sql)
-        return self.spark.sql(sql)
-
-    @cached_property
-    def orders_table(self) -> DataFrame:
-        return self.base("orders")
+        """The view's SQL over the given tables and, below the log tables, the landed events."""
+        parts = [v for v in needed(name, stop=() if name == "ev" else ("ev",))]
+        ctes = ", ".join(f"{v} AS ({VIEWS[v]})" for v in parts if v != "ev" or name == "ev")
+        sql, used = f"WITH {ctes} SELECT * FROM {name}", {}
+        for table in (*BASE, *(() if name == "ev" else ("ev",))):
+            replaced = re.sub(rf"\b(FROM|JOIN) {table}\b", rf"\1 {{{table}}}", sql)
+            if replaced != sql:
+                sql, used[table] = replaced, getattr(self, table)
+        return self.spark.sql(sql, **used)

@@ -235,13 +235,13 @@ def first_per_day(rows: str, day: str, entity: str, order: str, count: str, devs
 @query("str08_click_attribution", "event_id:i active_time:s game_id:i os:i pkg_code:s imei:s medium:i idea_id:s first_level:s second_level:s",
        f"WITH {ACTS} SELECT * FROM acts")
 def click_attribution(t):
-    return jobs.attribution_chain(t.active, t.ad_click, t.regi)[0]
+    return jobs.activation_detail(t.active, t.ad_click)
 
 
 @query("str08_activation_stats", f"day:s {STAT_SPEC} active_num:i",
        f"WITH {ACTS} SELECT cast(active_time AS date) AS day, {STAT}, count(*) AS active_num FROM acts GROUP BY ALL")
 def activation_stats(t):
-    return attribution.activation_stats(jobs.attribution_chain(t.active, t.ad_click, t.regi)[0])
+    return attribution.activation_stats(jobs.activation_detail(t.active, t.ad_click))
 
 
 @query("str09_regi_attribution", f"day:s {STAT_SPEC} regi_num:i regi_dev_num:i",
