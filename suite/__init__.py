@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ("reports", "kpis")
+MODULES = ("reports", "kpis", "scans")
 
 
 def load_all():
