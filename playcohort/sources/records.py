@@ -61,38 +61,29 @@ def route(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
     return (lines.filter(third).select(json_tail(F.col("value")).alias("value")), lines.filter(~third))
 
 
+def _medium_click(m: Medium) -> str:
+    """SQL text of one medium's record as the common struct; a field it does not send is empty."""
+    def field(name: str | None) -> str:
+        return f"j.{name}" if name else "''"
+
+    imei = "CASE WHEN j.imei = '' THEN j.idfa ELSE j.imei END" if m.idfa_fallback else "j.imei"
+    os = f"CASE j.os WHEN '{m.android}' THEN 'android' WHEN '{m.ios}' THEN 'ios' ELSE nvl2(j.os, 'wp', NULL) END"
+    return (f"named_struct('adv_name', {m.code}, 'os', {os}, 'imei', {imei}, 'seconds', {field(m.time)}, 'callback', {field(m.callback)}, "
+            f"'idea_id', {field(m.idea)}, 'first_level', {field(m.first_level)}, 'second_level', {field(m.second_level)})")
+
+
 def parse_ad_clicks(lines: DataFrame) -> DataFrame:
     """Clicks of the four media in one shape. A record that lacks a field its medium must send is dropped.
 
     One pass: the JSON is read once with the union of all fields and the medium picks its own.
     """
     read = lines.select("value", F.from_json(json_tail(F.col("value")), _strings(CLICK_FIELDS)).alias("j"))
-    none = F.lit(None).cast("string")
-    out = {k: none for k in ("code", "os", "imei", "time", "callback", "idea_id", "first_level", "second_level")}
-    complete = F.lit(False)
-    for m in MEDIA_RECORDS:
-        here = F.col("value").contains(m.marker)
-        j = lambda name: F.col(f"j.{name}") if name else F.lit("")  # noqa: E731,B023
-        imei = j("imei")
-        if m.idfa_fallback:
-            imei = F.when(imei == "", j("idfa")).otherwise(imei)
-        os = F.when(j("os") == m.android, F.lit("android")).when(j("os") == m.ios, F.lit("ios")).otherwise(F.lit("wp"))
-        picked = {"code": F.lit(str(m.code)), "os": F.when(j("os").isNotNull(), os), "imei": imei, "time": j(m.time),
-                  "callback": j(m.callback), "idea_id": j(m.idea), "first_level": j(m.first_level),
-                  "second_level": j(m.second_level)}
-        whole = F.lit(True)
-        for value in picked.values():
-            whole = whole & value.isNotNull()
-        complete = F.when(here, whole).otherwise(complete)
-        out = {k: F.when(here, picked[k]).otherwise(v) for k, v in out.items()}
-    pkg = F.col("j.pkg_id")
-    seconds = out["time"].try_cast("double").cast("long")
-    return read.filter(complete).select(
-        pkg.alias("pkg_id"), game_of_pkg(pkg).alias("game_id"), out["os"].alias("os"), out["imei"].alias("imei"),
-        F.timestamp_seconds(seconds).alias("ts"), out["callback"].alias("callback"),
-        out["code"].cast("int").alias("adv_name"), out["idea_id"].alias("idea_id"),
-        out["first_level"].alias("first_level"), out["second_level"].alias("second_level"),
-    ).filter("pkg_id IS NOT NULL AND game_id IS NOT NULL AND ts IS NOT NULL")
+    branches = " ".join(f"WHEN contains(value, '{m.marker}') THEN {_medium_click(m)}" for m in MEDIA_RECORDS)
+    picked = read.selectExpr("j.pkg_id AS pkg_id", f"CASE {branches} END AS c").selectExpr("pkg_id", "c.*")
+    typed = picked.withColumns({
+        "game_id": game_of_pkg(F.col("pkg_id")), "ts": F.timestamp_seconds(F.col("seconds").try_cast("double").cast("long"))})
+    out = ["pkg_id", "game_id", "os", "imei", "ts", "callback", "adv_name", "idea_id", "first_level", "second_level"]
+    return typed.select(*out).dropna()
 
 
 def parse_wall(lines: DataFrame) -> DataFrame:

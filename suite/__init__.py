@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ("reports", "kpis", "scans")
+MODULES = ("reports", "kpis", "scans", "exprs")
 
 
 def load_all():
