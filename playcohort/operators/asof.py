@@ -12,6 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from playcohort.functions.once import compute_once
+
 
 def latest_touch(events: DataFrame, touches: DataFrame, on: Sequence[str], event_time: str, touch_time: str, event_id: str,
                  touch_cols: Sequence[str], lookback_days: int, consume: bool = False, open_start: bool = False) -> DataFrame:
@@ -42,8 +44,9 @@ def latest_touch(events: DataFrame, touches: DataFrame, on: Sequence[str], event
         *on, "_day", F.last("_s", ignorenulls=True).over(earlier).alias("_day_hit"),
         F.last("_a", ignorenulls=True).over(earlier).alias("_day_prev"))
 
-    hits = local.filter(F.col("_event").isNotNull()).join(carry, [*on, "_day"]).select(
-        *on, "_t", "_event", F.coalesce("_hit", "_day_hit").alias("_hit"), F.coalesce("_prev", "_day_prev").alias("_prev"))
+    joined = local.filter(F.col("_event").isNotNull()).join(carry, [*on, "_day"]).select(
+        *on, "_t", "_event", F.coalesce("_prev", "_day_prev").alias("_prev"), "_hit", "_day_hit")
+    hits = compute_once(joined, "_best", F.coalesce("_hit", "_day_hit")).select(*on, "_t", "_event", "_prev", F.col("_best").alias("_hit"))
     oldest = F.date_sub(F.to_date("_t"), lookback_days).cast("timestamp")
     recent = (F.col("_hit._t") > oldest) if open_start else (F.col("_hit._t") >= oldest)
     hits = hits.filter(recent)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from playcohort import constants as C
 from playcohort.functions.device import canonical_device, first_device, upper_md5, valid_click_device, valid_device
 from playcohort.functions.money import cents
+from playcohort.functions.once import compute_once
 from playcohort.operators.asof import latest_touch
 
 LEVELS = ("idea_id", "first_level", "second_level")
@@ -29,11 +30,10 @@ def _click_keys(clicks: DataFrame) -> DataFrame:
     """
     ios = F.col("os") == "ios"
     hashed = F.when(F.col("adv_name").isin(*C.HASHED_MEDIA), F.upper("imei")).otherwise(upper_md5(F.col("imei")))
-    return clicks.select(
-        F.when(ios, C.OS_IOS).otherwise(C.OS_ANDROID).alias("os"),
-        F.when(ios, F.col("game_id").cast("string")).otherwise(F.col("pkg_id")).alias("place"),
-        F.when(ios, canonical_device(F.col("imei"))).otherwise(hashed).alias("device"),
-        "ts", "pkg_id", "imei", F.col("adv_name").alias("medium"), *LEVELS)
+    key = F.struct(F.when(ios, C.OS_IOS).otherwise(C.OS_ANDROID).alias("os"),
+                   F.when(ios, F.col("game_id").cast("string")).otherwise(F.col("pkg_id")).alias("place"),
+                   F.when(ios, canonical_device(F.col("imei"))).otherwise(hashed).alias("device"))
+    return compute_once(clicks, "_k", key).select("_k.*", "ts", "pkg_id", "imei", F.col("adv_name").alias("medium"), *LEVELS)
 
 
 def attribute_activations(active: DataFrame, clicks: DataFrame) -> DataFrame:
@@ -45,11 +45,11 @@ def attribute_activations(active: DataFrame, clicks: DataFrame) -> DataFrame:
     ios = F.col("os") == "ios"
     imei = first_device(F.col("imei"))
     games = clicks.select("game_id").distinct()
-    events = active.filter(valid_device(imei)).join(games, "game_id", "left_semi").select(
-        "event_id", "game_id", F.col("pkg_code").alias("own_pkg"), "active_time", imei.alias("own_imei"),
-        F.when(ios, C.OS_IOS).otherwise(C.OS_ANDROID).alias("os"),
-        F.when(ios, F.col("game_id").cast("string")).otherwise(F.col("pkg_code")).alias("place"),
-        F.when(ios, canonical_device(imei)).otherwise(upper_md5(imei)).alias("device"))
+    key = F.struct(imei.alias("own_imei"), F.when(ios, C.OS_IOS).otherwise(C.OS_ANDROID).alias("os"),
+                   F.when(ios, F.col("game_id").cast("string")).otherwise(F.col("pkg_code")).alias("place"),
+                   F.when(ios, canonical_device(imei)).otherwise(upper_md5(imei)).alias("device"))
+    events = compute_once(active.join(games, "game_id", "left_semi").filter(valid_device(imei)), "_k", key).select(
+        "event_id", "game_id", F.col("pkg_code").alias("own_pkg"), "active_time", "_k.*")
     hits = latest_touch(events, touches, ["os", "place", "device"], "active_time", "ts", "event_id",
                         ["medium", "pkg_id", "imei", *LEVELS], C.CLICK_LOOKBACK_DAYS, consume=True)
     ios = F.col("os") == C.OS_IOS
@@ -72,12 +72,14 @@ def attribute_registrations(regi: DataFrame, attributed: DataFrame) -> DataFrame
     ios = F.col("os") == C.OS_IOS
     def place(pkg: str):
         return F.when(ios, F.lit("")).otherwise(F.col(pkg))
-    touches = attributed.select("os", "game_id", place("pkg_code").alias("place"), canonical_device(F.col("imei")).alias("device"),
-                                "active_time", "medium", *LEVELS, "pkg_code")
+    def keyed(rows: DataFrame, imei) -> DataFrame:
+        key = F.struct(place("pkg_code").alias("place"), canonical_device(imei).alias("device"))
+        return compute_once(rows, "_k", key)
+
+    touches = keyed(attributed, F.col("imei")).select("os", "game_id", "_k.*", "active_time", "medium", *LEVELS, "pkg_code")
     imei = first_device(F.col("imei"))
     events = regi.filter(valid_device(imei)).withColumn("os", F.when(F.col("os") == "android", C.OS_ANDROID).otherwise(C.OS_IOS))
-    events = events.select("event_id", "game_account", "game_id", "reg_time", "os", place("pkg_code").alias("place"),
-                           canonical_device(imei).alias("device"))
+    events = keyed(events, imei).select("event_id", "game_account", "game_id", "reg_time", "os", "_k.*")
     hits = latest_touch(events, touches, ["os", "game_id", "place", "device"], "reg_time", "active_time", "event_id",
                         ["medium", *LEVELS, "pkg_code"], C.ACTIVATION_LOOKBACK_DAYS, open_start=True)
     return hits.select("event_id", "game_account", "reg_time", "game_id", "os", F.col("device").alias("imei"),

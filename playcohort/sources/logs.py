@@ -17,7 +17,8 @@ from playcohort import constants as C
 from playcohort.functions import channel as ch
 from playcohort.functions.device import norm_account, pipe_device
 from playcohort.functions.money import zero_if_null
-from playcohort.functions.times import ACCESS_LOG_DATE, access_log_day, day_key, is_number_text, is_time_text, parse_time
+from playcohort.functions.once import compute_once
+from playcohort.functions.times import access_log_day, day_key, is_number_text, is_time_text, parse_time
 
 Fields = Callable[[int], Column]
 
@@ -104,7 +105,7 @@ KINDS: dict[str, LogKind] = {
 
 def _parsed(lines: DataFrame, kind: LogKind) -> DataFrame:
     """All marked lines with the typed columns and ``_ok``; null-safe throughout."""
-    split = lines.filter(F.col("value").contains(kind.marker)).withColumn("_f", F.split("value", r"\|", -1))
+    split = compute_once(lines.filter(F.col("value").contains(kind.marker)), "_f", F.split("value", r"\|", -1))
     f = lambda i: F.get("_f", F.lit(i))
     typed = split.select("value", (F.size("_f") >= kind.min_fields).alias("_size"), kind.keep(f).alias("_keep"),
                          *[c.alias(n) for n, c in kind.columns(f).items()])
@@ -128,12 +129,14 @@ def _parse_request(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Landing-page hits of a web access log; the client is the first forwarded address."""
     hits = lines.filter(~F.col("value").contains(NOT_FOUND) & F.col("value").rlike(LANDING_LINE))
     quoted = F.split("value", '"', -1)
-    hits = hits.withColumn("_p", F.regexp_extract("value", LANDING_ARGS, 1))
+    hits = compute_once(hits, "_h", F.struct(
+        F.regexp_extract("value", LANDING_ARGS, 1).alias("p"), F.regexp_extract("value", LANDING_ARGS, 2).alias("g"),
+        access_log_day(F.col("value")).alias("day")))
     typed = hits.select(
         "value",
-        ch.clean_channel("_p").alias("expand_channel"),
-        F.regexp_extract("value", LANDING_ARGS, 2).try_cast("int").alias("game_id"),
-        access_log_day(F.col("value")).alias("publish_time"),
+        ch.clean_channel("_h.p").alias("expand_channel"),
+        F.col("_h.g").try_cast("int").alias("game_id"),
+        F.col("_h.day").alias("publish_time"),
         F.lit(4).alias("type"),
         F.trim(F.split_part(F.get(quoted, F.lit(6)), F.lit(","), F.lit(1))).alias("ip"),
     )
@@ -148,7 +151,7 @@ ACCOUNT_FIELDS = {REGI: (9, 3, 4, 5, 6, 8), LOGIN: (9, 3, 8, 4, None, None), ORD
 
 def _parse_account(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Registration, login and order lines in one shape for the account master."""
-    split = lines.withColumn("_f", F.split("value", r"\|", -1)).withColumn("_head", F.get("_f", F.lit(0)))
+    split = compute_once(lines, "_f", F.split("value", r"\|", -1)).withColumn("_head", F.get("_f", F.lit(0)))
     f = lambda i: F.lit("") if i is None else F.get("_f", F.lit(i))
     kind = F.lit(None).cast("string")
     picks = [F.lit(None).cast("string")] * 5
@@ -170,5 +173,3 @@ def click_indicators(click_type: Column) -> dict[str, Column]:
     """One 0/1 column per landing-page click type."""
     return {name: (click_type == code).cast("int") for code, name in C.CLICK_TYPES.items()}
 
-
-__all__ = ["KINDS", "LogKind", "parse_log", "click_indicators", "ACCESS_LOG_DATE"]

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from playcohort.functions.channel import game_of_pkg
+from playcohort.functions.once import compute_once
 
 # --- fixed values: per medium the marker, os codes and JSON field names -------------------
 
@@ -55,6 +56,11 @@ def json_tail(line: Column) -> Column:
     return F.when(at > 0, F.substr(line, at))
 
 
+def _read_json(lines: DataFrame, schema: str) -> DataFrame:
+    """``value`` with its JSON as struct ``j``, parsed once; unreadable text gives null fields."""
+    return compute_once(lines.select("value"), "j", F.from_json(json_tail(F.col("value")), schema))
+
+
 def route(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(third-party lines reduced to their JSON, own lines)."""
     third = F.col("value").contains(THIRD_PARTY)
@@ -77,7 +83,7 @@ def parse_ad_clicks(lines: DataFrame) -> DataFrame:
 
     One pass: the JSON is read once with the union of all fields and the medium picks its own.
     """
-    read = lines.select("value", F.from_json(json_tail(F.col("value")), _strings(CLICK_FIELDS)).alias("j"))
+    read = _read_json(lines, _strings(CLICK_FIELDS))
     branches = " ".join(f"WHEN contains(value, '{m.marker}') THEN {_medium_click(m)}" for m in MEDIA_RECORDS)
     picked = read.selectExpr("j.pkg_id AS pkg_id", f"CASE {branches} END AS c").selectExpr("pkg_id", "c.*")
     typed = picked.withColumns({
@@ -88,7 +94,7 @@ def parse_ad_clicks(lines: DataFrame) -> DataFrame:
 
 def parse_wall(lines: DataFrame) -> DataFrame:
     """Incentive-wall clicks and activations; unreadable JSON is dropped."""
-    read = lines.select(F.from_json(json_tail(F.col("value")), _strings(WALL_FIELDS)).alias("j")).select("j.*")
+    read = _read_json(lines, _strings(WALL_FIELDS)).select("j.*")
     return read.filter(F.col("adv_name").isin(WALL_CLICK, WALL_ACTIVE) & F.col("ts").isNotNull()).withColumn(
         "ts", F.try_to_timestamp("ts", F.lit("yyyy-MM-dd HH:mm:ss"))).filter("ts IS NOT NULL")
 
@@ -96,7 +102,7 @@ def parse_wall(lines: DataFrame) -> DataFrame:
 def parse_role(lines: DataFrame) -> DataFrame:
     """Role log: title and content side by side; the content's own ids are prefixed."""
     schema = f"title struct<{_strings(ROLE_TITLE).replace(' string', ': string')}>, content struct<{_strings(ROLE_CONTENT).replace(' string', ': string')}>"
-    read = lines.select(F.from_json(json_tail(F.col("value")), schema).alias("j"))
+    read = _read_json(lines, schema)
     return read.filter("j.title IS NOT NULL").select(
         "j.title.*", *[F.col(f"j.content.{n}").alias(f"content_{n}") for n in ROLE_CONTENT])
 
@@ -104,7 +110,7 @@ def parse_role(lines: DataFrame) -> DataFrame:
 def parse_crash(lines: DataFrame) -> DataFrame:
     """Crash report: one row per message of the report."""
     schema = f"{_strings(CRASH_FIELDS)}, data array<struct<{CRASH_ITEM.replace(' ', ': ').replace(',: ', ', ')}>>"
-    read = lines.select(F.from_json(json_tail(F.col("value")), schema).alias("j")).filter("j.data IS NOT NULL")
+    read = _read_json(lines, schema).filter("j.data IS NOT NULL")
     return read.select("j.*").withColumn("item", F.explode("data")).select(
         *CRASH_FIELDS, F.col("item.device_id").alias("item_device_id"), F.col("item._id").alias("item_id"),
         F.col("item.isThrowable").alias("is_throwable"), F.col("item.msg").alias("msg"),
