@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ("reports", "kpis", "scans", "exprs")
+MODULES = ("reports", "kpis", "scans", "exprs", "streams")
 
 
 def load_all():
