@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -12,7 +14,7 @@ from playcohort.sources.logs import parse_log
 from playcohort.sources.tables import file_lines
 from playcohort.streaming import pipelines
 from suite import lines
-from suite.kpis import HOUR, LOGIN_OUT, REGI_OUT, STAT, STAT_SPEC, _login_kpi
+from suite.kpis import HOUR, LOGIN_OUT, REGI_OUT, REGS, STAT, STAT_SPEC, _login_kpi
 from suite.lines import GOOD
 from suite.registry import query
 from suite.reports import CH_SPEC, MARKET, parts
@@ -122,8 +124,22 @@ def stream_login(t):
     return kpi_pipeline(t).login_report(t.publish_game)
 
 
-# android activations and registrations carry the plain id, so lines and tables attribute alike
-@query("job21_stream_attribution", f"day:s {STAT_SPEC} regi_num:i")
+def _streamed_regs() -> str:
+    """The attribution SQL over what the lines carry: complete records only, each row once."""
+    own = "min(event_id) AS event_id, game_id, coalesce(channel, '') AS expand_channel, imei, os"
+    clicks = """SELECT event_id, pkg_id, game_id, os, imei, ts, adv_name, CASE WHEN adv_name = 1 THEN '' ELSE idea_id END AS idea_id,
+        CASE WHEN adv_name = 2 THEN first_level ELSE '' END AS first_level, CASE WHEN adv_name = 1 THEN '' ELSE second_level END AS second_level
+        FROM ad_click WHERE event_id % 19 <> 0"""
+    active = f"SELECT {own}, ts AS active_time FROM ev WHERE event_type = 'error' AND {GOOD} GROUP BY ALL"
+    regi = f"SELECT {own}, 'u' || u AS game_account, ts AS reg_time FROM ev WHERE event_type = 'signup' AND {GOOD} GROUP BY ALL"
+    sql = REGS
+    for table, body in (("ad_click", clicks), ("active", active), ("regi", regi)):
+        sql = re.sub(rf"\bFROM {table}\b", f"FROM ({body}) {table}", sql)
+    return sql
+
+
+@query("job21_stream_attribution", f"day:s {STAT_SPEC} regi_num:i",
+       f"WITH {_streamed_regs()} SELECT cast(reg_time AS date) AS day, {STAT}, count(*) AS regi_num FROM regs GROUP BY ALL")
 def stream_attribution(t):
     made = lines.ad_click_lines(t.ad_click).union(lines.active_lines(t.ev)).union(lines.regi_lines(t.ev))
     pipeline = run(t, made, pipelines.AttributionPipeline, "attribution")
