@@ -106,6 +106,24 @@ def repair_missing(master: DataFrame, special: DataFrame, accounts: DataFrame, p
     )
 
 
+def complete_accounts(seen: DataFrame, master: DataFrame, accounts: DataFrame) -> DataFrame:
+    """Accounts that logs mention and the master lacks, from the account table, gaps filled with defaults."""
+    missing = seen.select("account").distinct().join(master.select("account"), "account", "left_anti")
+    return accounts.join(missing, "account", "left_semi").select(
+        F.lower(F.trim("account")).alias("game_account"), F.coalesce("game_id", F.lit(0)).alias("game_id"), F.col("addtime").alias("reg_time"),
+        F.coalesce("uid", F.lit(0)).alias("owner_id"), F.coalesce("bind_member_id", F.lit(0)).alias("bind_member_id"))
+
+
+def complete_members(completed: DataFrame, known: DataFrame, member: DataFrame, promo_user: DataFrame) -> DataFrame:
+    """Owners of completed accounts that the member dimension lacks, with their promotion code and grade."""
+    owners = completed.filter("owner_id <> 0").select(F.col("owner_id").alias("member_id")).distinct()
+    missing = owners.join(known.select("member_id"), "member_id", "left_anti")
+    rows = member.select(F.col("id").alias("member_id"), F.coalesce("username", F.lit("")).alias("username")).join(missing, "member_id", "left_semi")
+    promo = promo_user.select("member_id", "member_grade", "code")
+    return rows.join(promo, "member_id", "left").select(
+        "member_id", "username", F.coalesce(F.col("member_grade").cast("string"), F.lit("")).alias("grade"), F.coalesce("code", F.lit("0")).alias("promo_code"))
+
+
 def package_stats(repaired: DataFrame) -> DataFrame:
     """Registered accounts and devices per (day, package, game): one per repaired account."""
     return repaired.groupBy("regi_date", "pkg_code", "promo_code", "user_code", "member_id", "member_name", "game_id").agg(

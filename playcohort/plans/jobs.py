@@ -203,8 +203,11 @@ def performance(regi: DataFrame, orders: DataFrame, receipts: DataFrame, games:
 
 
 def performance_with_owner(perf: DataFrame, **owner_tables: DataFrame) -> DataFrame:
-    """Revenue performance that fits the report columns, with the package's owner of the day."""
-    fitting = perf.filter(ch.channel_fits(max_pkg=12))
+    """Revenue performance that fits the report columns, with the package's owner of the day.
+
+    The report is written once: the owners need its packages before they can be joined to it.
+    """
+    fitting = materialize(perf.filter(ch.channel_fits(max_pkg=12)), "performance")
     owners = dims.package_owner(fitting, **owner_tables)
     return fitting.join(owners, ["pkg_code", "day"], "left").fillna({"main_man": ""})
 

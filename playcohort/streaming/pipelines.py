@@ -122,6 +122,50 @@ class KpiPipeline:
         return kpi.login_kpi(keep("login"), keep("regi"), kpi.MARKET)
 
 
+    def pay_device_report(self) -> DataFrame:
+        """Paying devices per (day, game), from the orders kept once."""
+        return kpi.pay_devices(self.tables["orders"].read(), kpi.OPERA)
+
+
+@dataclass
+class WallPipeline:
+    """Incentive-wall events next to the own activations and registrations they are checked against.
+
+    Whether a wall activation repeats an earlier one can change with a late line, so the batches only
+    keep each fact once and the report reads the facts.
+    """
+
+    spark: SparkSession
+    base: str
+    tables: dict[str, DetailTable] = field(init=False)
+
+    def __post_init__(self) -> None:
+        schemas = {
+            "wall": "adv_name string, game_id int, pkg_id string, app_id string, imei string, ip string, ts timestamp, copies bigint",
+            "active": "game_id int, imei string, active_time timestamp",
+            "regi": "game_id int, imei string, game_account string, reg_time timestamp",
+        }
+        self.tables = {n: DetailTable(self.spark, f"{self.base}/{n}", s) for n, s in schemas.items()}
+
+    def process(self, lines: DataFrame, batch: int) -> None:
+        lines = lines.persist()
+        try:
+            wall = records.parse_wall(lines).withColumn("game_id", F.col("game_id").try_cast("int")).filter("game_id IS NOT NULL")
+            keys = ["adv_name", "game_id", "pkg_id", "app_id", "imei", "ip", "ts"]
+            self.tables["wall"].write(wall.groupBy(*keys).agg(F.count("*").alias("copies")), batch)
+            for kind, keys in (("active", ["game_id", "imei", "active_time"]), ("regi", ["game_id", "imei", "game_account", "reg_time"])):
+                self.tables[kind].append_new(parse_log(lines, kind)[0].select(*keys), batch, keys)
+        finally:
+            lines.unpersist()
+
+    def report(self) -> DataFrame:
+        rows = self.tables["wall"].read()
+        clicks, actives = (rows.filter(F.col("adv_name") == name) for name in (records.WALL_CLICK, records.WALL_ACTIVE))
+        # every click counts, so its copies come back; at most as many rows as the wall sent
+        clicks = clicks.withColumn("_", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
+        return kpi.wall_kpi(clicks, actives, self.tables["active"].read(), self.tables["regi"].read())
+
+
 @dataclass
 class AttributionPipeline:
     """Clicks of the media, own activations and registrations, and what of these the clicks explain.

@@ -523,3 +523,23 @@ def card_repair(t):
     WITH {REPAIR} SELECT cast(addtime AS date) AS regi_date, pkg_code, uid AS member_id, game_id, count(*) AS regi_accounts, count(*) AS regi_devs FROM repair GROUP BY 1, 2, 3, 4""")
 def package_stats(t):
     return members.package_stats(members.repair_missing(t.card_master, t.special_account, t.card_account, t.promo_user, t.bound_member))
+
+
+MISSING = "mi AS (SELECT lower(a.account) AS game_account, game_id, addtime AS reg_time, uid AS owner_id, bind_member_id FROM card_account a WHERE account IN (SELECT game_account FROM card_login) AND account NOT IN (SELECT account FROM card_master))"
+
+
+def _missing(t):
+    return members.complete_accounts(t.card_login.withColumnRenamed("game_account", "account"), t.card_master, t.card_account)
+
+
+@query("jon30_missing_accounts", "game_account:s game_id:i reg_time:s owner_id:i bind_member_id:i", f"WITH {MISSING} SELECT * FROM mi")
+def missing_accounts(t):
+    return _missing(t)
+
+
+@query("jon30_missing_members", "member_id:i username:s grade:s promo_code:s", f"""
+    WITH {MISSING} SELECT b.id AS member_id, b.username, coalesce(cast(p.member_grade AS varchar), '') AS grade, coalesce(p.code, '0') AS promo_code
+    FROM bound_member b LEFT JOIN promo_user p ON p.member_id = b.id WHERE b.id IN (SELECT owner_id FROM mi WHERE owner_id <> 0)
+      AND b.id NOT IN (SELECT member_id FROM member WHERE addtime IS NULL)""")
+def missing_members(t):
+    return members.complete_members(_missing(t), t.member.filter("addtime IS NULL"), t.bound_member, t.promo_user)

@@ -14,7 +14,7 @@ from playcohort.sources.logs import parse_log
 from playcohort.sources.tables import file_lines
 from playcohort.streaming import pipelines
 from suite import lines
-from suite.kpis import HOUR, LOGIN_OUT, REGI_OUT, REGS, STAT, STAT_SPEC, _login_kpi
+from suite.kpis import HOUR, LOGIN_OUT, REGI_OUT, REGS, STAT, STAT_SPEC, WALL, WALL_SPEC, _login_kpi
 from suite.lines import GOOD
 from suite.registry import query
 from suite.reports import CH_SPEC, MARKET, parts
@@ -124,6 +124,27 @@ def stream_login(t):
     return kpi_pipeline(t).login_report(t.publish_game)
 
 
+@query("job20_stream_pay_devices", "day:s game_id:i pay_devices:i",
+       f"WITH {STREAM_ORDERS} SELECT cast(order_time AS date) AS day, game_id, count(DISTINCT imei) AS pay_devices FROM o GROUP BY ALL")
+def stream_pay_devices(t):
+    return kpi_pipeline(t).pay_device_report()
+
+
+def _streamed_wall() -> str:
+    own = f"(SELECT event_id, game_id, imei, ts AS {{0}} FROM ev WHERE event_type = '{{1}}' AND {GOOD}) {{2}}"
+    sql = WALL
+    for table, kind in (("wall_active", "view"), ("wall_click", "click")):
+        sql = sql.replace(f"FROM {table}", f"FROM (SELECT game_id, imei, ts FROM ev WHERE event_type = '{kind}' AND event_id % 21 <> 0) {table}")
+    sql = re.sub(r"\bFROM active\b", "FROM " + own.format("active_time", "error", "active"), sql)
+    return re.sub(r"\bFROM regi\b", "FROM " + own.format("reg_time", "signup", "regi"), sql)
+
+
+@query("job22_stream_wall", WALL_SPEC, f"WITH {_streamed_wall()} SELECT * FROM w")
+def stream_wall(t):
+    made = lines.wall_lines(t.ev).union(lines.active_lines(t.ev)).union(lines.regi_lines(t.ev))
+    return run(t, made, pipelines.WallPipeline, "wall").report()
+
+
 def _streamed_regs() -> str:
     """The attribution SQL over what the lines carry: complete records only, each row once."""
     own = "min(event_id) AS event_id, game_id, coalesce(channel, '') AS expand_channel, imei, os"
