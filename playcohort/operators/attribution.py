@@ -133,10 +133,10 @@ def order_stats(orders: DataFrame, attributed: DataFrame) -> DataFrame:
     paid = orders.filter(valid_device(first_device(F.col("imei")))).withColumn("day", F.to_date("order_time"))
     # an account's day in one game first: hot payers shrink before they meet their registration
     per_game = paid.groupBy("game_account", "day", "game_id").agg(
-        F.sum(F.col("ori_price") + F.col("total_amt")).alias("amount"), F.min(F.struct("order_time", "order_no")).alias("first"))
+        F.sum(cents(F.col("ori_price") + F.col("total_amt"))).alias("amount"), F.min(F.struct("order_time", "order_no")).alias("first"))
     first = F.min("first").over(Window.partitionBy("game_account", "day"))
     rows = per_game.withColumn("payer", (F.col("first") == first).cast("long")).join(owner, "game_account")
     new = (F.col("reg_date") == F.col("day")).cast("long")
     return rows.groupBy("day", *STAT_KEY).agg(
-        cents(F.sum("amount")).alias("pay_price"), F.sum("payer").alias("pay_accounts"),
-        cents(F.sum(F.col("amount") * new)).alias("new_pay_price"), F.sum(F.col("payer") * new).alias("new_pay_accounts"))
+        F.sum("amount").alias("pay_price"), F.sum("payer").alias("pay_accounts"),
+        F.sum(F.col("amount") * new).alias("new_pay_price"), F.sum(F.col("payer") * new).alias("new_pay_accounts"))

@@ -165,17 +165,18 @@ def pay_money(orders: DataFrame, unit: str = "day") -> DataFrame:
     """Gross cents per (unit, game, channel)."""
     label = hour_key(F.col("order_time")) if unit == "hour" else F.date_format("order_time", "yyyy-MM-dd")
     return orders.groupBy(label.alias(unit), *MARKET).agg(
-        cents(F.sum(F.col("ori_price") + F.col("total_amt"))).alias("pay_money"))
+        F.sum(cents(F.col("ori_price") + F.col("total_amt"))).alias("pay_money"))
 
 
 def pay_ltv(orders: DataFrame) -> DataFrame:
     """Order price in cents credited to the registration day: in total and within 1, 2, 3, 7, 30 days."""
-    offset = F.datediff(F.to_date("order_time"), "reg_date")
+    offset, price = F.datediff(F.to_date("order_time"), "reg_date"), cents(F.col("ori_price"))
+
     def upto(n: int) -> Column:
         hit = (offset == 0) if n == 1 else (offset <= n - 1)
-        return cents(F.sum(F.when(hit, F.col("ori_price")).otherwise(F.lit(0)))).alias(f"ltv_{n}day")
+        return F.sum(F.when(hit, price).otherwise(F.lit(0))).alias(f"ltv_{n}day")
     return orders.groupBy("reg_date", "reg_game_id").agg(
-        cents(F.sum("ori_price")).alias("recharge"), *[upto(n) for n in C.PAY_LTV])
+        F.sum(price).alias("recharge"), *[upto(n) for n in C.PAY_LTV])
 
 
 def click_uv(clicks: DataFrame, games: DataFrame) -> DataFrame:

@@ -9,14 +9,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from playcohort import constants as C
-from playcohort.functions.money import cents
 
 
 def pay_curve(members: DataFrame, spend: DataFrame, report: Sequence[str], run_day: dt.date, days: int = C.PAY_CURVE_DAYS) -> DataFrame:
     """Running payers and cents over the days an order of the cohort stays visible.
 
     ``members`` has one row per (report keys with ``reg_date``, account), ``spend`` one per (account,
-    day). A payer counts from the first day on. Everything is summed to (cohort, day) before the
+    day) in cents. A payer counts from the first day on. Everything is summed to (cohort, day) before the
     window, which then orders as many rows per cohort as the run has days.
     """
     spend = spend.filter(F.col("order_date") <= F.lit(run_day))
@@ -28,12 +27,12 @@ def pay_curve(members: DataFrame, spend: DataFrame, report: Sequence[str], run_d
     until = F.least(F.date_add("day", days), F.lit(run_day))
     spine = per_day.select(*report, F.explode(F.sequence("day", until)).alias("day"))
     facts = (
-        spine.withColumns({"amount": F.lit(0).cast("decimal(18,2)"), "payers": F.lit(0).cast("long")})
+        spine.withColumns({"amount": F.lit(0).cast("long"), "payers": F.lit(0).cast("long")})
         .unionByName(per_day.withColumn("payers", F.lit(0).cast("long")))
-        .unionByName(payers.withColumn("amount", F.lit(0).cast("decimal(18,2)")))
+        .unionByName(payers.withColumn("amount", F.lit(0).cast("long")))
         .groupBy(*report, "day").agg(F.sum("amount").alias("amount"), F.sum("payers").alias("payers"))
     )
     running = Window.partitionBy(*report).orderBy("day").rangeBetween(Window.unboundedPreceding, Window.currentRow)
     return facts.select(
         *report, (F.datediff("day", "reg_date") + 1).alias("date_diff"), F.sum("payers").over(running).alias("pays"),
-        cents(F.sum("amount").over(running)).alias("pay_amount"))
+        F.sum("amount").over(running).alias("pay_amount"))

@@ -21,12 +21,12 @@ PERFORMANCE_KEY = ("day", "parent_game_id", "game_id", "os", "group_id", *CHANNE
 def revenue_performance(regi: DataFrame, orders: DataFrame, receipts: DataFrame, games: DataFrame, sdk: DataFrame) -> DataFrame:
     """Cents, sandbox cents and new accounts per (day, game, channel, payment type).
 
-    An account shows up on days it registered or paid; type 0 stands for no payment. ``regi`` has one
-    row per account (reg_date, channel parts) next to ``regi_days``-like rows: see ``account_days``.
+    An account shows up on days it registered or paid; type 0 stands for no payment. ``regi`` are all
+    registrations with channel parts, ``orders`` deduplicated paid orders.
     """
     flagged = orders.join(receipts.filter("sandbox = 1 AND state = 3").select(F.col("order_sn").alias("order_no")).distinct()
                           .withColumn("sandbox", F.lit(1)), "order_no", "left")
-    amount = gross_amount(F.col("ori_price"), F.col("total_amt"))
+    amount = cents(gross_amount(F.col("ori_price"), F.col("total_amt")))
     paid = flagged.groupBy("game_account", "game_id", F.to_date("order_time").alias("day"), "payment_type").agg(
         F.sum(amount).alias("water"), F.sum(F.when(F.col("sandbox") == 1, amount).otherwise(F.lit(0))).alias("box"))
     days = account_days(regi, orders).join(games.select("game_id").distinct(), "game_id", "left_semi")
@@ -35,8 +35,8 @@ def revenue_performance(regi: DataFrame, orders: DataFrame, receipts: DataFrame,
     # one row per (account, game, day, type): the new accounts below need no distinct
     rows = days.join(home, "game_account").join(paid, ["game_account", "game_id", "day"], "left")
     facts = rows.groupBy("day", "game_id", *CHANNEL_COLS, F.col("payment_type")).agg(
-        F.coalesce(cents(F.sum("water")), F.lit(0).cast("long")).alias("pay_water"),
-        F.coalesce(cents(F.sum("box")), F.lit(0).cast("long")).alias("box_water"),
+        F.coalesce(F.sum("water"), F.lit(0).cast("long")).alias("pay_water"),
+        F.coalesce(F.sum("box"), F.lit(0).cast("long")).alias("box_water"),
         F.sum((F.col("reg_date") == F.col("day")).cast("long")).alias("regi_num"))
     dim = child_games(sdk.filter("state = 0")).withColumnRenamed("old_game_id", "game_id")
     out = facts.join(dim, "game_id").withColumn("pay_type", pay_type_code(F.col("payment_type")))

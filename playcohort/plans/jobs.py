@@ -249,7 +249,7 @@ def natural_traffic(regi: DataFrame, active: DataFrame, orders: DataFrame, acts:
     acted = kpi.activation_kpi(published_only(active, games), kpi.OPERA, "day").select(
         F.to_date("day").alias("day"), "game_id", "active_num")
     paid = published_only(orders, games).groupBy(F.to_date("order_time").alias("day"), "game_id").agg(
-        cents(F.sum(F.col("ori_price") + F.col("total_amt"))).alias("pay_price"))
+        F.sum(cents(F.col("ori_price") + F.col("total_amt"))).alias("pay_price"))
     total = dims.with_game_dim(kpi.sum_branches([accounts, acted, paid], keys), sdk).drop("parent_game_id", "os")
     claimed = kpi.sum_branches([
         attribution.registration_stats(regs).groupBy(*keys).agg(F.sum("regi_num").alias("regi_num")),
