@@ -17,44 +17,61 @@ from pyspark.sql.types import StructType, _parse_datatype_string
 
 @dataclass(frozen=True)
 class DetailTable:
-    """Rows of one kind below ``path``; ``schema`` is DDL text."""
+    """Rows of one kind below ``path``; ``schema`` is DDL text.
+
+    With a ``time`` column, a date or timestamp or a text that starts with the day, the rows of a batch
+    are partitioned by day, so that a check against earlier batches reads the batch's days only.
+    """
 
     spark: SparkSession
     path: str
     schema: str
+    time: str | None = None
 
-    def _schema(self) -> StructType:
-        return _parse_datatype_string(f"{self.schema}, batch bigint")
+    def _columns(self) -> list[str]:
+        return _parse_datatype_string(self.schema).fieldNames()
 
-    def read(self, before: int | None = None) -> DataFrame:
-        """All rows, or those of earlier batches; empty before the first write."""
-        columns = [f.name for f in self._schema() if f.name != "batch"]
+    def _stored(self) -> str:
+        return f"{self.schema}{', day date' if self.time else ''}"
+
+    def _all(self, before: int | None) -> DataFrame:
+        schema = _parse_datatype_string(f"{self._stored()}, batch bigint")
         try:
-            rows = self.spark.read.schema(self._schema()).parquet(self.path)
+            rows = self.spark.read.schema(schema).parquet(self.path)
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
-            rows = self.spark.createDataFrame([], self._schema())
-        return (rows if before is None else rows.filter(F.col("batch") < before)).select(columns)
+            rows = self.spark.createDataFrame([], schema)
+        return rows if before is None else rows.filter(F.col("batch") < before)
+
+    def read(self, before: int | None = None) -> DataFrame:
+        """All rows, or those of earlier batches; empty before the first write."""
+        return self._all(before).select(self._columns())
 
     def write(self, rows: DataFrame, batch: int) -> DataFrame:
         """Write a batch's rows, replacing an earlier attempt, and read them back."""
-        columns = [f.name for f in self._schema() if f.name != "batch"]
         target = f"{self.path}/batch={batch}"
-        rows.select(columns).write.mode("overwrite").parquet(target)
-        return self.spark.read.schema(self.schema).parquet(target)
+        out = rows.select(self._columns())
+        if self.time:
+            out.withColumn("day", F.to_date(self.time)).write.mode("overwrite").partitionBy("day").parquet(target)
+        else:
+            out.write.mode("overwrite").parquet(target)
+        return self.spark.read.schema(self._stored()).parquet(target).select(self._columns())
 
     def append_new(self, rows: DataFrame, batch: int, keys: Sequence[str]) -> DataFrame:
         """Write the rows whose key no earlier batch holds, once each.
 
-        Copies inside the batch combine on the map side. The batch is the small side of the anti join,
-        and earlier batches contribute the keys it holds, found by a scan of the key columns.
+        Copies inside the batch combine on the map side. The key contains the time, so only the days
+        between the batch's first and last can hold a copy: two values the driver learns to prune by.
         """
-        columns = [f.name for f in self._schema() if f.name != "batch"]
-        rest = [c for c in columns if c not in keys]
+        rest = [c for c in self._columns() if c not in keys]
         one = rows.groupBy(*keys).agg(*[F.min(F.struct(*rest)).alias("_r")] if rest else [F.count("*").alias("_r")])
         once = one.select(*keys, *[F.col(f"_r.{c}").alias(c) for c in rest])
-        seen = self.read(before=batch).select(*keys).join(once.select(*keys), list(keys), "left_semi").distinct()
+        earlier = self._all(before=batch)
+        if self.time:
+            days = rows.agg(F.min(F.to_date(self.time)).alias("first"), F.max(F.to_date(self.time)).alias("last")).first()
+            earlier = earlier.filter(F.col("day").between(F.lit(days["first"]), F.lit(days["last"])))
+        seen = earlier.select(*keys).join(once.select(*keys), list(keys), "left_semi").distinct()
         return self.write(once.join(seen, list(keys), "left_anti"), batch)
 
 

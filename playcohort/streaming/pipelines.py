@@ -56,7 +56,8 @@ class KpiPipeline:
             "ltv_delta": "reg_date date, reg_game_id int, recharge bigint, " + ", ".join(f"ltv_{n}day bigint" for n in C.PAY_LTV),
             "click_delta": f"publish_time string, game_id int, {PARTS}, " + ", ".join(f"{n} bigint" for n in C.CLICK_TYPES.values()),
         }
-        self.tables = {n: DetailTable(self.spark, f"{self.base}/{n}", s) for n, s in schemas.items()}
+        times = {"regi": "reg_time", "active": "active_time", "login": "login_time", "orders": "order_time", "clicks": "publish_time"}
+        self.tables = {n: DetailTable(self.spark, f"{self.base}/{n}", s, times.get(n)) for n, s in schemas.items()}
 
     def process(self, lines: DataFrame, batch: int) -> None:
         """One micro-batch: new facts to the detail tables, changes of the KPIs to the delta tables."""
@@ -145,7 +146,8 @@ class WallPipeline:
             "active": "game_id int, imei string, active_time timestamp",
             "regi": "game_id int, imei string, game_account string, reg_time timestamp",
         }
-        self.tables = {n: DetailTable(self.spark, f"{self.base}/{n}", s) for n, s in schemas.items()}
+        times = {"active": "active_time", "regi": "reg_time"}
+        self.tables = {n: DetailTable(self.spark, f"{self.base}/{n}", s, times.get(n)) for n, s in schemas.items()}
 
     def process(self, lines: DataFrame, batch: int) -> None:
         lines = lines.persist()
@@ -183,7 +185,8 @@ class AttributionPipeline:
             "active": f"game_id int, {PARTS}, os string, imei string, active_time timestamp, event_id bigint",
             "regi": f"game_account string, game_id int, {PARTS}, os string, imei string, reg_time timestamp, event_id bigint",
         }
-        self.tables = {n: DetailTable(self.spark, f"{self.base}/{n}", s) for n, s in schemas.items()}
+        times = {"clicks": "ts", "active": "active_time", "regi": "reg_time"}
+        self.tables = {n: DetailTable(self.spark, f"{self.base}/{n}", s, times.get(n)) for n, s in schemas.items()}
 
     def process(self, lines: DataFrame, batch: int) -> None:
         lines = lines.persist()

@@ -24,7 +24,7 @@ EMPTY = "coalesce(channel, '')"
 PUBLISHED = "(SELECT n_nationkey FROM nation WHERE n_nationkey % 9 <> 0 UNION SELECT game_id FROM publish_game)"
 
 
-def replay(t, made: DataFrame, purpose: str, files: int = 3) -> DataFrame:
+def replay(t, made: DataFrame, purpose: str, files: int = 2) -> DataFrame:
     """The lines as a stream of text files, in an order unrelated to their times."""
     path = shared_dir(t.spark, purpose)
     made.repartition(files, F.xxhash64("value")).write.text(path)

@@ -71,3 +71,12 @@ def test_entity_delta_adds_up(spark):
     before, fresh = rows.filter("day = 2 OR e = 'e2'"), rows.filter("day = 1 AND e = 'e1'")
     delta = entity_delta(firsts, before, fresh, ["e"], fresh.select("e").distinct(), ["day"])
     assert rows_of(total(firsts(before).unionByName(delta), ["day"])) == rows_of(firsts(rows)) == [(1, 2)]
+
+
+def test_days_prune_the_check_and_an_empty_batch_is_fine(spark):
+    table = DetailTable(spark, shared_dir(spark, "day-test"), "k int, t timestamp", time="t")
+    rows = spark.sql("SELECT k, timestamp '2024-01-01 10:00:00' + make_dt_interval(k) AS t FROM (SELECT explode(sequence(0, 4)) AS k)")
+    table.append_new(rows, 0, ["k", "t"])
+    table.append_new(rows.filter("k < 2").union(rows.filter("k < 2").selectExpr("k + 10", "t")), 1, ["k", "t"])
+    table.append_new(rows.filter("k > 99"), 2, ["k", "t"])
+    assert sorted(r.k for r in table.read().collect()) == [0, 1, 2, 3, 4, 10, 11]
