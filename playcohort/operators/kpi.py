@@ -187,7 +187,7 @@ def click_uv(clicks: DataFrame, games: DataFrame) -> DataFrame:
     return once.withColumns(flags).groupBy("publish_time", *MARKET).agg(*[F.sum(n).alias(n) for n in flags])
 
 
-WALL_FLAGS = ("mu_active_num", "repeat_active_num", "mu_repeat_active_num", "pyw_mu_active_num", "pyw_un_active_num",
+WALL_FLAGS = ("mu_active_num", "repeat_active_num", "mu_repeat_active_num", "own_mu_active_num", "own_un_active_num",
               "regi_active_num", "new_mu_regi_dev_num")
 
 

@@ -309,16 +309,16 @@ WALL = """
     fl AS (SELECT day, game_id, 1 AS mu_active_num,
                   CASE WHEN EXISTS (SELECT 1 FROM pa WHERE pa.game_id = a.game_id AND pa.imei = a.imei AND pa.day < a.day) THEN 1 ELSE 0 END AS repeat_active_num,
                   CASE WHEN EXISTS (SELECT 1 FROM a b WHERE b.game_id = a.game_id AND b.imei = a.imei AND b.day < a.day) THEN 1 ELSE 0 END AS mu_repeat_active_num,
-                  CASE WHEN EXISTS (SELECT 1 FROM pa WHERE pa.imei = a.imei AND pa.day = a.day) THEN 1 ELSE 0 END AS pyw_mu_active_num,
-                  CASE WHEN EXISTS (SELECT 1 FROM pa WHERE pa.game_id = a.game_id AND pa.imei = a.imei AND pa.day <= a.day) THEN 0 ELSE 1 END AS pyw_un_active_num,
+                  CASE WHEN EXISTS (SELECT 1 FROM pa WHERE pa.imei = a.imei AND pa.day = a.day) THEN 1 ELSE 0 END AS own_mu_active_num,
+                  CASE WHEN EXISTS (SELECT 1 FROM pa WHERE pa.game_id = a.game_id AND pa.imei = a.imei AND pa.day <= a.day) THEN 0 ELSE 1 END AS own_un_active_num,
                   CASE WHEN EXISTS (SELECT 1 FROM re WHERE re.game_id = a.game_id AND re.imei = a.imei AND re.day = a.day) THEN 1 ELSE 0 END AS regi_active_num,
                   CASE WHEN EXISTS (SELECT 1 FROM re WHERE re.game_id = a.game_id AND re.imei = a.imei AND re.day < a.day) THEN 0 ELSE 1 END AS new_mu_regi_dev_num FROM a),
-    u AS (SELECT day, game_id, 1 AS click_num, 0 AS click_dev_num, 0 AS mu_active_num, 0 AS repeat_active_num, 0 AS mu_repeat_active_num, 0 AS pyw_mu_active_num,
-                 0 AS pyw_un_active_num, 0 AS regi_active_num, 0 AS new_mu_regi_dev_num FROM c0
+    u AS (SELECT day, game_id, 1 AS click_num, 0 AS click_dev_num, 0 AS mu_active_num, 0 AS repeat_active_num, 0 AS mu_repeat_active_num, 0 AS own_mu_active_num,
+                 0 AS own_un_active_num, 0 AS regi_active_num, 0 AS new_mu_regi_dev_num FROM c0
           UNION ALL SELECT day, game_id, 0, 1, 0, 0, 0, 0, 0, 0, 0 FROM c
-          UNION ALL SELECT day, game_id, 0, 0, mu_active_num, repeat_active_num, mu_repeat_active_num, pyw_mu_active_num, pyw_un_active_num, regi_active_num, new_mu_regi_dev_num FROM fl),
+          UNION ALL SELECT day, game_id, 0, 0, mu_active_num, repeat_active_num, mu_repeat_active_num, own_mu_active_num, own_un_active_num, regi_active_num, new_mu_regi_dev_num FROM fl),
     w AS (SELECT day, game_id, sum(click_num) AS click_num, sum(click_dev_num) AS click_dev_num, sum(mu_active_num) AS mu_active_num, sum(repeat_active_num) AS repeat_active_num,
-                 sum(mu_repeat_active_num) AS mu_repeat_active_num, sum(pyw_mu_active_num) AS pyw_mu_active_num, sum(pyw_un_active_num) AS pyw_un_active_num,
+                 sum(mu_repeat_active_num) AS mu_repeat_active_num, sum(own_mu_active_num) AS own_mu_active_num, sum(own_un_active_num) AS own_un_active_num,
                  sum(regi_active_num) AS regi_active_num, sum(new_mu_regi_dev_num) AS new_mu_regi_dev_num FROM u GROUP BY ALL)"""
 WALL_SPEC = "day:s game_id:i click_num:i click_dev_num:i " + " ".join(f"{f}:i" for f in kpi.WALL_FLAGS)
 
@@ -332,27 +332,27 @@ def wall_kpi(t):
     return _wall(t)
 
 
-@query("job22_wall_reconciliation", "day:s game_id:i pyw_active_num:i pyw_regi_dev_num:i new_regi_dev_num:i pyw_repeat_active_num:i natural_regi_dev_num:i new_natural_regi_dev_num:i", f"""
+@query("job22_wall_reconciliation", "day:s game_id:i own_active_num:i own_regi_dev_num:i new_regi_dev_num:i own_repeat_active_num:i natural_regi_dev_num:i new_natural_regi_dev_num:i", f"""
     WITH {WALL}, ak AS (SELECT game_id, imei, min(cast(active_time AS date)) AS day FROM active GROUP BY ALL),
     an AS (SELECT day, game_id, count(*) AS active_num FROM ak GROUP BY ALL),
     rk AS (SELECT DISTINCT cast(reg_time AS date) AS day, game_id, imei, min(cast(reg_time AS date)) OVER (PARTITION BY game_id, imei) AS fd FROM regi),
     rn AS (SELECT day, game_id, count(*) AS regi, sum(CASE WHEN day = fd THEN 1 ELSE 0 END) AS new_regi FROM rk GROUP BY ALL)
-    SELECT w.day, w.game_id, coalesce(active_num, 0) AS pyw_active_num, coalesce(regi, 0) AS pyw_regi_dev_num, coalesce(new_regi, 0) AS new_regi_dev_num,
-           greatest(repeat_active_num - mu_repeat_active_num, 0) AS pyw_repeat_active_num, greatest(coalesce(regi, 0) - regi_active_num, 0) AS natural_regi_dev_num,
+    SELECT w.day, w.game_id, coalesce(active_num, 0) AS own_active_num, coalesce(regi, 0) AS own_regi_dev_num, coalesce(new_regi, 0) AS new_regi_dev_num,
+           greatest(repeat_active_num - mu_repeat_active_num, 0) AS own_repeat_active_num, greatest(coalesce(regi, 0) - regi_active_num, 0) AS natural_regi_dev_num,
            greatest(coalesce(new_regi, 0) - new_mu_regi_dev_num, 0) AS new_natural_regi_dev_num
     FROM w LEFT JOIN an USING (day, game_id) LEFT JOIN rn USING (day, game_id)""")
 def wall_reconciliation(t):
     keys = ["day", "game_id"]
     day = F.to_date("day").alias("day")
-    acted = kpi.activation_kpi(t.active, kpi.OPERA, "day").select(day, "game_id", F.col("active_num").alias("pyw_active_num"))
+    acted = kpi.activation_kpi(t.active, kpi.OPERA, "day").select(day, "game_id", F.col("active_num").alias("own_active_num"))
     regi = kpi.registration_kpi(t.regi, kpi.OPERA).select(
-        day, "game_id", F.col("regi_devices").alias("pyw_regi_dev_num"), F.col("new_regi_devices").alias("new_regi_dev_num"))
-    cols = ["pyw_active_num", "pyw_regi_dev_num", "new_regi_dev_num"]
+        day, "game_id", F.col("regi_devices").alias("own_regi_dev_num"), F.col("new_regi_devices").alias("new_regi_dev_num"))
+    cols = ["own_active_num", "own_regi_dev_num", "new_regi_dev_num"]
     wall = _wall(t).withColumns({c: F.lit(0).cast("long") for c in cols})
     full = merge.update_from(wall, kpi.sum_branches([acted, regi], keys), keys, cols)
     return full.withColumns({
-        "pyw_repeat_active_num": merge.positive_difference("repeat_active_num", "mu_repeat_active_num"),
-        "natural_regi_dev_num": merge.positive_difference("pyw_regi_dev_num", "regi_active_num"),
+        "own_repeat_active_num": merge.positive_difference("repeat_active_num", "mu_repeat_active_num"),
+        "natural_regi_dev_num": merge.positive_difference("own_regi_dev_num", "regi_active_num"),
         "new_natural_regi_dev_num": merge.positive_difference("new_regi_dev_num", "new_mu_regi_dev_num")})
 
 
