@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -24,12 +25,12 @@ def build_session(app: str = "playcohort", **conf: str) -> SparkSession:
 def shared_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh path below ``spark.checkpoint.dir``.
 
-    Only a local master may run without that setting: a machine-local folder is invisible to the
+    Only a master inside one JVM may run without that setting: a machine-local folder is invisible to the
     executors of a cluster.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
             raise ValueError("spark.checkpoint.dir must name a folder all executors can reach")
         base = tempfile.mkdtemp(prefix="playcohort-")
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
