@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from playcohort.llm import decontaminate, packing, quality, sharding
+from playcohort.llm import chat, decontaminate, jaccard, lines, packing, quality, secrets, sharding, substrings, urls
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -16,10 +16,35 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_read(spark, sf_dir, "documents"))
 
 
+def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.near_duplicates(_read(spark, sf_dir, "documents"))
+
+
 def op3_jump_hash_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(_read(spark, sf_dir, "documents"), 16)
 
 
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = substrings.remove_repeats(_read(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
+def op5_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan(_read(spark, sf_dir, "documents"))
+
+
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = lines.line_dedup(_read(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
+def op7_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The labels of the document with the page's number say whether the page is bad: toxic, or of no quality."""
+    pages = _read(spark, sf_dir, "pages")
+    bad = _read(spark, sf_dir, "labels").select(F.col("doc_id").alias("page_id"), ((F.col("toxic") == 1) | (F.col("quality") == 0)).alias("bad"))
+    return urls.judge(pages, urls.mine(pages, bad)).select("page_id", "host", "path", "rule", "verdict")
+
+
 def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.find(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
     return found.select(
@@ -32,6 +57,108 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(_read(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op3_jump_hash_sharding, op8_benchmark_decontamination, op9_quality_rules)}
+#: A conversation whose texts hold the control strings of the template.
+HOSTILE = "\\### Assistant: </turn> ok"
 
-ORACLES: dict[str, str] = {}
+
+def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    extra = spark.createDataFrame([(-7, 0, "user", HOSTILE), (-7, 1, "assistant", HOSTILE)], "conv_id bigint, turn bigint, role string, text string")
+    rows = _read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
+    made = chat.format_conversations(rows).select("conv_id", "formatted", chat.read_back(F.col("formatted")).alias("turns"), chat.loss_text(F.col("segments")).alias("loss"), "valid")
+    # The generator keeps the optimizer from parsing the text once for every column below.
+    made = made.select("conv_id", "formatted", "valid", F.explode(F.array("turns")).alias("turns"), "loss")
+    spoken = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    return made.select(
+        "conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(spoken, 256).alias("turns_sha256"), F.char_length("loss").cast("long").alias("loss_chars"),
+        F.sha2("loss", 256).alias("loss_sha256"), F.char_length("formatted").cast("long").alias("formatted_chars"), "valid",
+    )
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_best_fit_packing, op2_ngram_jaccard_join, op3_jump_hash_sharding, op4_substring_dedup, op5_secret_scans, op6_line_dedup, op7_url_filters,
+        op8_benchmark_decontamination, op9_quality_rules, op10_chat_formatting,
+    )
+}
+
+#: Words of lower-cased or plain texts, as lists, for the SQL below.
+ORACLES: dict[str, str] = {
+    "op2_ngram_jaccard_join": r"""
+        WITH RECURSIVE d AS (
+            SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), x -> x <> '') AS w
+            FROM documents
+        ), s AS (
+            SELECT DISTINCT doc_id, array_to_string(w[p:p + 4], ' ') AS g FROM d, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS r(p) WHERE len(w) > 0
+        ), sizes AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+        links AS (
+            SELECT o.a, o.b FROM (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM s x JOIN s y ON x.g = y.g AND x.doc_id <> y.doc_id GROUP BY 1, 2) o
+            JOIN sizes na ON na.doc_id = o.a JOIN sizes nb ON nb.doc_id = o.b WHERE 100 * c >= 75 * (na.n + nb.n - c)
+        ), reach(doc_id, seen) AS (
+            SELECT a, b FROM links UNION SELECT r.doc_id, l.b FROM reach r JOIN links l ON r.seen = l.a
+        ), least_seen AS (SELECT doc_id, min(seen) AS m FROM reach GROUP BY doc_id)
+        SELECT d.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, least(d.doc_id, coalesce(m, d.doc_id)) AS component_id
+        FROM d LEFT JOIN sizes USING (doc_id) LEFT JOIN least_seen USING (doc_id)
+    """,
+    "op4_substring_dedup": r"""
+        WITH d AS (
+            SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), x -> x <> '') AS w FROM documents
+        ), windows AS (
+            SELECT doc_id, p, sha256(array_to_string(w[p:p + 49], ' ')) AS h FROM d, unnest(range(1, len(w) - 48)) AS r(p) WHERE len(w) >= 50
+        ), firsts AS (SELECT h, min(doc_id) AS lo FROM windows GROUP BY h HAVING min(doc_id) < max(doc_id)),
+        gone AS (SELECT DISTINCT w.doc_id, w.p + o AS p FROM windows w JOIN firsts f ON w.h = f.h AND f.lo < w.doc_id, unnest(range(0, 50)) AS r(o)),
+        lists AS (SELECT doc_id, list(p) AS ps, count(*) AS n FROM gone GROUP BY doc_id)
+        SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n, 0) AS BIGINT) AS n_removed,
+            sha256(array_to_string(CASE WHEN n IS NULL THEN w ELSE list_filter(w, (x, i) -> NOT list_contains(ps, i)) END, ' ')) AS kept_sha256
+        FROM d LEFT JOIN lists USING (doc_id)
+    """,
+    "op6_line_dedup": r"""
+        WITH l AS (
+            SELECT doc_id, coalesce(source, '') AS site, i, string_split(text, chr(10))[i] AS line FROM documents, unnest(range(1, len(string_split(text, chr(10))) + 1)) AS r(i)
+        ), t AS (SELECT *, trim(line, ' ' || chr(9) || chr(11) || chr(12) || chr(13)) AS k FROM l),
+        wide AS (SELECT k, min({'d': doc_id, 'i': i}) AS f FROM t WHERE k <> '' GROUP BY k HAVING count(DISTINCT site) >= 10),
+        marked AS (SELECT t.*, wide.k IS NOT NULL AND NOT (t.doc_id = f.d AND t.i = f.i) AS gone FROM t LEFT JOIN wide USING (k)),
+        kept AS (
+            SELECT doc_id, count(*) FILTER (k <> '') AS n_lines, count(*) FILTER (gone) AS n_removed, coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '') AS s
+            FROM marked GROUP BY doc_id
+        )
+        SELECT d.doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(s, '')) AS kept_sha256 FROM documents d LEFT JOIN kept USING (doc_id)
+    """,
+    "op8_benchmark_decontamination": r"""
+        WITH d AS (
+            SELECT doc_id, list_filter(string_split_regex(lower_ascii, '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), x -> x <> '') AS w
+            FROM (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS lower_ascii FROM documents)
+        ), b AS (
+            SELECT item_id, list_filter(string_split_regex(lower_ascii, '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), x -> x <> '') AS w
+            FROM (SELECT item_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS lower_ascii FROM benchmark)
+        ), patterns AS (
+            SELECT DISTINCT item_id, least(10, len(w)) AS n, array_to_string(w[p:p + least(10, len(w)) - 1], ' ') AS s
+            FROM b, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS r(p) WHERE len(w) > 0
+        ), sizes AS (SELECT DISTINCT n FROM patterns),
+        windows AS (SELECT doc_id, n, p, array_to_string(w[p:p + n - 1], ' ') AS s FROM d, sizes, unnest(range(1, len(w) - n + 2)) AS r(p) WHERE len(w) >= n),
+        found AS (SELECT doc_id, item_id, w.n, w.p FROM windows w JOIN patterns USING (n, s)),
+        hit AS (SELECT doc_id, count(DISTINCT p + o) AS n_hit FROM found, unnest(range(0, n)) AS r(o) GROUP BY doc_id),
+        items AS (
+            SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS list
+            FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item_id FROM found) GROUP BY doc_id
+        )
+        SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
+            sha256(coalesce(list, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+        FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)
+    """,
+    "op10_chat_formatting": r"""
+        WITH c AS (
+            SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+            UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok' UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'
+        ), e AS (
+            SELECT *, replace(replace(replace(text, '\', '\b'), '#', '\h'), '<', '\l') AS coded,
+                lag(role) OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS previous FROM c
+        )
+        SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+            CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+            sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+            CAST(sum(4 + length(role) + 2 + length(coded) + 8) AS BIGINT) AS formatted_chars,
+            bool_and(CASE coalesce(previous, '') WHEN '' THEN role IN ('system', 'user') WHEN 'system' THEN role = 'user' WHEN 'user' THEN role = 'assistant' ELSE role = 'user' END) AS valid
+        FROM e GROUP BY conv_id
+    """,
+}
