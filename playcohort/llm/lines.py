@@ -107,5 +107,8 @@ def dedup_documents(docs: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
                 columns[at] = pa.array([len(t) if d and t is not None else n for t, d, n in zip(texts, batch.column(len(names)).to_pylist(), old, strict=True)], columns[at].type)
             yield pa.RecordBatch.from_arrays(columns, names).filter(pa.array(kept, pa.bool_()))
 
-    joined = docs.join(drops, docs.doc_id == drops.drop_id, "left").select(*(docs[c] for c in names), drops["drop"].alias("_drop"))
+    extra = "_drop"
+    while extra in names:
+        extra += "_"
+    joined = docs.join(drops, docs["doc_id"] == drops["drop_id"], "left").select(*(docs[c] for c in names), drops["drop"].alias(extra))
     return joined.mapInArrow(run, schema)

@@ -86,7 +86,7 @@ QUERIES = {
 ORACLES: dict[str, str] = {
     "op2_ngram_jaccard_join": r"""
         WITH RECURSIVE d AS (
-            SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), x -> x <> '') AS w
+            SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
             FROM documents
         ), s AS (
             SELECT DISTINCT doc_id, array_to_string(w[p:p + 4], ' ') AS g FROM d, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS r(p) WHERE len(w) > 0
@@ -102,14 +102,14 @@ ORACLES: dict[str, str] = {
     """,
     "op4_substring_dedup": r"""
         WITH d AS (
-            SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), x -> x <> '') AS w FROM documents
+            SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents
         ), windows AS (
             SELECT doc_id, p, sha256(array_to_string(w[p:p + 49], ' ')) AS h FROM d, unnest(range(1, len(w) - 48)) AS r(p) WHERE len(w) >= 50
         ), firsts AS (SELECT h, min(doc_id) AS lo FROM windows GROUP BY h HAVING min(doc_id) < max(doc_id)),
         gone AS (SELECT DISTINCT w.doc_id, w.p + o AS p FROM windows w JOIN firsts f ON w.h = f.h AND f.lo < w.doc_id, unnest(range(0, 50)) AS r(o)),
         lists AS (SELECT doc_id, list(p) AS ps, count(*) AS n FROM gone GROUP BY doc_id)
         SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n, 0) AS BIGINT) AS n_removed,
-            sha256(array_to_string(CASE WHEN n IS NULL THEN w ELSE list_filter(w, (x, i) -> NOT list_contains(ps, i)) END, ' ')) AS kept_sha256
+            sha256(array_to_string(CASE WHEN n IS NULL THEN w ELSE list_filter(w, lambda x, i: NOT list_contains(ps, i)) END, ' ')) AS kept_sha256
         FROM d LEFT JOIN lists USING (doc_id)
     """,
     "op6_line_dedup": r"""
@@ -126,10 +126,10 @@ ORACLES: dict[str, str] = {
     """,
     "op8_benchmark_decontamination": r"""
         WITH d AS (
-            SELECT doc_id, list_filter(string_split_regex(lower_ascii, '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), x -> x <> '') AS w
+            SELECT doc_id, list_filter(string_split_regex(lower_ascii, '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w
             FROM (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS lower_ascii FROM documents)
         ), b AS (
-            SELECT item_id, list_filter(string_split_regex(lower_ascii, '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), x -> x <> '') AS w
+            SELECT item_id, list_filter(string_split_regex(lower_ascii, '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w
             FROM (SELECT item_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS lower_ascii FROM benchmark)
         ), patterns AS (
             SELECT DISTINCT item_id, least(10, len(w)) AS n, array_to_string(w[p:p + least(10, len(w)) - 1], ' ') AS s

@@ -167,7 +167,7 @@ def test_keep_one(docs):
     want = plain.near_duplicates(plain.pairs(docs))
     kept = jaccard.keep_one(docs)
     assert kept.columns == docs.columns
-    assert Counter(r["doc_id"] for r in kept.collect()) == Counter({k: n for (k, _, c), n in want.items() if k == c})
+    assert Counter(r["doc_id"] for r in kept.collect()) == sum((Counter({k: n}) for (k, _, c), n in want.items() if k == c), Counter())
 
 
 # 3 sharding
