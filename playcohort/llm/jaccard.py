@@ -12,9 +12,9 @@ Two documents link when their sets of distinct ``WORDS``-word shingles have a Ja
   shingles, so their count bounds the overlap from above; pairs that fail the bound are dropped unseen.
 * **Intersection.** What is left is decided by intersecting the sorted arrays of shingle hashes.
 
-A tile is not turned into all its pairs. Rounds of stars first compare each set with one pivot of its tile,
-which joins groups of near copies with a comparison per member; after them only pairs of different
-components are compared, exhaustively, so no link between components is lost.
+A tile is not turned into all its pairs. First each set is compared with a few pivots of its tile, which joins
+groups of near copies with a few comparisons a member; then only pairs of different components are compared,
+exhaustively, so no link between components is lost.
 
 Edge cases: A-Z count as lower case; a text of fewer words than a shingle is one shingle; a null or empty text
 has the empty set and links with nothing; equal rows and texts are one class; a null ``doc_id`` links with
@@ -38,7 +38,8 @@ from playcohort.session import materialize
 WORDS, PERCENT = 5, 75
 #: The count sketch: cells, and the pieces it is summed in.
 SKETCH_BITS, CHUNKS = 20, 64
-STAR_ROUNDS = 3
+#: Sets of a tile that all others of the tile are compared with before the exhaustive round.
+PIVOTS = 2
 
 
 def shingles(group: Group, size: int = WORDS) -> tuple[np.ndarray, np.ndarray]:
@@ -105,8 +106,8 @@ def count_sketch(sets: DataFrame) -> np.ndarray:
     """How many shingles of all sets fall into each cell: 2**SKETCH_BITS numbers, whatever the corpus."""
     parts = sets.where("chunk IS NOT NULL").select("chunk", "counts")
     schema = "chunk int, counts binary"
-    some = parts.repartition(CHUNKS, F.col("chunk"), F.spark_partition_id() % 16).mapInArrow(_add, schema)
-    rows = some.repartition(CHUNKS, "chunk").mapInArrow(_add, schema).collect()  # CHUNKS rows
+    some = parts.repartition("chunk", F.spark_partition_id() % 16).mapInArrow(_add, schema)
+    rows = some.repartition("chunk").mapInArrow(_add, schema).collect()  # CHUNKS rows
     cells = np.zeros((CHUNKS, (1 << SKETCH_BITS) // CHUNKS), np.uint64)
     for chunk, counts in rows:
         cells[chunk] += np.frombuffer(zlib.decompress(counts), np.uint64)
@@ -221,18 +222,12 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     features = materialize(wanted.mapInArrow(_features, "sid bigint, n int, bits array<bigint>, codes binary"), "features")
     tiles = materialize(tiles.join(active, ["sid", "n"]), "tiles")
 
-    links = tiles.select(F.col("node").alias("u"), F.col("node").alias("v")).limit(0)
-    label = None
-    for turn in range(STAR_ROUNDS + 1):
-        placed = tiles.withColumn("component", F.col("node"))
-        if label is not None:
-            placed = tiles.join(label, "node", "left").withColumn("component", F.coalesce("component", "node"))
-        pairs = _stars(placed, turn) if turn < STAR_ROUNDS else _exhaustive(placed, features)
-        found = _verify(pairs, features)
-        node_a = classes.select(F.col("sid").alias("a"), F.col("n").alias("a_n"), F.col("node").alias("u"))
-        node_b = classes.select(F.col("sid").alias("b"), F.col("n").alias("b_n"), F.col("node").alias("v"))
-        links = materialize(links.unionByName(found.join(node_a, ["a", "a_n"]).join(node_b, ["b", "b_n"]).select("u", "v")), "links")
-        label = materialize(components(links, "u", "v"), "labels")
+    alone = tiles.withColumn("component", F.col("node"))
+    label = _labels(_verify(_stars(alone), features), classes)
+    joined = tiles.join(label, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    missed = materialize(_verify(_exhaustive(joined, features), features), "links")
+    if not missed.isEmpty():
+        label = _labels(missed, classes, label)
 
     nodes = classes.join(label, "node", "left").select("sid", "n", F.coalesce("component", "node").alias("component"))
     return members.join(nodes, ["sid", "n"], "left").select(
@@ -241,6 +236,16 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     )
 
 
+def _labels(found: DataFrame, classes: DataFrame, label: DataFrame | None = None) -> DataFrame:
+    """Components of the links between sets, on top of those already known."""
+    node_a = classes.select(F.col("sid").alias("a"), F.col("n").alias("a_n"), F.col("node").alias("u"))
+    node_b = classes.select(F.col("sid").alias("b"), F.col("n").alias("b_n"), F.col("node").alias("v"))
+    links = found.join(node_a, ["a", "a_n"]).join(node_b, ["b", "b_n"]).select("u", "v")
+    if label is not None:
+        links = links.unionByName(label.select(F.col("node").alias("u"), F.col("component").alias("v")))
+    return materialize(components(links, "u", "v"), "labels")
+
+
 def keep_one(docs: DataFrame) -> DataFrame:
     """The rows of ``docs``, with all their columns, but for the later documents of each component.
 
@@ -256,15 +261,19 @@ def _pairs(rows: DataFrame) -> DataFrame:
     return rows.where("a_c <> b_c").where(fits(F.col("a_n"), F.col("b_n"))).select("a", "a_n", "b", "b_n").distinct()
 
 
-def _stars(placed: DataFrame, turn: int) -> DataFrame:
-    """Each set of a tile with the tile's pivot, and the pivots of neighbouring bands with each other."""
+def _stars(placed: DataFrame, pivots: int | None = None) -> DataFrame:
+    """Each set of a tile with a few pivots of the tile, and the pivots of neighbouring bands with each other.
+
+    A pivot is the set with the smallest hash of its id under one of several seeds, so that a group of near copies
+    chooses the same ones in most of the tiles it shares.
+    """
     placed = placed.select("token", "band", "sid", "n", "component")
-    rank = F.xxhash64("sid", F.lit(turn))
-    pivots = placed.groupBy("token", "band").agg(F.min(F.struct(rank.alias("rank"), F.col("sid").alias("b"), F.col("n").alias("b_n"), F.col("component").alias("b_c"))).alias("p"))
-    pivots = pivots.select("token", "band", "p.b", "p.b_n", "p.b_c")
-    own = placed.join(pivots, ["token", "band"]).select(F.col("sid").alias("a"), F.col("n").alias("a_n"), F.col("component").alias("a_c"), "b", "b_n", "b_c")
-    lower = pivots.select("token", (F.col("band") + 1).alias("band"), F.col("b").alias("a"), F.col("b_n").alias("a_n"), F.col("b_c").alias("a_c"))
-    next_band = lower.join(pivots, ["token", "band"]).select("a", "a_n", "a_c", "b", "b_n", "b_c")
+    member = [F.col("sid").alias("b"), F.col("n").alias("b_n"), F.col("component").alias("b_c")]
+    least = [F.min(F.struct(F.xxhash64("sid", F.lit(seed)).alias("rank"), *member)) for seed in range(pivots or PIVOTS)]
+    chosen = placed.groupBy("token", "band").agg(F.array(*least).alias("p")).select("token", "band", F.explode(F.array_distinct("p")).alias("p")).select("token", "band", "p.b", "p.b_n", "p.b_c")
+    own = placed.join(chosen, ["token", "band"]).select(F.col("sid").alias("a"), F.col("n").alias("a_n"), F.col("component").alias("a_c"), "b", "b_n", "b_c")
+    lower = chosen.select("token", (F.col("band") + 1).alias("band"), F.col("b").alias("a"), F.col("b_n").alias("a_n"), F.col("b_c").alias("a_c"))
+    next_band = lower.join(chosen, ["token", "band"]).select("a", "a_n", "a_c", "b", "b_n", "b_c")
     return _pairs(own.unionByName(next_band))
 
 
