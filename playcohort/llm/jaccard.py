@@ -9,12 +9,13 @@ Two documents link when their sets of distinct ``WORDS``-word shingles have a Ja
   tiles. A tile is a shared shingle within a band of set sizes a factor ``1 / t`` wide; only the same and the
   next band can link.
 * **Bitmaps.** Each set has a parity bitmap with about two bits a shingle. Unequal bits are at most the unequal
-  shingles, so their count bounds the overlap from above; pairs that fail the bound are dropped unseen.
+  shingles, so their count bounds the overlap from above; pairs that fail the bound are dropped before any text
+  moves.
 * **Intersection.** What is left is decided by intersecting the sorted arrays of shingle hashes.
 
-A tile is not turned into all its pairs. First each set is compared with a few pivots of its tile, which joins
-groups of near copies with a few comparisons a member; then only pairs of different components are compared,
-exhaustively, so no link between components is lost.
+A large tile is not turned into all its pairs. Tiles of up to three sets give all of them; in larger ones each
+set meets a few pivots, which joins groups of near copies with a few comparisons a member. Then, in these tiles,
+only pairs of different components are compared, exhaustively, so no link between components is lost.
 
 Edge cases: A-Z count as lower case; a text of fewer words than a shingle is one shingle; a null or empty text
 has the empty set and links with nothing; equal rows and texts are one class; a null ``doc_id`` links with
@@ -31,15 +32,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from playcohort.llm.shared import components
+from playcohort.llm.shared import components, only_ids, small_enough
 from playcohort.llm.words import Group, groups, mix, signed
 from playcohort.session import materialize
 
 WORDS, PERCENT = 5, 75
 #: The count sketch: cells, and the pieces it is summed in.
 SKETCH_BITS, CHUNKS = 20, 64
-#: Sets of a tile that all others of the tile are compared with before the exhaustive round.
-PIVOTS = 2
+#: Tiles of up to this many sets are compared completely at once; in larger ones all meet these many pivots first.
+COMPLETE, PIVOTS = 3, 2
 
 
 def shingles(group: Group, size: int = WORDS) -> tuple[np.ndarray, np.ndarray]:
@@ -67,14 +68,15 @@ def set_ids(code: np.ndarray, bounds: np.ndarray) -> np.ndarray:
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows ``doc_id, sid, n`` of documents, and at the end the count sketch of the task in chunks."""
-    names = ["doc_id", "sid", "n", "chunk", "counts"]
+    """Rows ``doc_id, sid, n, bits`` of documents, and at the end the count sketch of the task in chunks."""
+    names = ["doc_id", "sid", "n", "bits", "chunk", "counts"]
     cells = np.zeros(1 << SKETCH_BITS, np.uint64)
     for batch in batches:
         seen: set[int] = set()
         for group in groups(batch.column(1), lower=True):
             code, bounds = shingles(group)
             ids, n = set_ids(code, bounds), np.diff(bounds)
+            bits = [parity_bits(code[bounds[i] : bounds[i + 1]]) if n[i] else None for i in range(group.texts)]
             new = [i for i, x in enumerate(ids.tolist()) if not (x in seen or seen.add(x))]
             if len(new) < group.texts:
                 fresh = np.zeros(group.texts, bool)
@@ -83,12 +85,17 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             cells += np.bincount((code >> np.uint64(64 - SKETCH_BITS)).view(np.int64), minlength=len(cells)).astype(np.uint64)
             empty = pa.nulls(group.texts)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).slice(group.first, group.texts), pa.array(signed(ids)), pa.array(n.astype(np.int32)), empty.cast(pa.int32()), empty.cast(pa.binary())], names
+                [
+                    batch.column(0).slice(group.first, group.texts), pa.array(signed(ids)), pa.array(n.astype(np.int32)), pa.array(bits, pa.list_(pa.int64())),
+                    empty.cast(pa.int32()), empty.cast(pa.binary()),
+                ],
+                names,
             )
     if cells.any():
         blobs = [zlib.compress(part.tobytes(), 1) for part in np.split(cells, CHUNKS)]
         none = pa.nulls(CHUNKS)
-        yield pa.RecordBatch.from_arrays([none.cast(pa.int64()), none.cast(pa.int64()), none.cast(pa.int32()), pa.array(range(CHUNKS), pa.int32()), pa.array(blobs, pa.binary())], names)
+        columns = [none.cast(pa.int64()), none.cast(pa.int64()), none.cast(pa.int32()), none.cast(pa.list_(pa.int64())), pa.array(range(CHUNKS), pa.int32()), pa.array(blobs, pa.binary())]
+        yield pa.RecordBatch.from_arrays(columns, names)
 
 
 def _add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -139,19 +146,16 @@ def _prefixes(shared):
     return run
 
 
-def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """``sid, n, bits, codes`` of the documents that still have the wanted set."""
+def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``sid, n, words``: the compressed words of the documents that have the wanted set."""
     for batch in batches:
         wanted = batch.column(1).to_numpy(zero_copy_only=False).astype(np.int64)
         for group in groups(batch.column(0), lower=True):
             code, bounds = shingles(group)
-            ids, n = signed(set_ids(code, bounds)), np.diff(bounds)
+            ids, n, first = signed(set_ids(code, bounds)), np.diff(bounds), group.word_start
             rows = [i for i in range(group.texts) if n[i] and ids[i] == wanted[group.first + i]]
-            bits = [parity_bits(code[bounds[i] : bounds[i + 1]]) for i in rows]
-            codes = [code[bounds[i] : bounds[i + 1]].tobytes() for i in rows]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(ids[rows]), pa.array(n[rows].astype(np.int32)), pa.array(bits, pa.list_(pa.int64())), pa.array(codes, pa.binary())], ["sid", "n", "bits", "codes"]
-            )
+            words = [zlib.compress(group.words(first[i], first[i + 1]), 1) for i in rows]
+            yield pa.RecordBatch.from_arrays([pa.array(ids[rows]), pa.array(n[rows].astype(np.int32)), pa.array(words, pa.binary())], ["sid", "n", "words"])
 
 
 def parity_bits(code: np.ndarray) -> np.ndarray:
@@ -177,57 +181,65 @@ def fits(n_a: Column, n_b: Column) -> Column:
     return F.least(n_a, n_b) * 100 >= F.greatest(n_a, n_b) * PERCENT
 
 
+def _codes(words: pa.Array) -> list[np.ndarray]:
+    """The sorted shingle hashes of compressed texts."""
+    out = []
+    for group in groups(pa.array([zlib.decompress(w.as_buffer()).decode() for w in words], pa.string())):
+        code, bounds = shingles(group)
+        out += [code[bounds[i] : bounds[i + 1]] for i in range(group.texts)]
+    return out
+
+
 def _intersect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        linked = []
-        for a, b in zip(batch.column(4), batch.column(5), strict=True):
-            x, y = np.frombuffer(a.as_buffer(), np.uint64), np.frombuffer(b.as_buffer(), np.uint64)
-            both = len(np.intersect1d(x, y, assume_unique=True))
-            linked.append(100 * both >= PERCENT * (len(x) + len(y) - both))
-        yield batch.select([0, 1, 2, 3]).filter(pa.array(linked, pa.bool_()))
+        for lo in range(0, batch.num_rows, 512):
+            part, linked = batch.slice(lo, 512), []
+            for x, y in zip(_codes(part.column(4)), _codes(part.column(5)), strict=True):
+                both = len(np.intersect1d(x, y, assume_unique=True))
+                linked.append(100 * both >= PERCENT * (len(x) + len(y) - both))
+            yield part.select([0, 1, 2, 3]).filter(pa.array(linked, pa.bool_()))
 
 
 PAIR = "a bigint, a_n int, b bigint, b_n int"
 
 
-def _verify(pairs: DataFrame, features: DataFrame) -> DataFrame:
-    """The linked ones among distinct pairs ``a, a_n, b, b_n`` of sets: bound first, then intersection."""
-    left = features.select(F.col("sid").alias("a"), F.col("n").alias("a_n"), F.col("bits").alias("a_bits"))
-    right = features.select(F.col("sid").alias("b"), F.col("n").alias("b_n"), F.col("bits").alias("b_bits"))
-    close = pairs.join(left, ["a", "a_n"]).join(right, ["b", "b_n"]).where(may_link(F.col("a_bits"), F.col("b_bits"), F.col("a_n"), F.col("b_n")))
-    close = close.select("a", "a_n", "b", "b_n")
-    left = features.select(F.col("sid").alias("a"), F.col("n").alias("a_n"), F.col("codes").alias("a_codes"))
-    right = features.select(F.col("sid").alias("b"), F.col("n").alias("b_n"), F.col("codes").alias("b_codes"))
-    return close.join(left, ["a", "a_n"]).join(right, ["b", "b_n"]).select("a", "a_n", "b", "b_n", "a_codes", "b_codes").mapInArrow(_intersect, PAIR)
+def _close(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """The pairs of sets that pass the bitmap bound."""
+    left = classes.select(F.col("sid").alias("a"), F.col("n").alias("a_n"), F.col("bits").alias("a_bits"))
+    right = classes.select(F.col("sid").alias("b"), F.col("n").alias("b_n"), F.col("bits").alias("b_bits"))
+    near = pairs.join(left, ["a", "a_n"]).join(right, ["b", "b_n"]).where(may_link(F.col("a_bits"), F.col("b_bits"), F.col("a_n"), F.col("b_n")))
+    return near.select("a", "a_n", "b", "b_n")
+
+
+def _verify(close: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
+    """The linked ones among written pairs ``a, a_n, b, b_n``; only the texts they name are moved."""
+    sets = close.select(F.col("a").alias("sid"), F.col("a_n").alias("n")).unionByName(close.select(F.col("b").alias("sid"), F.col("b_n").alias("n"))).distinct()
+    named = materialize(sets.join(classes, ["sid", "n"]).select(F.col("node").alias("named"), F.col("sid").alias("wanted")), "named")
+    texts = materialize(only_ids(docs, "doc_id", named, "named").select("text", "wanted").mapInArrow(_words, "sid bigint, n int, words binary"), "words")
+    left = texts.select(F.col("sid").alias("a"), F.col("n").alias("a_n"), F.col("words").alias("a_words"))
+    right = texts.select(F.col("sid").alias("b"), F.col("n").alias("b_n"), F.col("words").alias("b_words"))
+    return close.join(left, ["a", "a_n"]).join(right, ["b", "b_n"]).select("a", "a_n", "b", "b_n", "a_words", "b_words").mapInArrow(_intersect, PAIR)
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """``doc_id, n_shingles, component_id``: the component is the smallest document reachable by links."""
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    sets = materialize(docs.mapInArrow(_sets, "doc_id bigint, sid bigint, n int, chunk int, counts binary"), "sets")
+    sets = materialize(docs.mapInArrow(_sets, "doc_id bigint, sid bigint, n int, bits array<bigint>, chunk int, counts binary"), "sets")
     members = sets.where("chunk IS NULL").select("doc_id", "sid", "n")
-    classes = members.where("n > 0 AND doc_id IS NOT NULL").groupBy("sid", "n").agg(F.min("doc_id").alias("node"))
+    full = sets.where("n > 0 AND doc_id IS NOT NULL")
+    classes = materialize(full.groupBy("sid", "n").agg(F.min("doc_id").alias("node"), F.first("bits").alias("bits")), "classes")
 
     shared = spark.sparkContext.broadcast(count_sketch(sets))  # fixed size
     tokens = docs.where("doc_id IS NOT NULL").select("text").mapInArrow(_prefixes(shared), "token bigint, sid bigint, n int")
-    # One shuffle of the tokens; the rows of a token are the distinct texts that have it among their rarest, once a batch.
-    of_token = Window.partitionBy("token")
-    several = tokens.withColumn("low", F.min("sid").over(of_token)).withColumn("high", F.max("sid").over(of_token)).where("low < high")
-    band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100.0 / PERCENT))).cast("int")
-    tiles = materialize(several.select("token", "sid", "n").distinct().withColumn("band", band), "tiles")
-
-    active = tiles.select("sid", "n").distinct().join(classes, ["sid", "n"])
-    wanted = docs.join(active.select(F.col("node").alias("doc_id"), "sid"), "doc_id").select("text", "sid")
-    features = materialize(wanted.mapInArrow(_features, "sid bigint, n int, bits array<bigint>, codes binary"), "features")
-    tiles = materialize(tiles.join(active, ["sid", "n"]), "tiles")
+    tiles = materialize(_tiles(tokens), "tiles")
+    close = materialize(_close(_pairs(tiles), classes), "pairs")
+    label = _labels(_verify(close, docs, classes), classes)
 
-    alone = tiles.withColumn("component", F.col("node"))
-    label = _labels(_verify(_stars(alone), features), classes)
-    joined = tiles.join(label, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    missed = materialize(_verify(_exhaustive(joined, features), features), "links")
+    large = tiles.where(F.col("members") > COMPLETE).select("token", "sid", "n", "band")
+    missed = materialize(_exhaustive(large, classes, label).join(close, ["a", "a_n", "b", "b_n"], "left_anti"), "pairs")
     if not missed.isEmpty():
-        label = _labels(missed, classes, label)
+        label = _labels(_verify(missed, docs, classes), classes, label)
 
     nodes = classes.join(label, "node", "left").select("sid", "n", F.coalesce("component", "node").alias("component"))
     return members.join(nodes, ["sid", "n"], "left").select(
@@ -236,6 +248,53 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     )
 
 
+def _tiles(tokens: DataFrame) -> DataFrame:
+    """Tokens that several sets share: ``token, sid, n, band, members`` and the sets each is to be compared with.
+
+    One shuffle by token serves all windows. The rows of a token are the sets that have it among their rarest.
+    """
+    band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100.0 / PERCENT))).cast("int")
+    in_order, whole = Window.partitionBy("token").orderBy("sid", "n"), Window.partitionBy("token")
+    this = F.struct("sid", "n")
+    once = tokens.withColumn("before", F.lag(this).over(in_order)).where(F.col("before").isNull() | (F.col("before") != this)).drop("before")
+    shared = once.withColumns({"members": F.count(F.lit(1)).over(whole), "next": F.lead(this, 1).over(in_order), "after": F.lead(this, 2).over(in_order)})
+    shared = shared.where("members > 1").withColumn("band", band)
+    tile = Window.partitionBy("token", "band")
+    pivots = {f"p{seed}": F.min(F.struct(F.xxhash64("sid", F.lit(seed)).alias("rank"), "sid", "n")).over(tile) for seed in range(PIVOTS)}
+    shared = shared.withColumns(pivots)
+    # The first pivot of the next band, wherever it has one: rows of a token are in order of bands here.
+    upper = Window.partitionBy("token").orderBy("band").rangeBetween(1, 1)
+    shared = shared.withColumn("up", F.min("p0").over(upper))
+    small = F.col("members") <= COMPLETE
+    partners = F.when(small, F.array("next", "after")).otherwise(F.array(*[F.struct(f"{p}.sid", f"{p}.n") for p in [*pivots, "up"]]))
+    return shared.select("token", "sid", "n", "band", "members", F.filter(partners, lambda x: x["sid"].isNotNull()).alias("partners"))
+
+
+def _pairs(tiles: DataFrame) -> DataFrame:
+    """Distinct pairs ``a, a_n, b, b_n`` of different sets of fitting sizes, the smaller id first."""
+    rows = tiles.select("sid", "n", F.explode("partners").alias("p")).select("sid", "n", F.col("p.sid").alias("sid2"), F.col("p.n").alias("n2"))
+    return _ordered(rows.where("sid <> sid2 OR n <> n2").where(fits(F.col("n"), F.col("n2"))))
+
+
+def _ordered(rows: DataFrame) -> DataFrame:
+    low, high = F.least(F.struct("sid", "n"), F.struct(F.col("sid2").alias("sid"), F.col("n2").alias("n"))), F.greatest(F.struct("sid", "n"), F.struct(F.col("sid2").alias("sid"), F.col("n2").alias("n")))
+    rows = rows.select(low.alias("low"), high.alias("high"))
+    return rows.select(F.col("low.sid").alias("a"), F.col("low.n").alias("a_n"), F.col("high.sid").alias("b"), F.col("high.n").alias("b_n")).distinct()
+
+
+def _exhaustive(large: DataFrame, classes: DataFrame, label: DataFrame) -> DataFrame:
+    """All pairs of sets in a tile that belong to different components and pass the bitmap bound."""
+    place = classes.join(label, "node", "left").select("sid", "n", F.coalesce("component", "node").alias("component"))
+    rows = large.join(place, ["sid", "n"])
+    whole = Window.partitionBy("token")
+    mixed = rows.withColumn("low", F.min("component").over(whole)).withColumn("high", F.max("component").over(whole)).where("low < high").drop("low", "high")
+    mixed = materialize(mixed, "mixed").join(classes.select("sid", "n", "bits"), ["sid", "n"])
+    a, b = mixed, mixed.select("token", *(F.col(c).alias(f"{c}2") for c in ("sid", "n", "band", "component", "bits")))
+    near = (F.col("component") < F.col("component2")) & (F.abs(F.col("band") - F.col("band2")) <= 1) & fits(F.col("n"), F.col("n2"))
+    close = a.join(b.withColumnRenamed("token", "token2"), (F.col("token") == F.col("token2")) & near & may_link(F.col("bits"), F.col("bits2"), F.col("n"), F.col("n2")))
+    return _ordered(close)
+
+
 def _labels(found: DataFrame, classes: DataFrame, label: DataFrame | None = None) -> DataFrame:
     """Components of the links between sets, on top of those already known."""
     node_a = classes.select(F.col("sid").alias("a"), F.col("n").alias("a_n"), F.col("node").alias("u"))
@@ -253,36 +312,4 @@ def keep_one(docs: DataFrame) -> DataFrame:
     """
     later = near_duplicates(docs).where("doc_id <> component_id").select(F.col("doc_id").alias("_later")).distinct()
     later = materialize(later, "later")
-    return docs.join(later, docs["doc_id"].cast("long") == later["_later"], "left_anti")
-
-
-def _pairs(rows: DataFrame) -> DataFrame:
-    """Distinct pairs of different components and fitting sizes, from ``a, a_n, a_c, b, b_n, b_c``."""
-    return rows.where("a_c <> b_c").where(fits(F.col("a_n"), F.col("b_n"))).select("a", "a_n", "b", "b_n").distinct()
-
-
-def _stars(placed: DataFrame, pivots: int | None = None) -> DataFrame:
-    """Each set of a tile with a few pivots of the tile, and the pivots of neighbouring bands with each other.
-
-    A pivot is the set with the smallest hash of its id under one of several seeds, so that a group of near copies
-    chooses the same ones in most of the tiles it shares.
-    """
-    placed = placed.select("token", "band", "sid", "n", "component")
-    member = [F.col("sid").alias("b"), F.col("n").alias("b_n"), F.col("component").alias("b_c")]
-    least = [F.min(F.struct(F.xxhash64("sid", F.lit(seed)).alias("rank"), *member)) for seed in range(pivots or PIVOTS)]
-    chosen = placed.groupBy("token", "band").agg(F.array(*least).alias("p")).select("token", "band", F.explode(F.array_distinct("p")).alias("p")).select("token", "band", "p.b", "p.b_n", "p.b_c")
-    own = placed.join(chosen, ["token", "band"]).select(F.col("sid").alias("a"), F.col("n").alias("a_n"), F.col("component").alias("a_c"), "b", "b_n", "b_c")
-    lower = chosen.select("token", (F.col("band") + 1).alias("band"), F.col("b").alias("a"), F.col("b_n").alias("a_n"), F.col("b_c").alias("a_c"))
-    next_band = lower.join(chosen, ["token", "band"]).select("a", "a_n", "a_c", "b", "b_n", "b_c")
-    return _pairs(own.unionByName(next_band))
-
-
-def _exhaustive(placed: DataFrame, features: DataFrame) -> DataFrame:
-    """All pairs of sets in a tile that belong to different components and pass the bitmap bound."""
-    mixed = placed.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("token")
-    rows = placed.join(mixed, "token", "left_semi").join(features.select("sid", "n", "bits").dropDuplicates(["sid", "n"]), ["sid", "n"])
-    a = rows.select("token", *(F.col(c).alias(f"a_{c}") for c in ("sid", "n", "band", "component", "bits")))
-    b = rows.select("token", *(F.col(c).alias(f"b_{c}") for c in ("sid", "n", "band", "component", "bits")))
-    near = (F.col("a_component") < F.col("b_component")) & (F.abs(F.col("a_band") - F.col("b_band")) <= 1) & fits(F.col("a_n"), F.col("b_n"))
-    close = a.join(b, (a.token == b.token) & near & may_link(F.col("a_bits"), F.col("b_bits"), F.col("a_n"), F.col("b_n")))
-    return close.select(F.col("a_sid").alias("a"), "a_n", F.col("b_sid").alias("b"), "b_n").distinct()
+    return docs.join(small_enough(later), docs["doc_id"].cast("long") == later["_later"], "left_anti")

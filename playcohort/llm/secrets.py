@@ -21,6 +21,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from playcohort.session import materialize
+
 #: A run of key characters; it must hold a digit.
 CANDIDATE = r"[A-Za-z0-9_+/=\-]{16,}"
 WITH_DIGIT = r"(?=[A-Za-z_+/=\-]*[0-9])" + CANDIDATE
@@ -87,7 +89,7 @@ def train(labelled: DataFrame, train_rows: int = 20_000, trees: int = 30, depth:
 
 def scan(docs: DataFrame, labelled: DataFrame | None = None, threshold: float = 0.5) -> DataFrame:
     """``doc_id, place, candidate, probability, secret`` of every finding; without labels, rule labels train."""
-    found = findings(docs)
+    found = materialize(findings(docs), "findings")  # a row per finding: training and scoring read it again
     model = train(rule_labels(found) if labelled is None else labelled)
     if model is None:
         return found.select("doc_id", "place", "candidate", F.lit(None).cast("double").alias("probability"), F.lit(True).alias("secret"))

@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from playcohort.session import materialize
 
 ROWS_PER_BUCKET = 2_000
+#: A list of ids is broadcast up to this many rows, some tens of MB; a longer one is joined by a shuffle.
+BROADCAST_IDS = 1_000_000
 
 
 def rank_within(df: DataFrame, group: str, order: list[str], rank: str, total: int, rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
@@ -32,25 +34,37 @@ def rank_within(df: DataFrame, group: str, order: list[str], rank: str, total: i
     )
 
 
+def small_enough(ids: DataFrame) -> DataFrame:
+    """Written ids, to be broadcast if they are few enough; their number is counted first."""
+    return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+
+
+def only_ids(rows: DataFrame, key: str, ids: DataFrame, id_key: str, how: str = "inner") -> DataFrame:
+    """Join rows with written ids; where these are few, the rows (and their texts) are not shuffled."""
+    return rows.join(small_enough(ids), rows[key] == ids[id_key], how)
+
+
 def components(edges: DataFrame, a: str, b: str, purpose: str = "components") -> DataFrame:
     """``node, component`` for every node of an undirected graph; the component is its smallest node.
 
     Alternating large-star and small-star rounds: each links a node's neighbours to the smallest one, which
     halves paths. A round is two aggregations and joins by node. The smallest neighbour comes from ``min``,
     which combines before the shuffle, so a node with very many neighbours is never a list in one task. Each
-    round is written to the shared folder; the loop ends when a round changes nothing.
+    round is written to the shared folder; the loop ends when only stars are left.
     """
     pairs = edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u <> v").distinct()
     pairs = materialize(pairs, purpose)
-    seen = None
-    while True:
+    while not _stars_only(pairs):
         pairs = materialize(_star(_star(pairs, large=True), large=False), purpose)
-        state = tuple(pairs.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
-        if state == seen:
-            break
-        seen = state
-    # Stable pairs are stars: (member, smallest member).
-    return pairs.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(pairs.select(F.col("v").alias("node"), F.col("v").alias("component"))).distinct()
+    centres = pairs.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
+    return pairs.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(centres)
+
+
+def _stars_only(pairs: DataFrame) -> bool:
+    """True if every node has one smaller neighbour at most, and a node with one is nobody's centre."""
+    ends = pairs.select(F.col("u").alias("x"), F.lit(1).alias("up"), F.lit(0).alias("centre")).unionByName(pairs.select(F.col("v").alias("x"), F.lit(0).alias("up"), F.lit(1).alias("centre")))
+    nodes = ends.groupBy("x").agg(F.sum("up").alias("up"), F.max("centre").alias("centre"))
+    return nodes.where("up > 1 OR (up = 1 AND centre = 1)").isEmpty()
 
 
 def _star(pairs: DataFrame, large: bool) -> DataFrame:

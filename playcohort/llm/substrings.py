@@ -5,11 +5,11 @@ smaller id. Hashing every window of the corpus would shuffle a row per word. Ins
 modulo a period is in a difference cover carry an anchor, the hash of a shorter window that starts there: for
 any two places there is a shift below the period that takes both into the cover, so two equal long windows
 always share an anchor at the same distance from their starts. Anchors met once are dropped; around the others
-the long windows are hashed with 128 bits and the smallest document of each hash is found.
+the long windows are hashed with 96 bits and the smallest document of each hash is found.
 
 Windows and anchors that a task sees several times are settled there, and one row of them is shuffled: a
 passage that a third of all documents share meets in one place as often as there are batches, not
-documents. Texts are shuffled once; both joins read the same exchange.
+documents. Of the texts, only those with a shared anchor are shuffled, once: both joins read the same exchange.
 
 Edge cases: a null or empty text has no words; a document shorter than the window is kept; a window repeated
 inside one document alone is kept; equal rows stay as they are (no smaller id); texts that share a ``doc_id``
@@ -26,7 +26,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from playcohort.llm.shared import small_enough
 from playcohort.llm.words import SECOND_BASE, groups, mix, signed
+from playcohort.session import materialize
 
 LENGTH = 50
 #: A perfect difference set: every shift modulo 31 is the difference of two of its members.
@@ -112,7 +114,7 @@ def _windows(length: int):
             own = mix(mix(doc[known].view(np.uint64)) + place[known].astype(np.uint64))
             key, more = key.copy(), more.copy()
             key[known], more[known] = own, 0
-            yield from _rows(["key", "more", "doc", "place", "known"], signed(key), signed(more), doc, place.astype(np.int32), known)
+            yield from _rows(["key", "more", "doc", "place", "known"], signed(key), (more >> np.uint64(32)).astype(np.uint32).view(np.int32), doc, place.astype(np.int32), known)
 
     return run
 
@@ -167,15 +169,26 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
         anchors.withColumn("low", F.min("doc").over(of_key)).withColumn("high", F.max("doc").over(of_key)).where("known OR low < high")
         .groupBy("doc").agg(F.collect_list("place").alias("places"))
     )
-    texts = docs.repartition("doc_id")
+    shared = materialize(shared, "anchors")
+    texts, rest = _with_anchors(docs, named, materialize(shared.select("doc"), "anchored"))
+    texts = texts.repartition("doc_id")  # one exchange serves both joins
     around = texts.join(shared, texts.doc_id == shared.doc).select("doc_id", "text", "places")
-    windows = around.mapInArrow(_windows(length), "key bigint, more bigint, doc bigint, place int, known boolean")
+    windows = around.mapInArrow(_windows(length), "key bigint, more int, doc bigint, place int, known boolean")
     of_window = Window.partitionBy("key", "more")
     removed = (
         windows.withColumn("low", F.min("doc").over(of_window)).where("known OR low < doc")
         .groupBy("doc").agg(F.collect_list("place").alias("places"))
     )
     with_places = texts.join(removed, texts.doc_id == removed.doc, "left").select("doc_id", "text", "places")
-    return with_places.mapInArrow(
-        lambda batches: _keep(batches, length), "doc_id bigint, n_words bigint, n_removed bigint, removed array<struct<first:bigint,last:bigint>>, text string"
-    )
+    rest = rest.select("doc_id", "text", F.lit(None).cast("array<int>").alias("places"))
+    schema = "doc_id bigint, n_words bigint, n_removed bigint, removed array<struct<first:bigint,last:bigint>>, text string"
+    keep = lambda batches: _keep(batches, length)
+    return with_places.mapInArrow(keep, schema).unionByName(rest.mapInArrow(keep, schema))
+
+
+def _with_anchors(docs: DataFrame, named: DataFrame, ids: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(documents that may lose words, the others). Where the first are few, the texts of the others stay where they are."""
+    few = small_enough(ids)
+    if few is ids:
+        return named, docs.where("doc_id IS NULL")
+    return named.join(few, named.doc_id == few.doc, "left_semi"), docs.join(few, docs.doc_id == few.doc, "left_anti")
