@@ -14,8 +14,9 @@ Two documents link when their sets of distinct ``WORDS``-word shingles have a Ja
 * **Intersection.** What is left is decided by intersecting the sorted arrays of shingle hashes.
 
 A large tile is not turned into all its pairs. Tiles of up to three sets give all of them; in larger ones each
-set meets a few pivots, which joins groups of near copies with a few comparisons a member. Then, in these tiles,
-only pairs of different components are compared, exhaustively, so no link between components is lost.
+set meets one pivot, then, where several components are left, the two sets that share the most. This joins groups
+of near copies with a few comparisons a member. Last, in tiles that still hold several components, the pairs of
+different components are compared, exhaustively, so no link between components is lost.
 
 Edge cases: A-Z count as lower case; a text of fewer words than a shingle is one shingle; a null or empty text
 has the empty set and links with nothing; equal rows and texts are one class; a null ``doc_id`` links with
@@ -39,8 +40,8 @@ from playcohort.session import materialize
 WORDS, PERCENT = 5, 75
 #: The count sketch: cells, and the pieces it is summed in.
 SKETCH_BITS, CHUNKS = 20, 64
-#: Tiles of up to this many sets are compared completely at once; in larger ones all meet these many pivots first.
-COMPLETE, PIVOTS = 3, 2
+#: Tiles of up to this many sets are compared completely at once.
+COMPLETE = 3
 
 
 def shingles(group: Group, size: int = WORDS) -> tuple[np.ndarray, np.ndarray]:
@@ -147,15 +148,15 @@ def _prefixes(shared):
 
 
 def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """``sid, n, words``: the compressed words of the documents that have the wanted set."""
+    """``node, words``: the compressed words of the documents that have the wanted set."""
     for batch in batches:
-        wanted = batch.column(1).to_numpy(zero_copy_only=False).astype(np.int64)
-        for group in groups(batch.column(0), lower=True):
+        wanted = batch.column(2).to_numpy(zero_copy_only=False).astype(np.int64)
+        for group in groups(batch.column(1), lower=True):
             code, bounds = shingles(group)
             ids, n, first = signed(set_ids(code, bounds)), np.diff(bounds), group.word_start
             rows = [i for i in range(group.texts) if n[i] and ids[i] == wanted[group.first + i]]
             words = [zlib.compress(group.words(first[i], first[i + 1]), 1) for i in rows]
-            yield pa.RecordBatch.from_arrays([pa.array(ids[rows]), pa.array(n[rows].astype(np.int32)), pa.array(words, pa.binary())], ["sid", "n", "words"])
+            yield pa.RecordBatch.from_arrays([batch.column(0).slice(group.first, group.texts).take(pa.array(rows, pa.int64())), pa.array(words, pa.binary())], ["node", "words"])
 
 
 def parity_bits(code: np.ndarray) -> np.ndarray:
@@ -194,31 +195,27 @@ def _intersect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for lo in range(0, batch.num_rows, 512):
             part, linked = batch.slice(lo, 512), []
-            for x, y in zip(_codes(part.column(4)), _codes(part.column(5)), strict=True):
+            for x, y in zip(_codes(part.column(2)), _codes(part.column(3)), strict=True):
                 both = len(np.intersect1d(x, y, assume_unique=True))
                 linked.append(100 * both >= PERCENT * (len(x) + len(y) - both))
-            yield part.select([0, 1, 2, 3]).filter(pa.array(linked, pa.bool_()))
-
-
-PAIR = "a bigint, a_n int, b bigint, b_n int"
+            yield part.select([0, 1]).filter(pa.array(linked, pa.bool_()))
 
 
 def _close(pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    """The pairs of sets that pass the bitmap bound."""
-    left = classes.select(F.col("sid").alias("a"), F.col("n").alias("a_n"), F.col("bits").alias("a_bits"))
-    right = classes.select(F.col("sid").alias("b"), F.col("n").alias("b_n"), F.col("bits").alias("b_bits"))
-    near = pairs.join(left, ["a", "a_n"]).join(right, ["b", "b_n"]).where(may_link(F.col("a_bits"), F.col("b_bits"), F.col("a_n"), F.col("b_n")))
-    return near.select("a", "a_n", "b", "b_n")
+    """Pairs of sets ``a_sid, a_n, b_sid, b_n`` that pass the bitmap bound, as ``a, a_sid, b, b_sid`` with their documents."""
+    left, right = (classes.select(F.col("node").alias(x), F.col("sid").alias(f"{x}_sid"), F.col("n").alias(f"{x}_n"), F.col("bits").alias(f"{x}_bits")) for x in "ab")
+    near = pairs.join(left, ["a_sid", "a_n"]).join(right, ["b_sid", "b_n"]).where(may_link(F.col("a_bits"), F.col("b_bits"), F.col("a_n"), F.col("b_n")))
+    return near.select("a", "a_sid", "b", "b_sid")
 
 
-def _verify(close: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
-    """The linked ones among written pairs ``a, a_n, b, b_n``; only the texts they name are moved."""
-    sets = close.select(F.col("a").alias("sid"), F.col("a_n").alias("n")).unionByName(close.select(F.col("b").alias("sid"), F.col("b_n").alias("n"))).distinct()
-    named = materialize(sets.join(classes, ["sid", "n"]).select(F.col("node").alias("named"), F.col("sid").alias("wanted")), "named")
-    texts = materialize(only_ids(docs, "doc_id", named, "named").select("text", "wanted").mapInArrow(_words, "sid bigint, n int, words binary"), "words")
-    left = texts.select(F.col("sid").alias("a"), F.col("n").alias("a_n"), F.col("words").alias("a_words"))
-    right = texts.select(F.col("sid").alias("b"), F.col("n").alias("b_n"), F.col("words").alias("b_words"))
-    return close.join(left, ["a", "a_n"]).join(right, ["b", "b_n"]).select("a", "a_n", "b", "b_n", "a_words", "b_words").mapInArrow(_intersect, PAIR)
+def _verify(close: DataFrame, docs: DataFrame) -> DataFrame:
+    """The linked ones ``u, v`` among pairs ``a, a_sid, b, b_sid``; only the texts they name are moved."""
+    close = materialize(close, "pairs")
+    sides = [close.select(F.col(x).alias("named"), F.col(f"{x}_sid").alias("wanted")) for x in "ab"]
+    named = materialize(sides[0].unionByName(sides[1]).distinct(), "named")
+    texts = materialize(only_ids(docs, "doc_id", named, "named").select("named", "text", "wanted").mapInArrow(_words, "node bigint, words binary"), "words")
+    left, right = (texts.select(F.col("node").alias(x), F.col("words").alias(f"{x}_words")) for x in "ab")
+    return close.join(left, "a").join(right, "b").select("a", "b", "a_words", "b_words").mapInArrow(_intersect, "a bigint, b bigint").toDF("u", "v")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -233,13 +230,22 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     shared = spark.sparkContext.broadcast(count_sketch(sets))  # fixed size
     tokens = docs.where("doc_id IS NOT NULL").select("text").mapInArrow(_prefixes(shared), "token bigint, sid bigint, n int")
     tiles = materialize(_tiles(tokens), "tiles")
-    close = materialize(_close(_pairs(tiles), classes), "pairs")
-    label = _labels(_verify(close, docs, classes), classes)
+    label = components(_verify(_close(_pairs(tiles), classes), docs), "u", "v")
 
     large = tiles.where(F.col("members") > COMPLETE).select("token", "sid", "n", "band")
-    missed = materialize(_exhaustive(large, classes, label).join(close, ["a", "a_n", "b", "b_n"], "left_anti"), "pairs")
-    if not missed.isEmpty():
-        label = _labels(_verify(missed, docs, classes), classes, label)
+    often = large.groupBy("sid", "n").agg(F.count(F.lit(1)).alias("tiles"))
+    known = often.join(classes.drop("bits"), ["sid", "n"])
+    mixed = _mixed(large.join(known.join(label, "node", "left").withColumn("component", F.coalesce("component", "node")), ["sid", "n"]))
+    for compare in (_hubs, _exhaustive):
+        if mixed.isEmpty():
+            break
+        found = materialize(_verify(compare(mixed, classes), docs), "links")
+        if found.isEmpty():
+            continue
+        known_links = label.select(F.col("node").alias("u"), F.col("component").alias("v"))
+        label = components(found.unionByName(known_links), "u", "v")
+        if compare is _hubs:
+            mixed = _mixed(mixed.drop("component").join(label, "node", "left").withColumn("component", F.coalesce("component", "node")))
 
     nodes = classes.join(label, "node", "left").select("sid", "n", F.coalesce("component", "node").alias("component"))
     return members.join(nodes, ["sid", "n"], "left").select(
@@ -259,50 +265,51 @@ def _tiles(tokens: DataFrame) -> DataFrame:
     once = tokens.withColumn("before", F.lag(this).over(in_order)).where(F.col("before").isNull() | (F.col("before") != this)).drop("before")
     shared = once.withColumns({"members": F.count(F.lit(1)).over(whole), "next": F.lead(this, 1).over(in_order), "after": F.lead(this, 2).over(in_order)})
     shared = shared.where("members > 1").withColumn("band", band)
+    # A pivot is the set with the smallest hash of its id, so that a group of near copies chooses the same one in most tiles.
     tile = Window.partitionBy("token", "band")
-    pivots = {f"p{seed}": F.min(F.struct(F.xxhash64("sid", F.lit(seed)).alias("rank"), "sid", "n")).over(tile) for seed in range(PIVOTS)}
-    shared = shared.withColumns(pivots)
-    # The first pivot of the next band, wherever it has one: rows of a token are in order of bands here.
-    upper = Window.partitionBy("token").orderBy("band").rangeBetween(1, 1)
-    shared = shared.withColumn("up", F.min("p0").over(upper))
+    shared = shared.withColumn("pivot", F.min(F.struct(F.xxhash64("sid").alias("rank"), "sid", "n")).over(tile))
     small = F.col("members") <= COMPLETE
-    partners = F.when(small, F.array("next", "after")).otherwise(F.array(*[F.struct(f"{p}.sid", f"{p}.n") for p in [*pivots, "up"]]))
+    partners = F.when(small, F.array("next", "after")).otherwise(F.array(F.struct("pivot.sid", "pivot.n")))
     return shared.select("token", "sid", "n", "band", "members", F.filter(partners, lambda x: x["sid"].isNotNull()).alias("partners"))
 
 
 def _pairs(tiles: DataFrame) -> DataFrame:
-    """Distinct pairs ``a, a_n, b, b_n`` of different sets of fitting sizes, the smaller id first."""
-    rows = tiles.select("sid", "n", F.explode("partners").alias("p")).select("sid", "n", F.col("p.sid").alias("sid2"), F.col("p.n").alias("n2"))
-    return _ordered(rows.where("sid <> sid2 OR n <> n2").where(fits(F.col("n"), F.col("n2"))))
+    """Distinct pairs of different sets of fitting sizes, the smaller id first."""
+    rows = tiles.select(F.struct("sid", "n").alias("x"), F.explode("partners").alias("y")).where("x <> y").where(fits(F.col("x.n"), F.col("y.n")))
+    rows = rows.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"))
+    return rows.select(F.col("x.sid").alias("a_sid"), F.col("x.n").alias("a_n"), F.col("y.sid").alias("b_sid"), F.col("y.n").alias("b_n")).distinct()
+
+
+def _mixed(rows: DataFrame) -> DataFrame:
+    """Rows ``token, sid, n, band, tiles, node, component`` of the tiles that hold several components."""
+    whole = Window.partitionBy("token")
+    mixed = rows.withColumn("low", F.min("component").over(whole)).withColumn("high", F.max("component").over(whole)).where("low < high")
+    return materialize(mixed.select("token", "sid", "n", "band", "tiles", "node", "component"), "mixed")
 
 
-def _ordered(rows: DataFrame) -> DataFrame:
-    low, high = F.least(F.struct("sid", "n"), F.struct(F.col("sid2").alias("sid"), F.col("n2").alias("n"))), F.greatest(F.struct("sid", "n"), F.struct(F.col("sid2").alias("sid"), F.col("n2").alias("n")))
-    rows = rows.select(low.alias("low"), high.alias("high"))
-    return rows.select(F.col("low.sid").alias("a"), F.col("low.n").alias("a_n"), F.col("high.sid").alias("b"), F.col("high.n").alias("b_n")).distinct()
+def _hubs(mixed: DataFrame, classes: DataFrame) -> DataFrame:
+    """Each set of a tile with the tile's two hubs of other components.
 
+    The hub is the set that shares the most of its rare shingles: the text that near copies were made from has all
+    of them in common with some copy, while each copy has changes of its own.
+    """
+    tile = Window.partitionBy("token", "band")
+    hub = F.struct("tiles", "node", "sid", "n", "component")
+    rows = mixed.withColumn("first", F.max(hub).over(tile))
+    rows = rows.withColumn("second", F.max(F.when(F.col("component") != F.col("first.component"), hub)).over(tile))
+    rows = rows.select("sid", "n", "component", F.explode(F.array("first", "second")).alias("h")).where("component <> h.component")
+    rows = rows.select(F.struct("sid", "n").alias("x"), F.struct("h.sid", "h.n").alias("y")).where(fits(F.col("x.n"), F.col("y.n")))
+    rows = rows.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"))
+    return _close(rows.select(F.col("x.sid").alias("a_sid"), F.col("x.n").alias("a_n"), F.col("y.sid").alias("b_sid"), F.col("y.n").alias("b_n")).distinct(), classes)
 
-def _exhaustive(large: DataFrame, classes: DataFrame, label: DataFrame) -> DataFrame:
+
+def _exhaustive(mixed: DataFrame, classes: DataFrame) -> DataFrame:
     """All pairs of sets in a tile that belong to different components and pass the bitmap bound."""
-    place = classes.join(label, "node", "left").select("sid", "n", F.coalesce("component", "node").alias("component"))
-    rows = large.join(place, ["sid", "n"])
-    whole = Window.partitionBy("token")
-    mixed = rows.withColumn("low", F.min("component").over(whole)).withColumn("high", F.max("component").over(whole)).where("low < high").drop("low", "high")
-    mixed = materialize(mixed, "mixed").join(classes.select("sid", "n", "bits"), ["sid", "n"])
-    a, b = mixed, mixed.select("token", *(F.col(c).alias(f"{c}2") for c in ("sid", "n", "band", "component", "bits")))
-    near = (F.col("component") < F.col("component2")) & (F.abs(F.col("band") - F.col("band2")) <= 1) & fits(F.col("n"), F.col("n2"))
-    close = a.join(b.withColumnRenamed("token", "token2"), (F.col("token") == F.col("token2")) & near & may_link(F.col("bits"), F.col("bits2"), F.col("n"), F.col("n2")))
-    return _ordered(close)
-
-
-def _labels(found: DataFrame, classes: DataFrame, label: DataFrame | None = None) -> DataFrame:
-    """Components of the links between sets, on top of those already known."""
-    node_a = classes.select(F.col("sid").alias("a"), F.col("n").alias("a_n"), F.col("node").alias("u"))
-    node_b = classes.select(F.col("sid").alias("b"), F.col("n").alias("b_n"), F.col("node").alias("v"))
-    links = found.join(node_a, ["a", "a_n"]).join(node_b, ["b", "b_n"]).select("u", "v")
-    if label is not None:
-        links = links.unionByName(label.select(F.col("node").alias("u"), F.col("component").alias("v")))
-    return materialize(components(links, "u", "v"), "labels")
+    rows = mixed.join(classes.select("node", "bits"), "node")
+    a, b = (rows.select(F.col("token").alias(f"{x}_token"), F.col("node").alias(x), *(F.col(c).alias(f"{x}_{c}") for c in ("sid", "n", "band", "component", "bits"))) for x in "ab")
+    near = (F.col("a_component") < F.col("b_component")) & (F.abs(F.col("a_band") - F.col("b_band")) <= 1) & fits(F.col("a_n"), F.col("b_n"))
+    close = a.join(b, (F.col("a_token") == F.col("b_token")) & near & may_link(F.col("a_bits"), F.col("b_bits"), F.col("a_n"), F.col("b_n")))
+    return close.select("a", "a_sid", "b", "b_sid").distinct()
 
 
 def keep_one(docs: DataFrame) -> DataFrame:

@@ -141,7 +141,6 @@ def test_near_duplicates_that_only_the_last_round_can_link(spark, monkeypatch):
     """A chain: each text links with the next ones only, so most links join two components of a tile."""
     words = [f"c{i}" for i in range(300)]
     rows = [(100 - i, " ".join(words[4 * i : 4 * i + 60])) for i in range(30)]
-    monkeypatch.setattr(jaccard, "PIVOTS", 1)
     monkeypatch.setattr(jaccard, "COMPLETE", 1)
     docs = spark.createDataFrame(rows, "doc_id bigint, text string")
     assert Counter(map(tuple, jaccard.near_duplicates(docs).collect())) == plain.near_duplicates(rows)
