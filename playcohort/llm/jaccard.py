@@ -14,9 +14,9 @@ Two documents link when their sets of distinct ``WORDS``-word shingles have a Ja
 * **Intersection.** What is left is decided by intersecting the sorted arrays of shingle hashes.
 
 A large tile is not turned into all its pairs. Tiles of up to three sets give all of them; in larger ones each
-set meets one pivot, then, where several components are left, the two sets that share the most. This joins groups
-of near copies with a few comparisons a member. Last, in tiles that still hold several components, the pairs of
-different components are compared, exhaustively, so no link between components is lost.
+set meets the pivot of its tile, most often the text that near copies were made from, which joins groups of them
+with a comparison a member. Then, in large tiles that still hold several components, the pairs of different
+components are compared, exhaustively, so no link between components is lost.
 
 Edge cases: A-Z count as lower case; a text of fewer words than a shingle is one shingle; a null or empty text
 has the empty set and links with nothing; equal rows and texts are one class; a null ``doc_id`` links with
@@ -124,7 +124,7 @@ def count_sketch(sets: DataFrame) -> np.ndarray:
 
 def _prefixes(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """``token, sid, n``: the rarest shingles of each set, as many as a linked set cannot miss."""
+        """``token, sid, n, pos``: the rarest shingles of each set, as many as a linked set cannot miss, and their rank in it."""
         cells = shared.value
         for batch in batches:
             seen: set[int] = set()
@@ -140,9 +140,13 @@ def _prefixes(shared):
                     if x in seen:
                         keep[i] = 0
                     seen.add(x)
-                rows = np.arange(len(code)) - bounds[owner] < keep[owner]
+                pos = np.arange(len(code)) - bounds[owner]
+                rows = pos < keep[owner]
                 owner = owner[rows]
-                yield pa.RecordBatch.from_arrays([pa.array(signed(code[rows])), pa.array(signed(ids)[owner]), pa.array(n[owner].astype(np.int32))], ["token", "sid", "n"])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(signed(code[rows])), pa.array(signed(ids)[owner]), pa.array(n[owner].astype(np.int32)), pa.array(np.minimum(pos[rows], 32767).astype(np.int16))],
+                    ["token", "sid", "n", "pos"],
+                )
 
     return run
 
@@ -228,24 +232,16 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     classes = materialize(full.groupBy("sid", "n").agg(F.min("doc_id").alias("node"), F.first("bits").alias("bits")), "classes")
 
     shared = spark.sparkContext.broadcast(count_sketch(sets))  # fixed size
-    tokens = docs.where("doc_id IS NOT NULL").select("text").mapInArrow(_prefixes(shared), "token bigint, sid bigint, n int")
+    tokens = docs.where("doc_id IS NOT NULL").select("text").mapInArrow(_prefixes(shared), "token bigint, sid bigint, n int, pos smallint")
     tiles = materialize(_tiles(tokens), "tiles")
     label = components(_verify(_close(_pairs(tiles), classes), docs), "u", "v")
 
     large = tiles.where(F.col("members") > COMPLETE).select("token", "sid", "n", "band")
-    often = large.groupBy("sid", "n").agg(F.count(F.lit(1)).alias("tiles"))
-    known = often.join(classes.drop("bits"), ["sid", "n"])
-    mixed = _mixed(large.join(known.join(label, "node", "left").withColumn("component", F.coalesce("component", "node")), ["sid", "n"]))
-    for compare in (_hubs, _exhaustive):
-        if mixed.isEmpty():
-            break
-        found = materialize(_verify(compare(mixed, classes), docs), "links")
-        if found.isEmpty():
-            continue
-        known_links = label.select(F.col("node").alias("u"), F.col("component").alias("v"))
-        label = components(found.unionByName(known_links), "u", "v")
-        if compare is _hubs:
-            mixed = _mixed(mixed.drop("component").join(label, "node", "left").withColumn("component", F.coalesce("component", "node")))
+    place = classes.join(label, "node", "left").select("sid", "n", "node", F.coalesce("component", "node").alias("component"))
+    found = materialize(_verify(_exhaustive(_mixed(large.join(place, ["sid", "n"])), classes), docs), "links")
+    if not found.isEmpty():
+        known = label.select(F.col("node").alias("u"), F.col("component").alias("v"))
+        label = components(found.unionByName(known), "u", "v")
 
     nodes = classes.join(label, "node", "left").select("sid", "n", F.coalesce("component", "node").alias("component"))
     return members.join(nodes, ["sid", "n"], "left").select(
@@ -265,9 +261,10 @@ def _tiles(tokens: DataFrame) -> DataFrame:
     once = tokens.withColumn("before", F.lag(this).over(in_order)).where(F.col("before").isNull() | (F.col("before") != this)).drop("before")
     shared = once.withColumns({"members": F.count(F.lit(1)).over(whole), "next": F.lead(this, 1).over(in_order), "after": F.lead(this, 2).over(in_order)})
     shared = shared.where("members > 1").withColumn("band", band)
-    # A pivot is the set with the smallest hash of its id, so that a group of near copies chooses the same one in most tiles.
+    # The pivot is the set in which the token ranks first. Copies have rare shingles of their own before it, the text
+    # they were made from has none, so a group of near copies meets that text in most of its tiles.
     tile = Window.partitionBy("token", "band")
-    shared = shared.withColumn("pivot", F.min(F.struct(F.xxhash64("sid").alias("rank"), "sid", "n")).over(tile))
+    shared = shared.withColumn("pivot", F.min(F.struct("pos", F.xxhash64("sid").alias("rank"), "sid", "n")).over(tile))
     small = F.col("members") <= COMPLETE
     partners = F.when(small, F.array("next", "after")).otherwise(F.array(F.struct("pivot.sid", "pivot.n")))
     return shared.select("token", "sid", "n", "band", "members", F.filter(partners, lambda x: x["sid"].isNotNull()).alias("partners"))
@@ -281,26 +278,10 @@ def _pairs(tiles: DataFrame) -> DataFrame:
 
 
 def _mixed(rows: DataFrame) -> DataFrame:
-    """Rows ``token, sid, n, band, tiles, node, component`` of the tiles that hold several components."""
+    """Rows ``token, sid, n, band, node, component`` of the tiles that hold several components."""
     whole = Window.partitionBy("token")
     mixed = rows.withColumn("low", F.min("component").over(whole)).withColumn("high", F.max("component").over(whole)).where("low < high")
-    return materialize(mixed.select("token", "sid", "n", "band", "tiles", "node", "component"), "mixed")
-
-
-def _hubs(mixed: DataFrame, classes: DataFrame) -> DataFrame:
-    """Each set of a tile with the tile's two hubs of other components.
-
-    The hub is the set that shares the most of its rare shingles: the text that near copies were made from has all
-    of them in common with some copy, while each copy has changes of its own.
-    """
-    tile = Window.partitionBy("token", "band")
-    hub = F.struct("tiles", "node", "sid", "n", "component")
-    rows = mixed.withColumn("first", F.max(hub).over(tile))
-    rows = rows.withColumn("second", F.max(F.when(F.col("component") != F.col("first.component"), hub)).over(tile))
-    rows = rows.select("sid", "n", "component", F.explode(F.array("first", "second")).alias("h")).where("component <> h.component")
-    rows = rows.select(F.struct("sid", "n").alias("x"), F.struct("h.sid", "h.n").alias("y")).where(fits(F.col("x.n"), F.col("y.n")))
-    rows = rows.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"))
-    return _close(rows.select(F.col("x.sid").alias("a_sid"), F.col("x.n").alias("a_n"), F.col("y.sid").alias("b_sid"), F.col("y.n").alias("b_n")).distinct(), classes)
+    return materialize(mixed.select("token", "sid", "n", "band", "node", "component"), "mixed")
 
 
 def _exhaustive(mixed: DataFrame, classes: DataFrame) -> DataFrame:
