@@ -38,11 +38,16 @@ def upper_md5(text: Column) -> Column:
     return F.upper(F.md5(text.cast("binary")))
 
 
-def device_md5(imei: Column) -> Column:
-    """Upper md5 of the canonical id; ids that are neither 15 nor 32 long hash as empty text."""
-    first = F.upper(first_device(imei))
-    known = F.when(F.length(first).isin(15, 32), dashed(first)).otherwise(F.lit(""))
-    return F.when(imei.isNotNull(), upper_md5(known))
+def device_md5_sql(imei: str) -> str:
+    """Upper md5 of the canonical id; ids that are neither 15 nor 32 long hash as empty text. ``imei`` is SQL text."""
+    first = f"upper(split_part({imei}, '&', 1))"
+    dashes = f"regexp_replace({first}, '^(.{{8}})(.{{4}})(.{{4}})(.{{4}})(.{{12}})$', '$1-$2-$3-$4-$5')"
+    return f"upper(md5(CASE length({first}) WHEN 15 THEN {first} WHEN 32 THEN {dashes} ELSE '' END))"
+
+
+def device_md5(imei: str) -> Column:
+    """The hash of :func:`device_md5_sql` for a column given by name; null stays null."""
+    return F.when(F.col(imei).isNotNull(), F.expr(device_md5_sql(imei)))
 
 
 def two_mode_md5(imei: Column, mode: Column) -> Column:

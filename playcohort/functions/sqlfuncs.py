@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 from playcohort import constants as C
+from playcohort.functions.device import device_md5_sql
+from playcohort.functions.ladder import once_sql, rate_sql, tiers_sql
 
 DEFINITIONS = {
     "getchannel": f"""
@@ -14,22 +16,9 @@ DEFINITIONS = {
              WHEN part = '0' THEN coalesce(nullif(split_part(channel, '_', 1), ''), '{C.DEFAULT_CHANNEL}')
              WHEN part = '1' THEN split_part(channel, '_', 2)
              WHEN part = '2' THEN split_part(channel, '_', 3) END""",
-    "getdivideladder": """
-        (ladder STRING, amount STRING) RETURNS STRING RETURN
-        CASE WHEN ladder IS NULL THEN '0' ELSE
-          coalesce(
-            try_element_at(filter(array_sort(transform(filter(split(ladder, '[|]'), p -> p RLIKE '^[0-9]+=[^=]+$'),
-                p -> named_struct('t', cast(split_part(p, '=', 1) AS BIGINT), 'r', split_part(p, '=', 2)))),
-                x -> x.t <= cast(amount AS BIGINT)), -1).r,
-            get(array_sort(transform(filter(split(ladder, '[|]'), p -> p RLIKE '^[0-9]+=[^=]+$'),
-                p -> named_struct('t', cast(split_part(p, '=', 1) AS BIGINT), 'r', split_part(p, '=', 2)))), 0).r)
-        END""",
-    "devicemd5": """
-        (imei STRING) RETURNS STRING RETURN
-        upper(md5(CASE length(split_part(imei, '&', 1))
-            WHEN 15 THEN upper(split_part(imei, '&', 1))
-            WHEN 32 THEN regexp_replace(upper(split_part(imei, '&', 1)), '^(.{8})(.{4})(.{4})(.{4})(.{12})$', '$1-$2-$3-$4-$5')
-            ELSE '' END))""",
+    "getdivideladder": "(ladder STRING, amount STRING) RETURNS STRING RETURN "
+    + once_sql(tiers_sql("ladder"), "tiers", rate_sql("tiers", "try_cast(amount AS BIGINT)")),
+    "devicemd5": f"(imei STRING) RETURNS STRING RETURN {device_md5_sql('imei')}",
 }
 
 

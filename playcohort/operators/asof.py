@@ -24,12 +24,14 @@ def latest_touch(events: DataFrame, touches: DataFrame, on: Sequence[str], event
     needs a newer one, and of events in the same second only the one with the least id gets it.
     """
     on = list(on)
+    rest = [c for c in events.columns if c not in (*on, event_id)] if consume else []
+    event = F.struct(event_id, *rest)
     touch = F.struct(*touch_cols)
     no_touch = F.lit(None).cast(touches.select(touch.alias("x")).schema["x"].dataType)
     rows = touches.select(*on, F.date_trunc("second", touch_time).alias("_t"), touch.alias("_touch"),
-                          F.lit(None).cast(events.schema[event_id].dataType).alias("_event"))
+                          F.lit(None).cast(events.select(event.alias("x")).schema["x"].dataType).alias("_event"))
     rows = rows.unionByName(events.select(*on, F.date_trunc("second", event_time).alias("_t"), no_touch.alias("_touch"),
-                                          F.col(event_id).alias("_event")))
+                                          event.alias("_event")))
     points = rows.groupBy(*on, "_t").agg(F.max("_touch").alias("_touch"), F.min("_event").alias("_event")).withColumn(
         "_day", F.to_date("_t"))
     seen = F.when(F.col("_touch").isNotNull(), F.struct("_t", "_touch"))
@@ -40,7 +42,8 @@ def latest_touch(events: DataFrame, touches: DataFrame, on: Sequence[str], event
     local = points.withColumns({"_hit": F.last(seen, ignorenulls=True).over(upto), "_prev": F.last(at, ignorenulls=True).over(before)})
 
     earlier = Window.partitionBy(*on).orderBy("_day").rowsBetween(Window.unboundedPreceding, -1)
-    carry = points.groupBy(*on, "_day").agg(F.max(seen).alias("_s"), F.max(at).alias("_a")).select(
+    # the windowed rows are dealt by key and day already
+    carry = local.groupBy(*on, "_day").agg(F.max("_hit").alias("_s"), F.max(at).alias("_a")).select(
         *on, "_day", F.last("_s", ignorenulls=True).over(earlier).alias("_day_hit"),
         F.last("_a", ignorenulls=True).over(earlier).alias("_day_prev"))
 
@@ -52,9 +55,9 @@ def latest_touch(events: DataFrame, touches: DataFrame, on: Sequence[str], event
     hits = hits.filter(recent)
     if consume:
         hits = hits.filter(F.col("_prev").isNull() | (F.col("_hit._t") > F.col("_prev")))
-    found = hits.select(*on, "_t", "_event", F.col("_hit._t").alias("touch_time"),
-                        *[F.col(f"_hit._touch.{c}").alias(f"touch_{c}") for c in touch_cols])
-    timed = events.withColumn("_t", F.date_trunc("second", event_time))
+    touched = [F.col("_hit._t").alias("touch_time"), *[F.col(f"_hit._touch.{c}").alias(f"touch_{c}") for c in touch_cols]]
     if consume:
-        return timed.join(found.withColumnRenamed("_event", event_id), [*on, "_t", event_id]).drop("_t")
-    return timed.join(found.drop("_event"), [*on, "_t"]).drop("_t")
+        # one event of a second is left, and the point has carried its columns
+        return hits.select(*on, F.col(f"_event.{event_id}").alias(event_id), *[F.col(f"_event.{c}").alias(c) for c in rest], *touched)
+    timed = events.withColumn("_t", F.date_trunc("second", event_time))
+    return timed.join(hits.select(*on, "_t", *touched), [*on, "_t"]).drop("_t")

@@ -36,8 +36,8 @@ def _click_keys(clicks: DataFrame) -> DataFrame:
     return compute_once(clicks, "_k", key).select("_k.*", "ts", "pkg_id", "imei", F.col("adv_name").alias("medium"), *LEVELS)
 
 
-def attribute_activations(active: DataFrame, clicks: DataFrame) -> DataFrame:
-    """Activations credited to their latest click of the last seven days; a click serves one activation.
+def matched_clicks(active: DataFrame, clicks: DataFrame) -> DataFrame:
+    """Activations with the latest click of the last seven days in ``touch_`` columns; a click serves one activation.
 
     ``active`` needs event_id, game_id, pkg_code, active_time, os ('android'/'ios') and imei.
     """
@@ -50,9 +50,13 @@ def attribute_activations(active: DataFrame, clicks: DataFrame) -> DataFrame:
                    F.when(ios, canonical_device(imei)).otherwise(upper_md5(imei)).alias("device"))
     events = compute_once(active.join(games, "game_id", "left_semi").filter(valid_device(imei)), "_k", key).select(
         "event_id", "game_id", F.col("pkg_code").alias("own_pkg"), "active_time", "_k.*")
-    hits = latest_touch(events, touches, ["os", "place", "device"], "active_time", "ts", "event_id",
+    return latest_touch(events, touches, ["os", "place", "device"], "active_time", "ts", "event_id",
                         ["medium", "pkg_id", "imei", *LEVELS], C.CLICK_LOOKBACK_DAYS, consume=True)
-    ios = F.col("os") == C.OS_IOS
+
+
+def attribute_activations(active: DataFrame, clicks: DataFrame) -> DataFrame:
+    """Activations credited to their latest click, see :func:`matched_clicks`."""
+    hits, ios = matched_clicks(active, clicks), F.col("os") == C.OS_IOS
     return hits.select(
         "event_id", "active_time", "game_id", "os", F.when(ios, F.col("touch_pkg_id")).otherwise(F.col("own_pkg")).alias("pkg_code"),
         F.when(ios, F.col("touch_imei")).otherwise(F.col("own_imei")).alias("imei"), F.col("touch_medium").alias("medium"),
@@ -94,8 +98,9 @@ def _first_per_day(rows: DataFrame, day, entity: list[str], time: str, row_id: s
     keys of one entity's day.
     """
     keys = list(dict.fromkeys([*entity, *STAT_KEY]))
+    number = F.sum("copies") if "copies" in rows.columns else F.count(F.lit(1))
     per = rows.withColumn("day", day).groupBy("day", *keys).agg(
-        F.count(F.lit(1)).alias(count), F.min(F.struct(time, row_id)).alias("_first"))
+        number.alias(count), F.min(F.struct(time, row_id)).alias("_first"))
     first = F.min("_first").over(Window.partitionBy("day", *entity))
     return per.withColumn(devs, (F.col("_first") == first).cast("long")).groupBy("day", *STAT_KEY).agg(
         F.sum(count).alias(count), F.sum(devs).alias(devs))
@@ -108,16 +113,29 @@ def registration_stats(attributed: DataFrame) -> DataFrame:
 
 
 def click_stats(clicks: DataFrame) -> DataFrame:
-    """Valid clicks, and devices once per (day, medium, package). ``clicks`` needs event_id."""
+    """Valid clicks, and devices once per (day, medium, package). ``clicks`` needs event_id; a row may stand for ``copies``."""
     rows = valid_clicks(clicks).withColumnsRenamed({"pkg_id": "pkg_code", "adv_name": "medium"})
     return _first_per_day(rows, F.to_date("ts"), ["medium", "pkg_code", "imei"], "ts", "event_id", "click_num", "click_dev_num")
 
 
-def latest_clicks(clicks: DataFrame) -> DataFrame:
-    """The click table: one open click per (package, device), refreshed by later ones."""
-    rest = [c for c in clicks.columns if c not in ("pkg_id", "imei", "ts")]
-    one = valid_clicks(clicks).groupBy("pkg_id", "imei").agg(F.max(F.struct("ts", *rest)).alias("c"))
-    return one.select("pkg_id", "imei", "c.*")
+def click_table(clicks: DataFrame, matched: DataFrame) -> DataFrame:
+    """The click table: per (package, device) a row for each stretch of clicks up to the activation that used them up.
+
+    A click that finds an open row refreshes its time and callback and nothing else; after an activation has matched
+    the row, the next click opens a new one. ``matched`` are the activations of :func:`matched_clicks`.
+    """
+    key = ["pkg_id", "imei"]
+    rest = [c for c in clicks.columns if c not in (*key, "ts", "callback")]
+    # a row per second of a device first: only its seconds are ever ordered
+    seconds = valid_clicks(clicks).groupBy(*key, "ts").agg(F.min(F.struct(*rest)).alias("opened"), F.max("callback").alias("callback"))
+    used = matched.select(F.col("touch_pkg_id").alias("pkg_id"), F.col("touch_imei").alias("imei"), F.col("active_time").alias("ts")).distinct()
+    points = seconds.withColumn("used", F.lit(0)).unionByName(used.withColumn("used", F.lit(1)), allowMissingColumns=True)
+    by_time = Window.partitionBy(*key).orderBy("ts", "used")  # a click of the activation's second comes before it
+    stretch = F.sum("used").over(by_time.rowsBetween(Window.unboundedPreceding, -1))
+    rows = points.withColumn("stretch", F.coalesce(stretch, F.lit(0))).groupBy(*key, "stretch").agg(
+        F.min(F.when(F.col("used") == 0, F.struct("ts", "opened"))).alias("first"), F.max(F.when(F.col("used") == 0, F.struct("ts", "callback"))).alias("last"),
+        F.max("used").alias("matched"))
+    return rows.filter("first IS NOT NULL").select(*key, "last.ts", "last.callback", "first.opened.*", "matched")
 
 
 def order_stats(orders: DataFrame, attributed: DataFrame) -> DataFrame:

@@ -80,22 +80,23 @@ def login_kpi(login: DataFrame, regi: DataFrame, grain: Sequence[str], channel:
     match = ["imei", *([channel] if channel else [])]
     accounts = regi.groupBy("game_account").agg(F.min(F.struct("reg_time", *match)).alias("a")).select(
         "game_account", F.to_date("a.reg_time").alias("_reg_day"), *[F.col(f"a.{c}").alias(f"_reg_{c}") for c in match])
-    day = F.to_date("login_time")
-    rows = distinct_logins(login).join(firsts, device, "left").join(accounts, "game_account", "left")
-    both = (F.col("first_day") == day) & (F.col("_reg_day") == day)
+    # what makes a login new is the same all day: only the first and last login of an account on a device are joined
+    keys = list(dict.fromkeys(["day", *device, "game_account", *match]))
+    slim = distinct_logins(login).withColumn("day", F.to_date("login_time")).groupBy(*keys).agg(F.min("login_time").alias("first"), F.max("login_time").alias("last"))
+    rows = slim.join(firsts, device, "left").join(accounts, "game_account", "left")
+    both = (F.col("first_day") == F.col("day")) & (F.col("_reg_day") == F.col("day"))
     for c in match:
         both = both & F.col(c).eqNullSafe(F.col(f"_reg_{c}"))
-    rows = rows.select(*grain, "imei", "game_account", "login_time", day.alias("day"), _flag(both).alias("both"))
+    rows = rows.select("day", *device, "game_account", "first", "last", _flag(both).alias("both"))
 
-    order = F.struct("login_time", "game_account")
     devices = rows.groupBy("day", *device).agg(
         F.max("both").alias("new_login_devices"),
-        _flag(F.max(order) > F.min(F.when(F.col("both") == 1, order))).alias("new_active_devices"))
+        _flag(F.max(F.struct("last", "game_account")) > F.min(F.when(F.col("both") == 1, F.struct("first", "game_account")))).alias("new_active_devices"))
     devices = devices.groupBy("day", *grain).agg(
         F.count(F.lit(1)).alias("dau_devices"), F.sum("new_login_devices").alias("new_login_devices"),
         F.sum("new_active_devices").alias("new_active_devices"))
     accounts_day = rows.groupBy("day", *grain, "game_account").agg(
-        F.min_by("both", F.struct("login_time", "imei")).alias("new_login_accounts"))
+        F.min_by("both", F.struct("first", "imei")).alias("new_login_accounts"))
     accounts_day = accounts_day.groupBy("day", *grain).agg(
         F.count(F.lit(1)).alias("dau_accounts"), F.sum("new_login_accounts").alias("new_login_accounts"))
     # the two measures add up side by side instead of being joined
@@ -141,8 +142,14 @@ def account_master(regi: DataFrame) -> DataFrame:
 
 
 def with_account(orders: DataFrame, accounts: DataFrame) -> DataFrame:
-    """Add the payer's registration; unknown payers get channel ``no_acc`` and game 0."""
-    joined = orders.join(accounts, "game_account", "left")
+    """Money per (account, game, hour, device) with the payer's registration; unknown payers get channel ``no_acc`` and game 0.
+
+    Orders shrink to hours before the join, so a payer with very many of them meets the accounts a few times only.
+    ``order_time`` is the hour.
+    """
+    hours = orders.groupBy("game_account", "game_id", F.date_trunc("hour", "order_time").alias("order_time"), "imei").agg(
+        F.sum("ori_price").alias("ori_price"), F.sum("total_amt").alias("total_amt"))
+    joined = hours.join(accounts, "game_account", "left")
     return joined.fillna({"parent_channel": C.UNKNOWN_ACCOUNT_CHANNEL, "child_channel": "", "pkg_code": "", "reg_game_id": 0})
 
 
@@ -194,7 +201,7 @@ WALL_FLAGS = ("mu_active_num", "repeat_active_num", "mu_repeat_active_num", "own
 def wall_kpi(clicks: DataFrame, actives: DataFrame, platform: DataFrame, regi: DataFrame) -> DataFrame:
     """Incentive-wall KPIs per (day, game).
 
-    ``clicks`` and ``actives`` are wall rows (game_id, imei, ts), ``platform`` and ``regi`` the own
+    ``clicks`` and ``actives`` are wall rows (game_id, imei, ts), of which one may stand for ``copies``; ``platform`` and ``regi`` the own
     activations and registrations (game_id, imei and a time). A device counts once a day; what it did
     before is a first day per (game, device).
     """
@@ -203,7 +210,8 @@ def wall_kpi(clicks: DataFrame, actives: DataFrame, platform: DataFrame, regi: D
         return one.select("day", "imei", F.col("r.game_id").alias("game_id"))
 
     click_devs = once_a_day(clicks).groupBy("day", "game_id").agg(F.count(F.lit(1)).alias("click_dev_num"))
-    click_all = clicks.groupBy(F.to_date("ts").alias("day"), "game_id").agg(F.count(F.lit(1)).alias("click_num"))
+    number = F.sum("copies") if "copies" in clicks.columns else F.count(F.lit(1))
+    click_all = clicks.groupBy(F.to_date("ts").alias("day"), "game_id").agg(number.alias("click_num"))
 
     act = once_a_day(actives)
     key = ["game_id", "imei"]

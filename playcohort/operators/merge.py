@@ -8,10 +8,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def merge_replace(target: DataFrame, updates: DataFrame, keys: Sequence[str], update_cols: Sequence[str] | None = None) -> DataFrame:
+def merge_replace(target: DataFrame, updates: DataFrame, keys: Sequence[str], update_cols: Sequence[str] | None = None,
+                  greatest_cols: Sequence[str] = ()) -> DataFrame:
     """Insert new keys; for known keys overwrite ``update_cols`` (default: all the updates carry).
 
-    ``updates`` has one row per key.
+    Of ``greatest_cols`` the greater of the old and the new value stays. ``updates`` has one row per key.
     """
     keys = list(keys)
     cols = [c for c in target.columns if c not in keys]
@@ -27,7 +28,7 @@ def merge_replace(target: DataFrame, updates: DataFrame, keys: Sequence[str], up
             continue
         new = F.col(f"_u.{c}")
         fresh = F.col("_t").isNull() if c not in changed else F.col("_u").isNotNull()
-        out.append(F.when(fresh, new).otherwise(old).alias(c))
+        out.append((F.greatest(old, new) if c in greatest_cols else F.when(fresh, new).otherwise(old)).alias(c))
     return both.select(*keys, *out)
 
 
@@ -49,10 +50,7 @@ def merge_add(target: DataFrame, updates: DataFrame, keys: Sequence[str], add_co
 def merge_greatest(target: DataFrame, updates: DataFrame, keys: Sequence[str], greatest_cols: Sequence[str],
                    replace_cols: Sequence[str] = ()) -> DataFrame:
     """Keep the greater of old and new for ``greatest_cols``; overwrite ``replace_cols``."""
-    merged = merge_replace(target, updates, keys, [*greatest_cols, *replace_cols])
-    old = target.select(*keys, *[F.col(c).alias(f"_old_{c}") for c in greatest_cols])
-    joined = merged.join(old, list(keys), "left")
-    return joined.select(*[F.greatest(c, f"_old_{c}").alias(c) if c in greatest_cols else F.col(c) for c in merged.columns])
+    return merge_replace(target, updates, keys, [*greatest_cols, *replace_cols], greatest_cols)
 
 
 def update_from(target: DataFrame, source: DataFrame, keys: Sequence[str], cols: Sequence[str], where: Column | None = None) -> DataFrame:
@@ -94,7 +92,8 @@ def overwrite_days(df: DataFrame, path: str, day: str) -> None:
 
 
 def overwrite_parquet(df: DataFrame, path: str, files: int | None = None) -> None:
-    (df.coalesce(files) if files else df).write.mode("overwrite").parquet(path)
+    """Write ``df``, in ``files`` files if given; a shuffle gathers them, so the work before it keeps its tasks."""
+    (df.repartition(files) if files else df).write.mode("overwrite").parquet(path)
 
 
 def write_csv(df: DataFrame, path: str) -> None:

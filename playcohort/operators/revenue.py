@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from playcohort import constants as C
 from playcohort.functions.channel import CHANNEL_COLS
-from playcohort.functions.ladder import ladder_rate
+from playcohort.functions.ladder import ladder_tiers, tier_rate
 from playcohort.functions.money import cents, gross_amount, pay_type_code
 from playcohort.functions.times import month_start
 from playcohort.operators.dims import child_games
@@ -18,18 +18,19 @@ from playcohort.operators.dims import child_games
 PERFORMANCE_KEY = ("day", "parent_game_id", "game_id", "os", "group_id", *CHANNEL_COLS, "pay_type")
 
 
-def revenue_performance(regi: DataFrame, orders: DataFrame, receipts: DataFrame, games: DataFrame, sdk: DataFrame) -> DataFrame:
+def revenue_performance(regi: DataFrame, registered: DataFrame, orders: DataFrame, receipts: DataFrame, games: DataFrame, sdk: DataFrame) -> DataFrame:
     """Cents, sandbox cents and new accounts per (day, game, channel, payment type).
 
     An account shows up on days it registered or paid; type 0 stands for no payment. ``regi`` are all
-    registrations with channel parts, ``orders`` deduplicated paid orders.
+    registrations with channel parts, ``registered`` those of the reported days, ``orders`` deduplicated paid
+    orders of these days.
     """
     flagged = orders.join(receipts.filter("sandbox = 1 AND state = 3").select(F.col("order_sn").alias("order_no")).distinct()
                           .withColumn("sandbox", F.lit(1)), "order_no", "left")
     amount = cents(gross_amount(F.col("ori_price"), F.col("total_amt")))
     paid = flagged.groupBy("game_account", "game_id", F.to_date("order_time").alias("day"), "payment_type").agg(
         F.sum(amount).alias("water"), F.sum(F.when(F.col("sandbox") == 1, amount).otherwise(F.lit(0))).alias("box"))
-    days = account_days(regi, orders).join(games.select("game_id").distinct(), "game_id", "left_semi")
+    days = account_days(registered, orders).join(games.select("game_id").distinct(), "game_id", "left_semi")
     home = regi.groupBy("game_account").agg(F.min(F.struct("reg_time", *CHANNEL_COLS)).alias("r")).select(
         "game_account", F.to_date("r.reg_time").alias("reg_date"), *[F.col(f"r.{c}").alias(c) for c in CHANNEL_COLS])
     # one row per (account, game, day, type): the new accounts below need no distinct
@@ -68,9 +69,10 @@ def apple_water(performance: DataFrame) -> DataFrame:
 def month_share(performance: DataFrame, ladders: DataFrame) -> DataFrame:
     """Share of each game and month: the ladder tier its month's revenue (yuan) reaches."""
     month = performance.groupBy("game_id", month_start(F.to_date("day")).alias("month")).agg(F.sum("pay_water").alias("pay_water"))
-    yuan = F.floor(F.col("pay_water") / 100)
-    rate = F.coalesce(ladder_rate(F.col("ladders"), yuan), F.lit("0"))
-    return month.join(ladders, "game_id", "left").select("game_id", "month", "pay_water", rate.alias("share"))
+    # tiers are parsed on the dimension, one ladder per game
+    tiers = ladders.select("game_id", ladder_tiers("ladders").alias("tiers"))
+    rated = month.withColumn("yuan", F.floor(F.col("pay_water") / 100)).join(tiers, "game_id", "left")
+    return rated.select("game_id", "month", "pay_water", F.coalesce(tier_rate("tiers", "yuan"), F.lit("0")).alias("share"))
 
 
 def opera_ltv(cohorts: DataFrame, orders: DataFrame, shares: DataFrame, costs: DataFrame, horizons: Sequence[int],

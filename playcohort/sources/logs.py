@@ -7,6 +7,7 @@ raises.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
@@ -22,10 +23,9 @@ from playcohort.functions.times import access_log_day, day_key, is_number_text,
 
 Fields = Callable[[int], Column]
 
-# --- fixed values: line markers, landing-page pattern ----------------------------------
+# --- fixed values: line markers, arguments of a landing-page hit ------------------------
 REGI, LOGIN, ACTIVE, ORDER, PUBGAME, CHANNEL = (
     "bi_regi", "bi_login", "bi_active", "bi_order", "bi_pubgame", "bi_channel")
-LANDING_LINE = r'^.*0800\] "GET /Ssxy/loadComplete[?]p=[\d|_|a-z|A-Z]+&g=[\d]+.*$'
 LANDING_ARGS = r"[?]p=([^&\s\"]*)&g=([0-9]+)"
 NOT_FOUND = 'HTTP/1.0" 404'
 
@@ -104,10 +104,11 @@ KINDS: dict[str, LogKind] = {
 
 
 def _parsed(lines: DataFrame, kind: LogKind) -> DataFrame:
-    """All marked lines with the typed columns and ``_ok``; null-safe throughout."""
+    """All marked lines with the typed columns, what else the lines carry, and ``_ok``; null-safe throughout."""
     split = compute_once(lines.filter(F.col("value").contains(kind.marker)), "_f", F.split("value", r"\|", -1))
     f = lambda i: F.get("_f", F.lit(i))
-    typed = split.select("value", (F.size("_f") >= kind.min_fields).alias("_size"), kind.keep(f).alias("_keep"),
+    carried = [c for c in lines.columns if c != "value"]
+    typed = split.select("value", *carried, (F.size("_f") >= kind.min_fields).alias("_size"), kind.keep(f).alias("_keep"),
                          *[c.alias(n) for n, c in kind.columns(f).items()])
     ok = F.col("_size") & F.coalesce("_keep", F.lit(False))
     for name in kind.required:
@@ -115,19 +116,26 @@ def _parsed(lines: DataFrame, kind: LogKind) -> DataFrame:
     return typed.withColumn("_ok", ok).drop("_size", "_keep")
 
 
-def parse_log(lines: DataFrame, kind: str) -> tuple[DataFrame, DataFrame]:
-    """(rows, rejects) of one kind: see ``KINDS``, plus ``request`` and ``account``."""
+def landing_line(path: str, zone: str) -> str:
+    """Pattern of an access-log line that is a hit of the landing page at ``path``, logged in the given zone."""
+    return rf'^.*{re.escape(zone)}\] "GET {re.escape(path)}[?]p=[\d|_|a-z|A-Z]+&g=[\d]+.*$'
+
+
+def parse_log(lines: DataFrame, kind: str, landing: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """(rows, rejects) of one kind: see ``KINDS``, plus ``account`` and ``request``, which needs a ``landing`` pattern."""
     if kind == "request":
-        return _parse_request(lines)
+        if landing is None:
+            raise ValueError("request lines are recognised by a landing pattern, see landing_line")
+        return _parse_request(lines, landing)
     if kind == "account":
         return _parse_account(lines)
     parsed = _parsed(lines, KINDS[kind])
     return parsed.filter("_ok").drop("_ok", "value"), parsed.filter("NOT _ok").select("value")
 
 
-def _parse_request(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
+def _parse_request(lines: DataFrame, landing: str) -> tuple[DataFrame, DataFrame]:
     """Landing-page hits of a web access log; the client is the first forwarded address."""
-    hits = lines.filter(~F.col("value").contains(NOT_FOUND) & F.col("value").rlike(LANDING_LINE))
+    hits = lines.filter(~F.col("value").contains(NOT_FOUND) & F.col("value").rlike(landing))
     quoted = F.split("value", '"', -1)
     hits = compute_once(hits, "_h", F.struct(
         F.regexp_extract("value", LANDING_ARGS, 1).alias("p"), F.regexp_extract("value", LANDING_ARGS, 2).alias("g"),

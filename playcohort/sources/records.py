@@ -78,18 +78,19 @@ def _medium_click(m: Medium) -> str:
             f"'idea_id', {field(m.idea)}, 'first_level', {field(m.first_level)}, 'second_level', {field(m.second_level)})")
 
 
-def parse_ad_clicks(lines: DataFrame) -> DataFrame:
-    """Clicks of the four media in one shape. A record that lacks a field its medium must send is dropped.
+def parse_ad_clicks(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(clicks of the four media in one shape, rejects): a record that lacks a field its medium must send is a reject.
 
-    One pass: the JSON is read once with the union of all fields and the medium picks its own.
+    The JSON is read once with the union of all fields and the medium picks its own.
     """
     read = _read_json(lines, _strings(CLICK_FIELDS))
     branches = " ".join(f"WHEN contains(value, '{m.marker}') THEN {_medium_click(m)}" for m in MEDIA_RECORDS)
-    picked = read.selectExpr("j.pkg_id AS pkg_id", f"CASE {branches} END AS c").selectExpr("pkg_id", "c.*")
+    picked = read.selectExpr("value", "j.pkg_id AS pkg_id", f"CASE {branches} END AS c").selectExpr("value", "pkg_id", "c.*")
     typed = picked.withColumns({
         "game_id": game_of_pkg(F.col("pkg_id")), "ts": F.timestamp_seconds(F.col("seconds").try_cast("double").cast("long"))})
     out = ["pkg_id", "game_id", "os", "imei", "ts", "callback", "adv_name", "idea_id", "first_level", "second_level"]
-    return typed.select(*out).dropna()
+    complete = " AND ".join(f"{c} IS NOT NULL" for c in out)
+    return typed.filter(complete).select(*out), typed.filter(f"NOT ({complete})").select("value")
 
 
 def parse_wall(lines: DataFrame) -> DataFrame:

@@ -70,14 +70,15 @@ def kafka_options(servers: str, topics: str, offset_reset: str = "largest", max_
 
 
 def kafka_lines(spark: SparkSession, **kwargs) -> DataFrame:
-    """Topic values as text; needs the Kafka connector on the class path."""
+    """Topic values as text with their time of arrival; needs the Kafka connector on the class path."""
     source = spark.readStream.format("kafka").options(**kafka_options(**kwargs)).load()
-    return source.select(F.col("value").cast("string").alias("value"))
+    return source.select(F.col("value").cast("string").alias("value"), F.col("timestamp").alias("arrived"))
 
 
-def file_lines(spark: SparkSession, path: str, files_per_trigger: int | None = None) -> DataFrame:
-    """The same lines replayed from text files."""
+def file_lines(spark: SparkSession, path: str, files_per_trigger: int | None = None, arrival: bool = False) -> DataFrame:
+    """The same lines replayed from text files; a line arrives when its file was written."""
     reader = spark.readStream
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    return reader.text(path)
+    lines = reader.text(path)
+    return lines.select("value", F.col("_metadata.file_modification_time").alias("arrived")) if arrival else lines

@@ -6,7 +6,7 @@ after a lost executor or driver overwrites itself and gives the same result.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -61,35 +61,27 @@ class DetailTable:
     def append_new(self, rows: DataFrame, batch: int, keys: Sequence[str]) -> DataFrame:
         """Write the rows whose key no earlier batch holds, once each.
 
-        Copies inside the batch combine on the map side. The key contains the time, so only the days
-        between the batch's first and last can hold a copy: two values the driver learns to prune by.
+        Copies inside the batch combine on the map side. The key contains the time, so only the days of the batch
+        can hold a copy: the driver learns these few days and the scan reads no others.
         """
         rest = [c for c in self._columns() if c not in keys]
         one = rows.groupBy(*keys).agg(*[F.min(F.struct(*rest)).alias("_r")] if rest else [F.count("*").alias("_r")])
         once = one.select(*keys, *[F.col(f"_r.{c}").alias(c) for c in rest])
         earlier = self._all(before=batch)
         if self.time:
-            days = rows.agg(F.min(F.to_date(self.time)).alias("first"), F.max(F.to_date(self.time)).alias("last")).first()
-            earlier = earlier.filter(F.col("day").between(F.lit(days["first"]), F.lit(days["last"])))
+            days = [r["day"] for r in rows.select(F.to_date(self.time).alias("day")).distinct().collect() if r["day"] is not None]
+            earlier = earlier.filter(F.col("day").isin(days))
         seen = earlier.select(*keys).join(once.select(*keys), list(keys), "left_semi").distinct()
         return self.write(once.join(seen, list(keys), "left_anti"), batch)
 
 
-def entity_delta(kpi: Callable[[DataFrame], DataFrame], before: DataFrame, fresh: DataFrame, entity: Sequence[str],
-                 changed: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Change of a KPI that adds up over entities: computed for the changed entities before and after.
+def change(before: DataFrame, after: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """What a KPI that adds up over entities has gained or lost, from its values for the touched entities.
 
-    Earlier rows are only scanned for those entities. A correction, for instance a first day that moves
-    back, shows as a negative number under the old key.
+    A correction, for instance a first day that moves back, shows as a negative number under the old key.
     """
-    def pick(df: DataFrame) -> DataFrame:
-        return df.join(changed, list(entity), "left_semi")
-
-    after = kpi(pick(before).unionByName(pick(fresh)))
     metrics = [c for c in after.columns if c not in keys]
-    old = kpi(pick(before)).select(*keys, *[(-F.col(m)).alias(m) for m in metrics])
-    delta = after.unionByName(old).groupBy(*keys).agg(*[F.sum(m).alias(m) for m in metrics])
-    return delta.filter(" OR ".join(f"{m} <> 0" for m in metrics))
+    return total(after.unionByName(before.select(*keys, *[(-F.col(m)).alias(m) for m in metrics])), keys)
 
 
 def total(deltas: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass, field
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,10 +16,31 @@ from playcohort.functions import channel as ch
 from playcohort.operators import attribution, dims, kpi
 from playcohort.sources import records
 from playcohort.sources.logs import parse_log
-from playcohort.streaming.details import DetailTable, entity_delta, total
+from playcohort.streaming.details import DetailTable, change, total
 
 PARTS = "parent_channel string, child_channel string, pkg_code string"
-MARKET_DEVICE = [*kpi.MARKET, "imei"]
+REGISTRATION = "regi_accounts bigint, new_regi_accounts bigint, regi_devices bigint, new_regi_devices bigint"
+#: Name, unit of time and channel columns of the registration tables: marketing and operations, by day and by hour.
+REGISTRATIONS = (("", "day", f"{PARTS}, "), ("hour", "hour", f"{PARTS}, "), ("opera", "day", ""), ("opera_hour", "hour", ""))
+
+
+def _report_keys(rows: DataFrame) -> list[str]:
+    return [c for c in rows.columns if c in ("day", "hour", "publish_time", "reg_date", "reg_game_id", *kpi.MARKET)]
+
+
+def _pick(rows: DataFrame, touched: DataFrame, entity: list[str]) -> DataFrame:
+    """The rows of the entities a batch touches."""
+    return rows.join(touched.select(*entity).distinct(), entity, "left_semi")
+
+
+@contextmanager
+def _held(rows: DataFrame) -> Iterator[DataFrame]:
+    """Rows that several KPIs of a batch read: the history behind them is scanned once."""
+    rows = rows.persist()
+    try:
+        yield rows
+    finally:
+        rows.unpersist()
 
 
 def start(lines: DataFrame, process: Callable[[DataFrame, int], None], checkpoint: str, interval: str | None = None) -> StreamingQuery:
@@ -34,11 +57,13 @@ class KpiPipeline:
     """Registration, activation, login, payment and landing-page KPIs from one stream.
 
     Facts of all games are kept; the published games (given plus streamed) filter the reports, so a
-    game published late needs no re-run.
+    game published late needs no re-run. Access-log lines count as clicks where ``landing`` gives the pattern of
+    a landing-page hit.
     """
 
     spark: SparkSession
     base: str
+    landing: str | None = None
     tables: dict[str, DetailTable] = field(init=False)
 
     def __post_init__(self) -> None:
@@ -49,10 +74,14 @@ class KpiPipeline:
             "login": f"game_id int, {PARTS}, expand_channel string, imei string, game_account string, login_time timestamp",
             "orders": "order_no string, order_time timestamp, game_account string, game_id int, ori_price decimal(18,2), total_amt decimal(18,2), imei string",
             "clicks": f"publish_time string, game_id int, {PARTS}, type int, ip string",
-            "registration_delta": f"day string, game_id int, {PARTS}, regi_accounts bigint, new_regi_accounts bigint, regi_devices bigint, new_regi_devices bigint",
+            **{f"registration_{n}_delta" if n else "registration_delta": f"{unit} string, game_id int, {parts}{REGISTRATION}" for n, unit, parts in REGISTRATIONS},
             "activation_delta": f"hour string, game_id int, {PARTS}, active_num bigint",
+            "activation_opera_delta": "hour string, game_id int, active_num bigint",
             "money_delta": f"day string, game_id int, {PARTS}, pay_money bigint",
+            "money_hour_delta": f"hour string, game_id int, {PARTS}, pay_money bigint",
             "payer_delta": f"day string, game_id int, {PARTS}, pay_accounts bigint",
+            "payer_hour_delta": f"hour string, game_id int, {PARTS}, pay_accounts bigint",
+            "first_payer_delta": "reg_date date, reg_game_id int, recharge_accounts bigint",
             "ltv_delta": "reg_date date, reg_game_id int, recharge bigint, " + ", ".join(f"ltv_{n}day bigint" for n in C.PAY_LTV),
             "click_delta": f"publish_time string, game_id int, {PARTS}, " + ", ".join(f"{n} bigint" for n in C.CLICK_TYPES.values()),
         }
@@ -67,20 +96,23 @@ class KpiPipeline:
         finally:
             lines.unpersist()
         t = self.tables
-        self._write_delta("registration_delta", lambda df: kpi.registration_kpi(df, kpi.MARKET), "regi", new["regi"], MARKET_DEVICE, batch)
-        self._write_delta("activation_delta", lambda df: kpi.activation_kpi(df, kpi.MARKET), "active", new["active"], MARKET_DEVICE, batch)
+        device = ["game_id", "imei"]
+        with _held(_pick(t["regi"].read(batch), new["regi"], device)) as before:
+            self._write_deltas(batch, before, before.unionByName(new["regi"]), {
+                f"registration_{n}_delta" if n else "registration_delta": partial(kpi.registration_kpi, grain=kpi.MARKET if parts else kpi.OPERA, unit=unit)
+                for n, unit, parts in REGISTRATIONS})
+        with _held(_pick(t["active"].read(batch), new["active"], device)) as before:
+            self._write_deltas(batch, before, before.unionByName(new["active"]), {
+                "activation_delta": partial(kpi.activation_kpi, grain=kpi.MARKET), "activation_opera_delta": partial(kpi.activation_kpi, grain=kpi.OPERA)})
         # payments follow the payer's registration: both new orders and new registrations change them
-        changed = new["orders"].select("game_account").union(new["regi"].select("game_account")).distinct()
-        pick = lambda df: df.join(changed, "game_account", "left_semi")
-        old_regi, old_orders = pick(t["regi"].read(batch)), pick(t["orders"].read(batch))
-        now_regi, now_orders = old_regi.unionByName(pick(new["regi"])), old_orders.unionByName(new["orders"])
-        before = kpi.with_account(old_orders, kpi.account_master(old_regi))
-        after = kpi.with_account(now_orders, kpi.account_master(now_regi))
-        for name, fn, keys in (("money_delta", kpi.pay_money, ["day", *kpi.MARKET]), ("payer_delta", kpi.pay_accounts, ["day", *kpi.MARKET]),
-                               ("ltv_delta", kpi.pay_ltv, ["reg_date", "reg_game_id"])):
-            metrics = [c for c in fn(after).columns if c not in keys]
-            minus = fn(before).select(*keys, *[(-F.col(m)).alias(m) for m in metrics])
-            t[name].write(total(fn(after).unionByName(minus), keys), batch)
+        changed = new["orders"].select("game_account").union(new["regi"].select("game_account"))
+        with _held(_pick(t["regi"].read(batch), changed, ["game_account"])) as old_regi, _held(_pick(t["orders"].read(batch), changed, ["game_account"])) as old_orders:
+            now_regi = old_regi.unionByName(_pick(new["regi"], changed, ["game_account"]))
+            before = kpi.with_account(old_orders, kpi.account_master(old_regi))
+            after = kpi.with_account(old_orders.unionByName(new["orders"]), kpi.account_master(now_regi))
+            self._write_deltas(batch, before, after, {
+                "money_delta": kpi.pay_money, "money_hour_delta": partial(kpi.pay_money, unit="hour"), "payer_delta": kpi.pay_accounts,
+                "payer_hour_delta": partial(kpi.pay_accounts, unit="hour"), "first_payer_delta": kpi.first_payers, "ltv_delta": kpi.pay_ltv})
         games = new["clicks"].select("game_id").distinct()
         t["click_delta"].write(kpi.click_uv(new["clicks"], games), batch)
 
@@ -90,7 +122,9 @@ class KpiPipeline:
             return ch.with_channel_parts(parsed, channel) if channel else parsed
 
         login = rows("login").withColumnRenamed("channel_expand", "expand_channel")
-        clicks = parse_log(lines, "request")[0].unionByName(parse_log(lines, "channel")[0])
+        clicks = parse_log(lines, "channel")[0]
+        if self.landing:
+            clicks = clicks.unionByName(parse_log(lines, "request", self.landing)[0])
         facts = {
             "games": (rows("pubgame"), ["game_id"]),
             "regi": (rows("regi", "expand_channel"), ["game_id", *ch.CHANNEL_COLS, "imei", "game_account", "reg_time"]),
@@ -101,10 +135,10 @@ class KpiPipeline:
         }
         return {n: self.tables[n].append_new(df, batch, keys) for n, (df, keys) in facts.items()}
 
-    def _write_delta(self, name: str, fn: Callable[[DataFrame], DataFrame], table: str, fresh: DataFrame, entity: list[str], batch: int) -> None:
-        out = self.tables[name]
-        keys = [c for c in out.read().columns if not c.endswith(("accounts", "devices", "active_num"))]
-        out.write(entity_delta(fn, self.tables[table].read(batch), fresh, entity, fresh.select(*entity).distinct(), keys), batch)
+    def _write_deltas(self, batch: int, before: DataFrame, after: DataFrame, kpis: dict[str, Callable[[DataFrame], DataFrame]]) -> None:
+        """Write what each KPI has gained or lost by the batch; ``before`` and ``after`` hold the touched entities only."""
+        for name, fn in kpis.items():
+            self.tables[name].write(change(fn(before), fn(after), _report_keys(self.tables[name].read())), batch)
 
     def published(self, games: DataFrame) -> DataFrame:
         """The given games and those the stream announced."""
@@ -113,15 +147,20 @@ class KpiPipeline:
     def report(self, name: str, games: DataFrame | None = None) -> DataFrame:
         """The summed changes of one delta table, of published games only when these are given."""
         deltas = self.tables[f"{name}_delta"].read()
-        keys = [c for c in deltas.columns if c in ("day", "hour", "publish_time", "reg_date", "reg_game_id", *kpi.MARKET)]
-        out = total(deltas, keys)
+        out = total(deltas, _report_keys(deltas))
         return out if games is None else out.join(self.published(games), "game_id", "left_semi")
 
-    def login_report(self, games: DataFrame) -> DataFrame:
+    def _kept(self, name: str, games: DataFrame) -> DataFrame:
+        return self.tables[name].read().join(self.published(games), "game_id", "left_semi")
+
+    def login_report(self, games: DataFrame, grain: Sequence[str] = kpi.MARKET) -> DataFrame:
         """Login KPIs from the detail tables: whether a login is new can change with any later line."""
-        keep = lambda name: self.tables[name].read().join(self.published(games), "game_id", "left_semi")
-        return kpi.login_kpi(keep("login"), keep("regi"), kpi.MARKET)
+        channel = "expand_channel" if tuple(grain) == kpi.MARKET else None
+        return kpi.login_kpi(self._kept("login", games), self._kept("regi", games), grain, channel)
 
+    def login_split_report(self, games: DataFrame) -> DataFrame:
+        """Logins of devices that registered that day and of those that did before."""
+        return kpi.login_split(self._kept("login", games), self._kept("regi", games))
 
     def pay_device_report(self) -> DataFrame:
         """Paying devices per (day, game), from the orders kept once."""
@@ -163,14 +202,12 @@ class WallPipeline:
     def report(self) -> DataFrame:
         rows = self.tables["wall"].read()
         clicks, actives = (rows.filter(F.col("adv_name") == name) for name in (records.WALL_CLICK, records.WALL_ACTIVE))
-        # every click counts, so its copies come back; at most as many rows as the wall sent
-        clicks = clicks.withColumn("_", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
         return kpi.wall_kpi(clicks, actives, self.tables["active"].read(), self.tables["regi"].read())
 
 
 @dataclass
 class AttributionPipeline:
-    """Clicks of the media, own activations and registrations, and what of these the clicks explain.
+    """Clicks of the media, own activations, registrations and orders, and what of these the clicks explain.
 
     ``event_id`` is a hash of the row, so replays and batch order give the same attribution.
     """
@@ -181,19 +218,22 @@ class AttributionPipeline:
 
     def __post_init__(self) -> None:
         schemas = {
-            "clicks": "pkg_id string, game_id int, os string, imei string, ts timestamp, callback string, adv_name int, idea_id string, first_level string, second_level string",
+            "clicks": "pkg_id string, game_id int, os string, imei string, ts timestamp, callback string, adv_name int, idea_id string, first_level string, second_level string, event_id bigint, copies bigint",
             "active": f"game_id int, {PARTS}, os string, imei string, active_time timestamp, event_id bigint",
             "regi": f"game_account string, game_id int, {PARTS}, os string, imei string, reg_time timestamp, event_id bigint",
+            "orders": "order_no string, order_time timestamp, game_account string, game_id int, ori_price decimal(18,2), total_amt decimal(18,2), imei string",
         }
-        times = {"clicks": "ts", "active": "active_time", "regi": "reg_time"}
+        times = {"clicks": "ts", "active": "active_time", "regi": "reg_time", "orders": "order_time"}
         self.tables = {n: DetailTable(self.spark, f"{self.base}/{n}", s, times.get(n)) for n, s in schemas.items()}
 
     def process(self, lines: DataFrame, batch: int) -> None:
         lines = lines.persist()
         try:
             third, own = records.route(lines)
-            clicks = records.parse_ad_clicks(third)
-            self.tables["clicks"].append_new(clicks, batch, clicks.columns)
+            clicks = records.parse_ad_clicks(third)[0]
+            # every click counts: equal ones become a row with their number
+            self.tables["clicks"].write(clicks.withColumn("event_id", F.xxhash64(*sorted(clicks.columns))).groupBy(*clicks.columns, "event_id").agg(F.count(F.lit(1)).alias("copies")), batch)
+            self.tables["orders"].append_new(parse_log(own, "order")[0], batch, ["order_no", "order_time", "game_account"])
             for kind, time in (("active", "active_time"), ("regi", "reg_time")):
                 rows = ch.with_channel_parts(parse_log(own, kind)[0], "expand_channel")
                 cols = [c for c in rows.columns if c != "expand_channel"]
@@ -202,6 +242,12 @@ class AttributionPipeline:
         finally:
             lines.unpersist()
 
+    def click_stats(self) -> DataFrame:
+        return attribution.click_stats(self.tables["clicks"].read())
+
+    def order_stats(self, registrations: DataFrame) -> DataFrame:
+        return attribution.order_stats(self.tables["orders"].read(), registrations)
+
     def activations(self) -> DataFrame:
         return attribution.attribute_activations(self.tables["active"].read(), self.tables["clicks"].read())
 
@@ -240,14 +286,18 @@ class AccountPipeline:
                           F.col("r.regi_time").alias("regi_time"), "last_login_time", "is_recharge")
 
 
-def dedup_orders(orders: DataFrame, seconds: int = C.ORDER_DEDUP_SECONDS) -> DataFrame:
-    """Drop repeats of (order, time, account); the state of an order is kept for the given time."""
-    return orders.withWatermark("order_time", f"{seconds} seconds").dropDuplicatesWithinWatermark(["order_no", "order_time", "game_account"])
+def dedup_orders(orders: DataFrame, seconds: int = C.ORDER_DEDUP_SECONDS, arrived: str = "arrived") -> DataFrame:
+    """Drop repeats of (order, time, account) that arrive within the given time of the first.
+
+    The watermark is on the time of arrival: an order line is never late, however old its order is, and the
+    state of an order expires when nothing has repeated it for that long.
+    """
+    return orders.withWatermark(arrived, f"{seconds} seconds").dropDuplicatesWithinWatermark(["order_no", "order_time", "game_account"])
 
 
-def first_of_day(rows: DataFrame, keys: list[str], time: str, hours: int = C.DAY_STATE_HOURS) -> DataFrame:
-    """The first row per key and day; the day's state expires after ``hours``."""
-    keyed = rows.withColumn("day", F.date_format(time, "yyyy-MM-dd")).withWatermark(time, f"{hours} hours")
+def first_of_day(rows: DataFrame, keys: list[str], time: str, hours: int = C.DAY_STATE_HOURS, arrived: str = "arrived") -> DataFrame:
+    """The first row to arrive per key and day of ``time``; the state expires ``hours`` after its arrival."""
+    keyed = rows.withColumn("day", F.date_format(time, "yyyy-MM-dd")).withWatermark(arrived, f"{hours} hours")
     return keyed.dropDuplicatesWithinWatermark(["day", *keys])
 
 

@@ -179,8 +179,8 @@ MD5_SQL = f"SELECT event_id, upper(md5(CASE WHEN length(imei) = 32 THEN {DASHES.
 
 @query("fun16_device_md5", "event_id:i hash:s", MD5_SQL)
 def device_md5(t):
-    sent = F.concat("imei", F.lit("&68:3e"))
-    return t.regi.select("event_id", device.device_md5(sent).alias("hash"))
+    sent = t.regi.select("event_id", F.concat("imei", F.lit("&68:3e")).alias("sent"))
+    return sent.select("event_id", device.device_md5("sent").alias("hash"))
 
 
 @query("udf04_device_md5", "event_id:i hash:s", MD5_SQL)
@@ -221,8 +221,9 @@ LADDER_SQL = """SELECT event_id, CASE WHEN l.ladders IS NULL THEN '0' WHEN amoun
 
 @query("udf02_divide_ladder", "event_id:i rate:s", LADDER_SQL)
 def divide_ladder(t):
-    rows = t.ev.select("event_id", "game_id", (F.col("event_id") % 7000).alias("amount")).join(t.ladders, "game_id", "left")
-    return rows.select("event_id", ladder.ladder_rate(F.col("ladders"), F.col("amount")).alias("rate"))
+    tiers = t.ladders.select("game_id", ladder.ladder_tiers("ladders").alias("tiers"))
+    rows = t.ev.select("event_id", "game_id", (F.col("event_id") % 7000).alias("amount")).join(tiers, "game_id", "left")
+    return rows.select("event_id", ladder.tier_rate("tiers", "amount").alias("rate"))
 
 
 @query("udf02_divide_ladder_sql", "event_id:i rate:s", LADDER_SQL)
@@ -235,7 +236,7 @@ def divide_ladder_sql(t):
 @query("srt04_ladder_sort", "game_id:i tiers:s", """
     SELECT game_id, '0=' || (10 + game_id) || ',1000=' || (20 + game_id) || ',5000=' || (30 + game_id) AS tiers FROM ladders""")
 def ladder_sort(t):
-    tiers = F.transform(ladder.ladder_tiers(F.col("ladders")), lambda x: F.concat_ws("=", x["threshold"], x["rate"]))
+    tiers = F.transform(ladder.ladder_tiers("ladders"), lambda x: F.concat_ws("=", x["threshold"], x["rate"]))
     return t.ladders.select("game_id", F.array_join(tiers, ",").alias("tiers"))
 
 
@@ -248,9 +249,7 @@ def concat_ladder(t):
 
 @query("agg26_games_per_os", "os:i games:s", "SELECT os, string_agg(game_id, ',' ORDER BY game_id) AS games FROM (SELECT DISTINCT os, game_id FROM medium_package WHERE feedbackurl <> '') GROUP BY 1")
 def games_per_os(t):
-    # distinct games first: the list holds as many entries as there are games
-    pairs = t.medium_package.filter("feedbackurl <> ''").select("os", "game_id").distinct()
-    return pairs.groupBy("os").agg(F.expr("array_join(array_sort(collect_list(game_id)), ',')").alias("games"))
+    return jobs.games_per_os(t.medium_package)
 
 
 @query("agg25_arpu", "day:s game_id:i amount:i accounts:i arpu:d", """

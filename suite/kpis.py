@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import datetime as dt
+import re
 
 from pyspark.sql import functions as F
 
@@ -10,8 +10,9 @@ from playcohort import constants as C
 from playcohort.functions import channel as ch
 from playcohort.operators import attribution, kpi, merge
 from playcohort.plans import jobs
+from playcohort.session import shared_dir
 from suite.registry import query
-from suite.reports import CH_SPEC, MARKET, REGI_BASE, REGI_PUB, parts
+from suite.reports import ATTRS, CH_SPEC, DAYS, MARKET, PAID_ORDERS, REGI_BASE, REGI_PUB, SIGNED_GROSS, in_run, parts
 
 HOUR = "strftime({0}, '%Y-%m-%d %H')"
 
@@ -114,13 +115,16 @@ def login_kpi_opera(t):
     return kpi.login_kpi(_published_logins(t), jobs.registration_base(t.regi, t.publish_game), kpi.OPERA, channel=None)
 
 
-@query("str04_login_split", f"day:s game_id:i {CH_SPEC} new_login_devices:i new_login_accounts:i dau_devices:i dau_accounts:i", f"""
+LOGIN_SPLIT = f"""
     WITH l AS ({LOGIN_BASE} WHERE game_id IN (SELECT game_id FROM publish_game)), r AS ({REGI_PUB}),
     n AS (SELECT cast(login_time AS date) AS day, {MARKET}, imei, count(DISTINCT acc) AS n FROM l GROUP BY ALL),
     f AS (SELECT {MARKET}, imei, min(cast(reg_time AS date)) AS fd FROM r GROUP BY ALL)
     SELECT day, {MARKET}, sum(CASE WHEN fd = day THEN 1 ELSE 0 END) AS new_login_devices, sum(CASE WHEN fd = day THEN n ELSE 0 END) AS new_login_accounts,
            sum(CASE WHEN fd = day THEN 0 ELSE 1 END) AS dau_devices, sum(CASE WHEN fd = day THEN 0 ELSE n END) AS dau_accounts
-    FROM n JOIN f USING ({MARKET}, imei) GROUP BY ALL""")
+    FROM n JOIN f USING ({MARKET}, imei) GROUP BY ALL"""
+
+
+@query("str04_login_split", f"day:s game_id:i {CH_SPEC} new_login_devices:i new_login_accounts:i dau_devices:i dau_accounts:i", LOGIN_SPLIT)
 def login_split(t):
     return kpi.login_split(_published_logins(t), jobs.registration_base(t.regi, t.publish_game))
 
@@ -277,11 +281,18 @@ def click_stats(t):
     return attribution.click_stats(t.ad_click)
 
 
-@query("str11_latest_clicks", "pkg_id:s imei:s ts:s callback:s adv_name:i", f"""
-    SELECT pkg_id, imei, ts, callback, adv_name FROM ad_click WHERE {GOOD.format('imei')}
-    QUALIFY row_number() OVER (PARTITION BY pkg_id, imei ORDER BY ts DESC, event_id DESC) = 1""")
+@query("str11_latest_clicks", "pkg_id:s imei:s ts:s callback:s adv_name:i idea_id:s first_level:s second_level:s matched:i", f"""
+    WITH {ACTS}, v AS (SELECT * FROM ad_click WHERE {GOOD.format('imei')} AND NOT (os = 'android' AND adv_name IN (1, 3) AND imei = '5284047f4ffb4e04824a2fd1d1f0cd62')),
+    w AS (SELECT v.*, (SELECT count(DISTINCT aj.t) FROM aj WHERE aj.pkg_id = v.pkg_id AND aj.cimei = v.imei AND aj.t < v.ts) AS before,
+                 (SELECT count(DISTINCT aj.t) FROM aj WHERE aj.pkg_id = v.pkg_id AND aj.cimei = v.imei) AS uses FROM v)
+    SELECT pkg_id, imei, max(ts) AS ts, max(callback) FILTER (last = 1) AS callback, max(adv_name) FILTER (first = 1) AS adv_name,
+           max(idea_id) FILTER (first = 1) AS idea_id, max(first_level) FILTER (first = 1) AS first_level, max(second_level) FILTER (first = 1) AS second_level,
+           CASE WHEN max(uses) > max(before) THEN 1 ELSE 0 END AS matched
+    FROM (SELECT *, row_number() OVER (PARTITION BY pkg_id, imei, before ORDER BY ts, event_id) AS first,
+                 row_number() OVER (PARTITION BY pkg_id, imei, before ORDER BY ts DESC, callback DESC) AS last FROM w)
+    GROUP BY pkg_id, imei, before""")
 def latest_clicks(t):
-    return attribution.latest_clicks(t.ad_click)
+    return attribution.click_table(t.ad_click, attribution.matched_clicks(ch.with_channel_parts(t.active, "expand_channel"), t.ad_click))
 
 
 @query("str12_click_uv", f"publish_time:s game_id:i {CH_SPEC} show_uv:i download_uv:i adpage_click_uv:i request_click_uv:i", f"""
@@ -342,39 +353,104 @@ def wall_kpi(t):
            greatest(coalesce(new_regi, 0) - new_mu_regi_dev_num, 0) AS new_natural_regi_dev_num
     FROM w LEFT JOIN an USING (day, game_id) LEFT JOIN rn USING (day, game_id)""")
 def wall_reconciliation(t):
-    keys = ["day", "game_id"]
-    day = F.to_date("day").alias("day")
-    acted = kpi.activation_kpi(t.active, kpi.OPERA, "day").select(day, "game_id", F.col("active_num").alias("own_active_num"))
-    regi = kpi.registration_kpi(t.regi, kpi.OPERA).select(
-        day, "game_id", F.col("regi_devices").alias("own_regi_dev_num"), F.col("new_regi_devices").alias("new_regi_dev_num"))
-    cols = ["own_active_num", "own_regi_dev_num", "new_regi_dev_num"]
-    wall = _wall(t).withColumns({c: F.lit(0).cast("long") for c in cols})
-    full = merge.update_from(wall, kpi.sum_branches([acted, regi], keys), keys, cols)
-    return full.withColumns({
-        "own_repeat_active_num": merge.positive_difference("repeat_active_num", "mu_repeat_active_num"),
-        "natural_regi_dev_num": merge.positive_difference("own_regi_dev_num", "regi_active_num"),
-        "new_natural_regi_dev_num": merge.positive_difference("new_regi_dev_num", "new_mu_regi_dev_num")})
-
-
-@query("job13_natural_residual", "day:s game_id:i group_id:i regi_num:i active_num:i pay_price:i", f"""
+    return jobs.wall_reconciliation(_wall(t), t.active, t.regi)
+
+
+_MARKET_HOURS = f"SELECT {HOUR.format('reg_time')} AS h, cast(reg_time AS date) AS day, {MARKET}, imei, count(DISTINCT acc) AS n FROM ({REGI_PUB}) GROUP BY ALL"
+_NATURAL = ("regi_num", "regi_dev_num", "active_num", "pay_price", "pay_accounts", "new_pay_price", "new_pay_accounts")
+
+
+def _branch(source: str, day: str = "day", **measures: str) -> str:
+    return f"SELECT {day} AS day, game_id, {', '.join(f'{measures.get(m, 0)} AS {m}' for m in _NATURAL)} FROM {source} GROUP BY ALL"
+
+
+@query("job13_natural_residual", "day:s game_id:i group_id:i " + " ".join(f"{m}:i" for m in _NATURAL), f"""
     WITH {ORDER_STATS},
-    rh AS (SELECT {HOUR.format('reg_time')} AS h, cast(reg_time AS date) AS day, game_id, imei, count(DISTINCT acc) AS n FROM ({REGI_PUB}) GROUP BY ALL),
-    am AS (SELECT game_id, imei, cast(min(active_time) AS date) AS day FROM active WHERE game_id IN (SELECT game_id FROM publish_game) GROUP BY game_id, imei),
-    tot AS (SELECT day, game_id, sum(a) AS regi_num, sum(b) AS active_num, sum(c) AS pay_price FROM (
-              SELECT day, game_id, n AS a, 0 AS b, 0 AS c FROM rh UNION ALL SELECT day, game_id, 0, 1, 0 FROM am
-              UNION ALL SELECT cast(order_time AS date), game_id, 0, 0, (ori_price + total_amt) * 100 FROM o WHERE game_id IN (SELECT game_id FROM publish_game)) GROUP BY ALL),
-    cl AS (SELECT day, game_id, sum(a) AS a, sum(b) AS b, sum(c) AS c FROM (
-              SELECT cast(reg_time AS date) AS day, game_id, 1 AS a, 0 AS b, 0 AS c FROM regs UNION ALL SELECT cast(active_time AS date), game_id, 0, 1, 0 FROM acts
-              UNION ALL SELECT day, game_id, 0, 0, pay_price FROM ostat) GROUP BY ALL)
-    SELECT tot.day, tot.game_id, g.group_id, tot.regi_num - coalesce(a, 0) AS regi_num, tot.active_num - coalesce(b, 0) AS active_num, tot.pay_price - coalesce(c, 0) AS pay_price
-    FROM tot JOIN game_sdk g ON g.old_game_id = tot.game_id LEFT JOIN cl ON cl.day = tot.day AND cl.game_id = tot.game_id""")
+    watched AS (SELECT game_id FROM medium_package WHERE feedbackurl <> '' INTERSECT SELECT game_id FROM publish_game),
+    rh AS ({_MARKET_HOURS}), rd AS (SELECT DISTINCT cast(reg_time AS date) AS day, game_id, imei FROM ({REGI_PUB})),
+    am AS (SELECT game_id, imei, cast(min(active_time) AS date) AS day FROM active GROUP BY game_id, imei),
+    fr AS (SELECT acc, min(cast(reg_time AS date)) AS reg_date FROM ({REGI_BASE}) GROUP BY acc),
+    op AS (SELECT cast(order_time AS date) AS day, o.game_id, o.acc, (ori_price + total_amt) * 100 AS amt, CASE WHEN reg_date = cast(order_time AS date) THEN 1 ELSE 0 END AS new
+           FROM o LEFT JOIN fr ON fr.acc = o.acc),
+    tu AS ({_branch('rh', regi_num='sum(n)')} UNION ALL {_branch('rd', regi_dev_num='count(*)')} UNION ALL {_branch('am', active_num='count(*)')}
+           UNION ALL {_branch('op', pay_price='sum(amt)', pay_accounts='count(DISTINCT acc)', new_pay_price='sum(amt * new)', new_pay_accounts='count(DISTINCT CASE WHEN new = 1 THEN acc END)')}),
+    tot AS (SELECT day, game_id, {', '.join(f'sum({m}) AS {m}' for m in _NATURAL)} FROM tu WHERE game_id IN (SELECT game_id FROM watched) GROUP BY ALL),
+    rs AS ({first_per_day("SELECT * FROM regs", "cast(reg_time AS date)", "medium, pkg_code, imei", "reg_time, event_id", "regi_num", "regi_dev_num")}),
+    cu AS ({_branch("(SELECT * FROM rs WHERE pkg_code <> '')", regi_num='sum(regi_num)', regi_dev_num='sum(regi_dev_num)')}
+           UNION ALL {_branch("(SELECT * FROM acts WHERE pkg_code <> '')", 'cast(active_time AS date)', active_num='count(*)')}
+           UNION ALL {_branch("(SELECT * FROM ostat WHERE pkg_code <> '')", pay_price='sum(pay_price)', pay_accounts='sum(pay_accounts)', new_pay_price='sum(new_pay_price)', new_pay_accounts='sum(new_pay_accounts)')}),
+    cl AS (SELECT day, game_id, {', '.join(f'sum({m}) AS {m}' for m in _NATURAL)} FROM cu GROUP BY ALL)
+    SELECT tot.day, tot.game_id, g.group_id, {', '.join(f'tot.{m} - coalesce(cl.{m}, 0) AS {m}' for m in _NATURAL)}
+    FROM tot JOIN game_sdk g ON g.old_game_id = tot.game_id LEFT JOIN cl ON cl.day = tot.day AND cl.game_id = tot.game_id WHERE {in_run('tot.day')}""")
 def natural_residual(t):
     acts, regs = jobs.attribution_chain(t.active, t.ad_click, t.regi)
-    return jobs.natural_traffic(t.regi, t.active, jobs.clean_order_log(t.orders_g), acts, regs, t.publish_game, t.game_sdk)
+    return jobs.natural_traffic(t.regi, t.active, jobs.clean_order_log(t.orders_g), acts, regs, t.publish_game, t.game_sdk, t.medium_package, DAYS)
+
 
+_DAY_METRICS = ("regi_accounts", "new_regi_accounts", "regi_devices", "new_regi_devices")
 
-@query("job19_registration_rerun", f"day:s game_id:i {CH_SPEC} {REGI_OUT}", _registration("day", MARKET))
+
+@query("job19_registration_rerun", f"day:s game_id:i {CH_SPEC} {REGI_OUT}", f"""
+    SELECT day, {MARKET}, {', '.join(f"CASE WHEN {in_run('day')} THEN {m} ELSE -1 END AS {m}" for m in _DAY_METRICS)} FROM ({_registration("day", MARKET)})
+    UNION ALL SELECT '{DAYS[0]}', 999, 'gone', 's', 'p', 0, 0, 0, 0""")
 def registration_rerun(t):
-    # the table as an earlier run left it, and a range of it run again: the result must not change
+    # a table full of wrong numbers, with a key the log does not have: the run mends its own days and leaves the others alone
     table = kpi.registration_kpi(jobs.registration_base(t.regi, t.publish_game), kpi.MARKET)
-    return jobs.registration_rerun(table, t.regi, t.publish_game, dt.date(2024, 1, 10), dt.date(2024, 1, 20))
+    wrong = table.withColumns({m: F.lit(-1).cast("long") for m in _DAY_METRICS})
+    gone = t.spark.range(1).select(F.lit(str(DAYS[0])).alias("day"), F.lit(999).alias("game_id"), F.lit("gone").alias("parent_channel"), F.lit("s").alias("child_channel"),
+                                   F.lit("p").alias("pkg_code"), *[F.lit(7).cast("long").alias(m) for m in _DAY_METRICS])
+    path = shared_dir(t.spark, "registration-days")
+    merge.overwrite_days(wrong.unionByName(gone), path, "day")
+    jobs.registration_rerun(path, t.regi, t.publish_game, DAYS)
+    return t.spark.read.parquet(path)
+
+
+# --- the combined daily report: some packages hold a backslash and do not show up ------------------------------
+SLASHED = "CASE WHEN event_id % 41 = 0 THEN 'm1_s1_p\\x' ELSE expand_channel END"
+_KEY = f"day, {MARKET}"
+_ON = " AND ".join(f"k.{c} = {{0}}.{c}" for c in ("day", *MARKET.split(", ")))
+_TEXT_DAY = "cast(day AS varchar) AS day"
+_UPTO = f"cast(reg_time AS date) <= date '{DAYS[1]}'"
+REPORT = ("adpage_click_uv", "request_click_uv", "download_uv", "new_regi_device_num", "new_login_device_num", "new_active_device_num", "new_regi_account_num",
+          "new_regi_device_login_num", "active_num", "order_num", "order_amount", "retained_1day", "retained_3day", "retained_7day", "order_amount_1day", "order_amount_3day", "order_amount_7day")
+_DAILY = f"""
+    WITH q1 AS (SELECT day, {MARKET}, new_regi_devices AS new_regi_device_num, new_regi_accounts AS new_regi_account_num FROM ({_registration("day", MARKET)})),
+    q2 AS (SELECT {_TEXT_DAY}, {MARKET}, new_login_devices AS new_login_device_num, new_active_devices AS new_active_device_num FROM ({_login_kpi(MARKET, True)})),
+    q3 AS (SELECT cast(cast(t AS date) AS varchar) AS day, {MARKET}, count(*) AS active_num
+           FROM (SELECT {MARKET}, imei, min(active_time) AS t FROM ({ACTIVE}) WHERE game_id IN (SELECT game_id FROM publish_game) GROUP BY ALL) GROUP BY ALL),
+    q4 AS (SELECT cast(day AS varchar) AS day, {MARKET}, sum(CASE WHEN type = 3 THEN 1 ELSE 0 END) AS adpage_click_uv, sum(CASE WHEN type = 4 THEN 1 ELSE 0 END) AS request_click_uv,
+                  sum(CASE WHEN type = 2 THEN 1 ELSE 0 END) AS download_uv
+           FROM (SELECT DISTINCT cast(ts AS date) AS day, game_id, {parts('expand_channel')}, type, ip FROM landing WHERE game_id IN (SELECT game_id FROM publish_game)) GROUP BY ALL),
+    q5 AS (WITH {PAID.replace(f"r AS ({REGI_BASE})", f"r AS (SELECT * FROM ({REGI_BASE}) WHERE {_UPTO})")}
+           SELECT cast(cast(order_time AS date) AS varchar) AS day, {MARKET}, count(DISTINCT imei) AS order_num, sum(ori_price + total_amt) * 100 AS order_amount
+           FROM p WHERE game_id IN (SELECT game_id FROM publish_game) GROUP BY ALL),
+    keys AS (SELECT {_KEY} FROM q1 UNION SELECT {_KEY} FROM q2 UNION SELECT {_KEY} FROM q3 UNION SELECT {_KEY} FROM q4 UNION SELECT {_KEY} FROM q5),
+    k AS (SELECT * FROM keys WHERE {in_run('day')} AND NOT contains(pkg_code, '\\')),
+    r AS ({REGI_PUB}),
+    fd AS (SELECT {MARKET}, imei, cast(min(reg_time) AS date) AS fd FROM r GROUP BY ALL),
+    a1 AS (SELECT cast(fd AS varchar) AS day, {MARKET}, sum(CASE WHEN dur = 1 THEN 1 ELSE 0 END) AS retained_1day, sum(CASE WHEN dur = 2 THEN 1 ELSE 0 END) AS retained_3day,
+                  sum(CASE WHEN dur = 6 THEN 1 ELSE 0 END) AS retained_7day
+           FROM (SELECT DISTINCT fd.*, date_diff('day', fd, cast(l.login_time AS date)) AS dur FROM fd JOIN login l ON l.imei = fd.imei) GROUP BY ALL),
+    mem AS (SELECT acc, game_id, cast(reg_time AS date) AS md, parent_channel, child_channel, pkg_code FROM r
+            QUALIFY row_number() OVER (PARTITION BY acc, game_id ORDER BY reg_time, parent_channel, child_channel, pkg_code) = 1),
+    po AS ({PAID_ORDERS} WHERE order_status IN (4, 8)),
+    a2 AS (SELECT cast(md AS varchar) AS day, mem.game_id, parent_channel, child_channel, pkg_code,
+                  {', '.join(f"coalesce(sum(CASE WHEN date_diff('day', md, cast(order_time AS date)) BETWEEN 0 AND {n - 1} THEN {SIGNED_GROSS} END), 0) * 100 AS order_amount_{n}day" for n in (1, 3, 7))}
+           FROM mem JOIN po ON po.acc = mem.acc AND po.game_id = mem.game_id GROUP BY ALL),
+    a3 AS (SELECT cast(r.day AS varchar) AS day, r.game_id, r.parent_channel, r.child_channel, r.pkg_code, count(l.game_account) AS new_regi_device_login_num
+           FROM (SELECT DISTINCT cast(reg_time AS date) AS day, {MARKET}, imei FROM r) r
+           JOIN (SELECT cast(login_time AS date) AS day, {parts('channel_expand')}, imei, game_account FROM login WHERE game_id IN (SELECT game_id FROM publish_game)) l
+             ON l.day = r.day AND l.imei = r.imei AND l.parent_channel = r.parent_channel AND l.child_channel = r.child_channel AND l.pkg_code = r.pkg_code GROUP BY ALL)
+    SELECT k.*, {', '.join(f'coalesce({m}, 0) AS {m}' for m in REPORT)},
+           coalesce(f.promotion_channel, '') AS promotion_channel, coalesce(f.medium_account, '') AS medium_account, coalesce(f.promotion_mode, '') AS promotion_mode,
+           coalesce(f.head_people, '') AS head_people, coalesce(g.game_id, 0) AS parent_game_id, coalesce(g.system_type, 1) AS os, coalesce(g.group_id, 0) AS group_id
+    FROM k {' '.join(f'LEFT JOIN {q} ON {_ON.format(q)}' for q in ('q1', 'q2', 'q3', 'q4', 'q5', 'a1', 'a2', 'a3'))}
+    LEFT JOIN fxdim f ON f.pkg_code = k.pkg_code AND cast(k.day AS date) BETWEEN f.mstart_date AND f.mend_date AND cast(k.day AS date) BETWEEN f.astart_date AND f.aend_date
+    LEFT JOIN game_sdk g ON g.old_game_id = k.game_id"""
+
+
+@query("job12_daily_report", f"day:s game_id:i {CH_SPEC} " + " ".join(f"{m}:i" for m in REPORT) + f" {ATTRS}",
+       re.sub(r"\bFROM regi\b", lambda _: f"FROM (SELECT * REPLACE ({SLASHED} AS expand_channel) FROM regi) regi", _DAILY))
+def daily_report(t):
+    regi = t.regi.withColumn("expand_channel", F.when(F.col("event_id") % 41 == 0, "m1_s1_p\\x").otherwise(F.col("expand_channel")))
+    return jobs.daily_report(regi, t.login, t.active, t.orders_g, t.landing, t.publish_game, t.game_sdk, t.fxdim, DAYS)

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+from playcohort.sources.logs import landing_line
+
+LANDING = landing_line("/landing/loaded", "0800")
 STAMP = "'2024-01-01 10:00:00,001 [INFO] bi: '"
 TIME = "CASE WHEN event_id % 31 = 0 THEN 'bad time' ELSE date_format(ts, 'yyyy-MM-dd HH:mm:ss') END"
 GAME = "CASE WHEN event_id % 23 = 0 THEN 'x' ELSE cast(game_id AS string) END"
@@ -59,7 +62,7 @@ def request_lines(ev: DataFrame) -> DataFrame:
     """Web access lines; every 11th is a 404, every 13th another page, every 17th lacks its game."""
     return ev.filter("event_type = 'click'").selectExpr(
         "'10.9.9.9 - - [' || date_format(ts, 'dd/MMM/yyyy:HH:mm:ss') || ' +0800] \"GET ' || "
-        "CASE WHEN event_id % 13 = 0 THEN '/other' ELSE '/Ssxy/loadComplete?p=m' || (u % 3) || '_s' || (u % 5) || '_p' || (u % 11) || '&g=' || "
+        "CASE WHEN event_id % 13 = 0 THEN '/other' ELSE '/landing/loaded?p=m' || (u % 3) || '_s' || (u % 5) || '_p' || (u % 11) || '&g=' || "
         "CASE WHEN event_id % 17 = 0 THEN '' ELSE cast(game_id AS string) END END || "
         "CASE WHEN event_id % 11 = 0 THEN ' HTTP/1.0\" 404' ELSE ' HTTP/1.1\" 200' END || ' 5 \"-\" \"agent\" 10.0.0.' || (u % 50) || ', 10.9.9.9' AS value")
 

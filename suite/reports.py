@@ -8,9 +8,10 @@ from pyspark.sql import functions as F
 
 from playcohort import constants as C
 from playcohort.functions import channel as ch
-from playcohort.operators import attribution, dims, kpi, members, revenue
+from playcohort.operators import attribution, dims, kpi, members, merge, revenue
 from playcohort.operators.ltv import daily_spend, distinct_orders, ltv, ltv_by_join
 from playcohort.plans import jobs
+from playcohort.session import shared_dir
 from suite.registry import query
 
 RUN_DAY = dt.date(2024, 1, 30)
@@ -238,21 +239,26 @@ def band_spec(bands, prefix) -> str:
 
 
 CH_SPEC = "parent_channel:s child_channel:s pkg_code:s"
+DAYS = (dt.date(2024, 1, 5), dt.date(2024, 1, 25))
+
+
+def in_run(time: str) -> str:
+    return f"cast({time} AS date) BETWEEN date '{DAYS[0]}' AND date '{DAYS[1]}'"
 
 
 @query("job08_login_histogram", f"day:s game_id:i {CH_SPEC} {band_spec(C.LOGINS_PER_DEVICE, 'dau_lg_')} dau_lg_times:i {GAME}", f"""
     WITH l AS (SELECT cast(login_time AS date) AS day, game_id, {parts('channel_expand')}, imei, count(game_account) AS cs FROM login
-               WHERE game_id IN (SELECT game_id FROM publish_game) GROUP BY 1, 2, 3, 4, 5, 6),
+               WHERE game_id IN (SELECT game_id FROM publish_game) AND {in_run('login_time')} GROUP BY 1, 2, 3, 4, 5, 6),
     k AS (SELECT day, game_id, parent_channel, child_channel, pkg_code, {band_sums('cs', C.LOGINS_PER_DEVICE, 'dau_lg_')}, sum(cs) AS dau_lg_times
           FROM l GROUP BY 1, 2, 3, 4, 5)
     SELECT k.*, {GAME_SQL} FROM k JOIN game_sdk g ON g.old_game_id = k.game_id""")
 def login_histogram(t):
-    return jobs.login_histogram(t.login, t.publish_game, t.game_sdk)
+    return jobs.login_histogram(t.login, t.publish_game, t.game_sdk, DAYS)
 
 
 @query("job08_new_device_login_histogram", f"day:s game_id:i {CH_SPEC} {band_spec(C.LOGINS_PER_DEVICE, 'dev_add_lg_')} dev_add_lg_times:i {GAME}", f"""
     WITH l AS (SELECT cast(login_time AS date) AS day, {parts('channel_expand')}, imei, game_account FROM login WHERE game_id IN (SELECT game_id FROM publish_game)),
-    r AS (SELECT DISTINCT cast(reg_time AS date) AS day, game_id, {parts('expand_channel')}, imei FROM regi WHERE game_id IN (SELECT game_id FROM publish_game)),
+    r AS (SELECT DISTINCT cast(reg_time AS date) AS day, game_id, {parts('expand_channel')}, imei FROM regi WHERE game_id IN (SELECT game_id FROM publish_game) AND {in_run('reg_time')}),
     c AS (SELECT r.day, r.game_id, r.parent_channel, r.child_channel, r.pkg_code, r.imei, count(l.game_account) AS cs
           FROM r JOIN l ON r.day = l.day AND r.imei = l.imei AND r.pkg_code = l.pkg_code AND r.parent_channel = l.parent_channel AND r.child_channel = l.child_channel
           GROUP BY 1, 2, 3, 4, 5, 6),
@@ -260,7 +266,7 @@ def login_histogram(t):
           FROM c GROUP BY 1, 2, 3, 4, 5)
     SELECT k.*, {GAME_SQL} FROM k JOIN game_sdk g ON g.old_game_id = k.game_id""")
 def new_device_login_histogram(t):
-    return jobs.new_device_login_histogram(t.regi, t.login, t.publish_game, t.game_sdk)
+    return jobs.new_device_login_histogram(t.regi, t.login, t.publish_game, t.game_sdk, DAYS)
 
 
 @query("job09_spend_bands", f"reg_date:s game_id:i {CH_SPEC} {band_spec(C.SPEND_BANDS, 'recharge_accounts_')} payers:i {GAME}", f"""
@@ -280,12 +286,12 @@ REAL = " AND imei <> ''"
 
 @query("job10_device_account_histogram", f"reg_date:s game_id:i amount_no_dev_num:i {band_spec(C.ACCOUNTS_PER_DEVICE, 'dev_acc_')} {GAME}", f"""
     WITH d AS (SELECT cast(reg_time AS date) AS reg_date, CASE WHEN imei = repeat('0', 32) THEN '' ELSE imei END AS imei, game_id,
-                      count(DISTINCT lower(trim(game_account))) AS n FROM (SELECT * FROM regi) GROUP BY 1, 2, 3),
+                      count(DISTINCT lower(trim(game_account))) AS n FROM (SELECT * FROM regi WHERE {in_run('reg_time')}) GROUP BY 1, 2, 3),
     k AS (SELECT reg_date, game_id, sum(CASE WHEN imei = '' THEN n ELSE 0 END) AS amount_no_dev_num,
                  {band_sums('n', C.ACCOUNTS_PER_DEVICE, 'dev_acc_', extra=REAL)} FROM d GROUP BY 1, 2)
     SELECT k.*, {GAME_SQL} FROM k JOIN game_sdk g ON g.old_game_id = k.game_id AND g.state = 0""")
 def device_account_histogram(t):
-    return jobs.device_account_histogram(t.regi, t.game_sdk)
+    return jobs.device_account_histogram(t.regi, t.game_sdk, DAYS)
 
 
 @query("job10_coarse_device_histogram", f"reg_date:s game_id:i amount_no_dev_num:i {band_spec(C.ACCOUNTS_PER_DEVICE, 'dev_acc_')} {GAME}", f"""
@@ -304,14 +310,14 @@ PAY_OFFSET_SPEC = " ".join(f"pay_account_num_{n + 1}day:i" for n in C.PAY_OFFSET
 
 
 @query("job10_pay_accounts_by_offset", f"reg_date:s game_id:i game_account_num:i {PAY_OFFSET_SPEC} {GAME}", f"""
-    WITH r AS (SELECT DISTINCT cast(reg_time AS date) AS reg_date, game_id, lower(trim(game_account)) AS acc FROM regi),
+    WITH r AS (SELECT DISTINCT cast(reg_time AS date) AS reg_date, game_id, lower(trim(game_account)) AS acc FROM regi WHERE {in_run('reg_time')}),
     o AS (SELECT DISTINCT lower(trim(game_account)) AS acc, cast(order_time AS date) AS od FROM orders_g WHERE order_status = 4 AND prod_type = 6),
     k AS (SELECT reg_date, r.game_id, count(DISTINCT r.acc) AS game_account_num,
                  {", ".join(f"count(DISTINCT CASE WHEN date_diff('day', reg_date, od) = {n} THEN r.acc END) AS pay_account_num_{n + 1}day" for n in C.PAY_OFFSETS)}
           FROM r LEFT JOIN o ON r.acc = o.acc GROUP BY 1, 2)
     SELECT k.*, {GAME_SQL} FROM k JOIN game_sdk g ON g.old_game_id = k.game_id AND g.state = 0""")
 def pay_accounts_by_offset(t):
-    return jobs.pay_accounts_by_offset(t.regi, t.orders_g, t.game_sdk)
+    return jobs.pay_accounts_by_offset(t.regi, t.orders_g, t.game_sdk, DAYS)
 
 
 PERF_SQL = f"""
@@ -331,8 +337,8 @@ PERF_SQL = f"""
           FROM f JOIN game_sdk g ON g.old_game_id = f.game_id AND g.state = 0)"""
 
 
-def _performance(t):
-    return jobs.performance(t.regi, t.orders_g, t.receipts, t.publish_game, t.game_sdk)
+def _performance(t, days=None):
+    return jobs.performance(t.regi, t.orders_g, t.receipts, t.publish_game, t.game_sdk, days)
 
 
 @query("job11_revenue_performance", f"day:s game_id:i {CH_SPEC} pay_type:s pay_water:i box_water:i regi_num:i main_man:s {GAME}", f"""
@@ -347,11 +353,24 @@ def _performance(t):
            JOIN users u ON u.id = l.user_id GROUP BY 1, 2)
     SELECT p.*, coalesce(mm.name, cc.name, '') AS main_man FROM p LEFT JOIN mm ON mm.pkg_code = p.pkg_code AND mm.day = p.day
     LEFT JOIN cc ON cc.pkg_code = p.pkg_code AND cc.day = p.day
-    WHERE length(p.parent_channel) <= 10 AND length(p.child_channel) <= 10 AND length(p.pkg_code) <= 12""")
+    WHERE length(p.parent_channel) <= 10 AND length(p.child_channel) <= 10 AND length(p.pkg_code) <= 12 AND {in_run('p.day')}""")
 def revenue_performance(t):
     return jobs.performance_with_owner(
-        _performance(t), channel_pkg=t.channel_pkg, channel_manager=t.channel_manager, medium_package=t.medium_package,
-        merchant=t.merchant, charge_log=t.charge_log, user=t.users)
+        _performance(t, DAYS), channel_pkg=t.channel_pkg, channel_manager=t.channel_manager, medium_package=t.medium_package,
+        merchant=t.merchant, charge_log=t.charge_log, user=t.users)[0]
+
+
+@query("job11_daily_rerun", f"day:s game_id:i {CH_SPEC} pay_type:s pay_water:i regi_num:i", f"""
+    WITH {PERF_SQL}
+    SELECT day, game_id, parent_channel, child_channel, pkg_code, pay_type, CASE WHEN {in_run('day')} THEN pay_water ELSE -1 END AS pay_water,
+           CASE WHEN {in_run('day')} THEN regi_num ELSE -1 END AS regi_num FROM p""")
+def performance_rerun(t):
+    # a table full of wrong numbers: the run replaces its own days and leaves the others alone
+    path = shared_dir(t.spark, "performance-days")
+    wrong = _performance(t).withColumns({"pay_water": F.lit(-1).cast("long"), "regi_num": F.lit(-1).cast("long")})
+    merge.overwrite_days(wrong, path, "day")
+    merge.overwrite_days(_performance(t, DAYS), path, "day")
+    return t.spark.read.parquet(path)
 
 
 @query("job11_cost_base", "day:s parent_game_id:i game_id:i os:i group_id:i bill_type:i corporation_id:i", f"""
@@ -385,43 +404,6 @@ REGI_PUB = f"{REGI_BASE} WHERE game_id IN (SELECT game_id FROM publish_game)"
 MARKET = "game_id, parent_channel, child_channel, pkg_code"
 
 
-@query("job12_daily_report", f"day:s game_id:i {CH_SPEC} regi_accounts:i regi_devices:i new_regi_devices:i retained_1day:i retained_2day:i ltv_1day:i ltv_3day:i", f"""
-    WITH r AS ({REGI_PUB}),
-    hh AS (SELECT strftime(reg_time, '%Y-%m-%d %H') AS hour, {MARKET}, imei, count(DISTINCT acc) AS n FROM r GROUP BY 1, 2, 3, 4, 5, 6),
-    fd AS (SELECT {MARKET}, imei, min(cast(reg_time AS date)) AS fd FROM r GROUP BY 1, 2, 3, 4, 5),
-    b AS (SELECT hh.hour[1:10] AS day, hh.game_id, hh.parent_channel, hh.child_channel, hh.pkg_code, sum(n) AS regi_accounts, count(DISTINCT hh.imei) AS regi_devices,
-                 count(DISTINCT CASE WHEN cast(fd AS varchar) = hh.hour[1:10] THEN hh.imei END) AS new_regi_devices
-          FROM hh JOIN fd USING (game_id, parent_channel, child_channel, pkg_code, imei) GROUP BY 1, 2, 3, 4, 5),
-    dd AS (SELECT DISTINCT cast(fd AS varchar) AS day, {MARKET}, fd.imei, date_diff('day', fd, cast(l.login_time AS date)) AS dur FROM fd JOIN login l ON l.imei = fd.imei
-           ) , ret AS (SELECT day, d.game_id, parent_channel, child_channel, pkg_code, {retained((1, 2))} FROM
-           (SELECT DISTINCT cast(fd AS varchar) AS day, fd.game_id, parent_channel, child_channel, pkg_code, fd.imei, date_diff('day', fd, cast(l.login_time AS date)) AS dur
-            FROM fd JOIN login l ON l.imei = fd.imei) d GROUP BY 1, 2, 3, 4, 5),
-    mem AS (SELECT acc, game_id, cast(min(reg_time) AS date) AS day, arg_min(parent_channel, event_id) AS parent_channel, arg_min(child_channel, event_id) AS child_channel,
-                   arg_min(pkg_code, event_id) AS pkg_code FROM r GROUP BY 1, 2),
-    o AS ({PAID_ORDERS} WHERE order_status IN (4, 8)),
-    lt AS (SELECT cast(mem.day AS varchar) AS day, mem.game_id, parent_channel, child_channel, pkg_code,
-                  coalesce(sum(CASE WHEN date_diff('day', mem.day, cast(order_time AS date)) = 0 THEN {SIGNED_GROSS} END), 0) * 100 AS ltv_1day,
-                  coalesce(sum(CASE WHEN date_diff('day', mem.day, cast(order_time AS date)) BETWEEN 0 AND 2 THEN {SIGNED_GROSS} END), 0) * 100 AS ltv_3day
-           FROM mem JOIN o ON o.acc = mem.acc AND o.game_id = mem.game_id GROUP BY 1, 2, 3, 4, 5)
-    SELECT b.*, coalesce(retained_1day, 0) AS retained_1day, coalesce(retained_2day, 0) AS retained_2day, coalesce(ltv_1day, 0) AS ltv_1day, coalesce(ltv_3day, 0) AS ltv_3day
-    FROM b LEFT JOIN ret USING (day, game_id, parent_channel, child_channel, pkg_code) LEFT JOIN lt USING (day, game_id, parent_channel, child_channel, pkg_code)""")
-def daily_report(t):
-    from playcohort.operators.cohort import retention
-
-    base = jobs.registration_base(t.regi, t.publish_game)
-    keys = ["day", *kpi.MARKET]
-    counts = kpi.registration_kpi(base, kpi.MARKET).drop("new_regi_accounts")
-    firsts = base.groupBy(*kpi.MARKET, "imei").agg(F.to_date(F.min("reg_time")).alias("reg_date"))
-    back = retention(firsts, t.login, ["imei"], ["reg_date", *kpi.MARKET], (1, 2), "login_time", dt.date(2024, 1, 1), RUN_DAY)
-    one = base.groupBy("game_account", "game_id").agg(F.min(F.struct("reg_time", "event_id", *ch.CHANNEL_COLS)).alias("r"))
-    cohort = one.select("game_account", "game_id", F.to_date("r.reg_time").alias("reg_date"), *[F.col(f"r.{c}") for c in ch.CHANNEL_COLS])
-    spend = daily_spend(jobs.clean_accounts(distinct_orders(t.orders_g)), ["game_account", "game_id"], gross=True)
-    value = ltv(cohort, spend, ["game_account", "game_id"], ["reg_date", *kpi.MARKET], (1, 3)).drop("accounts")
-    as_day = lambda df: df.withColumn("day", F.col("reg_date").cast("string")).drop("reg_date")
-    actions = kpi.sum_branches([as_day(back), as_day(value)], keys)
-    return revenue.daily_report(counts, actions, keys)
-
-
 @query("job14_card_accounts", "game_account:s uid:i game_id:i game_name:s user_type:i regi_time:s last_login_time:s is_recharge:i user_account:s platform:s", """
     SELECT r.game_account, r.owner_id AS uid, coalesce(mainid, 0) AS game_id, coalesce(maingname, '') AS game_name,
            CASE WHEN reg_resource = 1 THEN 1 ELSE 2 END AS user_type, relate_time AS regi_time, last_login_time,

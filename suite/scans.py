@@ -75,14 +75,14 @@ REQUEST = "event_type = 'click' AND event_id % 11 <> 0 AND event_id % 13 <> 0 AN
     SELECT 4 AS type, 'm' || (u % 3) || '_s' || (u % 5) || '_p' || (u % 11) AS expand_channel, '10.0.0.' || (u % 50) AS ip, cast(ts AS date) AS publish_time, game_id
     FROM ev WHERE {REQUEST}""")
 def parse_request(t):
-    return parse_log(lines.request_lines(t.ev), "request")[0]
+    return parse_log(lines.request_lines(t.ev), "request", lines.LANDING)[0]
 
 
 @query("set02_click_union", "type:i expand_channel:s ip:s publish_time:s game_id:i", f"""
     SELECT 4 AS type, 'm' || (u % 3) || '_s' || (u % 5) || '_p' || (u % 11) AS expand_channel, '10.0.0.' || (u % 50) AS ip, cast(ts AS date) AS publish_time, game_id FROM ev WHERE {REQUEST}
     UNION SELECT event_id % 4 + 1, {CLEAN_CHANNEL}, '10.0.0.' || (u % 50), cast(ts AS date), game_id FROM ev WHERE event_type = 'click' AND {GOOD}""")
 def click_union(t):
-    request, channel = (parse_log(make(t.ev), kind)[0] for make, kind in ((lines.request_lines, "request"), (lines.channel_lines, "channel")))
+    request, channel = (parse_log(make(t.ev), kind, lines.LANDING)[0] for make, kind in ((lines.request_lines, "request"), (lines.channel_lines, "channel")))
     return request.unionByName(channel).distinct()
 
 
@@ -124,7 +124,7 @@ AD = "event_id % 19 <> 0"
            CASE WHEN adv_name = 2 THEN first_level ELSE '' END AS first_level, CASE WHEN adv_name = 1 THEN '' ELSE second_level END AS second_level
     FROM ad_click WHERE {AD}""")
 def ad_clicks(t):
-    return records.parse_ad_clicks(lines.ad_click_lines(t.ad_click))
+    return records.parse_ad_clicks(lines.ad_click_lines(t.ad_click))[0]
 
 
 @query("set07_media_union", "media:s os:s clicks:i games:i", f"""
@@ -134,7 +134,7 @@ def media_union(t):
     from playcohort.operators.attribution import media_name
 
     third, _ = records.route(lines.ad_click_lines(t.ad_click).union(lines.login_lines(t.ev)))
-    clicks = records.parse_ad_clicks(third).select(media_name(F.col("adv_name")).alias("media"), "os", "game_id")
+    clicks = records.parse_ad_clicks(third)[0].select(media_name(F.col("adv_name")).alias("media"), "os", "game_id")
     per_game = clicks.groupBy("media", "os", "game_id").agg(F.count("*").alias("n"))
     return per_game.groupBy("media", "os").agg(F.sum("n").alias("clicks"), F.count("*").alias("games"))
 

@@ -3,18 +3,20 @@
 from __future__ import annotations
 
 import re
+from functools import partial
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from playcohort import constants as C
-from playcohort.operators import attribution
-from playcohort.session import shared_dir
+from playcohort.operators import attribution, kpi
+from playcohort.session import materialize, shared_dir
 from playcohort.sources.logs import parse_log
 from playcohort.sources.tables import file_lines
 from playcohort.streaming import pipelines
 from suite import lines
-from suite.kpis import HOUR, LOGIN_OUT, REGI_OUT, REGS, STAT, STAT_SPEC, WALL, WALL_SPEC, _login_kpi
+from suite.kpis import (ACTIVE, ACTS, CLICK_ROWS, HOUR, LOGIN_OUT, LOGIN_SPLIT, ORDER_LOG, ORDER_STATS, REGI_OUT, REGS, STAT, STAT_SPEC, WALL, WALL_SPEC,
+                        _login_kpi, _registration, first_per_day)
 from suite.lines import GOOD
 from suite.registry import query
 from suite.reports import CH_SPEC, MARKET, parts
@@ -24,11 +26,13 @@ EMPTY = "coalesce(channel, '')"
 PUBLISHED = "(SELECT n_nationkey FROM nation WHERE n_nationkey % 9 <> 0 UNION SELECT game_id FROM publish_game)"
 
 
-def replay(t, made: DataFrame, purpose: str, files: int = 2) -> DataFrame:
-    """The lines as a stream of text files, in an order unrelated to their times."""
+def replay(t, made: DataFrame, purpose: str, files: int = 5, arrival: bool = False) -> DataFrame:
+    """The lines as a stream of text files, in an order unrelated to their times; some lines come again in another file."""
     path = shared_dir(t.spark, purpose)
-    made.repartition(files, F.xxhash64("value")).write.text(path)
-    return file_lines(t.spark, path, files_per_trigger=1)
+    again = made.filter(F.pmod(F.xxhash64("value"), F.lit(5)) == 0) if arrival else made.limit(0)
+    # round robin: copies of a line end up in different files
+    made.union(again).repartition(files).write.text(path)
+    return file_lines(t.spark, path, files_per_trigger=1, arrival=arrival)
 
 
 def run(t, made: DataFrame, make, purpose: str):
@@ -48,7 +52,7 @@ def kpi_pipeline(t) -> pipelines.KpiPipeline:
         made = lines.pubgame_lines(t.nation)
         for make in makers:
             made = made.union(make(t.ev))
-        _KPI[key] = run(t, made, pipelines.KpiPipeline, "kpi")
+        _KPI[key] = run(t, made, partial(pipelines.KpiPipeline, landing=lines.LANDING), "kpi")
     return _KPI[key]
 
 
@@ -112,18 +116,73 @@ def stream_clicks(t):
     return kpi_pipeline(t).report("click", t.publish_game)
 
 
-STREAM_LOGIN = (
-    _login_kpi(MARKET, True)
-    .replace("FROM login WHERE game_id IN (SELECT game_id FROM publish_game)", f"FROM (SELECT 'u' || u AS game_account, ts AS login_time, game_id, {EMPTY} AS channel_expand, imei FROM ev WHERE event_type = 'view' AND {GOOD}) login WHERE game_id IN {PUBLISHED}")
-    .replace("FROM regi WHERE game_id IN (SELECT game_id FROM publish_game)", f"FROM (SELECT event_id, 'u' || u AS game_account, ts AS reg_time, game_id, {EMPTY} AS expand_channel, imei, os FROM ev WHERE event_type = 'signup' AND {GOOD}) regi WHERE game_id IN {PUBLISHED}")
-)
+def _streamed(sql: str) -> str:
+    """A batch KPI's SQL over what the well-formed lines carry."""
+    rows = {
+        "login": f"SELECT 'u' || u AS game_account, ts AS login_time, game_id, {EMPTY} AS channel_expand, imei FROM ev WHERE event_type = 'view' AND {GOOD}",
+        "regi": f"SELECT event_id, 'u' || u AS game_account, ts AS reg_time, game_id, {EMPTY} AS expand_channel, imei, os FROM ev WHERE event_type = 'signup' AND {GOOD}",
+        "active": f"SELECT event_id, game_id, ts AS active_time, {EMPTY} AS expand_channel, imei, os FROM ev WHERE event_type = 'error' AND {GOOD}",
+    }
+    for table, body in rows.items():
+        sql = sql.replace(f"FROM {table} WHERE game_id IN (SELECT game_id FROM publish_game)", f"FROM ({body}) {table} WHERE game_id IN {PUBLISHED}")
+    return sql
 
 
-@query("job20_stream_login", f"day:s game_id:i {CH_SPEC} {LOGIN_OUT}", STREAM_LOGIN)
+@query("job20_stream_login", f"day:s game_id:i {CH_SPEC} {LOGIN_OUT}", _streamed(_login_kpi(MARKET, True)))
 def stream_login(t):
     return kpi_pipeline(t).login_report(t.publish_game)
 
 
+@query("job20_stream_login_opera", f"day:s game_id:i {LOGIN_OUT}", _streamed(_login_kpi("game_id", False)))
+def stream_login_opera(t):
+    return kpi_pipeline(t).login_report(t.publish_game, kpi.OPERA)
+
+
+@query("job20_stream_login_split", f"day:s game_id:i {CH_SPEC} new_login_devices:i new_login_accounts:i dau_devices:i dau_accounts:i", _streamed(LOGIN_SPLIT))
+def stream_login_split(t):
+    return kpi_pipeline(t).login_split_report(t.publish_game)
+
+
+@query("job20_stream_regi_hour", f"hour:s game_id:i {CH_SPEC} {REGI_OUT}", _streamed(_registration("hour", MARKET)))
+def stream_registration_hour(t):
+    return kpi_pipeline(t).report("registration_hour", t.publish_game)
+
+
+@query("job20_stream_regi_opera", f"day:s game_id:i {REGI_OUT}", _streamed(_registration("day", "game_id")))
+def stream_registration_opera(t):
+    return kpi_pipeline(t).report("registration_opera", t.publish_game)
+
+
+@query("job20_stream_regi_opera_hour", f"hour:s game_id:i {REGI_OUT}", _streamed(_registration("hour", "game_id")))
+def stream_registration_opera_hour(t):
+    return kpi_pipeline(t).report("registration_opera_hour", t.publish_game)
+
+
+@query("job20_stream_activation_opera", "hour:s game_id:i active_num:i", _streamed(f"""
+    WITH a AS ({ACTIVE} WHERE game_id IN (SELECT game_id FROM publish_game)), m AS (SELECT game_id, imei, min(active_time) AS t FROM a GROUP BY ALL)
+    SELECT {HOUR.format('t')} AS hour, game_id, count(*) AS active_num FROM m GROUP BY ALL"""))
+def stream_activation_opera(t):
+    return kpi_pipeline(t).report("activation_opera", t.publish_game)
+
+
+@query("job20_stream_pay_money_hour", f"hour:s game_id:i {CH_SPEC} pay_money:i",
+       f"WITH {STREAM_ORDERS} SELECT {HOUR.format('order_time')} AS hour, {MARKET}, sum(ori_price + total_amt) * 100 AS pay_money FROM p GROUP BY ALL")
+def stream_money_hour(t):
+    return kpi_pipeline(t).report("money_hour")
+
+
+@query("job20_stream_pay_accounts_hour", f"hour:s game_id:i {CH_SPEC} pay_accounts:i",
+       f"WITH {STREAM_ORDERS} SELECT {HOUR.format('order_time')} AS hour, {MARKET}, count(DISTINCT acc) AS pay_accounts FROM p GROUP BY ALL")
+def stream_payers_hour(t):
+    return kpi_pipeline(t).report("payer_hour")
+
+
+@query("job20_stream_first_payers", "reg_date:s reg_game_id:i recharge_accounts:i",
+       f"WITH {STREAM_ORDERS} SELECT reg_date, reg_game_id, count(DISTINCT acc) AS recharge_accounts FROM p GROUP BY ALL")
+def stream_first_payers(t):
+    return kpi_pipeline(t).report("first_payer")
+
+
 @query("job20_stream_pay_devices", "day:s game_id:i pay_devices:i",
        f"WITH {STREAM_ORDERS} SELECT cast(order_time AS date) AS day, game_id, count(DISTINCT imei) AS pay_devices FROM o GROUP BY ALL")
 def stream_pay_devices(t):
@@ -145,27 +204,65 @@ def stream_wall(t):
     return run(t, made, pipelines.WallPipeline, "wall").report()
 
 
-def _streamed_regs() -> str:
+STREAM_CLICKS = """SELECT event_id, pkg_id, game_id, os, imei, ts, adv_name, CASE WHEN adv_name = 1 THEN '' ELSE idea_id END AS idea_id,
+    CASE WHEN adv_name = 2 THEN first_level ELSE '' END AS first_level, CASE WHEN adv_name = 1 THEN '' ELSE second_level END AS second_level
+    FROM ad_click WHERE event_id % 19 <> 0"""
+CLICK_COPY = "event_id % 5 = 0"
+
+
+def _streamed_chain(sql: str) -> str:
     """The attribution SQL over what the lines carry: complete records only, each row once."""
     own = "min(event_id) AS event_id, game_id, coalesce(channel, '') AS expand_channel, imei, os"
-    clicks = """SELECT event_id, pkg_id, game_id, os, imei, ts, adv_name, CASE WHEN adv_name = 1 THEN '' ELSE idea_id END AS idea_id,
-        CASE WHEN adv_name = 2 THEN first_level ELSE '' END AS first_level, CASE WHEN adv_name = 1 THEN '' ELSE second_level END AS second_level
-        FROM ad_click WHERE event_id % 19 <> 0"""
     active = f"SELECT {own}, ts AS active_time FROM ev WHERE event_type = 'error' AND {GOOD} GROUP BY ALL"
     regi = f"SELECT {own}, 'u' || u AS game_account, ts AS reg_time FROM ev WHERE event_type = 'signup' AND {GOOD} GROUP BY ALL"
-    sql = REGS
-    for table, body in (("ad_click", clicks), ("active", active), ("regi", regi)):
+    for table, body in (("ad_click", STREAM_CLICKS), ("active", active), ("regi", regi)):
         sql = re.sub(rf"\bFROM {table}\b", f"FROM ({body}) {table}", sql)
-    return sql
+    orders = STREAM_ORDERS[STREAM_ORDERS.index("(SELECT DISTINCT event_id"):STREAM_ORDERS.index("),\n") + 1].replace("DISTINCT event_id", "DISTINCT 'o' || event_id AS order_no")
+    return sql.replace(ORDER_LOG[len("o AS "):], orders)
+
+
+_CHAIN: dict[tuple[str, str], tuple[pipelines.AttributionPipeline, DataFrame, DataFrame]] = {}
+
+
+def attribution_pipeline(t) -> tuple[pipelines.AttributionPipeline, DataFrame, DataFrame]:
+    """The pipeline after one replay, its attributed activations and registrations; some clicks come twice."""
+    key = (t.spark.sparkContext.applicationId, t.dir)
+    if key not in _CHAIN:
+        made = lines.ad_click_lines(t.ad_click).union(lines.ad_click_lines(t.ad_click.filter(CLICK_COPY)))
+        for make in (lines.active_lines, lines.regi_lines, lines.order_lines):
+            made = made.union(make(t.ev))
+        pipeline = run(t, made, pipelines.AttributionPipeline, "attribution")
+        acts = materialize(pipeline.activations(), "stream-activations")
+        _CHAIN[key] = (pipeline, acts, materialize(pipeline.registrations(acts), "stream-registrations"))
+    return _CHAIN[key]
 
 
 @query("job21_stream_attribution", f"day:s {STAT_SPEC} regi_num:i",
-       f"WITH {_streamed_regs()} SELECT cast(reg_time AS date) AS day, {STAT}, count(*) AS regi_num FROM regs GROUP BY ALL")
+       f"WITH {_streamed_chain(REGS)} SELECT cast(reg_time AS date) AS day, {STAT}, count(*) AS regi_num FROM regs GROUP BY ALL")
 def stream_attribution(t):
-    made = lines.ad_click_lines(t.ad_click).union(lines.active_lines(t.ev)).union(lines.regi_lines(t.ev))
-    pipeline = run(t, made, pipelines.AttributionPipeline, "attribution")
-    stats = attribution.registration_stats(pipeline.registrations(pipeline.activations()))
-    return stats.select("day", *STAT.split(", "), "regi_num")
+    return attribution.registration_stats(attribution_pipeline(t)[2]).select("day", *STAT.split(", "), "regi_num")
+
+
+@query("job21_stream_activations", f"day:s {STAT_SPEC} active_num:i",
+       f"WITH {_streamed_chain(ACTS)} SELECT cast(active_time AS date) AS day, {STAT}, count(*) AS active_num FROM acts GROUP BY ALL")
+def stream_activations(t):
+    return attribution.activation_stats(attribution_pipeline(t)[1])
+
+
+_ALL_CLICKS = f"SELECT * FROM ({STREAM_CLICKS}) UNION ALL SELECT * FROM ({STREAM_CLICKS} AND {CLICK_COPY})"
+
+
+@query("job21_stream_clicks", f"day:s {STAT_SPEC} click_num:i click_dev_num:i",
+       first_per_day(CLICK_ROWS.replace("FROM ad_click", f"FROM ({_ALL_CLICKS}) ad_click"), "cast(ts AS date)", "medium, pkg_code, imei", "ts, event_id", "click_num", "click_dev_num"))
+def stream_click_stats(t):
+    return attribution_pipeline(t)[0].click_stats()
+
+
+@query("job21_stream_orders", f"day:s {STAT_SPEC} pay_price:i pay_accounts:i new_pay_price:i new_pay_accounts:i",
+       f"WITH {_streamed_chain(ORDER_STATS)} SELECT * FROM ostat")
+def stream_order_stats(t):
+    pipeline, _, regs = attribution_pipeline(t)
+    return pipeline.order_stats(regs)
 
 
 @query("str17_account_stream", "game_account:s owner_id:s user_type:i regi_time:s last_login_time:s is_recharge:i", f"""
@@ -192,14 +289,13 @@ def _to_table(t, rows: DataFrame, purpose: str) -> DataFrame:
     SELECT DISTINCT 'o' || event_id AS order_no, ts AS order_time, 'u' || u AS game_account, game_id FROM ev
     WHERE event_type = 'purchase' AND event_id % 10 > 1 AND event_id % 7 <> 0 AND {GOOD}""")
 def order_dedup_stream(t):
-    # copies reach the log together with their order: one file, so the watermark never passes them
-    orders = parse_log(replay(t, lines.order_lines(t.ev), "order-lines", files=1), "order")[0]
+    orders = parse_log(replay(t, lines.order_lines(t.ev), "order-lines", arrival=True), "order")[0]
     return _to_table(t, pipelines.dedup_orders(orders), "orders-once").select("order_no", "order_time", "game_account", "game_id")
 
 
 @query("str14_first_of_day_stream", "day:s game_id:i imei:s", f"SELECT DISTINCT cast(ts AS date) AS day, game_id, imei FROM ev WHERE event_type = 'view' AND {GOOD}")
 def first_of_day_stream(t):
-    logins = parse_log(replay(t, lines.login_lines(t.ev), "login-lines", files=1), "login")[0]
+    logins = parse_log(replay(t, lines.login_lines(t.ev), "login-lines", arrival=True), "login")[0]
     return _to_table(t, pipelines.first_of_day(logins, ["game_id", "imei"], "login_time"), "logins-once").select("day", "game_id", "imei")
 
 

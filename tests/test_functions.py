@@ -58,12 +58,14 @@ def test_device_text(spark):
 @pytest.mark.parametrize("tiers, amount, rate", [
     ("0=10|1000=20|5000=30", 999, "10"), ("0=10|1000=20|5000=30", 1000, "20"), ("5000=30|0=10|1000=20", 99999, "30"),
     ("100=10|200=20", 50, "10"), ("100=10|200=20", None, "10"), (None, 5, "0"), ("0=10|broken|7", 5, "10"),
+    ("0=10|99999999999999999999=90|x1=2", 10**15, "10"), ("", 5, None),
 ])
 def test_ladder(spark, tiers, amount, rate):
     sqlfuncs.register_sql_functions(spark)
     row = spark.createDataFrame([(tiers, amount)], "l string, a long")
-    assert row.select(ladder.ladder_rate(F.col("l"), F.col("a"))).first()[0] == rate
+    assert row.withColumn("t", ladder.ladder_tiers("l")).select(ladder.tier_rate("t", "a")).first()[0] == rate
     assert row.selectExpr("getdivideladder(l, cast(a AS string))").first()[0] == rate
+    assert row.selectExpr("getdivideladder(l, 'no number')").first()[0] == row.selectExpr("getdivideladder(l, NULL)").first()[0]
 
 
 @pytest.mark.parametrize("text, name", [("20161001", "国庆节"), ("2016-10-01", "国庆节"), ("2016-10-01 10:35:46", "国庆节"),

@@ -1,5 +1,5 @@
 from playcohort.sources import records, tables
-from playcohort.sources.logs import parse_log
+from playcohort.sources.logs import landing_line, parse_log
 
 HEAD = "2024-01-01 10:00:00,001 [INFO] bi: "
 
@@ -43,9 +43,9 @@ def test_clicks(spark):
     channel = f"{HEAD}bi_channel|3|0|10.0.0.1|2024-01-01 09:00:00|12||"
     (row,) = parse_log(lines(spark, channel), "channel")[0].collect()
     assert (row.expand_channel, row.game_id, row.publish_time, row.type, row.ip) == ("21", 12, "2024-01-01", 3, "10.0.0.1")
-    hit = '10.0.0.9 - - [08/Jan/2024:17:38:01 +0800] "GET /Ssxy/loadComplete?p=m1_s2_p3&g=12&x=1 HTTP/1.1" 200 5 "-" "agent" 10.0.0.1, 10.0.0.9'
+    hit = '10.0.0.9 - - [08/Jan/2024:17:38:01 +0800] "GET /landing/loaded?p=m1_s2_p3&g=12&x=1 HTTP/1.1" 200 5 "-" "agent" 10.0.0.1, 10.0.0.9'
     missing = hit.replace('HTTP/1.1" 200', 'HTTP/1.0" 404')
-    (row,) = parse_log(lines(spark, hit, missing, hit.replace("g=12", "g=")), "request")[0].collect()
+    (row,) = parse_log(lines(spark, hit, missing, hit.replace("g=12", "g=")), "request", landing_line("/landing/loaded", "0800"))[0].collect()
     assert (row.expand_channel, row.game_id, row.publish_time, row.type, row.ip) == ("m1_s2_p3", 12, "2024-01-08", 4, "10.0.0.1")
 
 
@@ -53,7 +53,9 @@ def test_ad_clicks(spark):
     momo = 'bi_thirddata {"pkg_id":"12M001","os":"2","imei":"","idfa":"dev-1","ts":"1704096000","callback":"http://cb/1","adv_name":"bi_adv_momo_click"}'
     iqiyi = '{"pkg_id":"12M002","os":1,"imei":"dev-2","timestamp":1704096000.0,"callback":"c","adid":"i","cid":"s","adv_name":"bi_adv_aiqiyi_click"}'
     bad = [momo.replace("12M001", "12"), momo.replace('"ts":"1704096000",', ""), momo[:40], iqiyi.replace('"callback":"c",', "")]
-    rows = {r.adv_name: r for r in records.parse_ad_clicks(lines(spark, momo, iqiyi, *bad)).collect()}
+    clicks, rejects = records.parse_ad_clicks(lines(spark, momo, iqiyi, *bad))
+    rows = {r.adv_name: r for r in clicks.collect()}
+    assert sorted(r.value for r in rejects.collect()) == sorted(bad)
     assert set(rows) == {1, 4}
     assert (rows[1].game_id, rows[1].os, rows[1].imei) == (12, "android", "dev-1")
     assert (rows[4].os, rows[4].idea_id, rows[4].first_level, rows[4].second_level) == ("ios", "i", "", "s")

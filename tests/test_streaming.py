@@ -1,12 +1,16 @@
 """Micro-batches in any order, and replayed ones, give the batch result."""
 
+import os
+
 from pyspark.sql import functions as F
 
 from playcohort.operators import kpi
 from playcohort.plans import jobs
 from playcohort.session import shared_dir
 from playcohort.sources.logs import parse_log
-from playcohort.streaming.details import DetailTable, entity_delta, total
+from playcohort.streaming.details import DetailTable, change, total
+from playcohort.sources.tables import file_lines
+from playcohort.streaming import pipelines
 from playcohort.streaming.pipelines import AccountPipeline, KpiPipeline
 
 HEAD = "2024-01-01 10:00:00,001 [INFO] bi: "
@@ -65,11 +69,12 @@ def test_detail_table_keeps_each_key_once(spark):
     assert rows_of(table.read(before=1)) == [(1, "a"), (2, "b")]
 
 
-def test_entity_delta_adds_up(spark):
+def test_changes_add_up(spark):
     rows = spark.createDataFrame([("e1", 1), ("e1", 2), ("e2", 1)], "e string, day int")
     firsts = lambda df: df.groupBy("e").agg(F.min("day").alias("day")).groupBy("day").agg(F.count("*").alias("n"))
     before, fresh = rows.filter("day = 2 OR e = 'e2'"), rows.filter("day = 1 AND e = 'e1'")
-    delta = entity_delta(firsts, before, fresh, ["e"], fresh.select("e").distinct(), ["day"])
+    touched = before.join(fresh.select("e").distinct(), "e", "left_semi")
+    delta = change(firsts(touched), firsts(touched.unionByName(fresh)), ["day"])
     assert rows_of(total(firsts(before).unionByName(delta), ["day"])) == rows_of(firsts(rows)) == [(1, 2)]
 
 
@@ -80,3 +85,87 @@ def test_days_prune_the_check_and_an_empty_batch_is_fine(spark):
     table.append_new(rows.filter("k < 2").union(rows.filter("k < 2").selectExpr("k + 10", "t")), 1, ["k", "t"])
     table.append_new(rows.filter("k > 99"), 2, ["k", "t"])
     assert sorted(r.k for r in table.read().collect()) == [0, 1, 2, 3, 4, 10, 11]
+
+
+def order(number, time, account="a1"):
+    return f"{HEAD}bi_order|x|{number}|x|x|{account}|{time}|12|x|x|30.00|x|x|5.00|x|x|x|x|x|4|x|x|6|x|dev-1"
+
+
+def write_files(path, files):
+    """Text files with their times of arrival, in seconds."""
+    os.makedirs(path)
+    for i, (arrived, texts) in enumerate(files):
+        name = f"{path}/{i}.txt"
+        with open(name, "w") as out:
+            out.write("\n".join(texts))
+        os.utime(name, (arrived, arrived))
+
+
+def streamed(spark, path, step):
+    out = f"{path}-out"
+    rows = step(file_lines(spark, path, files_per_trigger=1, arrival=True))
+    rows.writeStream.format("parquet").option("checkpointLocation", f"{path}-checkpoint").trigger(availableNow=True).start(out).awaitTermination()
+    return spark.read.schema(rows.schema).parquet(out)
+
+
+def test_late_orders_are_kept_and_repeats_dropped_across_batches(spark, tmp_path):
+    now, path = 1_700_000_000, str(tmp_path / "orders")
+    write_files(path, [
+        (now, [order("o1", "2024-01-05 10:00:00"), order("o1", "2024-01-05 10:00:00")]),
+        (now + 60, [order("o2", "2024-01-05 07:30:00"), order("o1", "2024-01-05 10:00:00")]),  # 2.5 hours late, and a repeat
+        (now + 120, [order("o3", "2024-01-02 10:00:00"), order("o4", "2024-01-05 10:05:00")]),  # 3 days late
+        (now + 180, [order("o5", "2024-01-05 10:06:00"), order("o2", "2024-01-05 07:30:00")]),
+        (now + 9000, [order("o6", "2024-01-05 12:30:00")]),
+        (now + 9060, [order("o1", "2024-01-05 10:00:00"), order("o7", "2023-12-01 00:00:00")]),  # the state of o1 has expired
+    ])
+    got = streamed(spark, path, lambda lines: pipelines.dedup_orders(parse_log(lines, "order")[0]))
+    assert sorted(r.order_no for r in got.collect()) == ["o1", "o1", "o2", "o3", "o4", "o5", "o6", "o7"]
+
+
+def test_first_of_day_keeps_late_days(spark, tmp_path):
+    def login(time, device):
+        return f"{HEAD}bi_login|l1|x|a1|{time}|x|m_s_p|{device}|12"
+
+    now, path = 1_700_000_000, str(tmp_path / "logins")
+    write_files(path, [
+        (now, [login("2024-01-05 10:00:00", "d1"), login("2024-01-05 11:00:00", "d1")]),
+        (now + 60, [login("2024-01-02 10:00:00", "d1"), login("2024-01-05 09:00:00", "d1")]),
+        (now + 120, [login("2024-01-02 12:00:00", "d1"), login("2024-01-05 10:00:00", "d2")]),
+        (now + 180, [login("2024-01-01 12:00:00", "d2"), login("2024-01-05 23:00:00", "d2")]),
+    ])
+    got = streamed(spark, path, lambda lines: pipelines.first_of_day(parse_log(lines, "login")[0], ["game_id", "imei"], "login_time"))
+    assert sorted((r.day, r.imei) for r in got.collect()) == [("2024-01-01", "d2"), ("2024-01-02", "d1"), ("2024-01-05", "d1"), ("2024-01-05", "d2")]
+
+
+def test_a_restart_continues_from_the_checkpoint(spark, tmp_path):
+    """A query that dies in the middle of the stream goes on where it stopped, and replays the broken batch."""
+    path, pipeline = str(tmp_path / "lines"), KpiPipeline(spark, shared_dir(spark, "restart-test"))
+    write_files(path, [(1_700_000_000 + 60 * i, batch) for i, batch in enumerate(BATCHES)])
+
+    def breaks(lines, batch):
+        pipeline.process(lines, batch)
+        if batch == 1:
+            raise RuntimeError("lost after the batch was written")
+
+    run = lambda process: pipelines.start(file_lines(spark, path, files_per_trigger=1), process, f"{path}-checkpoint")
+    query = run(breaks)
+    try:
+        query.awaitTermination()
+    except Exception as error:
+        assert "lost after" in str(error)
+    else:
+        raise AssertionError("the query should have failed")
+    seen = []
+    run(lambda lines, batch: (seen.append(batch), pipeline.process(lines, batch))).awaitTermination()
+    assert seen == [1, 2]
+    assert rows_of(pipeline.report("activation").select("hour", "active_num")) == [("2024-01-01 09", 1), ("2024-01-02 11", 2)]
+
+
+def test_a_timed_trigger_runs_until_it_is_stopped(spark, tmp_path):
+    path, pipeline = str(tmp_path / "lines"), KpiPipeline(spark, shared_dir(spark, "timed-test"))
+    write_files(path, [(1_700_000_000 + 60 * i, batch) for i, batch in enumerate(BATCHES)])
+    query = pipelines.start(file_lines(spark, path, files_per_trigger=1), pipeline.process, f"{path}-checkpoint", interval="1 second")
+    query.processAllAvailable()
+    assert query.isActive
+    query.stop()
+    assert rows_of(pipeline.report("activation").select("hour", "active_num")) == [("2024-01-01 09", 1), ("2024-01-02 11", 2)]
