@@ -163,6 +163,7 @@ def groups(texts: pa.Array, separators: np.ndarray = SPACE, lower: bool = False)
         owner = np.searchsorted(bounds, start, "right") - 1
         yield Group(first, last - first, data, bounds, start, end, owner, code)
         first = last
+    pa.default_memory_pool().release_unused()  # workers live on between tasks
 
 
 def signed(x: np.ndarray) -> np.ndarray:
