@@ -135,6 +135,11 @@ def prelude(names: list[str]) -> str:
 _LANDED: dict[tuple[str, str], tuple[str, StructType]] = {}
 
 
+def forget_landed() -> None:
+    """Land the derived events anew at their next use."""
+    _LANDED.clear()
+
+
 class Tables:
     """The logical tables of one folder as Spark frames: ``Tables(spark, dir).regi``.
 

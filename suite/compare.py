@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import atexit
 import glob
 import os
+import shutil
 import sys
+import tempfile
 import time
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,11 +15,15 @@ from pyspark.sql import DataFrame, SparkSession
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
-def local_session() -> SparkSession:
+def local_session(shared: str | None = None) -> SparkSession:
+    """A session in this JVM; ``shared`` is the folder of intermediate tables, else one that goes when the process ends."""
+    if shared is None:
+        shared = tempfile.mkdtemp(prefix="playcohort-")
+        atexit.register(shutil.rmtree, shared, ignore_errors=True)
     spark = (
         SparkSession.builder.master("local[8]").appName("suite").config("spark.sql.shuffle.partitions", "8")
         .config("spark.ui.enabled", "false").config("spark.driver.memory", "8g").config("spark.sql.session.timeZone", "UTC")
-        .config("spark.sql.adaptive.enabled", "true").getOrCreate()
+        .config("spark.sql.adaptive.enabled", "true").config("spark.checkpoint.dir", f"file://{shared}").getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
     return spark

@@ -8,7 +8,7 @@ sys.path.insert(0, ROOT)
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     from suite.compare import local_session
 
-    return local_session()
+    return local_session(str(tmp_path_factory.mktemp("shared")))
