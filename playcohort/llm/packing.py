@@ -4,7 +4,9 @@ Documents become token pieces of at most ``capacity`` tokens. What fits together
 of piece lengths alone, which has at most ``capacity`` rows whatever the corpus size: a linear program over
 configurations (multisets of lengths that fit one sequence) is solved by multiplicative weights, where a
 knapsack dynamic program prices the best configuration, and is then rounded; what the rounding leaves is
-filled by largest fit. Pieces take their places by their rank among the pieces of their length, so no task
+filled by largest fit. The prices also bound the number of sequences from below: a plan of full configurations
+and largest fit is taken if it is within ``GAP`` (and one sequence) of that bound; otherwise the program goes on
+with configurations that waste room until every length is covered, and the best plan is taken. Pieces take their places by their rank among the pieces of their length, so no task
 ever holds more than a slice of a length and the driver holds the histogram and the plan only.
 
 Edge cases: a null or empty text is the end token alone; a text longer than ``capacity`` is cut into full
@@ -28,6 +30,8 @@ from playcohort.llm.shared import rank_within
 from playcohort.session import materialize
 
 CAPACITY, END_ID = 1024, 2
+#: Sequences above the lower bound, as a share of it, at which the search for a better plan ends.
+GAP = 0.001
 #: A run this long goes to `tokenizers`: the fast library takes quadratic time on one.
 LONG_RUN = 400
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
@@ -117,37 +121,70 @@ def best_configuration(prices: np.ndarray, lengths: np.ndarray, capacity: int) -
     return counts
 
 
-def solve(lengths: np.ndarray, counts: np.ndarray, capacity: int, rounds: int = 1500, step: float = 0.25, rate: float = 2.0) -> list[tuple[np.ndarray, float]]:
-    """Fractional solution of the configuration program: (configuration, how many sequences).
+def cover(lengths: np.ndarray, counts: np.ndarray, capacity: int, exact: bool, rounds: int, step: float, rate: float) -> Iterator[tuple[list, np.ndarray, float, bool]]:
+    """Rounds of multiplicative weights: (uses so far, covered shares, dual bound, whether the next configuration wastes room).
 
-    Multiplicative weights: a length costs ``length / capacity`` times a weight that shrinks exponentially
-    with the share of its pieces already covered, so every round prices a full configuration of lengths that
-    lag behind. It is used for up to ``step`` of what its scarcest length has. When the best configuration
-    wastes room, no full one is left under these weights, and the rest is a matter of rounding.
+    A length costs ``length / capacity`` times a weight that shrinks exponentially with the share of its pieces
+    already covered, so every round prices a configuration of lengths that lag behind. It is used for up to
+    ``step`` of what its scarcest length has. If ``exact``, a covered length is priced at nothing and no length is
+    covered twice; otherwise lengths may be covered more often than once, and the solution is scaled down by the
+    least covered one. The prices over that of the best configuration are a dual solution, so they bound the
+    number of sequences from below.
     """
-    covered = np.zeros(len(lengths))
-    solution: dict[bytes, list] = {}
+    covered, uses, bound = np.zeros(len(lengths)), [], float(counts @ lengths) / capacity
     for _ in range(rounds):
-        open_ = covered < 1 - 1e-9
+        open_ = covered < 1 - 1e-9 if exact else np.ones(len(lengths), bool)
         if not open_.any():
             break
         prices = np.where(open_, lengths / capacity * np.exp(-rate * (covered - covered[open_].min())), 0.0)
         config = best_configuration(prices, lengths, capacity)
-        if config @ lengths < capacity:
-            break
+        bound = max(bound, float(counts @ prices / (config @ prices)))
+        yield uses, covered, bound, bool(config @ lengths < capacity)
         used = config > 0
-        most = (1 - covered[used]) * counts[used]
-        amount = float((np.minimum(np.maximum(step * counts[used], 1), most) / config[used]).min())
+        most = np.maximum(step * counts[used], 1)
+        if exact:
+            most = np.minimum(most, (1 - covered[used]) * counts[used])
+        amount = float((most / config[used]).min())
         covered[used] += amount * config[used] / counts[used]
+        uses.append((config, amount))
+    yield uses, covered, bound, False
+
+
+def solve(lengths: np.ndarray, counts: np.ndarray, capacity: int) -> Iterator[tuple[list[tuple[np.ndarray, float]], float]]:
+    """Fractional solutions of the configuration program, with a bound from below: [(configuration, how many sequences)], bound.
+
+    First the full configurations only, whose rest is left to rounding; then, with configurations that waste room,
+    a solution that covers every length; then the covering program, which also learns which lengths are scarce.
+    """
+    wasted = False
+    # Each round covers a length or a quarter of one, so `4 * len(lengths)` rounds cover all.
+    for uses, _, bound, wastes in cover(lengths, counts, capacity, True, 4 * len(lengths) + 1, 0.25, 2.0):
+        if wastes and not wasted:
+            wasted = True
+            yield _joined(uses), bound
+    yield _joined(uses), bound
+    best, kept, scale, total = np.inf, 0, 1.0, 0.0
+    for uses, covered, bound, _ in cover(lengths, counts, capacity, False, 3000, 0.1, 1.0):
+        total += uses[-1][1] if uses else 0.0
+        if covered.min() > 0:
+            value = total / covered.min()
+            if value < best:
+                best, kept, scale = value, len(uses), float(covered.min())
+            if best <= bound * (1 + GAP / 2):
+                break
+    yield _joined([(config, amount / scale) for config, amount in uses[:kept]]), bound
+
+
+def _joined(uses: list[tuple[np.ndarray, float]]) -> list[tuple[np.ndarray, float]]:
+    solution: dict[bytes, list] = {}
+    for config, amount in uses:
         solution.setdefault(config.tobytes(), [config, 0.0])[1] += amount
     return [(config, amount) for config, amount in solution.values()]
 
 
-def plan(histogram: dict[int, int], capacity: int) -> np.ndarray:
-    """Rows (length, first rank, ranks, copies per sequence, first sequence, offset) that place every piece."""
-    lengths = np.array(sorted(histogram), np.int64)
-    left = np.array([histogram[int(n)] for n in lengths], np.int64)
-    taken, sequence, rows = np.zeros_like(left), 0, []
+def round_off(solution: list[tuple[np.ndarray, float]], lengths: np.ndarray, counts: np.ndarray, capacity: int) -> tuple[list, int]:
+    """Rows of a plan, and its number of sequences: whole sequences of the solution, then largest fit."""
+    left, taken, sequence, rows = counts.copy(), np.zeros_like(counts), 0, []
 
     def use(config: np.ndarray, times: int) -> None:
         nonlocal sequence
@@ -160,27 +197,57 @@ def plan(histogram: dict[int, int], capacity: int) -> np.ndarray:
             left[i] -= per * times
         sequence += times
 
-    if len(lengths):
-        for config, amount in sorted(solve(lengths, left.copy(), capacity), key=lambda x: -x[1]):
-            used = config > 0
-            times = min(int(amount), int((left[used] // config[used]).min()))
-            if times:
-                use(config, times)
-    while left.any():
-        # What rounding left: fill one sequence with the largest lengths that fit, and repeat it while pieces last.
-        config, room = np.zeros_like(left), capacity
+    def filled(config: np.ndarray) -> np.ndarray:
+        """The configuration with the largest lengths that still fit."""
+        config = config.copy()
+        room = capacity - int(config @ lengths)
         while True:
             i = int(np.searchsorted(lengths, room, "right")) - 1
             while i >= 0 and left[i] - config[i] <= 0:
                 i -= 1
             if i < 0:
-                break
+                return config
             n = min(int(left[i] - config[i]), room // int(lengths[i]))
             config[i] += n
             room -= n * int(lengths[i])
+
+    for config, amount in sorted(solution, key=lambda x: -x[1]):
+        todo = int(amount + 1e-6)
+        while todo:
+            # A length may be used up by earlier configurations: then others take its room.
+            trimmed = np.minimum(config, left)
+            if not trimmed.any():
+                break
+            trimmed = filled(trimmed)
+            used = trimmed > 0
+            times = min(todo, int((left[used] // trimmed[used]).min()))
+            use(trimmed, times)
+            todo -= times
+    while left.any():
+        # What rounding left: fill one sequence with the largest lengths that fit, and repeat it while pieces last.
+        config = filled(np.zeros_like(left))
         used = config > 0
         use(config, int((left[used] // config[used]).min()))
-    return np.array(rows, np.int64).reshape(-1, 6)
+    return rows, sequence
+
+
+def plan(histogram: dict[int, int], capacity: int) -> np.ndarray:
+    """Rows (length, first rank, ranks, copies per sequence, first sequence, offset) that place every piece.
+
+    Of the rounded solutions, the first that is within ``GAP`` of the bound, or else the one of fewest sequences.
+    """
+    lengths = np.array(sorted(histogram), np.int64)
+    counts = np.array([histogram[int(n)] for n in lengths], np.int64)
+    best, fewest, least = [], np.inf, 0.0
+    if len(lengths):
+        for solution, bound in solve(lengths, counts, capacity):
+            rows, sequences = round_off(solution, lengths, counts, capacity)
+            least = max(least, np.ceil(bound - 1e-6))
+            if sequences < fewest:
+                best, fewest = rows, sequences
+            if fewest <= least + max(1, GAP * least):
+                break
+    return np.array(best, np.int64).reshape(-1, 6)
 
 
 def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:

@@ -119,6 +119,21 @@ def test_plan_places_each_piece_once(histogram):
     assert not room or (max(room.values()) <= 40 and sorted(room) == list(range(len(room))))
 
 
+@pytest.mark.parametrize("lengths", ((287, 732, 665), (210, 263, 387, 415, 498), (500, 510, 511, 1023), tuple(range(201, 519, 3))))
+def test_plan_is_near_the_bound_of_the_program(lengths):
+    """Hot lengths that no full configuration holds: the bound comes from prices, not from the sum of lengths."""
+    rng = random.Random(11)
+    histogram = {n: rng.randrange(100, 9000) * (9 if i == 0 else 1) for i, n in enumerate(lengths)}
+    rows = packing.plan(histogram, 1024)
+    sequences = int((rows[:, 4] + rows[:, 2] // rows[:, 3]).max())
+    sorted_ = np.array(sorted(histogram))
+    solved = list(packing.solve(sorted_, np.array([histogram[n] for n in sorted_.tolist()]), 1024))
+    bound = max(b for _, b in solved)
+    assert sum(n * k for n, k in histogram.items()) / 1024 <= bound <= sequences <= 1.02 * bound + 1
+    counts = sum(np.outer(amount, config)[0] for config, amount in solved[-1][0])
+    assert (counts >= np.array([histogram[n] for n in sorted_.tolist()]) * (1 - 1e-6)).all()
+
+
 def test_knapsack_prices_the_best_configuration():
     rng = np.random.default_rng(5)
     lengths, prices = np.array([3, 5, 7, 11]), rng.random(4)
