@@ -8,9 +8,8 @@ The forest is fitted on at most ``train_rows`` labelled findings, taken in the o
 else reads all texts. Without labels of both kinds no forest is fitted: ``probability`` is then null and all
 findings count as secrets.
 
-Edge cases: a null or empty text has no findings; equal findings are scored alike; several findings in one word
-(joined by other characters) count as the longest-first match of that word; repeated rows give their findings
-each; a null ``doc_id`` stays null; an empty table gives an empty result; further columns are ignored.
+Edge cases: a null or empty text has no findings; equal findings are scored alike; every run of key characters
+of a word is a finding, with the characters of the word around it; repeated rows give their findings each; a null ``doc_id`` stays null; an empty table gives an empty result; further columns are ignored.
 """
 
 from __future__ import annotations
@@ -33,7 +32,10 @@ FEATURES = ("length", "digits", "upper", "lower", "letter_digit", "case_change",
 
 
 def findings(docs: DataFrame) -> DataFrame:
-    """``doc_id, place, candidate, before, after`` and the features; ``place`` is the number of the word."""
+    """``doc_id, place, nth, candidate, before, after`` and the features.
+
+    ``place`` is the number of the word, ``nth`` that of the finding inside it.
+    """
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where(F.col("text").rlike(WITH_DIGIT))
     words = texts.select("doc_id", F.split("text", r"[\x20\x09-\x0D]+").alias("words"))
     # The generator keeps the optimizer from splitting the text once for every column that follows.
@@ -41,11 +43,22 @@ def findings(docs: DataFrame) -> DataFrame:
     hits = F.filter(F.transform("words", lambda w, i: F.struct(i.alias("place"), w.alias("word"))), lambda x: F.length(x["word"]) >= 16)
     rows = words.select("doc_id", "words", F.explode(F.filter(hits, lambda x: x["word"].rlike(WITH_DIGIT))).alias("hit"))
     word = lambda step: F.coalesce(F.get("words", F.col("hit.place") + step), F.lit(""))
+    # A match is a whole run, so a word of n runs splits into n + 1 parts between them.
+    runs = F.struct(F.regexp_extract_all("hit.word", F.lit(WITH_DIGIT), F.lit(0)).alias("found"), F.split("hit.word", WITH_DIGIT, -1).alias("between"))
+    rows = rows.select("doc_id", F.col("hit.place").alias("place"), F.concat_ws(" ", word(-2), word(-1)).alias("before"), word(1).alias("after"), F.explode(F.array(runs)).alias("runs"))
+    part = lambda i: F.get("runs.between", i)
+    last = lambda i: i + 1 == F.size("runs.found")
+    # Between two findings stands what introduces the second; the first has its next character only.
+    near = lambda c, i: F.struct(
+        i.alias("nth"), c.alias("candidate"), part(i).alias("left"), F.when(last(i), part(i + 1)).otherwise(F.substring(part(i + 1), 1, 1)).alias("right"),
+        F.when(i == 0, F.col("before")).otherwise(part(i)).alias("before"), F.when(last(i), F.col("after")).otherwise(part(i + 1)).alias("after"),
+    )
+    rows = rows.select("doc_id", "place", F.explode(F.transform("runs.found", near)).alias("x"))
     rows = rows.select(
-        "doc_id", F.col("hit.place").alias("place"), F.col("hit.word").alias("word"), F.regexp_extract("hit.word", "(" + WITH_DIGIT + ")", 1).alias("candidate"),
-        F.lower(F.concat_ws(" ", word(-2), word(-1))).alias("before"), F.lower(word(1)).alias("after"),
+        "doc_id", "place", "x.nth", "x.left", F.concat("x.left", "x.candidate", "x.right").alias("word"), "x.candidate",
+        F.lower("x.before").alias("before"), F.lower("x.after").alias("after"),
     )
-    return rows.select("doc_id", "place", "candidate", "before", "after", *[f.cast("double").alias(n) for n, f in _features().items()])
+    return rows.select("doc_id", "place", "nth", "candidate", "before", "after", *[f.cast("double").alias(n) for n, f in _features().items()])
 
 
 def _share(text: Column, pattern: str) -> Column:
@@ -65,7 +78,7 @@ def _features() -> dict[str, Column]:
         "distinct": F.size(F.array_distinct(F.split(c, ""))),
         "coverage": F.lit(1.0) - F.length(left) / F.greatest(F.length(c), F.lit(1)),
         "path": (F.instr(word, "://") > 0) | (F.regexp_count(c, F.lit("/")) >= 2),
-        "assigned": before.rlike("[=:]$") | word.rlike("^[A-Za-z_]+[=:]"),
+        "assigned": before.rlike("[=:]$") | word.rlike("^[A-Za-z_]+[=:]") | F.col("left").rlike("[=:][\"']?$"),
         "keyword": F.concat_ws(" ", before, F.lower(word)).rlike("|".join(KEYWORDS)),
         "quoted": word.rlike("[\"']"),
     }

@@ -280,6 +280,18 @@ def test_secrets(spark):
     assert all(by_rule[d] == s for d, s in truth.items() if s)
 
 
+def test_every_secret_of_a_word(spark):
+    one, two, three = "0123456789abcdef0", "9f8e7d6c5b4a39281706f5e4d3c2b1a0", "Zx9" * 8
+    rows = [(1, f'see {{"id":"{one}","token":"{two}"}} end'), (2, f"{one};{two},{one}"), (3, f'x "{three}" y'), (4, ",".join(f"{i:020d}" for i in range(3000)))]
+    got = secrets.findings(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    found = {d: [(r["place"], r["nth"], r["candidate"]) for r in sorted(got, key=lambda r: r["nth"]) if r["doc_id"] == d] for d in (1, 2, 3, 4)}
+    assert found[1] == [(1, 0, one), (1, 1, two)] and found[2] == [(0, 0, one), (0, 1, two), (0, 2, one)] and found[3] == [(1, 0, three)]
+    assert [c for _, _, c in found[4]] == [f"{i:020d}" for i in range(3000)]
+    context = {r["candidate"]: (r["before"], r["after"], r["assigned"], r["keyword"], r["quoted"]) for r in got if r["doc_id"] == 1}
+    assert context == {one: (" see", '","token":"', 1, 0, 1), two: ('","token":"', "end", 1, 1, 1)}
+    assert Counter(r["candidate"] for r in secrets.scan(spark.createDataFrame(rows[:2], "doc_id bigint, text string")).collect()) == Counter({one: 3, two: 2})
+
+
 def test_secrets_without_labels(spark, empty):
     assert secrets.scan(empty).count() == 0
     one = secrets.scan(spark.createDataFrame([(1, "x token = abcdef0123456789abcdef")], "doc_id bigint, text string")).collect()
