@@ -51,10 +51,11 @@ def tokens(host: Column, path: Column) -> Column:
     return F.array_distinct(F.filter(F.concat(labels, words), lambda x: ~x.isin("host ", "path ")))
 
 
-def mine(urls: DataFrame, labels: DataFrame, support: float = 0.0005, least: int = 5, confidence: float = 0.8, size: int = 3) -> DataFrame:
+def mine(urls: DataFrame, labels: DataFrame, least: int = 5, confidence: float = 0.8) -> DataFrame:
     """``rule_id, antecedent, support, confidence`` of learned blocking rules.
 
-    ``labels`` has ``page_id`` and ``bad``; every labelled url counts, by Spark's parallel FP-growth. Among rules
+    ``labels`` has ``page_id`` and ``bad``; every labelled url counts, by Spark's parallel FP-growth. A rule
+    needs ``least`` bad urls, however many urls are labelled, and may have any number of tokens. Among rules
     with nested token sets only the smaller is kept when it is no less sure, since it blocks all the other does.
     """
     spark = urls.sparkSession
@@ -66,8 +67,9 @@ def mine(urls: DataFrame, labels: DataFrame, support: float = 0.0005, least: int
     none = spark.createDataFrame([], "rule_id bigint, antecedent array<string>, support double, confidence double")
     if not total:
         return none
-    model = FPGrowth(itemsCol="items", minSupport=max(support, least / total), minConfidence=confidence).fit(rows)
-    rules = model.associationRules.where(F.array_contains("consequent", BAD)).where(F.size("antecedent") <= size).where(F.col("lift") > 1)
+    # The count that FP-growth asks for is rounded up from a share: half a url less, so that it is `least` itself.
+    model = FPGrowth(itemsCol="items", minSupport=max(least - 0.5, 0) / total, minConfidence=confidence).fit(rows)
+    rules = model.associationRules.where(F.array_contains("consequent", BAD)).where(F.col("lift") > 1)
     rules = rules.select(F.sort_array("antecedent").alias("antecedent"), "support", "confidence")
     small = rules.select(F.col("antecedent").alias("less"), F.col("confidence").alias("less_confidence"))
     one = rules.select("*", F.explode("antecedent").alias("token")).join(small.select("*", F.explode("less").alias("token")), "token")

@@ -346,6 +346,25 @@ def test_learned_rules(spark):
     assert {r["page_id"]: r["verdict"] for r in urls.judge(pages, learned).collect()} == {i: "block" if i % 4 == 0 else "allow" for i, _ in rows}
 
 
+def test_learned_rules_of_many_tokens(spark):
+    """Only all four tokens together are bad; each three of them are half good."""
+    words = ("aa", "bb", "cc", "dd")
+    paths = ["/".join(words)] * 40 + ["/".join(w for w in words if w != out) for out in words for _ in range(40)]
+    pages = spark.createDataFrame([(i, f"http://h.com/{p}") for i, p in enumerate(paths)], "page_id bigint, url string")
+    labels = spark.createDataFrame([(i, i < 40) for i in range(len(paths))], "page_id bigint, bad boolean")
+    learned = urls.mine(pages, labels)
+    assert [r["antecedent"] for r in learned.collect()] == [[f"path {w}" for w in words]]
+    assert {r["page_id"] for r in urls.judge(pages, learned).collect() if r["verdict"] == "block"} == set(range(40))
+
+
+def test_learned_rules_ask_for_the_same_count_at_every_size(spark):
+    ids = lambda n, kind: spark.range(n).select((F.col("id") * 3 + {"bad": 0, "rare": 1, "good": 2}[kind]).alias("page_id"), F.lit(f"http://{kind}.com/").alias("url"))
+    for good in (100, 30_000):
+        pages = ids(5, "bad").unionByName(ids(4, "rare")).unionByName(ids(good, "good"))
+        learned = urls.mine(pages, pages.select("page_id", (~F.col("url").contains("good")).alias("bad")))
+        assert [r["antecedent"] for r in learned.collect()] == [["host bad"]]
+
+
 # 8 benchmark decontamination
 
 
