@@ -7,7 +7,8 @@ the same turns again: control strings contain ``#`` or ``<``, and texts have eve
 by a two-character code, so no text can end its turn or begin another.
 
 Edge cases: a null text is empty and a null role is the empty role; a role the template does not know is
-marked by its own name, carries no loss and makes the conversation invalid; turns are ordered by number, null
+marked by its own name (or, if that is the shown name of a key, by the key, which is never shown itself),
+carries no loss and makes the conversation invalid; turns are ordered by number, null
 first, then role and text, and repeated rows are turns each; rows with a null ``conv_id`` are one
 conversation; an empty table gives an empty result; further columns are ignored. A conversation is one row of
 the output, so its turns meet in one task, as the digest of its whole text needs.
@@ -51,8 +52,22 @@ def unescape(text: Column, codes: tuple[tuple[str, str], ...] = CODES) -> Column
     return text
 
 
+def _swaps(template: Template) -> list[tuple[str, str]]:
+    """Unknown roles that equal a shown name, each with the key, shown by another name, that is written for it."""
+    keys = {name: key for key, name in template.names}
+    swaps = []
+    for role in keys.keys() - dict(template.names).keys():
+        free = keys[role]
+        while free in keys:
+            free = keys[free]
+        swaps.append((role, free))
+    return swaps
+
+
 def _name(role: Column, template: Template) -> Column:
     named = escape(role, NAME_CODES)
+    for unknown, free in _swaps(template):
+        named = F.when(role == unknown, escape(F.lit(free), NAME_CODES)).otherwise(named)
     for key, name in template.names:
         named = F.when(role == key, F.lit(name)).otherwise(named)
     return named
@@ -60,6 +75,8 @@ def _name(role: Column, template: Template) -> Column:
 
 def _role(name: Column, template: Template) -> Column:
     role = unescape(name, NAME_CODES)
+    for unknown, free in _swaps(template):
+        role = F.when(name == escape(F.lit(free), NAME_CODES), F.lit(unknown)).otherwise(role)
     for key, shown in template.names:
         role = F.when(name == shown, F.lit(key)).otherwise(role)
     return role

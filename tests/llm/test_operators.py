@@ -454,5 +454,13 @@ def test_chat_round_trip(spark):
     assert [got[c]["first_error"] for c in (20, 21, 22, 23)] == [None, 0, 1, 0]
 
 
+def test_chat_round_trip_of_roles_like_shown_names(spark):
+    roles = ["User", "user", "System", "system", "Assistant", "assistant", "bot", "USER", ""]
+    for template in (chat.Template(), chat.Template(names=(("user", "assistant"), ("assistant", "bot")))):
+        made = chat.format_conversations(spark.createDataFrame([(1, i, r, "t") for i, r in enumerate(roles)], "conv_id bigint, turn bigint, role string, text string"), template)
+        (row,) = made.select("*", chat.read_back(F.col("formatted"), template).alias("turns"), chat.loss_text(F.col("segments")).alias("loss_text")).collect()
+        assert [t["role"] for t in row["turns"]] == roles and row["loss_text"] == "t" and not row["valid"]
+
+
 def test_chat_of_nothing(spark):
     assert chat.format_conversations(spark.createDataFrame([], "conv_id bigint, turn bigint, role string, text string")).count() == 0
