@@ -4,8 +4,8 @@ Words that hold a long run of key characters with a digit are findings. A random
 findings, decides which are secrets, from the candidate's length, the transitions between its character
 classes, how much of it common words cover, whether it looks like a path, and the words around it.
 
-The forest is fitted on at most ``train_rows`` labelled findings, taken in the order of a hash; everything
-else reads all texts. Without labels of both kinds no forest is fitted: ``probability`` is then null and all
+The forest is fitted on labelled findings, equal ones as one row with a weight, and on at most ``train_rows`` of
+these rows, shared by the labels and taken in the order of a hash; everything else reads all texts. Without labels of both kinds no forest is fitted: ``probability`` is then null and all
 findings count as secrets.
 
 Edge cases: a null or empty text has no findings; equal findings are scored alike; every run of key characters
@@ -14,6 +14,8 @@ of a word is a finding, with the characters of the word around it; repeated rows
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -92,12 +94,20 @@ def rule_labels(found: DataFrame) -> DataFrame:
 
 def train(labelled: DataFrame, train_rows: int = 20_000, trees: int = 30, depth: int = 6, seed: int = 7):
     """The forest, or None where the labels are not of both kinds. ``labelled`` has the features and ``label``."""
-    sample = labelled.select(*FEATURES, "label").orderBy(F.xxhash64(*FEATURES, "label")).limit(train_rows).coalesce(1)
-    kinds = sample.agg(F.min("label"), F.max("label")).first()
-    if kinds[0] is None or kinds[0] == kinds[1]:
+    distinct = labelled.where("label IS NOT NULL").groupBy(*FEATURES, "label").agg(F.count(F.lit(1)).cast("double").alias("weight"))
+    distinct = materialize(distinct, "labelled")
+    kinds = {r["label"]: r["n"] for r in distinct.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}  # a row per label
+    if len(kinds) < 2:
         return None
+    parts, total = [], sum(kinds.values())
+    for kind, n in sorted(kinds.items()):
+        # A label may use what the others leave; what is left out of it is made up for by weight.
+        room = max(train_rows // len(kinds), train_rows - (total - n))
+        part = distinct.where(F.col("label") == kind).orderBy(F.xxhash64(*FEATURES)).limit(room)
+        parts.append(part.withColumn("weight", F.col("weight") * (n / min(n, room))))
+    sample = reduce(DataFrame.unionByName, parts).coalesce(1)
     rows = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(sample)
-    return RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=seed, featureSubsetStrategy="sqrt").fit(rows)
+    return RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=seed, featureSubsetStrategy="sqrt", weightCol="weight").fit(rows)
 
 
 def scan(docs: DataFrame, labelled: DataFrame | None = None, threshold: float = 0.5) -> DataFrame:

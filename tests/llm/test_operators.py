@@ -292,6 +292,14 @@ def test_every_secret_of_a_word(spark):
     assert Counter(r["candidate"] for r in secrets.scan(spark.createDataFrame(rows[:2], "doc_id bigint, text string")).collect()) == Counter({one: 3, two: 2})
 
 
+def test_copies_do_not_fill_the_training_rows(spark):
+    names = ", ".join(f"{n} double" for n in (*secrets.FEATURES, "label"))
+    rows = [(float(kind),) * (len(secrets.FEATURES) + 1) for kind in (0, 1) for _ in range(500)]
+    model = secrets.train(spark.createDataFrame(rows, names), train_rows=20)
+    assert model is not None
+    assert secrets.train(spark.createDataFrame(rows[:500], names), train_rows=20) is None
+
+
 def test_secrets_without_labels(spark, empty):
     assert secrets.scan(empty).count() == 0
     one = secrets.scan(spark.createDataFrame([(1, "x token = abcdef0123456789abcdef")], "doc_id bigint, text string")).collect()
