@@ -102,6 +102,16 @@ def test_op7_gives_every_page_its_rule(spark):
             assert r["rule"] is None and r["verdict"] in ("allow", "block")
 
 
+def test_op7_learns_from_labels_that_speak_about_urls(spark, tmp_path):
+    rows = [(i, f"http://{'spam' if i % 4 == 0 else 'good'}.com/p{i}") for i in range(200)] + [(900, "http://spam.com/new"), (901, "http://good.com/new"), (902, "http://spam.net/new")]
+    spark.createDataFrame(rows, "page_id bigint, url string").write.parquet(f"{tmp_path}/pages.parquet")
+    labels = [(i, int(i % 8 == 0), 0 if i % 4 == 0 else 3) for i in range(200)]
+    spark.createDataFrame(labels, "doc_id bigint, toxic int, quality int").write.parquet(f"{tmp_path}/labels.parquet")
+    got = {r["page_id"]: (r["rule"], r["verdict"]) for r in queries.op7_url_filters(spark, str(tmp_path)).collect()}
+    want = {i: (None, "block" if i % 4 == 0 else "allow") for i in range(200)}
+    assert got == want | {900: (None, "block"), 901: (None, "allow"), 902: ("net/", "block")}
+
+
 def passes(text):
     n_words, chars, symbols, dup, repeat = plain.quality(text)
     worded = len([x for x in (text or "").split("\n") if plain.words_of(x)])
