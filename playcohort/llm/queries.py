@@ -1,11 +1,11 @@
-"""The registered queries of the ten operators, and SQL where it can say the same."""
+"""The registered queries of the numbered operators, and SQL where it can say the same."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from playcohort.llm import chat, decontaminate, jaccard, lines, packing, quality, secrets, sharding, substrings, urls
+from playcohort.llm import chat, decontaminate, interactions, jaccard, lines, packing, quality, secrets, sharding, substrings, urls
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -74,11 +74,16 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_filter_interaction_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return interactions.audit(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_best_fit_packing, op2_ngram_jaccard_join, op3_jump_hash_sharding, op4_substring_dedup, op5_secret_scans, op6_line_dedup, op7_url_filters,
         op8_benchmark_decontamination, op9_quality_rules, op10_chat_formatting,
+        op12_filter_interaction_audit,
     )
 }
 
@@ -161,4 +166,35 @@ ORACLES: dict[str, str] = {
             bool_and(CASE coalesce(previous, '') WHEN '' THEN role IN ('system', 'user') WHEN 'system' THEN role = 'user' WHEN 'user' THEN role = 'assistant' ELSE role = 'user' END) AS valid
         FROM e GROUP BY conv_id
     """,
+    "op12_filter_interaction_audit": r"""
+        WITH d AS (
+            SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents
+        ), firsts AS (SELECT t, min(doc_id) AS lo FROM d GROUP BY t),
+        marks AS (SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic FROM labels GROUP BY doc_id),
+        m AS (
+            SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+                {'A': len(w) < 50, 'B': 100 * list_unique(w) < 65 * len(w), 'C': 100 * (length(t) - length(regexp_replace(t, '[A-Z]', '', 'g'))) > 5 * length(t),
+                 'D': regexp_matches(t, '[#$%&*|]'), 'E': coalesce(d.doc_id > lo, false)} AS f
+            FROM d JOIN firsts USING (t) LEFT JOIN marks ON marks.doc_id = d.doc_id
+        ), letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+        fails AS (
+            SELECT *, (CASE WHEN f.A THEN 'A' ELSE '' END) || (CASE WHEN f.B THEN 'B' ELSE '' END) || (CASE WHEN f.C THEN 'C' ELSE '' END) || (CASE WHEN f.D THEN 'D' ELSE '' END) || (CASE WHEN f.E THEN 'E' ELSE '' END) AS bad FROM m
+        ), cells AS (SELECT part, bad, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM fails GROUP BY part, bad),
+        orders AS (
+            SELECT a.x || b.x || c.x || d.x || e.x AS o FROM letters a JOIN letters b ON b.x <> a.x JOIN letters c ON c.x NOT IN (a.x, b.x)
+            JOIN letters d ON d.x NOT IN (a.x, b.x, c.x) JOIN letters e ON e.x NOT IN (a.x, b.x, c.x, d.x)
+        ), steps AS (SELECT o, s, o[s:s] AS x, o[1:s - 1] AS before FROM orders, unnest(range(1, 6)) AS r(s)),
+        counted AS (
+            SELECT part, o, s, x, c.n, c.good, c.toxic, contains(bad, x) AS hit, bad = x AS lone, length(translate(bad, before, '')) < length(bad) AS gone FROM steps, cells c
+        ), summed AS (
+            SELECT part, o AS filter_order, s AS step, x, coalesce(sum(n) FILTER (NOT hit AND NOT gone), 0) AS kept, coalesce(sum(n) FILTER (hit AND NOT gone), 0) AS removed,
+                coalesce(sum(n) FILTER (hit AND gone), 0) AS redundant, coalesce(sum(n) FILTER (lone), 0) AS unique_fails,
+                coalesce(sum(good) FILTER (hit AND NOT gone), 0) AS good_lost, coalesce(sum(toxic) FILTER (hit AND NOT gone), 0) AS toxic_lost
+            FROM counted GROUP BY part, o, s, x
+        )
+        SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed, CAST(redundant AS BIGINT) AS redundant,
+            CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+            CAST(sum(removed) OVER (PARTITION BY part, x) AS BIGINT) AS shapley
+        FROM summed
+    """,
 }
