@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from playcohort.llm import chat, decontaminate, interactions, jaccard, lines, packing, quality, secrets, sharding, substrings, urls
+from playcohort.llm import chat, collocations, decontaminate, interactions, jaccard, lines, packing, quality, secrets, sharding, substrings, urls
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -74,6 +74,10 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mine(_read(spark, sf_dir, "documents"))
+
+
 def op12_filter_interaction_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return interactions.audit(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
 
@@ -83,7 +87,7 @@ QUERIES = {
     for f in (
         op1_best_fit_packing, op2_ngram_jaccard_join, op3_jump_hash_sharding, op4_substring_dedup, op5_secret_scans, op6_line_dedup, op7_url_filters,
         op8_benchmark_decontamination, op9_quality_rules, op10_chat_formatting,
-        op12_filter_interaction_audit,
+        op11_phrase_collocations, op12_filter_interaction_audit,
     )
 }
 
@@ -166,6 +170,26 @@ ORACLES: dict[str, str] = {
             bool_and(CASE coalesce(previous, '') WHEN '' THEN role IN ('system', 'user') WHEN 'system' THEN role = 'user' WHEN 'user' THEN role = 'assistant' ELSE role = 'user' END) AS valid
         FROM e GROUP BY conv_id
     """,
+    "op11_phrase_collocations": r"""
+        WITH p AS (
+            SELECT doc_id, coalesce(lang, 'und') AS lang, i, list_filter(string_split_regex(pieces[i], '[\x20\x09]+'), lambda x: x <> '') AS w
+            FROM (SELECT doc_id, lang, string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]') AS pieces FROM documents),
+                unnest(range(1, len(pieces) + 1)) AS r(i)
+        ), totals AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM p GROUP BY lang),
+        f AS (
+            SELECT lang, s AS size, w[q:q + s - 1] AS ws, count(*) AS f FROM p, unnest([1, 2, 3, 4]) AS k(s), unnest(range(1, len(w) - s + 2)) AS r(q) WHERE len(w) >= s GROUP BY ALL HAVING count(*) >= 30
+        ), cuts AS (
+            SELECT c.lang, c.ws, c.size, c.f AS a, k, x.f AS l, y.f AS r, (2000000::HUGEINT * c.f) // (x.f + y.f) AS score
+            FROM f c, unnest(range(1, c.size)) AS t(k) JOIN f x ON x.lang = c.lang AND x.ws = c.ws[1:k] JOIN f y ON y.lang = c.lang AND y.ws = c.ws[k + 1:] WHERE c.size > 1
+        ), best AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, ws ORDER BY score, k) = 1),
+        longer AS (
+            SELECT lang, ws[q:q + s - 1] AS ws, max(f) AS most FROM f, unnest([2, 3]) AS k(s), unnest(range(1, size - s + 2)) AS r(q) WHERE size > s GROUP BY ALL
+        ), kept AS (
+            SELECT best.*, array_to_string(best.ws, ' ') AS phrase FROM best LEFT JOIN longer USING (lang, ws) WHERE most IS NULL OR 100 * most < 80 * a
+        )
+        SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, CAST(score AS BIGINT) AS score FROM kept JOIN totals USING (lang)
+        QUALIFY rank <= 2000
+    """,
     "op12_filter_interaction_audit": r"""
         WITH d AS (
             SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents
