@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from playcohort.llm import chat, collocations, decontaminate, interactions, jaccard, lines, packing, quality, secrets, sharding, substrings, urls
+from playcohort.llm import chat, collocations, decontaminate, interactions, jaccard, lines, packing, quality, secrets, sharding, substrings, toxicity, urls
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -82,12 +82,16 @@ def op12_filter_interaction_audit(spark: SparkSession, sf_dir: str) -> DataFrame
     return interactions.audit(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
 
 
+def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.judge(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels")).drop("hits")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_best_fit_packing, op2_ngram_jaccard_join, op3_jump_hash_sharding, op4_substring_dedup, op5_secret_scans, op6_line_dedup, op7_url_filters,
         op8_benchmark_decontamination, op9_quality_rules, op10_chat_formatting,
-        op11_phrase_collocations, op12_filter_interaction_audit,
+        op11_phrase_collocations, op12_filter_interaction_audit, op13_toxicity,
     )
 }
 
