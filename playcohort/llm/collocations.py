@@ -9,7 +9,8 @@ Phrases of two to four words that occur ``least`` times or more in a language ar
    every frequent n-gram survives: its counter plus all that was subtracted is at least its number. A partition that is
    heavier than twice the mean lets its summary grow rather than subtract too much, so the guarantee needs no luck.
    The passes go words, two words, three and four words; an n-gram enters only if the shorter ones in it survived.
-2. *Exact counts.* The last pass counts the survivors themselves, as text, and drops what is not frequent.
+2. *Exact counts.* The last pass counts the survivors themselves, as text, again a row for each hash partition, and drops
+   what is not frequent.
 
 Survivors travel between passes as a Bloom filter with one hash, ``2 ** filter_bits`` bits whatever the size of the
 corpus (16 MB by default, the only broadcast). A wrong yes costs work and changes no result; a corpus with more frequent
@@ -20,8 +21,9 @@ the best phrases of a language are selected by salted ranks in three rounds.
 
 Edge cases: null and empty texts have no words; a null ``lang`` is ``und``, together with that text; repeated documents
 count each; equal scores and counts are ordered by the phrase's UTF-8 bytes; an empty table gives an empty result; further
-columns are ignored. Keys that collide only add to the survivors: the exact pass tells phrases apart by 128 bits within a
-task and by their text between tasks.
+columns are ignored. Summaries hold the upper bits of a key, 32 beyond the hash partition's: keys that collide there only
+add to the survivors. The exact pass tells phrases apart by all 64 bits within what one task counts at a time, and by
+their text between tasks.
 """
 
 from __future__ import annotations
@@ -34,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from playcohort.llm.words import BYTE_BASE, SECOND_BASE, WINDOW_BASE, Group, groups, mix
+from playcohort.llm.words import WINDOW_BASE, Group, groups, mix
 from playcohort.session import materialize
 
 LEAST, LONGEST, TOP, COVERED = 30, 4, 2000, 80
@@ -47,7 +49,7 @@ COUNTERS = 1 << 17
 PHRASES = 400_000
 _SPACES = np.isin(np.arange(256), [*b" .,;:!?", *range(0x09, 0x0E)])
 _BREAKS = np.isin(np.arange(256), [*b".,;:!?", *range(0x0A, 0x0E)])
-SUMMARY = "part int, ahead bigint, keys binary, counts binary"
+SUMMARY = "part int, ahead bigint, keys binary, small binary, large binary"
 
 
 def _code(lang: str) -> int:
@@ -57,11 +59,11 @@ def _code(lang: str) -> int:
 class Grams:
     """The n-grams of a group: ``key[n]`` at each word, and where one begins that lies inside a piece of text."""
 
-    def __init__(self, group: Group, langs: list[str], base: int = WINDOW_BASE):
+    def __init__(self, group: Group, langs: list[str]):
         lang = np.array([_code(x) for x in langs], np.uint64)
         self.piece = np.concatenate([[0], np.cumsum(_BREAKS[group.data])])[group.start] + group.text  # neither ever falls
         self.word = group.hash
-        self.base = np.uint64(base)
+        self.base = np.uint64(WINDOW_BASE)
         self.key = {1: mix(group.hash * self.base + lang[group.text])}
 
     def keys(self, n: int) -> np.ndarray:
@@ -101,7 +103,7 @@ class Summary:
 
     def __init__(self, capacity: int, least: int):
         self.capacity, self.least, self.spent = capacity, least, 0
-        self.keys, self.counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        self.keys, self.counts = np.zeros(0, "<u4"), np.zeros(0, np.int64)
         self.waiting: list[tuple[np.ndarray, np.ndarray]] = []
         self.size = 0
 
@@ -135,7 +137,7 @@ def _summaries(docs: DataFrame, sizes: tuple[int, ...], filters: dict, mass: int
     """Filters of the n-grams of ``sizes`` that survive, and how many n-grams the next sizes can have at most."""
     spark = docs.sparkSession
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    log = min(filter_bits - 3, max(6, (4 * tasks - 1).bit_length(), (mass // (least * COUNTERS)).bit_length()))
+    log = min(filter_bits - 3, _parts(tasks, mass, least))
     capacity, longest = 2 * mass // (least << log) + 1024, max(sizes)
     shared = {n: spark.sparkContext.broadcast(bits) for n, bits in filters.items()}
 
@@ -158,13 +160,13 @@ def _summaries(docs: DataFrame, sizes: tuple[int, ...], filters: dict, mass: int
         merged: dict[int, Summary] = {}
         ahead = 0
         for batch in batches:
-            for part, more, keys, counts in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
+            for part, more, keys, small, large in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 summary = merged.setdefault(part, Summary(capacity, least))
-                summary.add(np.frombuffer(keys, "<u8"), np.frombuffer(counts, "<u4").astype(np.int64))
+                summary.add(np.frombuffer(keys, "<u4"), _numbers(small, large))
                 ahead += more
         for part, summary in merged.items():
             bits = np.zeros(1 << (filter_bits - log), np.uint8)
-            bits[((summary.survivors() << np.uint64(log)) >> np.uint64(64 - filter_bits + log)).astype(np.int64)] = 1
+            bits[summary.survivors() >> np.uint32(32 + log - filter_bits)] = 1
             yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([ahead]), pa.array([np.packbits(bits, bitorder="little").tobytes()], pa.binary())], ["part", "ahead", "bits"])
             ahead = 0
 
@@ -184,49 +186,114 @@ def _rows(waiting: list[np.ndarray], ahead: int, log: int) -> pa.RecordBatch:
     parts = np.flatnonzero(np.diff(bounds))
     if not len(parts):
         parts = np.zeros(1, np.int64)
-    counts = counts.astype("<u4")
-    cut = lambda x: pa.array([x[bounds[p] : bounds[p + 1]].tobytes() for p in parts], pa.binary())
-    return pa.RecordBatch.from_arrays([pa.array(parts, pa.int32()), pa.array([ahead] + [0] * (len(parts) - 1)), cut(keys.astype("<u8")), cut(counts)], ["part", "ahead", "keys", "counts"])
+    keys = (keys >> np.uint64(32 - log)).astype("<u4")
+    rows = [(keys[bounds[p] : bounds[p + 1]].tobytes(), *_bytes(counts[bounds[p] : bounds[p + 1]])) for p in parts]
+    return pa.RecordBatch.from_arrays([pa.array(parts, pa.int32()), pa.array([ahead] + [0] * (len(parts) - 1)), *(pa.array(c, pa.binary()) for c in zip(*rows, strict=True))],
+                                      ["part", "ahead", "keys", "small", "large"])
 
 
-def _counts(docs: DataFrame, filters: dict[int, np.ndarray], longest: int) -> DataFrame:
-    """``lang, size, phrase, f``: exact numbers of the phrases the filters let through; size 0 has all words of a language."""
-    shared = {n: docs.sparkSession.sparkContext.broadcast(bits) for n, bits in filters.items()}
+def _bytes(counts: np.ndarray) -> tuple[bytes, bytes]:
+    """Counts as a byte each; 0 stands for the next of the large ones."""
+    large = counts > 255
+    return np.where(large, 0, counts).astype(np.uint8).tobytes(), counts[large].astype("<u8").tobytes()
+
+
+def _numbers(small: bytes, large: bytes) -> np.ndarray:
+    counts = np.frombuffer(small, np.uint8).astype(np.int64)
+    counts[counts == 0] = np.frombuffer(large, "<u8")
+    return counts
+
+
+FOUND = "part int, lang string, phrases string, small binary, large binary"
+
+
+def _counts(docs: DataFrame, filters: dict[int, np.ndarray], mass: int, least: int, longest: int) -> DataFrame:
+    """``lang, size, phrase, f``: exact numbers of the frequent phrases; size 0 has all words of a language."""
+    spark = docs.sparkSession
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    log = _parts(tasks, mass, least)
+    shared = {n: spark.sparkContext.broadcast(bits) for n, bits in filters.items()}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         have = {n: b.value for n, b in shared.items()}
-        found: dict[tuple[int, int], list] = {}
+        seen = Phrases(log)
         for batch in batches:
             for group, langs in _scan(batch):
-                first, second = Grams(group, langs), Grams(group, langs, SECOND_BASE ^ BYTE_BASE | 1)
+                grams, text = Grams(group, langs), group.data.tobytes()
                 for lang, n in zip(langs, np.bincount(group.text, minlength=group.texts).tolist(), strict=True):
-                    found.setdefault((_code(lang), 0), [lang, 0, "", 0])[3] += n
+                    seen.add(_code(lang), n, lang, "")
+                # the words up to the next place where more than one blank lies between two
+                plain = np.append((group.start[1:] - group.end[:-1] == 1) & (group.data[group.end[:-1]] == 32), False).cumsum()
                 for n in range(1, longest + 1):
-                    at = np.flatnonzero(first.kept(n, have))
-                    a, b = first.keys(n)[at], second.keys(n)[at]
-                    order = np.lexsort((b, a))
-                    a, b, at = a[order], b[order], at[order]
-                    new = np.flatnonzero(np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])])) if len(a) else np.zeros(0, np.int64)
-                    numbers = np.diff(np.append(new, len(a)))
-                    for key, place, number in zip(zip(a[new].tolist(), b[new].tolist(), strict=True), at[new].tolist(), numbers.tolist(), strict=True):
-                        seen = found.get(key)
-                        if seen is None:
-                            found[key] = [langs[group.text[place]], n, group.words(place, place + n).decode(), number]
-                        else:
-                            seen[3] += number
-                if len(found) > PHRASES:
-                    yield _found(found)
-                    found = {}
-        yield _found(found)
-
-    rows = docs.mapInArrow(run, "lang string, size int, phrase string, f bigint")
-    return rows.groupBy("lang", "size", "phrase").agg(F.sum("f").alias("f"))
-
-
-def _found(found: dict) -> pa.RecordBatch:
-    columns = list(zip(*found.values(), strict=True)) or [(), (), (), ()]
-    types = (pa.string(), pa.int32(), pa.string(), pa.int64())
-    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], ["lang", "size", "phrase", "f"])
+                    at = np.flatnonzero(grams.kept(n, have))
+                    codes, first, numbers = np.unique(grams.keys(n)[at], return_index=True, return_counts=True)
+                    for code, i, number in zip(codes.tolist(), at[first].tolist(), numbers.tolist(), strict=True):
+                        if not seen.more(code, number):
+                            last = i + n - 1
+                            straight = plain[last - 1] - (plain[i - 1] if i else 0) == n - 1 if n > 1 else True
+                            phrase = text[group.start[i] : group.end[last]] if straight else group.words(i, i + n)
+                            seen.add(code, number, langs[group.text[i]], phrase.decode())
+                if len(seen.place) > PHRASES:
+                    yield seen.rows()
+                    seen = Phrases(log)
+        yield seen.rows()
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        merged: dict[str, dict[str, int]] = {}
+        for batch in batches:
+            for lang, phrases, small, large in zip(*(c.to_pylist() for c in batch.columns[1:]), strict=True):
+                of = merged.setdefault(lang, {})
+                for phrase, n in zip(phrases.split("\t"), _numbers(small, large).tolist(), strict=True):
+                    of[phrase] = of.get(phrase, 0) + n
+        for lang, of in merged.items():
+            kept = [(p, n) for p, n in of.items() if n >= least or not p]
+            for lo in range(0, len(kept), 50_000):
+                phrases, numbers = zip(*kept[lo : lo + 50_000], strict=True)
+                sizes = [p.count(" ") + 1 if p else 0 for p in phrases]
+                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(sizes)), pa.array(sizes, pa.int32()), pa.array(phrases), pa.array(numbers, pa.int64())], ["lang", "size", "phrase", "f"])
+
+    return docs.mapInArrow(run, FOUND).repartition(max(tasks, (1 << log) // 2), "part").mapInArrow(merge, "lang string, size int, phrase string, f bigint")
+
+
+class Phrases:
+    """What a task has counted: phrases by key."""
+
+    def __init__(self, log: int):
+        self.log = log
+        self.place: dict[int, int] = {}
+        self.names: list[tuple[str, str]] = []
+        self.numbers: list[int] = []
+
+    def more(self, code: int, number: int) -> bool:
+        """Count a known phrase."""
+        at = self.place.get(code)
+        if at is not None:
+            self.numbers[at] += number
+        return at is not None
+
+    def add(self, code: int, number: int, lang: str, phrase: str) -> None:
+        if not self.more(code, number):
+            self.place[code] = len(self.names)
+            self.names.append((lang, phrase))
+            self.numbers.append(number)
+
+    def rows(self) -> pa.RecordBatch:
+        """A row for each hash partition and language."""
+        parts = (np.fromiter(self.place, np.uint64, len(self.place)) >> np.uint64(64 - self.log)).tolist()
+        split: dict[tuple[int, str], tuple[list[str], list[int]]] = {}
+        for part, (lang, phrase), number in zip(parts, self.names, self.numbers, strict=True):
+            phrases, numbers = split.setdefault((part, lang), ([], []))
+            phrases.append(phrase)
+            numbers.append(number)
+        rows = [(part, lang, "\t".join(phrases), *_bytes(np.array(numbers))) for (part, lang), (phrases, numbers) in split.items()]
+        types = (pa.int32(), pa.string(), pa.string(), pa.binary(), pa.binary())
+        columns = list(zip(*rows, strict=True)) or [()] * 5
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], ["part", "lang", "phrases", "small", "large"])
+
+
+def _parts(tasks: int, mass: int, least: int) -> int:
+    """Hash partitions, as a power of two."""
+    return max(6, (4 * tasks - 1).bit_length(), (mass // (least * COUNTERS)).bit_length())
 
 
 def frequent(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, filter_bits: int = FILTER_BITS) -> DataFrame:
@@ -235,12 +302,12 @@ def frequent(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, filter
     # between two words lies a byte at least
     mass = docs.agg(F.sum(F.octet_length("text") + 1)).first()[0] or 0
     filters: dict[int, np.ndarray] = {}
-    mass //= 2
+    mass = words = mass // 2
     for sizes in ((1,), (2,), tuple(range(3, longest + 1))):
         if sizes and sizes[0] <= longest:
             found, mass = _summaries(docs, sizes, filters, mass, least, filter_bits)
             filters |= found
-    return materialize(_counts(docs, filters, longest).where(f"size = 0 OR f >= {least}"), "phrases")
+    return materialize(_counts(docs, filters, words, least, longest), "phrases")
 
 
 def _look_up(rows: DataFrame, part: str, table: DataFrame, name: str) -> DataFrame:
@@ -253,19 +320,18 @@ def _look_up(rows: DataFrame, part: str, table: DataFrame, name: str) -> DataFra
 def score(counts: DataFrame, covered: int = COVERED) -> DataFrame:
     """``lang, phrase, a, l, r, score`` of all phrases not covered by a longer one, by the cut that scores lowest."""
     phrases = counts.where("size > 1").select("lang", "size", "phrase", F.col("f").alias("a"))
-    words = phrases.withColumn("w", F.split("phrase", " "))
     piece = lambda lo, n: F.array_join(F.slice("w", lo, n), " ")
-    cuts = words.withColumn("k", F.explode(F.sequence(F.lit(1), F.col("size") - 1)))
+    inner = phrases.where("size > 2").withColumn("w", F.split("phrase", " ")).withColumn("n", F.explode(F.sequence(F.lit(2), F.col("size") - 1)))
+    inner = inner.withColumn("at", F.explode(F.sequence(F.lit(1), F.col("size") - F.col("n") + 1)))
+    longer = inner.select("lang", piece(F.col("at"), F.col("n")).alias("phrase"), "a").groupBy("lang", "phrase").agg(F.max("a").alias("_longer"))
+    kept = phrases.join(longer, ["lang", "phrase"], "left").where(f"_longer IS NULL OR CAST(100 AS DECIMAL(3)) * _longer < CAST({covered} AS DECIMAL(3)) * a")
+    cuts = kept.withColumn("w", F.split("phrase", " ")).withColumn("k", F.explode(F.sequence(F.lit(1), F.col("size") - 1)))
     cuts = cuts.select("lang", "phrase", "a", "k", piece(F.lit(1), F.col("k")).alias("left"), piece(F.col("k") + 1, F.col("size") - F.col("k")).alias("right"),
                        F.pmod(F.xxhash64("phrase"), F.lit(64)).alias("_salt"))
     cuts = _look_up(_look_up(cuts, "left", counts.where("size > 0"), "l"), "right", counts.where("size > 0"), "r")
     whole = F.expr("CAST((CAST(2000000 AS DECIMAL(7)) * CAST(a AS DECIMAL(19))) DIV (CAST(l AS DECIMAL(19)) + CAST(r AS DECIMAL(19))) AS BIGINT)")
     best = cuts.groupBy("lang", "phrase", "a").agg(F.min(F.struct(whole.alias("score"), "k", "l", "r")).alias("m"))
-    inner = words.where("size > 2").withColumn("n", F.explode(F.sequence(F.lit(2), F.col("size") - 1)))
-    inner = inner.withColumn("at", F.explode(F.sequence(F.lit(1), F.col("size") - F.col("n") + 1)))
-    longer = inner.select("lang", piece(F.col("at"), F.col("n")).alias("phrase"), "a").groupBy("lang", "phrase").agg(F.max("a").alias("_longer"))
-    kept = best.join(longer, ["lang", "phrase"], "left").where(f"_longer IS NULL OR CAST(100 AS DECIMAL(3)) * _longer < CAST({covered} AS DECIMAL(3)) * a")
-    return kept.select("lang", "phrase", "a", F.col("m.l").alias("l"), F.col("m.r").alias("r"), F.col("m.score").alias("score"))
+    return best.select("lang", "phrase", "a", F.col("m.l").alias("l"), F.col("m.r").alias("r"), F.col("m.score").alias("score"))
 
 
 def mine(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, top: int = TOP, covered: int = COVERED, filter_bits: int = FILTER_BITS) -> DataFrame:
