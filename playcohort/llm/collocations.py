@@ -29,6 +29,7 @@ their text between tasks.
 from __future__ import annotations
 
 import hashlib
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -204,7 +205,7 @@ def _numbers(small: bytes, large: bytes) -> np.ndarray:
     return counts
 
 
-FOUND = "part int, lang string, phrases string, small binary, large binary"
+FOUND = "part int, lang string, phrases binary, small binary, large binary"
 
 
 def _counts(docs: DataFrame, filters: dict[int, np.ndarray], mass: int, least: int, longest: int) -> DataFrame:
@@ -243,7 +244,7 @@ def _counts(docs: DataFrame, filters: dict[int, np.ndarray], mass: int, least: i
         for batch in batches:
             for lang, phrases, small, large in zip(*(c.to_pylist() for c in batch.columns[1:]), strict=True):
                 of = merged.setdefault(lang, {})
-                for phrase, n in zip(phrases.split("\t"), _numbers(small, large).tolist(), strict=True):
+                for phrase, n in zip(zlib.decompress(phrases).decode().split("\t"), _numbers(small, large).tolist(), strict=True):
                     of[phrase] = of.get(phrase, 0) + n
         for lang, of in merged.items():
             kept = [(p, n) for p, n in of.items() if n >= least or not p]
@@ -280,13 +281,14 @@ class Phrases:
     def rows(self) -> pa.RecordBatch:
         """A row for each hash partition and language."""
         parts = (np.fromiter(self.place, np.uint64, len(self.place)) >> np.uint64(64 - self.log)).tolist()
-        split: dict[tuple[int, str], tuple[list[str], list[int]]] = {}
+        split: dict[tuple[int, str], list[tuple[str, int]]] = {}
         for part, (lang, phrase), number in zip(parts, self.names, self.numbers, strict=True):
-            phrases, numbers = split.setdefault((part, lang), ([], []))
-            phrases.append(phrase)
-            numbers.append(number)
-        rows = [(part, lang, "\t".join(phrases), *_bytes(np.array(numbers))) for (part, lang), (phrases, numbers) in split.items()]
-        types = (pa.int32(), pa.string(), pa.string(), pa.binary(), pa.binary())
+            split.setdefault((part, lang), []).append((phrase, number))
+        rows = []
+        for (part, lang), found in split.items():
+            phrases, numbers = zip(*sorted(found), strict=True)  # in order they are compressed best
+            rows.append((part, lang, zlib.compress("\t".join(phrases).encode(), 1), *_bytes(np.array(numbers))))
+        types = (pa.int32(), pa.string(), pa.binary(), pa.binary(), pa.binary())
         columns = list(zip(*rows, strict=True)) or [()] * 5
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], ["part", "lang", "phrases", "small", "large"])
 
