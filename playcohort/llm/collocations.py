@@ -194,8 +194,8 @@ def _rows(waiting: list[np.ndarray], ahead: int, log: int) -> pa.RecordBatch:
 
 
 def _bytes(counts: np.ndarray) -> tuple[bytes, bytes]:
-    """Counts as a byte each; 0 stands for the next of the large ones."""
-    large = counts > 255
+    """Counts as a byte each; 0 stands for the next of those that do not fit one."""
+    large = (counts == 0) | (counts > 255)
     return np.where(large, 0, counts).astype(np.uint8).tobytes(), counts[large].astype("<u8").tobytes()
 
 

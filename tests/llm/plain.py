@@ -4,6 +4,7 @@ import hashlib
 import random
 import re
 from collections import Counter, defaultdict
+from itertools import permutations
 
 DOCUMENTS = "doc_id bigint, text string, lang string, source string, n_chars bigint, sid string, place string, doc string, _drop string, words int"
 
@@ -165,3 +166,71 @@ def jump(key, shards):
 
 def sha(text):
     return hashlib.sha256(text.encode()).hexdigest()
+
+
+def collocations(rows, least, top, covered=80):
+    """``lang, rank, phrase, a, l, r, n, score`` of (lang, text) rows, by counting everything."""
+    counts, totals = Counter(), Counter()
+    for lang, text in rows:
+        lang = "und" if lang is None else lang
+        for piece in re.split(r"[.,;:!?\x0A-\x0D]", lower(text or "")):
+            words = re.findall(r"[^\x20\x09]+", piece)
+            totals[lang] += len(words)
+            for n in range(1, 5):
+                counts.update((lang, *words[i : i + n]) for i in range(len(words) - n + 1))
+    out = []
+    for lang in totals:
+        mine = {k[1:]: v for k, v in counts.items() if k[0] == lang and v >= least}
+        longer = Counter()
+        for words, f in mine.items():
+            for n in range(2, len(words)):
+                for i in range(len(words) - n + 1):
+                    longer[words[i : i + n]] = max(longer[words[i : i + n]], f)
+        rows = []
+        for words, a in mine.items():
+            if len(words) > 1 and not (words in longer and 100 * longer[words] >= covered * a):
+                score, _, l, r = min((2_000_000 * a // (mine[words[:k]] + mine[words[k:]]), k, mine[words[:k]], mine[words[k:]]) for k in range(1, len(words)))
+                rows.append((-score, -a, " ".join(words).encode(), l, r))
+        out += [(lang, i + 1, p.decode(), -a, l, r, totals[lang], -s) for i, (s, a, p, l, r) in enumerate(sorted(rows)[:top])]
+    return sorted(out)
+
+
+def audit(rows, labels):
+    """The counts of every part, order and step, one document at a time; rows are (doc_id, text, source)."""
+    ids, marks = {}, {}
+    for doc_id, text, _ in rows:
+        if doc_id is not None:
+            ids[text or ""] = min(doc_id, ids.get(text or "", doc_id))
+    for doc_id, good, toxic in labels:
+        old = marks.get(doc_id, (0, 0))
+        marks[doc_id] = (max(old[0], int(good == 1)), max(old[1], int(toxic == 1)))
+    out = {}
+    for doc_id, text, source in rows:
+        text, words = text or "", words_of(text)
+        failed = {"A": len(words) < 50, "B": 100 * len(set(words)) < 65 * len(words), "C": 100 * len(re.findall("[A-Z]", text)) > 5 * len(text),
+                  "D": bool(re.search(r"[#$%&*|]", text)), "E": doc_id is not None and ids[text] < doc_id}
+        failed = {f for f, bad in failed.items() if bad}
+        good, toxic = marks.get(doc_id, (0, 0)) if doc_id is not None else (0, 0)
+        for order in map("".join, permutations("ABCDE")):
+            for step in range(5):
+                row = out.setdefault((source or "", order, step + 1), [0] * 6)
+                before, now = failed & set(order[:step]), order[step] in failed
+                row[0] += not before and not now
+                row[1] += not before and now
+                row[2] += bool(before) and now
+                row[3] += failed == {order[step]}
+                row[4] += good if now and not before else 0
+                row[5] += toxic if now and not before else 0
+    shares = Counter()
+    for (part, order, step), row in out.items():
+        shares[part, order[step - 1]] += row[1]
+    return sorted((*key, *row, shares[key[0], key[1][key[2] - 1]]) for key, row in out.items())
+
+
+def edits(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        row, last = [i], row
+        for j, y in enumerate(b, 1):
+            row.append(min(last[j] + 1, row[-1] + 1, last[j - 1] + (x != y)))
+    return row[-1]
