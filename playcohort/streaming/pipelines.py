@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence
-from contextlib import contextmanager
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
-from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,31 +14,12 @@ from playcohort.functions import channel as ch
 from playcohort.operators import attribution, dims, kpi
 from playcohort.sources import records
 from playcohort.sources.logs import parse_log
-from playcohort.streaming.details import DetailTable, change, total
+from playcohort.streaming import state
+from playcohort.streaming.details import DetailTable, total
 
 PARTS = "parent_channel string, child_channel string, pkg_code string"
-REGISTRATION = "regi_accounts bigint, new_regi_accounts bigint, regi_devices bigint, new_regi_devices bigint"
-#: Name, unit of time and channel columns of the registration tables: marketing and operations, by day and by hour.
-REGISTRATIONS = (("", "day", f"{PARTS}, "), ("hour", "hour", f"{PARTS}, "), ("opera", "day", ""), ("opera_hour", "hour", ""))
-
-
-def _report_keys(rows: DataFrame) -> list[str]:
-    return [c for c in rows.columns if c in ("day", "hour", "publish_time", "reg_date", "reg_game_id", *kpi.MARKET)]
-
-
-def _pick(rows: DataFrame, touched: DataFrame, entity: list[str]) -> DataFrame:
-    """The rows of the entities a batch touches."""
-    return rows.join(touched.select(*entity).distinct(), entity, "left_semi")
-
-
-@contextmanager
-def _held(rows: DataFrame) -> Iterator[DataFrame]:
-    """Rows that several KPIs of a batch read: the history behind them is scanned once."""
-    rows = rows.persist()
-    try:
-        yield rows
-    finally:
-        rows.unpersist()
+#: The queries over entity state and what they read their changes from.
+CHANGES = {"registration": state.registration_changes, "activation": state.activation_changes, "payment": state.payment_changes}
 
 
 def start(lines: DataFrame, process: Callable[[DataFrame, int], None], checkpoint: str, interval: str | None = None) -> StreamingQuery:
@@ -59,6 +38,10 @@ class KpiPipeline:
     Facts of all games are kept; the published games (given plus streamed) filter the reports, so a
     game published late needs no re-run. Access-log lines count as clicks where ``landing`` gives the pattern of
     a landing-page hit.
+
+    Registrations, activations and payments are queries of their own over the state of device keys and accounts (see
+    ``state``), which write signed changes: no batch of them reads what came before. The facts query keeps what the login,
+    paying-device and landing-page reports need; it looks at the days of its batch only.
     """
 
     spark: SparkSession
@@ -70,51 +53,38 @@ class KpiPipeline:
         schemas = {
             "games": "game_id int",
             "regi": f"game_id int, {PARTS}, expand_channel string, imei string, game_account string, reg_time timestamp",
-            "active": f"game_id int, {PARTS}, imei string, active_time timestamp",
             "login": f"game_id int, {PARTS}, expand_channel string, imei string, game_account string, login_time timestamp",
             "orders": "order_no string, order_time timestamp, game_account string, game_id int, ori_price decimal(18,2), total_amt decimal(18,2), imei string",
             "clicks": f"publish_time string, game_id int, {PARTS}, type int, ip string",
-            **{f"registration_{n}_delta" if n else "registration_delta": f"{unit} string, game_id int, {parts}{REGISTRATION}" for n, unit, parts in REGISTRATIONS},
-            "activation_delta": f"hour string, game_id int, {PARTS}, active_num bigint",
-            "activation_opera_delta": "hour string, game_id int, active_num bigint",
-            "money_delta": f"day string, game_id int, {PARTS}, pay_money bigint",
-            "money_hour_delta": f"hour string, game_id int, {PARTS}, pay_money bigint",
-            "payer_delta": f"day string, game_id int, {PARTS}, pay_accounts bigint",
-            "payer_hour_delta": f"hour string, game_id int, {PARTS}, pay_accounts bigint",
-            "first_payer_delta": "reg_date date, reg_game_id int, recharge_accounts bigint",
-            "ltv_delta": "reg_date date, reg_game_id int, recharge bigint, " + ", ".join(f"ltv_{n}day bigint" for n in C.PAY_LTV),
             "click_delta": f"publish_time string, game_id int, {PARTS}, " + ", ".join(f"{n} bigint" for n in C.CLICK_TYPES.values()),
+            **{f"{n}_changes": state.CHANGE for n in CHANGES},
         }
-        times = {"regi": "reg_time", "active": "active_time", "login": "login_time", "orders": "order_time", "clicks": "publish_time"}
+        times = {"regi": "reg_time", "login": "login_time", "orders": "order_time", "clicks": "publish_time"}
         self.tables = {n: DetailTable(self.spark, f"{self.base}/{n}", s, times.get(n)) for n, s in schemas.items()}
 
+    def start(self, lines: DataFrame, interval: str | None = None, in_turn: bool = False) -> list[StreamingQuery]:
+        """All queries of the pipeline over the lines, each with a checkpoint of its own beside ``base``.
+
+        ``in_turn`` starts a query when the one before has ended, for a replay that a single machine runs.
+        """
+        state.use_state_store(self.spark)
+        runs = []
+        for name, rows in {"facts": lines, **{n: changes(lines) for n, changes in CHANGES.items()}}.items():
+            process = self.process if name == "facts" else self.tables[f"{name}_changes"].write
+            runs.append(start(rows, process, f"{self.base}-checkpoint/{name}", interval))
+            if in_turn:
+                runs[-1].awaitTermination()
+        return runs
+
     def process(self, lines: DataFrame, batch: int) -> None:
-        """One micro-batch: new facts to the detail tables, changes of the KPIs to the delta tables."""
+        """One micro-batch of facts."""
         lines = lines.persist()
         try:
             new = self._append_facts(lines, batch)
         finally:
             lines.unpersist()
-        t = self.tables
-        device = ["game_id", "imei"]
-        with _held(_pick(t["regi"].read(batch), new["regi"], device)) as before:
-            self._write_deltas(batch, before, before.unionByName(new["regi"]), {
-                f"registration_{n}_delta" if n else "registration_delta": partial(kpi.registration_kpi, grain=kpi.MARKET if parts else kpi.OPERA, unit=unit)
-                for n, unit, parts in REGISTRATIONS})
-        with _held(_pick(t["active"].read(batch), new["active"], device)) as before:
-            self._write_deltas(batch, before, before.unionByName(new["active"]), {
-                "activation_delta": partial(kpi.activation_kpi, grain=kpi.MARKET), "activation_opera_delta": partial(kpi.activation_kpi, grain=kpi.OPERA)})
-        # payments follow the payer's registration: both new orders and new registrations change them
-        changed = new["orders"].select("game_account").union(new["regi"].select("game_account"))
-        with _held(_pick(t["regi"].read(batch), changed, ["game_account"])) as old_regi, _held(_pick(t["orders"].read(batch), changed, ["game_account"])) as old_orders:
-            now_regi = old_regi.unionByName(_pick(new["regi"], changed, ["game_account"]))
-            before = kpi.with_account(old_orders, kpi.account_master(old_regi))
-            after = kpi.with_account(old_orders.unionByName(new["orders"]), kpi.account_master(now_regi))
-            self._write_deltas(batch, before, after, {
-                "money_delta": kpi.pay_money, "money_hour_delta": partial(kpi.pay_money, unit="hour"), "payer_delta": kpi.pay_accounts,
-                "payer_hour_delta": partial(kpi.pay_accounts, unit="hour"), "first_payer_delta": kpi.first_payers, "ltv_delta": kpi.pay_ltv})
         games = new["clicks"].select("game_id").distinct()
-        t["click_delta"].write(kpi.click_uv(new["clicks"], games), batch)
+        self.tables["click_delta"].write(kpi.click_uv(new["clicks"], games), batch)
 
     def _append_facts(self, lines: DataFrame, batch: int) -> dict[str, DataFrame]:
         def rows(kind: str, channel: str | None = None) -> DataFrame:
@@ -128,26 +98,23 @@ class KpiPipeline:
         facts = {
             "games": (rows("pubgame"), ["game_id"]),
             "regi": (rows("regi", "expand_channel"), ["game_id", *ch.CHANNEL_COLS, "imei", "game_account", "reg_time"]),
-            "active": (rows("active", "expand_channel"), ["game_id", *ch.CHANNEL_COLS, "imei", "active_time"]),
             "login": (ch.with_channel_parts(login, "expand_channel"), ["game_account", "login_time"]),
             "orders": (rows("order"), ["order_no", "order_time", "game_account"]),
             "clicks": (ch.with_channel_parts(clicks, "expand_channel"), ["publish_time", "game_id", *ch.CHANNEL_COLS, "type", "ip"]),
         }
         return {n: self.tables[n].append_new(df, batch, keys) for n, (df, keys) in facts.items()}
 
-    def _write_deltas(self, batch: int, before: DataFrame, after: DataFrame, kpis: dict[str, Callable[[DataFrame], DataFrame]]) -> None:
-        """Write what each KPI has gained or lost by the batch; ``before`` and ``after`` hold the touched entities only."""
-        for name, fn in kpis.items():
-            self.tables[name].write(change(fn(before), fn(after), _report_keys(self.tables[name].read())), batch)
-
     def published(self, games: DataFrame) -> DataFrame:
         """The given games and those the stream announced."""
         return games.select("game_id").union(self.tables["games"].read().select("game_id")).distinct()
 
     def report(self, name: str, games: DataFrame | None = None) -> DataFrame:
-        """The summed changes of one delta table, of published games only when these are given."""
-        deltas = self.tables[f"{name}_delta"].read()
-        out = total(deltas, _report_keys(deltas))
+        """The current rows of one table (see ``state.MEASURES``, and ``click``), of published games only when these are given."""
+        if name == "click":
+            deltas = self.tables["click_delta"].read()
+            out = total(deltas, ["publish_time", *kpi.MARKET])
+        else:
+            out = state.report(self.tables[f"{state.QUERY_OF[name]}_changes"].read(), name)
         return out if games is None else out.join(self.published(games), "game_id", "left_semi")
 
     def _kept(self, name: str, games: DataFrame) -> DataFrame:

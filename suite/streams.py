@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import re
-from functools import partial
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -52,7 +51,9 @@ def kpi_pipeline(t) -> pipelines.KpiPipeline:
         made = lines.pubgame_lines(t.nation)
         for make in makers:
             made = made.union(make(t.ev))
-        _KPI[key] = run(t, made, partial(pipelines.KpiPipeline, landing=lines.LANDING), "kpi")
+        pipeline = pipelines.KpiPipeline(t.spark, shared_dir(t.spark, "kpi"), landing=lines.LANDING)
+        pipeline.start(replay(t, made, "kpi-lines"), in_turn=True)
+        _KPI[key] = pipeline
     return _KPI[key]
 
 

@@ -1,7 +1,9 @@
 """Micro-batches in any order, and replayed ones, give the batch result."""
 
+import datetime
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from playcohort.operators import kpi
@@ -10,7 +12,7 @@ from playcohort.session import shared_dir
 from playcohort.sources.logs import parse_log
 from playcohort.streaming.details import DetailTable, change, total
 from playcohort.sources.tables import file_lines
-from playcohort.streaming import pipelines
+from playcohort.streaming import pipelines, state
 from playcohort.streaming.pipelines import AccountPipeline, KpiPipeline
 
 HEAD = "2024-01-01 10:00:00,001 [INFO] bi: "
@@ -20,6 +22,10 @@ def active(imei, time):
     return f"{HEAD}bi_active|1|x|x|m_s_p|{time}|x|android|{imei}"
 
 
+def order(number, time, account="a1"):
+    return f"{HEAD}bi_order|x|{number}|x|x|{account}|{time}|12|x|x|30.00|x|x|5.00|x|x|x|x|x|4|x|x|6|x|dev-1"
+
+
 def frame(spark, *texts):
     return spark.createDataFrame([(t,) for t in texts], "value string")
 
@@ -35,20 +41,74 @@ BATCHES = [
 ]
 
 
-def test_late_earlier_activation_is_moved_and_replay_is_harmless(spark):
-    pipeline = KpiPipeline(spark, shared_dir(spark, "kpi-test"))
-    pipeline.process(frame(spark, *BATCHES[0]), 0)
-    pipeline.process(frame(spark, *BATCHES[1]), 1)
-    deltas = pipeline.tables["activation_delta"].read()
-    assert deltas.filter("active_num < 0").count() == 1
-    pipeline.process(frame(spark, *BATCHES[1]), 1)
-    pipeline.process(frame(spark, *BATCHES[2]), 2)
+def regi(account, imei, time, channel="m_s_p"):
+    return f"{HEAD}bi_regi|r|x|{account}|12|{time}|8|x|77|x|x|android|x|{channel}|{imei}"
+
+
+def replayed(spark, path, batches, breaks_after=None, pipeline=None):
+    """The pipeline after all batches, a file each; it may die once after a batch was written and start again."""
+    pipeline = pipeline or KpiPipeline(spark, shared_dir(spark, "kpi-test"))
+    if not os.path.exists(path):
+        write_files(path, [(1_700_000_000 + 60 * i, batch) for i, batch in enumerate(batches)])
+    if breaks_after is not None:
+        write = pipeline.tables["registration_changes"].write
+
+        def breaks(rows, batch):
+            write(rows, batch)
+            if batch == breaks_after:
+                raise RuntimeError("lost after the batch was written")
+
+        state.use_state_store(spark)
+        query = pipelines.start(state.registration_changes(file_lines(spark, path, files_per_trigger=1)), breaks, f"{pipeline.base}-checkpoint/registration")
+        with pytest.raises(Exception, match="lost after"):
+            query.awaitTermination()
+    pipeline.start(file_lines(spark, path, files_per_trigger=1), in_turn=True)
+    return pipeline
+
+
+def test_late_earlier_activation_is_moved_and_repeats_are_harmless(spark, tmp_path):
+    pipeline = replayed(spark, str(tmp_path / "lines"), [BATCHES[0], BATCHES[1], BATCHES[1], BATCHES[2]])
+    changes = pipeline.tables["activation_changes"].read().filter("name = 'activation'")
+    assert rows_of(changes.filter("m[0] < 0").selectExpr("at")) == [("2024-01-02 10",)]
     got = rows_of(pipeline.report("activation").select("hour", "active_num"))
     every = parse_log(frame(spark, *sum(BATCHES, [])), "active")[0]
     want = rows_of(kpi.activation_kpi(jobs.ch.with_channel_parts(every, "expand_channel"), kpi.MARKET).select("hour", "active_num"))
     assert got == want == [("2024-01-01 09", 1), ("2024-01-02 11", 2)]
 
 
+REGI_BATCHES = [
+    [regi("a1", "d1", "2024-01-03 10:00:00"), regi("a2", "d1", "2024-01-03 10:30:00"), regi("a2", "d1", "2024-01-03 11:00:00"), order("o1", "2024-01-03 12:00:00")],
+    [regi("a3", "d1", "2024-01-02 23:00:00"), regi("a1", "d1", "2024-01-03 10:59:59"), regi("a9", "d2", "2024-01-05 00:00:00")],  # an earlier first day; a repeat within its hour
+    [regi("a1", "d1", "2024-01-01 08:00:00", "x_y_z"), order("o2", "2024-01-04 00:30:00"), order("o1", "2024-01-03 12:00:00")],  # other channel; the payer's first registration moves
+]
+
+
+def registered(spark, batches, grain, unit):
+    every = parse_log(frame(spark, *sum(batches, [])), "regi")[0]
+    return rows_of(kpi.registration_kpi(jobs.ch.with_channel_parts(every, "expand_channel"), grain, unit))
+
+
+def test_registration_state_equals_the_whole_log_after_a_restart(spark, tmp_path):
+    """In any order of batches, also with one that is replayed after the query has died behind its output."""
+    for order_of, breaks in (((0, 1, 2), 1), ((2, 0, 1), None)):
+        pipeline = replayed(spark, str(tmp_path / f"lines{order_of[0]}"), [REGI_BATCHES[i] for i in order_of], breaks)
+        for name, grain, unit in (("registration", kpi.MARKET, "day"), ("registration_hour", kpi.MARKET, "hour"), ("registration_opera", kpi.OPERA, "day"), ("registration_opera_hour", kpi.OPERA, "hour")):
+            assert rows_of(pipeline.report(name)) == registered(spark, REGI_BATCHES, grain, unit)
+        assert rows_of(pipeline.report("first_payer")) == [(datetime.date(2024, 1, 1), 12, 1)]
+        assert rows_of(pipeline.report("money").select("day", "parent_channel", "pay_money")) == [("2024-01-03", "x", 3500), ("2024-01-04", "x", 3500)]
+        ltv = pipeline.report("ltv").select("reg_date", "recharge", "ltv_1day", "ltv_3day", "ltv_7day")
+        assert rows_of(ltv) == [(datetime.date(2024, 1, 1), 6000, 0, 3000, 6000)]
+
+
+def test_no_batch_of_entity_state_reads_history(spark, tmp_path):
+    """The plan of a batch has one source, its own lines, and state beside it."""
+    path = str(tmp_path / "lines")
+    write_files(path, [(1_700_000_000, REGI_BATCHES[0])])
+    for changes in pipelines.CHANGES.values():
+        plan = changes(file_lines(spark, path))._jdf.queryExecution().analyzed().toString()
+        assert "TransformWithState" in plan and "parquet" not in plan and "Join" not in plan
+
+
 def test_account_master_keeps_the_greatest_times(spark):
     def regi(time):
         return f"{HEAD}bi_regi|r|x|A1|12|{time}|8|x|77"
@@ -87,10 +147,6 @@ def test_days_prune_the_check_and_an_empty_batch_is_fine(spark):
     assert sorted(r.k for r in table.read().collect()) == [0, 1, 2, 3, 4, 10, 11]
 
 
-def order(number, time, account="a1"):
-    return f"{HEAD}bi_order|x|{number}|x|x|{account}|{time}|12|x|x|30.00|x|x|5.00|x|x|x|x|x|4|x|x|6|x|dev-1"
-
-
 def write_files(path, files):
     """Text files with their times of arrival, in seconds."""
     os.makedirs(path)
