@@ -36,61 +36,91 @@ def _click_keys(clicks: DataFrame) -> DataFrame:
     return compute_once(clicks, "_k", key).select("_k.*", "ts", "pkg_id", "imei", F.col("adv_name").alias("medium"), *LEVELS)
 
 
-def matched_clicks(active: DataFrame, clicks: DataFrame) -> DataFrame:
-    """Activations with the latest click of the last seven days in ``touch_`` columns; a click serves one activation.
+CLICK_KEY = ("os", "place", "device")
+CLICK_COLS = ("medium", "pkg_id", "imei", *LEVELS)
 
-    ``active`` needs event_id, game_id, pkg_code, active_time, os ('android'/'ios') and imei.
-    """
-    touches = _click_keys(valid_clicks(clicks))
+
+def click_touches(clicks: DataFrame) -> DataFrame:
+    """Valid clicks with the key an activation finds them by."""
+    return _click_keys(valid_clicks(clicks))
+
+
+def activation_events(active: DataFrame, games: DataFrame) -> DataFrame:
+    """Activations of advertised games with the key of their clicks."""
     ios = F.col("os") == "ios"
     imei = first_device(F.col("imei"))
-    games = clicks.select("game_id").distinct()
     key = F.struct(imei.alias("own_imei"), F.when(ios, C.OS_IOS).otherwise(C.OS_ANDROID).alias("os"),
                    F.when(ios, F.col("game_id").cast("string")).otherwise(F.col("pkg_code")).alias("place"),
                    F.when(ios, canonical_device(imei)).otherwise(upper_md5(imei)).alias("device"))
-    events = compute_once(active.join(games, "game_id", "left_semi").filter(valid_device(imei)), "_k", key).select(
+    return compute_once(active.join(games, "game_id", "left_semi").filter(valid_device(imei)), "_k", key).select(
         "event_id", "game_id", F.col("pkg_code").alias("own_pkg"), "active_time", "_k.*")
-    return latest_touch(events, touches, ["os", "place", "device"], "active_time", "ts", "event_id",
-                        ["medium", "pkg_id", "imei", *LEVELS], C.CLICK_LOOKBACK_DAYS, consume=True)
 
 
-def attribute_activations(active: DataFrame, clicks: DataFrame) -> DataFrame:
-    """Activations credited to their latest click, see :func:`matched_clicks`."""
-    hits, ios = matched_clicks(active, clicks), F.col("os") == C.OS_IOS
+def matched_clicks(active: DataFrame, clicks: DataFrame) -> DataFrame:
+    """Activations with the latest click of the last seven days in ``touch_`` columns; a click serves one activation.
+
+    ``active`` needs event_id, game_id, pkg_code, active_time, os ('android'/'ios') and imei.
+    """
+    events = activation_events(active, clicks.select("game_id").distinct())
+    return latest_touch(events, click_touches(clicks), CLICK_KEY, "active_time", "ts", "event_id", CLICK_COLS, C.CLICK_LOOKBACK_DAYS, consume=True)
+
+
+def credit_activations(hits: DataFrame, *more: str) -> DataFrame:
+    ios = F.col("os") == C.OS_IOS
     return hits.select(
-        "event_id", "active_time", "game_id", "os", F.when(ios, F.col("touch_pkg_id")).otherwise(F.col("own_pkg")).alias("pkg_code"),
+        *more, "event_id", "active_time", "game_id", "os", F.when(ios, F.col("touch_pkg_id")).otherwise(F.col("own_pkg")).alias("pkg_code"),
         F.when(ios, F.col("touch_imei")).otherwise(F.col("own_imei")).alias("imei"), F.col("touch_medium").alias("medium"),
         *[F.col(f"touch_{c}").alias(c) for c in LEVELS])
 
 
+def attribute_activations(active: DataFrame, clicks: DataFrame) -> DataFrame:
+    """Activations credited to their latest click, see :func:`matched_clicks`."""
+    return credit_activations(matched_clicks(active, clicks))
+
+
 def activation_stats(attributed: DataFrame) -> DataFrame:
     return attributed.groupBy(F.to_date("active_time").alias("day"), *STAT_KEY).agg(F.count(F.lit(1)).alias("active_num"))
 
 
-def attribute_registrations(regi: DataFrame, attributed: DataFrame) -> DataFrame:
-    """Registrations credited to the latest attributed activation of the last 30 days.
+ACTIVATION_KEY = ("os", "game_id", "place", "device")
+ACTIVATION_COLS = ("medium", *LEVELS, "pkg_code")
+
+
+def _own_keys(rows: DataFrame, imei) -> DataFrame:
+    """Android matches on device, game and package, ios on device and game."""
+    place = F.when(F.col("os") == C.OS_IOS, F.lit("")).otherwise(F.col("pkg_code"))
+    return compute_once(rows, "_k", F.struct(place.alias("place"), canonical_device(imei).alias("device")))
+
+
+def activation_touches(attributed: DataFrame, *more: str) -> DataFrame:
+    """Attributed activations with the key a registration finds them by."""
+    return _own_keys(attributed, F.col("imei")).select(*more, "os", "game_id", "_k.*", "active_time", "medium", *LEVELS, "pkg_code")
 
-    Android matches on device, game and package, ios on device and game. Unmatched ones are natural
-    traffic and left out. ``regi`` needs event_id, game_account, game_id, pkg_code, reg_time, os, imei.
-    """
-    ios = F.col("os") == C.OS_IOS
-    def place(pkg: str):
-        return F.when(ios, F.lit("")).otherwise(F.col(pkg))
-    def keyed(rows: DataFrame, imei) -> DataFrame:
-        key = F.struct(place("pkg_code").alias("place"), canonical_device(imei).alias("device"))
-        return compute_once(rows, "_k", key)
 
-    touches = keyed(attributed, F.col("imei")).select("os", "game_id", "_k.*", "active_time", "medium", *LEVELS, "pkg_code")
+def registration_events(regi: DataFrame) -> DataFrame:
+    """Registrations of valid devices with the key of their activation."""
     imei = first_device(F.col("imei"))
     events = regi.filter(valid_device(imei)).withColumn("os", F.when(F.col("os") == "android", C.OS_ANDROID).otherwise(C.OS_IOS))
-    events = keyed(events, imei).select("event_id", "game_account", "game_id", "reg_time", "os", "_k.*")
-    hits = latest_touch(events, touches, ["os", "game_id", "place", "device"], "reg_time", "active_time", "event_id",
-                        ["medium", *LEVELS, "pkg_code"], C.ACTIVATION_LOOKBACK_DAYS, open_start=True)
-    return hits.select("event_id", "game_account", "reg_time", "game_id", "os", F.col("device").alias("imei"),
+    return _own_keys(events, imei).select("event_id", "game_account", "game_id", "reg_time", "os", "_k.*")
+
+
+def credit_registrations(hits: DataFrame, *more: str) -> DataFrame:
+    return hits.select(*more, "event_id", "game_account", "reg_time", "game_id", "os", F.col("device").alias("imei"),
                        F.col("touch_medium").alias("medium"), F.col("touch_pkg_code").alias("pkg_code"),
                        *[F.col(f"touch_{c}").alias(c) for c in LEVELS])
 
 
+def attribute_registrations(regi: DataFrame, attributed: DataFrame) -> DataFrame:
+    """Registrations credited to the latest attributed activation of the last 30 days.
+
+    Android matches on device, game and package, ios on device and game. Unmatched ones are natural
+    traffic and left out. ``regi`` needs event_id, game_account, game_id, pkg_code, reg_time, os, imei.
+    """
+    hits = latest_touch(registration_events(regi), activation_touches(attributed), ACTIVATION_KEY, "reg_time", "active_time", "event_id",
+                        ACTIVATION_COLS, C.ACTIVATION_LOOKBACK_DAYS, open_start=True)
+    return credit_registrations(hits)
+
+
 def _first_per_day(rows: DataFrame, day, entity: list[str], time: str, row_id: str, count: str, devs: str) -> DataFrame:
     """Rows per (day, stat key) and, at its first row of the day, one per entity.
 

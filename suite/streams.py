@@ -12,7 +12,7 @@ from playcohort.operators import attribution, kpi
 from playcohort.session import materialize, shared_dir
 from playcohort.sources.logs import parse_log
 from playcohort.sources.tables import file_lines
-from playcohort.streaming import pipelines
+from playcohort.streaming import pipelines, touches
 from suite import lines
 from suite.kpis import (ACTIVE, ACTS, CLICK_ROWS, HOUR, LOGIN_OUT, LOGIN_SPLIT, ORDER_LOG, ORDER_STATS, REGI_OUT, REGS, STAT, STAT_SPEC, WALL, WALL_SPEC,
                         _login_kpi, _registration, first_per_day)
@@ -266,6 +266,65 @@ def stream_order_stats(t):
     return pipeline.order_stats(regs)
 
 
+TIMELY, LATE_HOURS, DELAY = 6, 12, "1 day"
+#: The time of a line of any kind: the second in a media record, else the first after the log's own stamp.
+LINE_TIME = """CASE WHEN value LIKE 'bi_thirddata%' THEN try_cast(regexp_extract(value, '"(ts|timestamp)":"([0-9]+)"', 2) AS bigint)
+    ELSE unix_timestamp(try_to_timestamp(get(regexp_extract_all(value, '[0-9]{4}-[0-9]{2}-[0-9]{2} [0-9]{2}:[0-9]{2}:[0-9]{2}', 0), 1))) END"""
+
+
+def timely_replay(t, made: DataFrame, closing: DataFrame, purpose: str) -> DataFrame:
+    """Lines in files of five days each, one after the other; some of a file's last hours come with the next file.
+
+    ``closing`` are lines far in the future, which move the watermark past everything else.
+    """
+    path, span = shared_dir(t.spark, purpose), 5 * 86_400
+    timed = made.withColumn("at", F.coalesce(F.expr(LINE_TIME), F.lit(0)))
+    start = timed.filter("at > 0").agg(F.min("at")).first()[0]
+    number = F.greatest(F.lit(0), F.floor((F.col("at") - start) / span))
+    late = ((F.col("at") - start) % span >= span - LATE_HOURS * 3600) & (F.pmod(F.xxhash64("value"), F.lit(3)) == 0)
+    timed = materialize(timed.withColumn("file", F.least(number + F.when(late, 1).otherwise(0), F.lit(TIMELY - 1))), f"{purpose}-timed")
+    for i in range(TIMELY):
+        timed.filter(F.col("file") == i).select("value").coalesce(1).write.mode("append").text(path)
+    closing.coalesce(1).write.mode("append").text(path)
+    return file_lines(t.spark, path, files_per_trigger=1)
+
+
+_TOUCHES: dict[tuple[str, str], tuple[DataFrame, DataFrame]] = {}
+
+
+def touch_streams(t) -> tuple[DataFrame, DataFrame]:
+    """Attributed activations and registrations of one replay, by two stateful operators over the lines; the second is chained to the first."""
+    key = (t.spark.sparkContext.applicationId, t.dir)
+    if key not in _TOUCHES:
+        made = lines.ad_click_lines(t.ad_click).union(lines.ad_click_lines(t.ad_click.filter(CLICK_COPY)))
+        for make in (lines.active_lines, lines.regi_lines):
+            made = made.union(make(t.ev))
+        far = t.ev.limit(1).selectExpr("*", "timestamp '2025-01-01 00:00:00' AS _ts").drop("ts").withColumnRenamed("_ts", "ts").withColumn("event_id", F.lit(1).cast("bigint"))
+        far = far.withColumns({"imei": F.lit("closing-line"), "game_id": F.lit(1)})
+        click = t.ad_click.filter("event_id % 19 <> 0").limit(1).withColumns({"ts": F.lit("2025-01-01 00:00:00").cast("timestamp"), "imei": F.lit("closing-line")})
+        closing = lines.ad_click_lines(click)
+        for kind, make in (("error", lines.active_lines), ("signup", lines.regi_lines)):
+            closing = closing.union(make(far.withColumn("event_type", F.lit(kind))))
+        stream = timely_replay(t, made, closing, "touch-lines")
+        games = t.ad_click.select("game_id").distinct()
+        activations = _to_table(t, touches.attributed_activations(stream, games, DELAY), "touch-activations")
+        chained = touches.attributed_registrations(stream, touches.attributed_activations(stream, games, DELAY), DELAY)
+        _TOUCHES[key] = (activations, _to_table(t, chained, "touch-registrations"))
+    return _TOUCHES[key]
+
+
+@query("job21_touch_activations", f"day:s {STAT_SPEC} active_num:i",
+       f"WITH {_streamed_chain(ACTS)} SELECT cast(active_time AS date) AS day, {STAT}, count(*) AS active_num FROM acts GROUP BY ALL")
+def touch_activations(t):
+    return attribution.activation_stats(touch_streams(t)[0])
+
+
+@query("job21_touch_registrations", f"day:s {STAT_SPEC} regi_num:i",
+       f"WITH {_streamed_chain(REGS)} SELECT cast(reg_time AS date) AS day, {STAT}, count(*) AS regi_num FROM regs GROUP BY ALL")
+def touch_registrations(t):
+    return attribution.registration_stats(touch_streams(t)[1]).select("day", *STAT.split(", "), "regi_num")
+
+
 @query("str17_account_stream", "game_account:s owner_id:s user_type:i regi_time:s last_login_time:s is_recharge:i", f"""
     WITH r AS (SELECT 'u' || u AS acc, cast(u % 40 AS varchar) AS owner_id, max(ts) AS t FROM ev WHERE event_type = 'signup' AND event_id % 31 <> 0 AND event_id % 37 <> 0 GROUP BY 1, 2),
     l AS (SELECT 'u' || u AS acc, max(ts) AS t FROM ev WHERE event_type = 'view' AND event_id % 31 <> 0 AND event_id % 37 <> 0 GROUP BY 1),
