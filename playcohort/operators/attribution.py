@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -9,7 +11,7 @@ from playcohort import constants as C
 from playcohort.functions.device import canonical_device, first_device, upper_md5, valid_click_device, valid_device
 from playcohort.functions.money import cents
 from playcohort.functions.once import compute_once
-from playcohort.operators.asof import latest_touch
+from playcohort.operators.asof import latest_touch, next_carry
 
 LEVELS = ("idea_id", "first_level", "second_level")
 STAT_KEY = ("game_id", "pkg_code", "medium", *LEVELS)
@@ -56,13 +58,19 @@ def activation_events(active: DataFrame, games: DataFrame) -> DataFrame:
         "event_id", "game_id", F.col("pkg_code").alias("own_pkg"), "active_time", "_k.*")
 
 
-def matched_clicks(active: DataFrame, clicks: DataFrame) -> DataFrame:
+def matched_clicks(active: DataFrame, clicks: DataFrame, games: DataFrame | None = None, carry: DataFrame | None = None) -> DataFrame:
     """Activations with the latest click of the last seven days in ``touch_`` columns; a click serves one activation.
 
-    ``active`` needs event_id, game_id, pkg_code, active_time, os ('android'/'ios') and imei.
+    ``active`` needs event_id, game_id, pkg_code, active_time, os ('android'/'ios') and imei. ``games`` are the advertised
+    games, else those of the clicks. With ``carry`` both logs are those of some days only.
     """
-    events = activation_events(active, clicks.select("game_id").distinct())
-    return latest_touch(events, click_touches(clicks), CLICK_KEY, "active_time", "ts", "event_id", CLICK_COLS, C.CLICK_LOOKBACK_DAYS, consume=True)
+    events = activation_events(active, clicks.select("game_id").distinct() if games is None else games)
+    return latest_touch(events, click_touches(clicks), CLICK_KEY, "active_time", "ts", "event_id", CLICK_COLS, C.CLICK_LOOKBACK_DAYS, consume=True, carry=carry)
+
+
+def click_carry(active: DataFrame, clicks: DataFrame, games: DataFrame, last_day: dt.date, carry: DataFrame | None = None) -> DataFrame:
+    """What the activations after ``last_day`` need of the clicks and activations up to it."""
+    return next_carry(activation_events(active, games), click_touches(clicks), CLICK_KEY, "active_time", "ts", "event_id", CLICK_COLS, C.CLICK_LOOKBACK_DAYS, last_day, carry)
 
 
 def credit_activations(hits: DataFrame, *more: str) -> DataFrame:
@@ -110,14 +118,20 @@ def credit_registrations(hits: DataFrame, *more: str) -> DataFrame:
                        *[F.col(f"touch_{c}").alias(c) for c in LEVELS])
 
 
-def attribute_registrations(regi: DataFrame, attributed: DataFrame) -> DataFrame:
+def activation_carry(regi: DataFrame, attributed: DataFrame, last_day: dt.date, carry: DataFrame | None = None) -> DataFrame:
+    """What the registrations after ``last_day`` need of the attributed activations up to it."""
+    return next_carry(registration_events(regi), activation_touches(attributed), ACTIVATION_KEY, "reg_time", "active_time", "event_id", ACTIVATION_COLS,
+                      C.ACTIVATION_LOOKBACK_DAYS, last_day, carry)
+
+
+def attribute_registrations(regi: DataFrame, attributed: DataFrame, carry: DataFrame | None = None) -> DataFrame:
     """Registrations credited to the latest attributed activation of the last 30 days.
 
     Android matches on device, game and package, ios on device and game. Unmatched ones are natural
     traffic and left out. ``regi`` needs event_id, game_account, game_id, pkg_code, reg_time, os, imei.
     """
     hits = latest_touch(registration_events(regi), activation_touches(attributed), ACTIVATION_KEY, "reg_time", "active_time", "event_id",
-                        ACTIVATION_COLS, C.ACTIVATION_LOOKBACK_DAYS, open_start=True)
+                        ACTIVATION_COLS, C.ACTIVATION_LOOKBACK_DAYS, open_start=True, carry=carry)
     return credit_registrations(hits)
 
 

@@ -5,7 +5,8 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from playcohort import constants as C
@@ -252,6 +253,37 @@ def activation_detail(active: DataFrame, clicks: DataFrame) -> DataFrame:
     return materialize(found, "activation-detail")
 
 
+def daily_chain(spark: SparkSession, base: str, days: Days, active: DataFrame, clicks: DataFrame, regi: DataFrame, games: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The attribution chain of a range of days, from the logs of these days and the carry the range before has left.
+
+    Below ``base`` lie the attributed activations and registrations by day and, per last day of a range, what later days
+    need of the touches before them. Ranges run in order; one that runs again starts from the same carry and replaces its
+    days. ``games`` are the advertised games.
+    """
+    before = days[0] - dt.timedelta(days=1)
+    held = lambda name: _read_carry(spark, f"{base}/{name}-carry/last={before}")
+    logs = [in_days(active, "active_time", days), in_days(clicks, "ts", days), in_days(clean_regi(regi), "reg_time", days)]
+    logs[0] = ch.with_channel_parts(logs[0], "expand_channel")
+    clicked, acted = held("click"), held("activation")
+    acts = materialize(attribution.credit_activations(attribution.matched_clicks(logs[0], logs[1], games, clicked)), "day-activations")
+    regs = materialize(attribution.attribute_registrations(logs[2], acts, acted), "day-registrations")
+    attribution.click_carry(logs[0], logs[1], games, days[1], clicked).write.mode("overwrite").parquet(f"{base}/click-carry/last={days[1]}")
+    attribution.activation_carry(logs[2], acts, days[1], acted).write.mode("overwrite").parquet(f"{base}/activation-carry/last={days[1]}")
+    merge.overwrite_days(acts.withColumn("day", F.to_date("active_time")), f"{base}/activations", "day")
+    merge.overwrite_days(regs.withColumn("day", F.to_date("reg_time")), f"{base}/registrations", "day")
+    return acts, regs
+
+
+def _read_carry(spark: SparkSession, path: str) -> DataFrame | None:
+    """The state a range has left, or None before the first one."""
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
 def clean_order_log(orders: DataFrame) -> DataFrame:
     """Paid game orders once each, as the order log parser delivers them: zero for missing amounts."""
     kept = orders.filter((F.col("order_status") == C.PAID) & (F.col("prod_type") == C.GAME_PRODUCT))

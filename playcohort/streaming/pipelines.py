@@ -12,6 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 from playcohort import constants as C
 from playcohort.functions import channel as ch
 from playcohort.operators import attribution, dims, kpi
+from playcohort.operators.buckets import BUCKETS, BucketTable
 from playcohort.sources import records
 from playcohort.sources.logs import parse_log
 from playcohort.streaming import state
@@ -224,34 +225,42 @@ class AttributionPipeline:
 
 @dataclass
 class AccountPipeline:
-    """The account master from registration, login and order lines."""
+    """The account master from registration, login and order lines, kept up to date in buckets.
+
+    A batch reads and writes the buckets of its accounts only; the master is read as it lies, nothing is summed up.
+    """
 
     spark: SparkSession
     base: str
+    buckets: int = BUCKETS
 
     @property
-    def table(self) -> DetailTable:
-        return DetailTable(self.spark, f"{self.base}/account", "game_account string, owner_id string, user_type int, regi_time timestamp, last_login_time timestamp, is_recharge int")
+    def table(self) -> BucketTable:
+        schema = "game_account string, owner_id string, user_type int, regi_time timestamp, last_login_time timestamp, is_recharge int"
+        return BucketTable(self.spark, f"{self.base}/account", schema, ["game_account"], self.buckets)
 
     def process(self, lines: DataFrame, batch: int) -> None:
-        """One row per account and batch with the greatest times; summing up happens on read."""
+        """Merge what the lines say of their accounts, the greatest times."""
         rows = parse_log(lines, "account")[0]
         at = F.try_to_timestamp("event_time", F.lit("yyyy-MM-dd HH:mm:ss"))
         of = lambda kind: F.col("kind").contains(kind)
         one = rows.groupBy("game_account").agg(
             F.max(F.when(of("regi"), F.struct(at.alias("t"), "owner_id", F.when(F.col("user_type") == "8", 1).otherwise(2).alias("ut")))).alias("r"),
             F.max(F.when(of("login"), at)).alias("last_login_time"), F.max(of("order").cast("int")).alias("is_recharge"))
-        self.table.write(one.select("game_account", F.col("r.owner_id").alias("owner_id"), F.col("r.ut").alias("user_type"),
-                                    F.col("r.t").alias("regi_time"), "last_login_time", "is_recharge"), batch)
+        new = one.select("game_account", F.col("r.owner_id").alias("owner_id"), F.col("r.ut").alias("user_type"), F.col("r.t").alias("regi_time"), "last_login_time", "is_recharge")
+        self.table.merge(new, batch, lambda old, more: self._greatest(old.unionByName(more)))
 
-    def master(self) -> DataFrame:
+    @staticmethod
+    def _greatest(rows: DataFrame) -> DataFrame:
         """Per account the latest registration, the latest login and whether it ever paid."""
-        rows = self.table.read()
         latest = F.max(F.when(F.col("regi_time").isNotNull(), F.struct("regi_time", "owner_id", "user_type")))
         out = rows.groupBy("game_account").agg(latest.alias("r"), F.max("last_login_time").alias("last_login_time"), F.max("is_recharge").alias("is_recharge"))
         return out.select("game_account", F.col("r.owner_id").alias("owner_id"), F.col("r.user_type").alias("user_type"),
                           F.col("r.regi_time").alias("regi_time"), "last_login_time", "is_recharge")
 
+    def master(self) -> DataFrame:
+        return self.table.read()
+
 
 def dedup_orders(orders: DataFrame, seconds: int = C.ORDER_DEDUP_SECONDS, arrived: str = "arrived") -> DataFrame:
     """Drop repeats of (order, time, account) that arrive within the given time of the first.

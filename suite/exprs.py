@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from functools import partial
 
 from pyspark.sql import functions as F
 
@@ -10,6 +11,7 @@ from playcohort import constants as C
 from playcohort.functions import channel as ch
 from playcohort.functions import device, festival, ladder, money, sqlfuncs, times
 from playcohort.operators import attribution, dims, kpi, merge, revenue
+from playcohort.operators.buckets import BucketTable
 from playcohort.operators.ltv import distinct_orders
 from playcohort.plans import jobs
 from playcohort.session import shared_dir
@@ -331,7 +333,7 @@ def owner(t):
 
 
 # --- merges ---------------------------------------------------------------------------------------------
-KPI_KEY = ["day", "game_id"]
+KPI_KEY, KPI_SCHEMA = ["day", "game_id"], "day date, game_id int, n bigint, last_id bigint"
 
 
 def _half(t, late: bool):
@@ -379,6 +381,45 @@ def merge_greatest(t):
     return merge.merge_greatest(per(rows.filter("event_id % 2 = 0")), per(rows.filter("event_id % 2 = 1")), ["game_account"], ["reg_time"], ["game_id"])
 
 
+def _bucketed(t, keys, schema, first, second, how):
+    """Two merges into an empty table of buckets; the second meets only the buckets of its keys."""
+    table = BucketTable(t.spark, shared_dir(t.spark, "buckets"), schema, keys, 16)
+    table.merge(first, 0, lambda old, new: new)
+    table.merge(second, 1, how)
+    return table.read()
+
+
+@query("snk01_bucketed_replace", "day:s game_id:i n:i last_id:i", f"""
+    WITH {HALVES} SELECT coalesce(l.day, e.day) AS day, coalesce(l.game_id, e.game_id) AS game_id, coalesce(l.n, e.n) AS n, coalesce(l.last_id, e.last_id) AS last_id
+    FROM e FULL JOIN l ON l.day = e.day AND l.game_id = e.game_id""")
+def bucketed_replace(t):
+    return _bucketed(t, KPI_KEY, KPI_SCHEMA, _half(t, False), _late(t), partial(merge.merge_replace, keys=KPI_KEY))
+
+
+@query("snk02_bucketed_listed", "day:s game_id:i n:i last_id:i", f"""
+    WITH {HALVES} SELECT coalesce(l.day, e.day) AS day, coalesce(l.game_id, e.game_id) AS game_id, coalesce(l.n, e.n) AS n, coalesce(e.last_id, l.last_id) AS last_id
+    FROM e FULL JOIN l ON l.day = e.day AND l.game_id = e.game_id""")
+def bucketed_listed(t):
+    return _bucketed(t, KPI_KEY, KPI_SCHEMA, _half(t, False), _late(t), partial(merge.merge_replace, keys=KPI_KEY, update_cols=["n"]))
+
+
+@query("snk03_bucketed_add", "day:s game_id:i n:i last_id:i", f"""
+    WITH {HALVES} SELECT coalesce(l.day, e.day) AS day, coalesce(l.game_id, e.game_id) AS game_id, coalesce(l.n, 0) + coalesce(e.n, 0) AS n, coalesce(l.last_id, e.last_id) AS last_id
+    FROM e FULL JOIN l ON l.day = e.day AND l.game_id = e.game_id""")
+def bucketed_add(t):
+    return _bucketed(t, KPI_KEY, KPI_SCHEMA, _half(t, False), _late(t), partial(merge.merge_add, keys=KPI_KEY, add_cols=["n"], latest_cols=["last_id"]))
+
+
+@query("snk04_bucketed_greatest", "game_account:s reg_time:s game_id:i", """
+    WITH r AS (SELECT lower(trim(game_account)) AS game_account, reg_time, game_id, event_id FROM regi)
+    SELECT game_account, max(reg_time) AS reg_time, coalesce(min(CASE WHEN event_id % 2 = 1 THEN game_id END), min(game_id)) AS game_id FROM r GROUP BY 1""")
+def bucketed_greatest(t):
+    rows = jobs.clean_accounts(t.regi)
+    per = lambda df: df.groupBy("game_account").agg(F.max("reg_time").alias("reg_time"), F.min("game_id").alias("game_id"))
+    return _bucketed(t, ["game_account"], "game_account string, reg_time timestamp, game_id int", per(rows.filter("event_id % 2 = 0")), per(rows.filter("event_id % 2 = 1")),
+                     partial(merge.merge_greatest, keys=["game_account"], greatest_cols=["reg_time"], replace_cols=["game_id"]))
+
+
 @query("snk05_detail_append", "game_id:i imei:s", "SELECT DISTINCT game_id, imei FROM active")
 def detail_append(t):
     early, late = t.active.filter("active_time < timestamp '2024-01-10'"), t.active.filter("active_time >= timestamp '2024-01-10'")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import re
 
 from pyspark.sql import functions as F
@@ -254,6 +255,34 @@ def regi_attribution(t):
     return attribution.registration_stats(jobs.attribution_chain(t.active, t.ad_click, t.regi)[1])
 
 
+#: The month in ranges of unequal length, as a daily run and its catching up would have them.
+RANGES = ((1, 5), (6, 6), (7, 16), (17, 31))
+_CHAIN_FOLDERS: dict[tuple[str, str], str] = {}
+
+
+def daily_chain(t) -> str:
+    """The folder of one run of the chain, range after range; each range reads its own days and what the range before has left."""
+    key = (t.spark.sparkContext.applicationId, t.dir)
+    if key not in _CHAIN_FOLDERS:
+        base, games = shared_dir(t.spark, "daily-chain"), t.ad_click.select("game_id").distinct()
+        for first, last in RANGES:
+            days = (dt.date(2024, 1, first), dt.date(2024, 1, last))
+            active, clicks, regi = (jobs.in_days(df, time, days) for df, time in ((t.active, "active_time"), (t.ad_click, "ts"), (t.regi, "reg_time")))
+            jobs.daily_chain(t.spark, base, days, active, clicks, regi, games)
+        _CHAIN_FOLDERS[key] = base
+    return _CHAIN_FOLDERS[key]
+
+
+@query("jon13_daily_activations", "event_id:i active_time:s game_id:i os:i pkg_code:s imei:s medium:i idea_id:s first_level:s second_level:s", f"WITH {ACTS} SELECT * FROM acts")
+def daily_activations(t):
+    return t.spark.read.parquet(f"{daily_chain(t)}/activations")
+
+
+@query("jon15_daily_registrations", f"event_id:i reg_time:s {STAT_SPEC}", f"WITH {REGS} SELECT event_id, reg_time, {STAT} FROM regs")
+def daily_registrations(t):
+    return t.spark.read.parquet(f"{daily_chain(t)}/registrations")
+
+
 ORDER_STATS = f"""{REGS}, {ORDER_LOG},
     own AS (SELECT acc, cast(reg_time AS date) AS reg_date, medium, pkg_code, {LEVELS} FROM regs WHERE medium >= 1 AND pkg_code <> ''
             QUALIFY row_number() OVER (PARTITION BY acc ORDER BY reg_time, event_id) = 1),
