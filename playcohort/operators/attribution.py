@@ -182,16 +182,22 @@ def click_table(clicks: DataFrame, matched: DataFrame) -> DataFrame:
     return rows.filter("first IS NOT NULL").select(*key, "last.ts", "last.callback", "first.opened.*", "matched")
 
 
-def order_stats(orders: DataFrame, attributed: DataFrame) -> DataFrame:
+def first_attributed(attributed: DataFrame) -> DataFrame:
+    """Each account's first registration that a medium and a package own."""
+    cols = ("reg_time", "event_id", "medium", "pkg_code", *LEVELS)
+    one = attributed.filter("medium >= 1 AND pkg_code <> ''").groupBy("game_account").agg(F.min(F.struct(*cols)).alias("r"))
+    return one.select("game_account", *[F.col(f"r.{c}").alias(c) for c in cols])
+
+
+def order_stats(orders: DataFrame, attributed: DataFrame | None, owners: DataFrame | None = None) -> DataFrame:
     """Money and payers per (day, stat key) from the payer's attributed registration.
 
     A payer counts once a day, at the first order; money and payer are new when the account
     registered that day. ``orders`` are deduplicated rows with order_no, order_time, game_account,
-    game_id, ori_price, total_amt and imei.
+    game_id, ori_price, total_amt and imei. ``owners`` are the rows of :func:`first_attributed` where they are kept.
     """
-    one = attributed.filter("medium >= 1 AND pkg_code <> ''").groupBy("game_account").agg(
-        F.min(F.struct("reg_time", "event_id", "medium", "pkg_code", *LEVELS)).alias("r"))
-    owner = one.select("game_account", F.to_date("r.reg_time").alias("reg_date"), *[F.col(f"r.{c}").alias(c) for c in ("medium", "pkg_code", *LEVELS)])
+    one = first_attributed(attributed) if owners is None else owners
+    owner = one.select("game_account", F.to_date("reg_time").alias("reg_date"), "medium", "pkg_code", *LEVELS)
     paid = orders.filter(valid_device(first_device(F.col("imei")))).withColumn("day", F.to_date("order_time"))
     # an account's day in one game first: hot payers shrink before they meet their registration
     per_game = paid.groupBy("game_account", "day", "game_id").agg(

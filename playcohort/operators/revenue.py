@@ -18,12 +18,12 @@ from playcohort.operators.dims import child_games
 PERFORMANCE_KEY = ("day", "parent_game_id", "game_id", "os", "group_id", *CHANNEL_COLS, "pay_type")
 
 
-def revenue_performance(regi: DataFrame, registered: DataFrame, orders: DataFrame, receipts: DataFrame, games: DataFrame, sdk: DataFrame) -> DataFrame:
+def revenue_performance(firsts: DataFrame, registered: DataFrame, orders: DataFrame, receipts: DataFrame, games: DataFrame, sdk: DataFrame) -> DataFrame:
     """Cents, sandbox cents and new accounts per (day, game, channel, payment type).
 
-    An account shows up on days it registered or paid; type 0 stands for no payment. ``regi`` are all
-    registrations with channel parts, ``registered`` those of the reported days, ``orders`` deduplicated paid
-    orders of these days.
+    An account shows up on days it registered or paid; type 0 stands for no payment. ``firsts`` are the accounts' first
+    registrations ever (``firstseen.first_registrations``), ``registered`` the registrations of the reported days,
+    ``orders`` deduplicated paid orders of these days.
     """
     flagged = orders.join(receipts.filter("sandbox = 1 AND state = 3").select(F.col("order_sn").alias("order_no")).distinct()
                           .withColumn("sandbox", F.lit(1)), "order_no", "left")
@@ -31,8 +31,7 @@ def revenue_performance(regi: DataFrame, registered: DataFrame, orders: DataFram
     paid = flagged.groupBy("game_account", "game_id", F.to_date("order_time").alias("day"), "payment_type").agg(
         F.sum(amount).alias("water"), F.sum(F.when(F.col("sandbox") == 1, amount).otherwise(F.lit(0))).alias("box"))
     days = account_days(registered, orders).join(games.select("game_id").distinct(), "game_id", "left_semi")
-    home = regi.groupBy("game_account").agg(F.min(F.struct("reg_time", *CHANNEL_COLS)).alias("r")).select(
-        "game_account", F.to_date("r.reg_time").alias("reg_date"), *[F.col(f"r.{c}").alias(c) for c in CHANNEL_COLS])
+    home = firsts.select("game_account", F.to_date("reg_time").alias("reg_date"), *CHANNEL_COLS)
     # one row per (account, game, day, type): the new accounts below need no distinct
     rows = days.join(home, "game_account").join(paid, ["game_account", "game_id", "day"], "left")
     facts = rows.groupBy("day", "game_id", *CHANNEL_COLS, F.col("payment_type")).agg(

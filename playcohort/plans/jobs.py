@@ -13,7 +13,7 @@ from playcohort import constants as C
 from playcohort.functions import channel as ch
 from playcohort.functions.device import blank_zero_device, norm_account, stored_device_hash
 from playcohort.functions.money import arpu, cents, gross_amount, signed
-from playcohort.operators import attribution, bands, dims, kpi, merge, revenue
+from playcohort.operators import attribution, bands, dims, firstseen, kpi, merge, revenue
 from playcohort.operators.cohort import day_range, first_registration, published_only, retention
 from playcohort.operators.ltv import daily_spend, distinct_orders, ltv, ltv_by_join
 from playcohort.operators.paycurve import pay_curve
@@ -216,11 +216,16 @@ def pay_accounts_by_offset(regi: DataFrame, orders: DataFrame, sdk: DataFrame, d
     return dims.with_game_dim(out, sdk.filter("state = 0"))
 
 
-def performance(regi: DataFrame, orders: DataFrame, receipts: DataFrame, games: DataFrame, sdk: DataFrame, days: Days | None = None) -> DataFrame:
-    """Revenue performance of the days; an account's channel is that of its first registration ever."""
+def performance(regi: DataFrame, orders: DataFrame, receipts: DataFrame, games: DataFrame, sdk: DataFrame, days: Days | None = None,
+                firsts: DataFrame | None = None) -> DataFrame:
+    """Revenue performance of the days; an account's channel is that of its first registration ever.
+
+    With the kept ``firsts`` (``firstseen.FirstSeen.accounts``) no registration outside the days is read.
+    """
     paid = clean_accounts(distinct_orders(in_days(orders, "order_time", days), [C.PAID], C.GAME_PRODUCT))
     known = regi.filter(F.col("game_account").isNotNull())
-    return revenue.revenue_performance(clean_regi(known), clean_regi(in_days(known, "reg_time", days)), paid, receipts, games, sdk)
+    home = firstseen.first_registrations(clean_regi(known)) if firsts is None else firsts
+    return revenue.revenue_performance(home, clean_regi(in_days(known, "reg_time", days)), paid, receipts, games, sdk)
 
 
 def performance_with_owner(perf: DataFrame, **owner_tables: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -307,31 +312,34 @@ def games_per_os(packages: DataFrame) -> DataFrame:
 
 
 def natural_traffic(regi: DataFrame, active: DataFrame, orders: DataFrame, acts: DataFrame, regs: DataFrame, games: DataFrame,
-                    sdk: DataFrame, packages: DataFrame, days: Days | None = None) -> DataFrame:
+                    sdk: DataFrame, packages: DataFrame, days: Days | None = None, seen: firstseen.FirstSeen | None = None) -> DataFrame:
     """Registrations, devices, activations, money and payers of monitored games that no package claims, per (day, game).
 
     Registered accounts are counted at the marketing grain, devices and activations at the operations grain. Money
-    and payers are new when the account registered that day. ``orders`` are deduplicated; whether a device is
-    seen first needs its earlier rows, so ``regi`` and ``active`` are cut after the last day only.
+    and payers are new when the account registered that day. ``orders`` are deduplicated; whether an account or
+    device is seen first needs its earlier rows, so ``regi`` and ``active`` are read up to the last day, or not before the first
+    one where the kept first-seen dimensions ``seen`` are given; ``acts`` and ``regs`` then are those of the days as well.
     """
     keys = ["day", "game_id"]
     watched = monitored_games(packages).select("game_id").distinct()
     only = lambda df: published_only(published_only(df, games), watched)
     upto = None if days is None else (dt.date(1970, 1, 1), days[1])
     day = F.to_date("day").alias("day")
-    own, paid = clean_regi(only(in_days(regi, "reg_time", upto))), only(in_days(orders, "order_time", days))
+    own, paid = clean_regi(only(in_days(regi, "reg_time", days))), only(in_days(orders, "order_time", days))
     accounts = kpi.registration_kpi(own, kpi.MARKET).groupBy(day, "game_id").agg(F.sum("regi_accounts").alias("regi_num"))
     devices = kpi.registration_kpi(own, kpi.OPERA).select(day, "game_id", F.col("regi_devices").alias("regi_dev_num"))
-    acted = kpi.activation_kpi(only(in_days(active, "active_time", upto)), kpi.OPERA, "day").select(day, "game_id", "active_num")
+    devices_seen = in_days(active, "active_time", upto) if seen is None else in_days(seen.devices.read(), "active_time", days)
+    acted = kpi.activation_kpi(only(devices_seen), kpi.OPERA, "day").select(day, "game_id", "active_num")
     # an account's day in a game first: hot payers shrink before they meet their registration
     per_account = paid.groupBy(F.to_date("order_time").alias("day"), "game_id", "game_account").agg(F.sum(cents(F.col("ori_price") + F.col("total_amt"))).alias("amount"))
-    first = clean_regi(in_days(regi, "reg_time", upto)).groupBy("game_account").agg(F.to_date(F.min("reg_time")).alias("reg_date"))
+    firsts = firstseen.first_registrations(clean_regi(in_days(regi, "reg_time", upto))) if seen is None else seen.accounts.read()
+    first = firsts.select("game_account", F.to_date("reg_time").alias("reg_date"))
     new = F.coalesce((F.col("reg_date") == F.col("day")).cast("long"), F.lit(0).cast("long"))
     money = per_account.join(first, "game_account", "left").groupBy(*keys).agg(
         F.sum("amount").alias("pay_price"), F.count(F.lit(1)).alias("pay_accounts"), F.sum(F.col("amount") * new).alias("new_pay_price"), F.sum(new).alias("new_pay_accounts"))
     total = dims.with_game_dim(kpi.sum_branches([accounts, devices, acted, money], keys), sdk).drop("parent_game_id", "os")
     named = "pkg_code <> ''"
-    stats = (attribution.registration_stats(regs), attribution.activation_stats(acts), attribution.order_stats(orders, regs))
+    stats = (attribution.registration_stats(regs), attribution.activation_stats(acts), attribution.order_stats(in_days(orders, "order_time", days), regs, None if seen is None else seen.owners.read()))
     claimed = kpi.sum_branches([s.filter(named).groupBy(*keys).agg(*[F.sum(m).alias(m) for m in NATURAL if m in s.columns]) for s in stats], keys)
     rest = revenue.natural_residual(total, claimed, keys, NATURAL)
     return rest if days is None else rest.filter(F.col("day").between(*days))

@@ -10,10 +10,11 @@ from pyspark.sql import functions as F
 from playcohort import constants as C
 from playcohort.functions import channel as ch
 from playcohort.operators import attribution, kpi, merge
+from playcohort.operators.firstseen import FirstSeen
 from playcohort.plans import jobs
 from playcohort.session import shared_dir
 from suite.registry import query
-from suite.reports import ATTRS, CH_SPEC, DAYS, MARKET, PAID_ORDERS, REGI_BASE, REGI_PUB, SIGNED_GROSS, in_run, parts
+from suite.reports import ATTRS, CH_SPEC, DAYS, MARKET, PAID_ORDERS, PERF_SQL, REGI_BASE, REGI_PUB, SIGNED_GROSS, in_run, parts
 
 HOUR = "strftime({0}, '%Y-%m-%d %H')"
 
@@ -393,7 +394,7 @@ def _branch(source: str, day: str = "day", **measures: str) -> str:
     return f"SELECT {day} AS day, game_id, {', '.join(f'{measures.get(m, 0)} AS {m}' for m in _NATURAL)} FROM {source} GROUP BY ALL"
 
 
-@query("job13_natural_residual", "day:s game_id:i group_id:i " + " ".join(f"{m}:i" for m in _NATURAL), f"""
+NATURAL_SQL = f"""
     WITH {ORDER_STATS},
     watched AS (SELECT game_id FROM medium_package WHERE feedbackurl <> '' INTERSECT SELECT game_id FROM publish_game),
     rh AS ({_MARKET_HOURS}), rd AS (SELECT DISTINCT cast(reg_time AS date) AS day, game_id, imei FROM ({REGI_PUB})),
@@ -410,12 +411,46 @@ def _branch(source: str, day: str = "day", **measures: str) -> str:
            UNION ALL {_branch("(SELECT * FROM ostat WHERE pkg_code <> '')", pay_price='sum(pay_price)', pay_accounts='sum(pay_accounts)', new_pay_price='sum(new_pay_price)', new_pay_accounts='sum(new_pay_accounts)')}),
     cl AS (SELECT day, game_id, {', '.join(f'sum({m}) AS {m}' for m in _NATURAL)} FROM cu GROUP BY ALL)
     SELECT tot.day, tot.game_id, g.group_id, {', '.join(f'tot.{m} - coalesce(cl.{m}, 0) AS {m}' for m in _NATURAL)}
-    FROM tot JOIN game_sdk g ON g.old_game_id = tot.game_id LEFT JOIN cl ON cl.day = tot.day AND cl.game_id = tot.game_id WHERE {in_run('tot.day')}""")
+    FROM tot JOIN game_sdk g ON g.old_game_id = tot.game_id LEFT JOIN cl ON cl.day = tot.day AND cl.game_id = tot.game_id WHERE {in_run('tot.day')}"""
+
+
+@query("job13_natural_residual", "day:s game_id:i group_id:i " + " ".join(f"{m}:i" for m in _NATURAL), NATURAL_SQL)
 def natural_residual(t):
     acts, regs = jobs.attribution_chain(t.active, t.ad_click, t.regi)
     return jobs.natural_traffic(t.regi, t.active, jobs.clean_order_log(t.orders_g), acts, regs, t.publish_game, t.game_sdk, t.medium_package, DAYS)
 
 
+_SEEN: dict[tuple[str, str], FirstSeen] = {}
+
+
+def first_seen(t) -> FirstSeen:
+    """The dimensions after the month's ranges up to the reported days, each added once; the second comes twice, as after a rerun."""
+    key = (t.spark.sparkContext.applicationId, t.dir)
+    if key not in _SEEN:
+        seen = FirstSeen(t.spark, shared_dir(t.spark, "first-seen"), 8)
+        regs = t.spark.read.parquet(f"{daily_chain(t)}/registrations")
+        for version, (first, last) in enumerate((*RANGES[:2], RANGES[1], *RANGES[2:])):
+            days = (dt.date(2024, 1, first), dt.date(2024, 1, last))
+            seen.add(jobs.clean_regi(jobs.in_days(t.regi, "reg_time", days)), jobs.in_days(t.active, "active_time", days), jobs.in_days(regs, "reg_time", days), version)
+        _SEEN[key] = seen
+    return _SEEN[key]
+
+
+@query("job11_first_seen_performance", f"day:s game_id:i {CH_SPEC} pay_type:s pay_water:i box_water:i regi_num:i",
+       f"WITH {PERF_SQL} SELECT day, game_id, parent_channel, child_channel, pkg_code, pay_type, pay_water, box_water, regi_num FROM p WHERE {in_run('day')}")
+def first_seen_performance(t):
+    # no registration before the reported days is there to be read
+    regi = jobs.in_days(t.regi, "reg_time", DAYS)
+    return jobs.performance(regi, t.orders_g, t.receipts, t.publish_game, t.game_sdk, DAYS, first_seen(t).accounts.read())
+
+
+@query("job13_first_seen_natural", "day:s game_id:i group_id:i " + " ".join(f"{m}:i" for m in _NATURAL), NATURAL_SQL)
+def first_seen_natural(t):
+    acts, regs = (jobs.in_days(t.spark.read.parquet(f"{daily_chain(t)}/{name}"), time, DAYS) for name, time in (("activations", "active_time"), ("registrations", "reg_time")))
+    regi, active = jobs.in_days(t.regi, "reg_time", DAYS), jobs.in_days(t.active, "active_time", DAYS)
+    return jobs.natural_traffic(regi, active, jobs.clean_order_log(t.orders_g), acts, regs, t.publish_game, t.game_sdk, t.medium_package, DAYS, first_seen(t))
+
+
 _DAY_METRICS = ("regi_accounts", "new_regi_accounts", "regi_devices", "new_regi_devices")
 
 
