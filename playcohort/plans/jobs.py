@@ -14,7 +14,7 @@ from playcohort.functions import channel as ch
 from playcohort.functions.device import blank_zero_device, norm_account, stored_device_hash
 from playcohort.functions.money import arpu, cents, gross_amount, signed
 from playcohort.operators import attribution, bands, dims, firstseen, kpi, merge, revenue
-from playcohort.operators.cohort import day_range, first_registration, published_only, retention
+from playcohort.operators.cohort import ActivityBits, day_range, first_registration, published_only, retention
 from playcohort.operators.ltv import daily_spend, distinct_orders, ltv, ltv_by_join
 from playcohort.operators.paycurve import pay_curve
 from playcohort.session import materialize
@@ -56,15 +56,16 @@ def account_members(regi: DataFrame, first: dt.date, last: dt.date) -> DataFrame
                         "game_account").agg(F.count("*").alias("accounts"))
 
 
-def account_retention(regi: DataFrame, login: DataFrame, games: DataFrame, run_day: dt.date,
+def account_retention(regi: DataFrame, login: DataFrame | ActivityBits, games: DataFrame, run_day: dt.date,
                       offsets: Sequence[int] = C.RETENTION_SHORT) -> DataFrame:
-    """Accounts of each (day, game, channel) that logged in again, in any game, n days later."""
+    """Accounts of each (day, game, channel) that logged in again, in any game, n days later; ``login`` may be kept bits of accounts."""
     first = days_before(run_day, max(offsets))
     cohort = account_members(published_only(regi, games), first, run_day)
-    return retention(cohort, clean_accounts(login), ["game_account"], COHORT, offsets, "login_time", first, run_day, size="accounts")
+    activity = login if isinstance(login, ActivityBits) else clean_accounts(login)
+    return retention(cohort, activity, ["game_account"], COHORT, offsets, "login_time", first, run_day, size="accounts")
 
 
-def device_retention(regi: DataFrame, login: DataFrame, games: DataFrame, sdk: DataFrame, packages: DataFrame, run_day: dt.date) -> DataFrame:
+def device_retention(regi: DataFrame, login: DataFrame | ActivityBits, games: DataFrame, sdk: DataFrame, packages: DataFrame, run_day: dt.date) -> DataFrame:
     """Devices that came back, by first registration in the window, with game and package attributes of the day."""
     first = days_before(run_day, max(C.RETENTION_LONG))
     rows = clean_regi(published_only(regi.filter(day_range("reg_time", first, run_day)), games))

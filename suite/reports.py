@@ -10,6 +10,7 @@ from playcohort import constants as C
 from playcohort.functions import channel as ch
 from playcohort.operators import attribution, dims, kpi, members, merge, revenue
 from playcohort.operators.ltv import daily_spend, distinct_orders, ltv, ltv_by_join
+from playcohort.operators.cohort import ActivityBits
 from playcohort.plans import jobs
 from playcohort.session import shared_dir
 from suite.registry import query
@@ -56,6 +57,19 @@ def account_retention(t):
     return jobs.account_retention(t.regi, t.login, t.publish_game, RUN_DAY)
 
 
+def _kept_logins(t, entity: str, clean) -> ActivityBits:
+    """Logins of the month kept as bits, range after range from that range's log alone; one range comes twice."""
+    kept = ActivityBits(t.spark, shared_dir(t.spark, "login-bits"), entity, dt.date(2023, 12, 5), 8)
+    for version, (first, last) in enumerate(((1, 9), (10, 10), (1, 9), (11, 31))):
+        kept.add(clean(jobs.in_days(t.login, "login_time", (dt.date(2024, 1, first), dt.date(2024, 1, last)))), "login_time", version)
+    return kept
+
+
+@query("agg03_kept_bits_accounts", f"reg_date:s game_id:i channel:s accounts:i {RETAINED_SHORT}", JOB01)
+def kept_account_retention(t):
+    return jobs.account_retention(t.regi, _kept_logins(t, "game_account string", jobs.clean_accounts), t.publish_game, RUN_DAY)
+
+
 ATTRS = "promotion_channel:s medium_account:s promotion_mode:s head_people:s parent_game_id:i os:i group_id:i"
 WITH_ATTRS = """
     SELECT k.*, coalesce(f.promotion_channel, '') AS promotion_channel, coalesce(f.medium_account, '') AS medium_account,
@@ -66,18 +80,26 @@ WITH_ATTRS = """
          LEFT JOIN game_sdk g ON g.old_game_id = k.game_id"""
 
 
-@query("job02_device_retention_effective_dim", f"reg_date:s game_id:i channel:s {RETAINED_LONG} {ATTRS}", f"""
+JOB02 = f"""
     WITH r AS (SELECT game_id, {CLEAN.format('expand_channel')} AS channel, imei, cast(min(reg_time) AS date) AS reg_date FROM regi
                WHERE game_id IN (SELECT game_id FROM publish_game) AND cast(reg_time AS date) BETWEEN date '2024-01-01' AND date '2024-01-30'
                GROUP BY 1, 2, 3),
     d AS (SELECT DISTINCT r.*, date_diff('day', r.reg_date, cast(l.login_time AS date)) AS dur FROM r JOIN login l ON r.imei = l.imei
           WHERE cast(l.login_time AS date) BETWEEN date '2024-01-01' AND date '2024-01-30'),
     k AS (SELECT reg_date, game_id, channel, {retained(C.RETENTION_LONG)} FROM d WHERE dur IN {in_list(C.RETENTION_LONG)} GROUP BY 1, 2, 3)
-    {WITH_ATTRS}""")
+    {WITH_ATTRS}"""
+
+
+@query("job02_device_retention_effective_dim", f"reg_date:s game_id:i channel:s {RETAINED_LONG} {ATTRS}", JOB02)
 def device_retention(t):
     return jobs.device_retention(t.regi, t.login, t.publish_game, t.game_sdk, t.fxdim, RUN_DAY)
 
 
+@query("agg04_kept_bits_devices", f"reg_date:s game_id:i channel:s {RETAINED_LONG} {ATTRS}", JOB02)
+def kept_device_retention(t):
+    return jobs.device_retention(t.regi, _kept_logins(t, "imei string", lambda rows: rows), t.publish_game, t.game_sdk, t.fxdim, RUN_DAY)
+
+
 @query("job02_account_retention_effective_dim", f"reg_date:s game_id:i channel:s {RETAINED_LONG} {ATTRS}", f"""
     WITH d AS (SELECT DISTINCT cast(r.reg_time AS date) AS reg_date, r.game_id, {CLEAN.format('r.expand_channel')} AS channel,
                       lower(trim(r.game_account)) AS acc, date_diff('day', cast(r.reg_time AS date), cast(l.login_time AS date)) AS dur
