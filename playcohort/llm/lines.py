@@ -8,7 +8,7 @@ occurrence (smallest document, then line number) stays and all others go.
 
 Edge cases: lines are compared without blanks at their ends, and lines without a word are neither counted nor
 removed; a null text has no lines and stays null; a null site is a site of its own; rows that share a
-``doc_id`` lose the lines at the places found for any of them; rows with a null ``doc_id`` count towards the
+``doc_id`` lose their own lines only (removals are kept by ``doc_id`` and a hash of the text); rows with a null ``doc_id`` count towards the
 spread, but keep their lines; an empty table gives an empty result; further columns are ignored by
 ``line_dedup`` and kept by ``dedup_documents``.
 """
@@ -19,7 +19,7 @@ import math
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from playcohort.session import materialize
@@ -29,11 +29,11 @@ MIN_SITES = 10
 SKETCH_K, NEAR = 12, 6
 
 
-def _lines(docs: DataFrame) -> DataFrame:
-    """``doc_id, site, line_no, h1, h2`` of all lines with a word."""
-    rows = docs.select("doc_id", "site", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
+def _lines(docs: DataFrame, *more: Column) -> DataFrame:
+    """``doc_id, site, line_no, h1, h2`` of all lines with a word, and ``more`` columns of their text."""
+    rows = docs.select("doc_id", "site", *more, F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
     line = F.btrim("line", F.lit(" \t\r\x0b\x0c"))
-    return rows.withColumn("line", line).where("line <> ''").select("doc_id", "site", "line_no", F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), "line").alias("h2"))
+    return rows.withColumn("line", line).where("line <> ''").select(*[c for c in rows.columns if c != "line"], F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), "line").alias("h2"))
 
 
 def spread_lines(docs: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
@@ -53,11 +53,11 @@ def _prepared(docs: DataFrame) -> DataFrame:
 
 
 def removed_lines(docs: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
-    """``drop_id, drop``: per document that loses lines, their numbers."""
+    """``drop_id, drop_code, drop``: per document and text that loses lines, their numbers."""
     prepared = _prepared(docs)
     wide = materialize(spread_lines(prepared, min_sites), "wide")
-    gone = _lines(prepared.where("doc_id IS NOT NULL")).join(wide, ["h1", "h2"]).where((F.col("doc_id") != F.col("first.doc_id")) | (F.col("line_no") != F.col("first.line_no")))
-    return gone.groupBy(F.col("doc_id").alias("drop_id")).agg(F.collect_set("line_no").alias("drop"))
+    gone = _lines(prepared.where("doc_id IS NOT NULL"), F.xxhash64("text").alias("code")).join(wide, ["h1", "h2"]).where((F.col("doc_id") != F.col("first.doc_id")) | (F.col("line_no") != F.col("first.line_no")))
+    return gone.groupBy(F.col("doc_id").alias("drop_id"), F.col("code").alias("drop_code")).agg(F.collect_set("line_no").alias("drop"))
 
 
 def _cut(text: str, drop: list[int]) -> tuple[str, int, int]:
@@ -78,7 +78,7 @@ def line_dedup(docs: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
             texts, lines, gone = zip(*rows, strict=True) if rows else ((), (), ())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(lines, pa.int64()), pa.array(gone, pa.int64()), pa.array(texts, pa.string())], ["doc_id", "n_lines", "n_removed", "text"])
 
-    return docs.join(drops, docs.doc_id == drops.drop_id, "left").select("doc_id", "text", "drop").mapInArrow(run, "doc_id bigint, n_lines bigint, n_removed bigint, text string")
+    return docs.join(drops, (docs.doc_id == drops.drop_id) & (F.xxhash64(docs.text) == drops.drop_code), "left").select("doc_id", "text", "drop").mapInArrow(run, "doc_id bigint, n_lines bigint, n_removed bigint, text string")
 
 
 def dedup_documents(docs: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
@@ -110,5 +110,5 @@ def dedup_documents(docs: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
     extra = "_drop"
     while extra in names:
         extra += "_"
-    joined = docs.join(drops, docs["doc_id"] == drops["drop_id"], "left").select(*(docs[c] for c in names), drops["drop"].alias(extra))
+    joined = docs.join(drops, (docs["doc_id"] == drops["drop_id"]) & (F.xxhash64(docs["text"].cast("string")) == drops["drop_code"]), "left").select(*(docs[c] for c in names), drops["drop"].alias(extra))
     return joined.mapInArrow(run, schema)

@@ -13,7 +13,7 @@ documents. Of the texts, only those with a shared anchor are shuffled, once: bot
 
 Edge cases: a null or empty text has no words; a document shorter than the window is kept; a window repeated
 inside one document alone is kept; equal rows stay as they are (no smaller id); texts that share a ``doc_id``
-lose the words at the places found for any of them; rows with a null ``doc_id`` are kept whole and remove
+are judged each by its own windows (removals are kept by ``doc_id`` and a hash of the text); rows with a null ``doc_id`` are kept whole and remove
 nothing; an empty table gives an empty result; further columns are ignored.
 """
 
@@ -87,10 +87,11 @@ def _anchors(length: int):
 
 def _windows(length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """``key, more, doc, place, known``: the long windows around shared anchors; known ones go already."""
+        """``key, more, doc, place, known, code``: the long windows around shared anchors; known ones go already."""
         size = length - PERIOD + 1
         for batch in batches:
             ids, parts = _ids(batch), []
+            texts = batch.column(3).to_numpy(zero_copy_only=False).astype(np.int64)
             for group in groups(batch.column(1)):
                 first, n = group.word_start, len(group.hash)
                 near = np.zeros(n + 1, np.int64)
@@ -103,10 +104,10 @@ def _windows(length: int):
                 at = at[at + length <= n]
                 at = at[group.text[at] == group.text[at + length - 1]]
                 if len(at):
-                    parts.append((group.window_hash(at, length), group.window_hash(at, length, SECOND_BASE), ids[group.first + group.text[at]], (at - first[group.text[at]])))
+                    parts.append((group.window_hash(at, length), group.window_hash(at, length, SECOND_BASE), ids[group.first + group.text[at]], (at - first[group.text[at]]), texts[group.first + group.text[at]]))
             if not parts:
                 continue
-            key, more, doc, place = (np.concatenate(p) for p in zip(*parts, strict=True))
+            key, more, doc, place, code = (np.concatenate(p) for p in zip(*parts, strict=True))
             order, begin, of, least = _settle(key, doc)
             known = np.zeros(len(key), bool)
             # The second hash must agree as well before a window counts as settled.
@@ -114,7 +115,7 @@ def _windows(length: int):
             own = mix(mix(doc[known].view(np.uint64)) + place[known].astype(np.uint64))
             key, more = key.copy(), more.copy()
             key[known], more[known] = own, 0
-            yield from _rows(["key", "more", "doc", "place", "known"], signed(key), (more >> np.uint64(32)).astype(np.uint32).view(np.int32), doc, place.astype(np.int32), known)
+            yield from _rows(["key", "more", "doc", "place", "known", "code"], signed(key), (more >> np.uint64(32)).astype(np.uint32).view(np.int32), doc, place.astype(np.int32), known, code)
 
     return run
 
@@ -172,14 +173,16 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     shared = materialize(shared, "anchors")
     texts, rest = _with_anchors(docs, named, materialize(shared.select("doc"), "anchored"))
     texts = texts.repartition("doc_id")  # one exchange serves both joins
-    around = texts.join(shared, texts.doc_id == shared.doc).select("doc_id", "text", "places")
-    windows = around.mapInArrow(_windows(length), "key bigint, more int, doc bigint, place int, known boolean")
+    around = texts.join(shared, texts.doc_id == shared.doc).select("doc_id", "text", "places", F.xxhash64("text").alias("code"))
+    windows = around.mapInArrow(_windows(length), "key bigint, more int, doc bigint, place int, known boolean, code bigint")
     of_window = Window.partitionBy("key", "more")
     removed = (
         windows.withColumn("low", F.min("doc").over(of_window)).where("known OR low < doc")
-        .groupBy("doc").agg(F.collect_list("place").alias("places"))
+        .groupBy("doc").agg(F.collect_list(F.struct("place", "code")).alias("found"))
     )
-    with_places = texts.join(removed, texts.doc_id == removed.doc, "left").select("doc_id", "text", "places")
+    # the join is by document, so that it reads the exchange of the texts; a text takes the places found in it
+    places = F.expr("transform(filter(found, x -> x.code = xxhash64(text)), x -> x.place)").alias("places")
+    with_places = texts.join(removed, texts.doc_id == removed.doc, "left").select("doc_id", "text", places)
     rest = rest.select("doc_id", "text", F.lit(None).cast("array<int>").alias("places"))
     schema = "doc_id bigint, n_words bigint, n_removed bigint, removed array<struct<first:bigint,last:bigint>>, text string"
     keep = lambda batches: _keep(batches, length)

@@ -472,3 +472,21 @@ def test_chat_round_trip_of_roles_like_shown_names(spark):
 
 def test_chat_of_nothing(spark):
     assert chat.format_conversations(spark.createDataFrame([], "conv_id bigint, turn bigint, role string, text string")).count() == 0
+
+
+# rows that share a doc_id but not a text, operators 4 and 6
+
+
+def test_repeated_ids_lose_no_text_of_their_own(spark):
+    """A row loses what it repeats itself, not what another row of its id repeats at the same places."""
+    copied, own = " ".join(f"c{i}" for i in range(60)), " ".join(f"o{i}" for i in range(80))
+    rows = [(1, copied), (2, copied), (2, own), (2, f"{own} {copied}"), (None, copied), (3, own)]
+    got = substrings.remove_repeats(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    assert Counter((r["doc_id"], r["n_words"], r["n_removed"], r["text"]) for r in got.collect()) == plain.kept_words(rows)
+    assert {(r["n_words"], r["n_removed"]) for r in got.where("doc_id = 2").collect()} == {(60, 60), (80, 0), (140, 60)}
+    lines_of = [(i, f"wide line\nonly in {i}", f"s{i}") for i in range(12)] + [(5, "only here five\nand here", "s5"), (5, "x\nwide line", "s5"), (None, "wide line", "s1")]
+    table = spark.createDataFrame(lines_of, "doc_id bigint, text string, source string")
+    want = plain.cut_lines(lines_of, 10)
+    assert Counter((r["doc_id"], r["n_lines"], r["n_removed"], r["text"]) for r in lines.line_dedup(table).collect()) == want
+    kept = {r["text"] for r in lines.dedup_documents(table).where("doc_id = 5").collect()}
+    assert kept == {"only in 5", "only here five\nand here", "x"}
