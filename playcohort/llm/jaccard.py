@@ -186,6 +186,15 @@ def fits(n_a: Column, n_b: Column) -> Column:
     return F.least(n_a, n_b) * 100 >= F.greatest(n_a, n_b) * PERCENT
 
 
+def may_overlap(n_a: Column, pos_a: Column, n_b: Column, pos_b: Column) -> Column:
+    """False only if the sets cannot link when the shingle of these ranks is the first they share.
+
+    All sets rank shingles alike, so nothing before the ranks is shared and what is left bounds the overlap. A pair
+    refused in the tile of a later shingle is judged in that of its first, which is among the rarest of both.
+    """
+    return F.least(n_a - pos_a, n_b - pos_b).cast("long") * F.lit(100 + PERCENT) >= (n_a + n_b).cast("long") * F.lit(PERCENT)
+
+
 def _codes(words: pa.Array) -> list[np.ndarray]:
     """The sorted shingle hashes of compressed texts."""
     out = []
@@ -236,7 +245,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     tiles = materialize(_tiles(tokens), "tiles")
     label = components(_verify(_close(_pairs(tiles), classes), docs), "u", "v")
 
-    large = tiles.where(F.col("members") > COMPLETE).select("token", "sid", "n", "band")
+    large = tiles.where(F.col("members") > COMPLETE).select("token", "sid", "n", "pos", "band")
     place = classes.join(label, "node", "left").select("sid", "n", "node", F.coalesce("component", "node").alias("component"))
     found = materialize(_verify(_exhaustive(_mixed(large.join(place, ["sid", "n"])), classes), docs), "links")
     if not found.isEmpty():
@@ -267,7 +276,7 @@ def _tiles(tokens: DataFrame) -> DataFrame:
     shared = shared.withColumn("pivot", F.min(F.struct("pos", F.xxhash64("sid").alias("rank"), "sid", "n")).over(tile))
     small = F.col("members") <= COMPLETE
     partners = F.when(small, F.array("next", "after")).otherwise(F.array(F.struct("pivot.sid", "pivot.n")))
-    return shared.select("token", "sid", "n", "band", "members", F.filter(partners, lambda x: x["sid"].isNotNull()).alias("partners"))
+    return shared.select("token", "sid", "n", "pos", "band", "members", F.filter(partners, lambda x: x["sid"].isNotNull()).alias("partners"))
 
 
 def _pairs(tiles: DataFrame) -> DataFrame:
@@ -278,19 +287,31 @@ def _pairs(tiles: DataFrame) -> DataFrame:
 
 
 def _mixed(rows: DataFrame) -> DataFrame:
-    """Rows ``token, sid, n, band, node, component`` of the tiles that hold several components."""
+    """Rows ``token, sid, n, pos, early, band, node, component`` of the tiles that hold several components and an early set.
+
+    A set is early in a tile if it may link with a set of its own size and rank. Of two sets that may link, the smaller
+    or an equal one is early: the other's remainder must cover more than its own size asks for.
+    """
     whole = Window.partitionBy("token")
-    mixed = rows.withColumn("low", F.min("component").over(whole)).withColumn("high", F.max("component").over(whole)).where("low < high")
-    return materialize(mixed.select("token", "sid", "n", "band", "node", "component"), "mixed")
+    rows = rows.withColumn("early", may_overlap(F.col("n"), F.col("pos"), F.col("n"), F.col("pos")))
+    mixed = rows.withColumns({"low": F.min("component").over(whole), "high": F.max("component").over(whole), "any": F.max("early").over(whole)}).where("low < high AND any")
+    return materialize(mixed.select("token", "sid", "n", "pos", "early", "band", "node", "component"), "mixed")
 
 
 def _exhaustive(mixed: DataFrame, classes: DataFrame) -> DataFrame:
-    """All pairs of sets in a tile that belong to different components and pass the bitmap bound."""
+    """All pairs of sets in a tile that belong to different components and pass the bounds of ranks and bitmaps.
+
+    Only early sets look for partners, so pages that share no more than their frame, where none is early, meet nobody.
+    """
     rows = mixed.join(classes.select("node", "bits"), "node")
-    a, b = (rows.select(F.col("token").alias(f"{x}_token"), F.col("node").alias(x), *(F.col(c).alias(f"{x}_{c}") for c in ("sid", "n", "band", "component", "bits"))) for x in "ab")
-    near = (F.col("a_component") < F.col("b_component")) & (F.abs(F.col("a_band") - F.col("b_band")) <= 1) & fits(F.col("a_n"), F.col("b_n"))
+    a, b = (rows.select(F.col("token").alias(f"{x}_token"), F.col("node").alias(x), *(F.col(c).alias(f"{x}_{c}") for c in ("sid", "n", "pos", "early", "band", "component", "bits"))) for x in "ab")
+    a = a.where("a_early")
+    once = (F.col("a_component") < F.col("b_component")) | (~F.col("b_early") & (F.col("a_component") > F.col("b_component")))
+    near = once & (F.abs(F.col("a_band") - F.col("b_band")) <= 1) & fits(F.col("a_n"), F.col("b_n")) & may_overlap(F.col("a_n"), F.col("a_pos"), F.col("b_n"), F.col("b_pos"))
     close = a.join(b, (F.col("a_token") == F.col("b_token")) & near & may_link(F.col("a_bits"), F.col("b_bits"), F.col("a_n"), F.col("b_n")))
-    return close.select("a", "a_sid", "b", "b_sid").distinct()
+    ends = [F.struct(F.col(x).alias("node"), F.col(f"{x}_sid").alias("sid")) for x in "ab"]
+    close = close.select(F.least(*ends).alias("x"), F.greatest(*ends).alias("y")).distinct()
+    return close.select(F.col("x.node").alias("a"), F.col("x.sid").alias("a_sid"), F.col("y.node").alias("b"), F.col("y.sid").alias("b_sid"))
 
 
 def keep_one(docs: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ the others are further from it than the sketch can err. Of a line on ``min_sites
 occurrence (smallest document, then line number) stays and all others go.
 
 Edge cases: lines are compared without blanks at their ends, and lines without a word are neither counted nor
-removed; a null text has no lines and stays null; a null site is a site of its own; rows that share a
+removed; a null text has no lines and stays null; a null site counts as the empty one; rows that share a
 ``doc_id`` lose their own lines only (removals are kept by ``doc_id`` and a hash of the text); rows with a null ``doc_id`` count towards the
 spread, but keep their lines; an empty table gives an empty result; further columns are ignored by
 ``line_dedup`` and kept by ``dedup_documents``.
@@ -27,6 +27,8 @@ from playcohort.session import materialize
 MIN_SITES = 10
 #: HyperLogLog registers as a power of two, and how many standard errors count as near.
 SKETCH_K, NEAR = 12, 6
+#: Rows of a batch that are cut at a time, so that few texts are Python strings at once.
+ROWS = 256
 
 
 def _lines(docs: DataFrame, *more: Column) -> DataFrame:
@@ -67,13 +69,19 @@ def _cut(text: str, drop: list[int]) -> tuple[str, int, int]:
     return "\n".join(line for i, line in enumerate(lines) if i not in gone), worded, sum(1 for i in gone if i < len(lines))
 
 
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        yield from (batch.slice(lo, ROWS) for lo in range(0, batch.num_rows, ROWS))
+    pa.default_memory_pool().release_unused()  # workers live on between tasks
+
+
 def line_dedup(docs: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
     """``doc_id, n_lines, n_removed, text`` of every document."""
     drops = removed_lines(docs, min_sites)
     docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _slices(batches):
             rows = [(None, 0, 0) if text is None else _cut(text, drop or []) for text, drop in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)]
             texts, lines, gone = zip(*rows, strict=True) if rows else ((), (), ())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(lines, pa.int64()), pa.array(gone, pa.int64()), pa.array(texts, pa.string())], ["doc_id", "n_lines", "n_removed", "text"])
@@ -91,7 +99,7 @@ def dedup_documents(docs: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
     place = names.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _slices(batches):
             columns, kept, texts = list(batch.columns)[:-1], [], []
             for text, drop in zip(batch.column(place).to_pylist(), batch.column(len(names)).to_pylist(), strict=True):
                 if drop and text is not None:

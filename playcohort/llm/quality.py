@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable, Iterator
+from functools import wraps
 
 import numpy as np
 import pyarrow as pa
@@ -28,11 +29,25 @@ BLANK = b"\x20\x09\x0a\x0b\x0c\x0d"
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
+def _once(count: Callable[[Texts], np.ndarray]) -> Callable[[Texts], np.ndarray]:
+    @wraps(count)
+    def get(self: Texts) -> np.ndarray:
+        if count.__name__ not in self.made:
+            self.made[count.__name__] = count(self)
+        return self.made[count.__name__]
+
+    return get
+
+
 class Texts:
-    """The texts of a group, some of them selected; every count is made when first asked for."""
+    """The texts of a group, some of them selected; every count is made when first asked for, and kept."""
 
-    def __init__(self, group: Group, rows: np.ndarray | None = None):
-        self.group, self.rows = group, np.arange(group.texts) if rows is None else rows
+    def __init__(self, group: Group, rows: np.ndarray | None = None, made: dict[str, np.ndarray] | None = None):
+        self.group, self.rows, self.made = group, np.arange(group.texts) if rows is None else rows, made or {}
+
+    def only(self, keep: np.ndarray) -> Texts:
+        """Some of these texts, with the counts made so far."""
+        return Texts(self.group, self.rows[keep], {name: values[keep] for name, values in self.made.items()})
 
     def raw(self) -> Iterator[bytes]:
         data, at = self.group.data, self.group.text_start
@@ -41,16 +56,20 @@ class Texts:
     def _each(self, count: Callable[[bytes], int]) -> np.ndarray:
         return np.fromiter(map(count, self.raw()), np.int64, len(self.rows))
 
+    @_once
     def n_words(self) -> np.ndarray:
         return np.diff(self.group.word_start)[self.rows]
 
+    @_once
     def word_chars(self) -> np.ndarray:
         """Code points inside words."""
         return self._each(lambda b: len(b.translate(None, BLANK).decode()))
 
+    @_once
     def n_symbols(self) -> np.ndarray:
         return self._each(lambda b: len(b) - len(b.translate(None, SYMBOLS)))
 
+    @_once
     def n_dup_lines(self) -> np.ndarray:
         def count(b: bytes) -> int:
             lines = [line for line in b.split(b"\n") if line and not line.isspace()]
@@ -58,9 +77,11 @@ class Texts:
 
         return self._each(count)
 
+    @_once
     def n_lines(self) -> np.ndarray:
         return self._each(lambda b: sum(1 for line in b.split(b"\n") if line and not line.isspace()))
 
+    @_once
     def n_repeat_words(self) -> np.ndarray:
         """Words inside 3-word windows that stand in the text twice or more."""
         group = self.group
@@ -77,9 +98,11 @@ class Texts:
             hit[at + k] = True
         return np.bincount(group.text[hit], minlength=group.texts)[self.rows]
 
+    @_once
     def n_upper(self) -> np.ndarray:
         return self._each(lambda b: len(b) - len(b.translate(None, b"ABCDEFGHIJKLMNOPQRSTUVWXYZ")))
 
+    @_once
     def n_digits(self) -> np.ndarray:
         return self._each(lambda b: len(b) - len(b.translate(None, b"0123456789")))
 
@@ -99,7 +122,7 @@ RULES: dict[str, Callable[[Texts], np.ndarray]] = {
 def measure(docs: DataFrame, rules: dict[str, Callable[[Texts], np.ndarray]], documents: int = SAMPLE_DOCUMENTS) -> dict[str, tuple[float, float]]:
     """Per rule: seconds a document and the share it rejects, on a sample of about ``documents`` texts.
 
-    The sample is drawn by a hash of ``doc_id``; tasks time the rules and return sums, never texts.
+    The sample is drawn row by row, whatever the ids; tasks time the rules and return sums, never texts.
     """
     total = docs.count()
     names = list(rules)
@@ -115,7 +138,7 @@ def measure(docs: DataFrame, rules: dict[str, Callable[[Texts], np.ndarray]], do
                     seconds[i] += time.thread_time() - start
         yield pa.RecordBatch.from_arrays([pa.array(range(len(names)), pa.int32()), pa.array([seen] * len(names)), pa.array(seconds), pa.array(rejected)], ["rule", "seen", "seconds", "rejected"])
 
-    sample = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_003)) < F.lit(min(1.0, documents / max(1, total)) * 1_000_003)).select(F.col("text").cast("string"))
+    sample = docs.select(F.col("text").cast("string")).sample(fraction=min(1.0, documents / max(1, total)), seed=9)
     sums = sample.mapInArrow(timed, "rule int, seen bigint, seconds double, rejected double").groupBy("rule").agg(F.sum("seen"), F.sum("seconds"), F.sum("rejected")).collect()
     return {names[rule]: (seconds / max(1, seen), rejected / max(1, seen)) for rule, seen, seconds, rejected in sums}
 
@@ -127,13 +150,17 @@ def cascade(measured: dict[str, tuple[float, float]], rules: dict[str, Callable[
 
 def verdicts(group: Group, order: list[str], rules: dict[str, Callable[[Texts], np.ndarray]] = RULES) -> np.ndarray:
     """True for the texts of a group that pass every rule; a rejected text meets no further rule."""
-    left = np.arange(group.texts)
+    return _passed(Texts(group), order, rules)
+
+
+def _passed(texts: Texts, order: list[str], rules: dict[str, Callable[[Texts], np.ndarray]]) -> np.ndarray:
+    """As ``verdicts``, of a whole group's texts; counts made before are used."""
+    kept = np.zeros(texts.group.texts, bool)
     for name in order:
-        if not len(left):
+        if not len(texts.rows):
             break
-        left = left[~rules[name](Texts(group, left))]
-    kept = np.zeros(group.texts, bool)
-    kept[left] = True
+        texts = texts.only(~rules[name](texts))
+    kept[texts.rows] = True
     return kept
 
 
@@ -148,7 +175,7 @@ def judge(docs: DataFrame, rules: dict[str, Callable[[Texts], np.ndarray]] = RUL
                 texts = Texts(group)
                 counts = {name: getattr(texts, name)() for name in COUNTS}
                 failed = (counts["n_words"] < 50) | (100 * counts["n_repeat_words"] > 50 * counts["n_words"])
-                kept = verdicts(group, order, rules) & ~failed
+                kept = _passed(texts, order, rules) & ~failed
                 ids = batch.column(0).slice(group.first, group.texts)
                 yield pa.RecordBatch.from_arrays([ids, *map(pa.array, counts.values()), pa.array(failed), pa.array(kept)], ["doc_id", *counts, "base_failed", "kept"])
 

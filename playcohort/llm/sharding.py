@@ -6,7 +6,7 @@ one more shard, the rows that move go to the new shard and nowhere else. Its 64-
 32-bit halves, so that no product leaves a bigint.
 
 Edge cases: a null key hashes as 0; equal keys share a shard; a null text has size 1 and the checksum of an
-empty text, 0; repeated rows get different slots; an empty table gives an empty result; further columns are
+empty text, 0; repeated rows get different slots, and however many rows share an id, they are numbered by many tasks; an empty table gives an empty result; further columns are
 ignored.
 """
 
@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from playcohort.llm.shared import rank_within
+from playcohort.session import materialize
 
 #: The multiplier of the generator, fixed by the published algorithm.
 MULTIPLIER = 2862933555777941757
@@ -67,6 +68,8 @@ def shard_documents(docs: DataFrame, shards: int) -> DataFrame:
     size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long") + F.lit(1).cast("long")
     keyed = docs.select(
         F.col("doc_id").cast("long"), size.alias("size"), F.crc32(F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary")).alias("text_crc32"), F.lit("key").alias("law"),
-        jump_shard(F.col("doc_id"), shards).alias("shard"), jump_shard(F.col("doc_id"), shards + 1).alias("grown_shard"),
+        jump_shard(F.col("doc_id"), shards).alias("shard"), jump_shard(F.col("doc_id"), shards + 1).alias("grown_shard"), F.monotonically_increasing_id().alias("row"),
     )
-    return rank_within(keyed, "shard", ["doc_id"], "slot", docs.select("doc_id").count())
+    # A number per row, fixed by writing it, spreads rows that agree in everything else.
+    keyed = materialize(keyed, "keyed")
+    return rank_within(keyed, "shard", ["doc_id", "row"], "slot", keyed.count()).drop("row")

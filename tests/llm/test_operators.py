@@ -1,5 +1,6 @@
 """Each operator against its plain version on a table with every edge case, and on an empty one."""
 
+import itertools
 import random
 import zlib
 from collections import Counter
@@ -205,6 +206,17 @@ def test_one_more_shard_takes_rows_only_into_itself(docs):
         assert slots == list(range(len(slots)))
 
 
+def test_shards_of_rows_without_an_id_are_numbered_by_many_tasks(spark, monkeypatch):
+    docs = spark.range(6_000).select(F.lit(None).cast("long").alias("doc_id"), F.lit("same").alias("text"))
+    rows, seen = sharding.shard_documents(docs, 4), []
+    assert sorted(r["slot"] for r in rows.collect()) == list(range(6_000)) and rows.select("shard").distinct().count() == 1
+    whole = sharding.rank_within
+    monkeypatch.setattr(sharding, "rank_within", lambda df, *a: seen.append(df) or whole(df, *a))
+    sharding.shard_documents(docs, 4)
+    sizes = [r["count"] for r in seen[0].groupBy(F.pmod(F.xxhash64("doc_id", "row"), F.lit(3))).count().collect()]
+    assert len(sizes) == 3 and max(sizes) < 2_400
+
+
 def test_sharding_of_nothing(empty):
     assert sharding.shard_documents(empty, 4).count() == 0
 
@@ -373,6 +385,34 @@ def test_learned_rules_ask_for_the_same_count_at_every_size(spark):
         assert [r["antecedent"] for r in learned.collect()] == [["host bad"]]
 
 
+def test_learned_rules_of_urls_that_share_many_tokens(spark):
+    """18 tokens stand in the same 20 bad urls, six more in bad and good ones alike: one rule of 18 equal tokens."""
+    shared, common = "/".join(f"w{i}" for i in range(18)), "/".join(f"c{i}" for i in range(6))
+    paths = [f"{shared}/{common}/x{i}" for i in range(20)] + [f"{common}/y{i}" for i in range(200)] + [f"w7/z{i}" for i in range(3)]
+    pages = spark.createDataFrame([(i, f"http://h.com/{p}") for i, p in enumerate(paths)], "page_id bigint, url string")
+    learned = urls.mine(pages, spark.createDataFrame([(i, i < 20) for i in range(220)], "page_id bigint, bad boolean"))
+    assert [(r["antecedent"], sorted(r["same"][0]), r["confidence"]) for r in learned.collect()] == [(["path w0"], sorted(f"path w{i}" for i in range(18)), 1.0)]
+    assert {r["page_id"] for r in urls.judge(pages, learned).collect() if r["verdict"] == "block"} == {*range(20), 220, 221, 222}
+
+
+def test_learned_rules_against_all_subsets(spark):
+    """Every smallest token set with 5 bad urls and a share of 0.8, sets of one record of urls taken together."""
+    for seed in range(3):
+        rng = random.Random(seed)
+        sets = [frozenset(rng.sample("abcdefgh", rng.randint(1, 6))) for _ in range(120)]
+        bad = [rng.random() < (0.95 if {"a", "b"} <= s or {"c", "d", "e"} <= s else 0.2) for s in sets]
+        pages = spark.createDataFrame([(i, "http://h/" + "/".join(sorted(s))) for i, s in enumerate(sets)], "page_id bigint, url string")
+        learned = urls.mine(pages, spark.createDataFrame(list(enumerate(bad)), "page_id bigint, bad boolean"))
+        surety = {}
+        for size in range(1, 9):
+            for items in map(frozenset, itertools.combinations("abcdefgh", size)):
+                met = [b for s, b in zip(sets, bad, strict=True) if items <= s]
+                if sum(met) >= 5 and sum(met) / len(met) >= 0.8 and sum(met) / len(met) > sum(bad) / len(bad):
+                    surety[items] = sum(met) / len(met)
+        want = {i for i, s in surety.items() if not any(j < i and t >= s for j, t in surety.items())}
+        assert {frozenset(t.removeprefix("path ") for t in r["antecedent"]) for r in learned.collect()} == want and want
+
+
 # 8 benchmark decontamination
 
 
@@ -426,6 +466,32 @@ def test_quality(docs, empty):
     assert quality.judge(empty).count() == 0 and quality.keep_documents(empty).count() == 0
 
 
+def test_the_sample_of_rows_without_an_id_is_bounded(spark):
+    docs = spark.range(30_000).select(F.lit(None).cast("long").alias("doc_id"), F.lit("some words").alias("text"))
+    sample = spark.sparkContext.accumulator(0)
+
+    def count(t):
+        sample.add(len(t.rows))
+        return np.ones(len(t.rows), bool)
+
+    quality.measure(docs, {"all": count}, 300)
+    assert 150 < sample.value < 500
+
+
+def test_counts_are_made_once():
+    made = Counter()
+
+    class Counting(quality.Texts):
+        def raw(self):
+            made["raw"] += 1
+            return super().raw()
+
+    group = next(scan.groups(pa.array(["a b", "c", "DD dd"])))
+    texts = Counting(group)
+    assert texts.word_chars().tolist() == texts.word_chars().tolist() == [2, 1, 4] and made["raw"] == 1
+    assert texts.only(np.array([True, False, True])).word_chars().tolist() == [2, 4] and made["raw"] == 1
+
+
 def test_the_order_of_the_cascade_changes_no_verdict(docs):
     measured = quality.measure(docs, quality.RULES, 50)
     assert set(measured) == set(quality.RULES)
