@@ -162,6 +162,24 @@ def test_near_duplicates_that_only_the_last_round_can_link(spark, monkeypatch):
     assert Counter(map(tuple, jaccard.near_duplicates(docs).collect())) == plain.near_duplicates(rows)
 
 
+def test_near_duplicates_among_pages_of_one_frame(spark, monkeypatch):
+    """Three quarters of each page are one frame: they share rare-enough shingles, and only their copies link."""
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(6))
+    frame = " ".join(word() for _ in range(160))
+    own = [" ".join(word() for _ in range(38 + i % 5)) for i in range(60)]
+    rows = [(i, f"{frame} {o}") for i, o in enumerate(own)]
+    rows += [(100 + i, f"{frame} {own[i]} {' '.join(word() for _ in range(1 + 3 * i))}") for i in range(12)] + [(200, frame), (201, f"{frame} {word()}")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    mixed, plainly = jaccard._mixed, []
+    monkeypatch.setattr(jaccard, "_mixed", lambda df: plainly.append(mixed(df)) or plainly[-1])
+    assert Counter(map(tuple, jaccard.near_duplicates(docs.where("doc_id < 100 AND doc_id % 5 = 0")).collect())) == plain.near_duplicates([r for r in rows if r[0] < 100 and r[0] % 5 == 0])
+    assert plainly[0].isEmpty()  # pages of one size: none is early in a tile
+    for complete in (1, jaccard.COMPLETE):
+        monkeypatch.setattr(jaccard, "COMPLETE", complete)
+        assert Counter(map(tuple, jaccard.near_duplicates(docs).collect())) == plain.near_duplicates(rows)
+
+
 def test_near_duplicates_of_nothing(empty):
     assert jaccard.near_duplicates(empty).count() == 0
 
