@@ -93,11 +93,20 @@ def parse_ad_clicks(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
     return typed.filter(complete).select(*out), typed.filter(f"NOT ({complete})").select("value")
 
 
+def _wall(lines: DataFrame) -> DataFrame:
+    """Wall events with ``_ok``: readable JSON of a known kind with a valid time."""
+    read = _read_json(lines, _strings(WALL_FIELDS)).select("value", "j.*").withColumn("ts", F.try_to_timestamp("ts", F.lit("yyyy-MM-dd HH:mm:ss")))
+    return read.withColumn("_ok", F.coalesce(F.col("adv_name").isin(WALL_CLICK, WALL_ACTIVE) & F.col("ts").isNotNull(), F.lit(False)))
+
+
 def parse_wall(lines: DataFrame) -> DataFrame:
-    """Incentive-wall clicks and activations; unreadable JSON is dropped."""
-    read = _read_json(lines, _strings(WALL_FIELDS)).select("j.*")
-    return read.filter(F.col("adv_name").isin(WALL_CLICK, WALL_ACTIVE) & F.col("ts").isNotNull()).withColumn(
-        "ts", F.try_to_timestamp("ts", F.lit("yyyy-MM-dd HH:mm:ss"))).filter("ts IS NOT NULL")
+    """Incentive-wall clicks and activations; see ``wall_rejects`` for the rest."""
+    return _wall(lines).filter("_ok").drop("_ok", "value")
+
+
+def wall_rejects(lines: DataFrame) -> DataFrame:
+    """Lines that begin as JSON and give no wall event; log lines are none of the wall's."""
+    return _wall(lines.filter(F.ltrim("value").startswith("{"))).filter("NOT _ok").select("value")
 
 
 def parse_role(lines: DataFrame) -> DataFrame:

@@ -139,8 +139,9 @@ class KpiPipeline:
 class WallPipeline:
     """Incentive-wall events next to the own activations and registrations they are checked against.
 
-    Whether a wall activation repeats an earlier one can change with a late line, so the batches only
-    keep each fact once and the report reads the facts.
+    One query over the state of devices (see ``state.WallDevices``): whether a wall activation repeats an earlier one follows from the
+    device's days in the state, and a late line takes back what it proves wrong. No batch and no report reads a fact of history.
+    Unreadable wall events are counted per batch in ``rejects``.
     """
 
     spark: SparkSession
@@ -148,29 +149,26 @@ class WallPipeline:
     tables: dict[str, DetailTable] = field(init=False)
 
     def __post_init__(self) -> None:
-        schemas = {
-            "wall": "adv_name string, game_id int, pkg_id string, app_id string, imei string, ip string, ts timestamp, copies bigint",
-            "active": "game_id int, imei string, active_time timestamp",
-            "regi": "game_id int, imei string, game_account string, reg_time timestamp",
-        }
-        times = {"active": "active_time", "regi": "reg_time"}
-        self.tables = {n: DetailTable(self.spark, f"{self.base}/{n}", s, times.get(n)) for n, s in schemas.items()}
+        schemas = {"changes": state.CHANGE, "rejects": "value string"}
+        self.tables = {n: DetailTable(self.spark, f"{self.base}/{n}", s) for n, s in schemas.items()}
 
-    def process(self, lines: DataFrame, batch: int) -> None:
-        lines = lines.persist()
-        try:
-            wall = records.parse_wall(lines).withColumn("game_id", F.col("game_id").try_cast("int")).filter("game_id IS NOT NULL")
-            keys = ["adv_name", "game_id", "pkg_id", "app_id", "imei", "ip", "ts"]
-            self.tables["wall"].write(wall.groupBy(*keys).agg(F.count("*").alias("copies")), batch)
-            for kind, keys in (("active", ["game_id", "imei", "active_time"]), ("regi", ["game_id", "imei", "game_account", "reg_time"])):
-                self.tables[kind].append_new(parse_log(lines, kind)[0].select(*keys), batch, keys)
-        finally:
-            lines.unpersist()
+    def start(self, lines: DataFrame, interval: str | None = None, in_turn: bool = False) -> list[StreamingQuery]:
+        """The query of the changes and that of the rejects; ``in_turn`` as in ``KpiPipeline.start``."""
+        state.use_state_store(self.spark)
+        runs = []
+        for name, rows in (("changes", state.wall_changes(lines)), ("rejects", records.wall_rejects(lines))):
+            runs.append(start(rows, self.tables[name].write, f"{self.base}-checkpoint/{name}", interval))
+            if in_turn:
+                runs[-1].awaitTermination()
+        return runs
 
     def report(self) -> DataFrame:
-        rows = self.tables["wall"].read()
-        clicks, actives = (rows.filter(F.col("adv_name") == name) for name in (records.WALL_CLICK, records.WALL_ACTIVE))
-        return kpi.wall_kpi(clicks, actives, self.tables["active"].read(), self.tables["regi"].read())
+        """The current rows: the changes added up."""
+        return state.report(self.tables["changes"].read(), "wall_opera")
+
+    def rejects(self) -> DataFrame:
+        """``value, copies`` of the wall events no batch could read."""
+        return self.tables["rejects"].read().groupBy("value").agg(F.count(F.lit(1)).alias("copies"))
 
 
 @dataclass

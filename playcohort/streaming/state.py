@@ -23,6 +23,8 @@ from playcohort import constants as C
 from playcohort.functions import channel as ch
 from playcohort.functions.money import cents
 from playcohort.functions.times import SECOND, hour_key
+from playcohort.operators.kpi import WALL_FLAGS
+from playcohort.sources import records
 from playcohort.sources.logs import parse_log
 
 PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -34,11 +36,12 @@ MEASURES = {
     "activation": ("active_num",), "activation_opera": ("active_num",),
     "money": ("pay_money",), "money_hour": ("pay_money",), "payer": ("pay_accounts",), "payer_hour": ("pay_accounts",),
     "first_payer": ("recharge_accounts",), "ltv": ("recharge", *[f"ltv_{n}day" for n in C.PAY_LTV]),
+    "wall_opera": ("click_num", "click_dev_num", *WALL_FLAGS),
 }
 #: Columns that name ``at`` in a report: the unit of time, or the payer's registration day and game.
 AT = {name: "hour" if name.endswith("_hour") or name.startswith("activation") else "reg_date" if name in ("first_payer", "ltv") else "day" for name in MEASURES}
 #: The query of ``pipelines.KpiPipeline`` that writes a table's changes.
-QUERY_OF = {name: name.split("_")[0] if name.startswith(("regi", "activ")) else "payment" for name in MEASURES}
+QUERY_OF = {name: name.split("_")[0] if name.startswith(("regi", "activ", "wall")) else "payment" for name in MEASURES}
 Place = tuple  # name, at, game_id, parent_channel, child_channel, pkg_code
 
 
@@ -185,6 +188,74 @@ class Payments(StatefulProcessor):
         pass
 
 
+class WallDevices(StatefulProcessor):
+    """A device of the incentive wall: its first click and first activation of each day, and the days of its own activations and registrations.
+
+    What a wall activation counts for follows from days alone, so a device holds a row per day and game and kind, however many lines it sends.
+    A line that makes a day earlier, or an earlier first event of a day, changes the flags of the activations it bears on only.
+    """
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        day = "day string, {} string, game_id int".format
+        self.clicks = handle.getMapState("clicks", "day string", "at string, game_id int")
+        self.actives = handle.getMapState("actives", "day string", "at string, game_id int")
+        self.own = handle.getMapState("own", day("kind"), "n int")
+
+    @staticmethod
+    def _facts(named: bool, clicks: dict[str, tuple], actives: dict[str, tuple], own: set[tuple[str, str, int | None]]) -> dict[Place, list[int]]:
+        """Flags of a device's days; a device without a name meets no history, as in a join on its name."""
+        first: dict[tuple[str, int], str] = {}
+        for day, kind, game in [*own, *((day, "wall", game) for day, (_, game) in actives.items())] if named else []:
+            first[kind, game] = min(day, first.get((kind, game), day))
+        active_days = {day for day, kind, _ in own if kind == "active"} if named else set()
+        out: dict[Place, list[int]] = defaultdict(lambda: [0] * len(MEASURES["wall_opera"]))
+        for day, (_, game) in clicks.items():
+            out["wall_opera", day, game, None, None, None][1] = 1
+        for day, (_, game) in actives.items():
+            platform, wall, registered = (first.get((kind, game)) for kind in ("active", "wall", "regi"))
+            out["wall_opera", day, game, None, None, None][2:] = map(int, (
+                True, platform is not None and platform < day, wall is not None and wall < day, day in active_days, platform is None or platform > day,
+                named and (day, "regi", game) in own, registered is None or registered >= day))
+        return out
+
+    def handleInputRows(self, key: tuple, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        first: dict[str, dict[str, tuple]] = {"click": {}, "wall": {}}
+        days, number = set(), defaultdict(int)
+        for r in rows:
+            day = r.at[:10]
+            if r.kind in first:
+                mine = (r.at, r.game_id)
+                first[r.kind][day] = min(first[r.kind].get(day, mine), mine)
+                if r.kind == "click":
+                    number[day, r.game_id] += 1
+            else:
+                days.add((day, r.kind, r.game_id))
+        for (day, game), n in number.items():
+            yield Row(name="wall_opera", at=day, game_id=game, parent_channel=None, child_channel=None, pkg_code=None, m=[n, *[0] * (len(MEASURES["wall_opera"]) - 1)])
+        earlier = {}
+        for kind, state in (("click", self.clicks), ("wall", self.actives)):
+            earlier[kind] = {day: tuple(state.getValue((day,))) for day in first[kind] if state.containsKey((day,))}
+            first[kind] = {day: mine for day, mine in first[kind].items() if day not in earlier[kind] or mine < earlier[kind][day]}
+            earlier[kind] = {day: earlier[kind][day] for day in first[kind] if day in earlier[kind]}
+        days = {d for d in days if not self.own.containsKey(d)}
+        clicks = earlier["click"], earlier["click"] | first["click"]
+        actives, own = ({}, {}), (set(), set())
+        if first["wall"] or days:
+            held = {tuple(k)[0]: tuple(v) for k, v in self.actives.iterator()}
+            known = {tuple(k) for k in self.own.keys()}
+            actives, own = (held, held | first["wall"]), (known, known | days)
+        yield from _changes(*(self._facts(key[0] is not None, *state) for state in zip(clicks, actives, own, strict=True)))
+        for day, mine in first["click"].items():
+            self.clicks.updateValue((day,), mine)
+        for day, mine in first["wall"].items():
+            self.actives.updateValue((day,), mine)
+        for d in days:
+            self.own.updateValue(d, (1,))
+
+    def close(self) -> None:
+        pass
+
+
 def _grains(rows: DataFrame) -> DataFrame:
     """Each row at the marketing grain and, without channels, at that of operations."""
     opera = [F.lit("").alias(c) for c in ch.CHANNEL_COLS]
@@ -221,6 +292,16 @@ def payment_changes(lines: DataFrame) -> DataFrame:
     return regi.unionByName(orders).groupBy("game_account").transformWithState(Payments(), CHANGE, "Append", "None")
 
 
+def wall_changes(lines: DataFrame) -> DataFrame:
+    """Signed changes of the incentive-wall table from a stream of wall events and log lines."""
+    def rows(df: DataFrame, kind: Column, time: str) -> DataFrame:
+        return df.select("imei", F.col("game_id").try_cast("int").alias("game_id"), kind.alias("kind"), F.date_format(time, SECOND).alias("at"))
+
+    wall = rows(records.parse_wall(lines), F.when(F.col("adv_name") == records.WALL_CLICK, "click").otherwise("wall"), "ts").filter("game_id IS NOT NULL")
+    own = [rows(parse_log(lines, kind)[0], F.lit(kind), time) for kind, time in (("active", "active_time"), ("regi", "reg_time"))]
+    return wall.unionByName(own[0]).unionByName(own[1]).groupBy("imei").transformWithState(WallDevices(), CHANGE, "Append", "None")
+
+
 def report(changes: DataFrame, name: str) -> DataFrame:
     """The current table ``name``: all its changes added up; keys everything was taken back from are gone."""
     at, measures = AT[name], MEASURES[name]

@@ -199,10 +199,29 @@ def _streamed_wall() -> str:
     return re.sub(r"\bFROM regi\b", "FROM " + own.format("reg_time", "signup", "regi"), sql)
 
 
+_WALL: dict[tuple[str, str], pipelines.WallPipeline] = {}
+
+
+def wall_pipeline(t) -> pipelines.WallPipeline:
+    """One replay per application and folder, as of ``kpi_pipeline``."""
+    key = (t.spark.sparkContext.applicationId, t.dir)
+    if key not in _WALL:
+        made = lines.wall_lines(t.ev).union(lines.active_lines(t.ev)).union(lines.regi_lines(t.ev))
+        pipeline = pipelines.WallPipeline(t.spark, shared_dir(t.spark, "wall"))
+        pipeline.start(replay(t, made, "wall-lines"), in_turn=True)
+        _WALL[key] = pipeline
+    return _WALL[key]
+
+
 @query("job22_stream_wall", WALL_SPEC, f"WITH {_streamed_wall()} SELECT * FROM w")
 def stream_wall(t):
-    made = lines.wall_lines(t.ev).union(lines.active_lines(t.ev)).union(lines.regi_lines(t.ev))
-    return run(t, made, pipelines.WallPipeline, "wall").report()
+    return wall_pipeline(t).report()
+
+
+@query("job22_stream_wall_rejects", "value:s copies:i", """
+    SELECT '{"game_id":' AS value, count(*) AS copies FROM ev WHERE event_type IN ('click', 'view') AND event_id % 21 = 0 HAVING count(*) > 0""")
+def stream_wall_rejects(t):
+    return wall_pipeline(t).rejects()
 
 
 STREAM_CLICKS = """SELECT event_id, pkg_id, game_id, os, imei, ts, adv_name, CASE WHEN adv_name = 1 THEN '' ELSE idea_id END AS idea_id,

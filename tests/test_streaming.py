@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from playcohort.operators import kpi
 from playcohort.plans import jobs
 from playcohort.session import shared_dir
+from playcohort.sources import records
 from playcohort.sources.logs import parse_log
 from playcohort.streaming.details import DetailTable, change, total
 from playcohort.sources.tables import file_lines
@@ -236,3 +237,43 @@ def test_a_timed_trigger_runs_until_it_is_stopped(spark, tmp_path):
     assert query.isActive
     query.stop()
     assert accounts_of(pipeline) == ACCOUNTS
+
+
+def wall(kind, imei, time, game="12"):
+    device = "" if imei is None else f'"imei":"{imei}",'
+    return f'{{"adv_name":"bi_adv_money_{kind}",{device}"game_id":"{game}","ts":"{time}"}}'
+
+
+def platform(imei, time, game="12"):
+    return active(imei, time).replace("bi_active|1|", f"bi_active|{game}|")
+
+
+WALL_BATCHES = [
+    [wall("click", "d1", "2024-01-03 10:00:00"), wall("active", "d1", "2024-01-03 10:05:00"), wall("active", "d1", "2024-01-05 10:00:00"), platform("d1", "2024-01-05 09:00:00"),
+     wall("active", None, "2024-01-03 08:00:00"), wall("click", None, "2024-01-03 08:00:00"), '{"adv_name":'],
+    # an earlier first click and activation of a day, in another game; a registration between two activations; clicks that come again count again
+    [wall("click", "d1", "2024-01-03 09:00:00", "13"), wall("click", "d1", "2024-01-03 10:00:00"), wall("active", "d1", "2024-01-03 01:00:00", "13"), regi("a1", "d1", "2024-01-04 10:00:00"),
+     wall("active", None, "2024-01-04 08:00:00"), platform("", "2024-01-01 08:00:00")],
+    # an own activation and a registration before all others
+    [platform("d1", "2024-01-01 09:00:00"), regi("a1", "d1", "2024-01-03 00:00:00"), wall("active", "d2", "2024-01-03 01:00:00"), wall("active", "d1", "2024-01-02 23:00:00"), '{"adv_name":'],
+]
+
+
+def test_wall_state_equals_the_whole_log_in_any_order(spark, tmp_path):
+    lines = frame(spark, *sum(WALL_BATCHES, []))
+    events = records.parse_wall(lines).withColumn("game_id", F.col("game_id").cast("int"))
+    clicks, actives = (events.filter(F.col("adv_name") == n) for n in (records.WALL_CLICK, records.WALL_ACTIVE))
+    whole = kpi.wall_kpi(clicks, actives, parse_log(lines, "active")[0], parse_log(lines, "regi")[0])
+    whole = whole.withColumn("day", F.col("day").cast("string"))
+    for order_of in ((0, 1, 2), (2, 1, 0)):
+        path = str(tmp_path / f"wall{order_of[0]}")
+        write_files(path, [(1_700_000_000 + 60 * n, WALL_BATCHES[i]) for n, i in enumerate(order_of)])
+        pipeline = pipelines.WallPipeline(spark, shared_dir(spark, "wall-test"))
+        pipeline.start(file_lines(spark, path, files_per_trigger=1), in_turn=True)
+        assert rows_of(pipeline.report().select(whole.columns)) == rows_of(whole)
+        assert rows_of(pipeline.rejects()) == [('{"adv_name":', 2)]
+        changes = pipeline.tables["changes"].read()
+        # in the first order late lines prove earlier flags wrong, in the other none does
+        assert (changes.filter("exists(m, x -> x < 0)").count() > 0) == (order_of[0] == 0)
+    plan = state.wall_changes(file_lines(spark, path))._jdf.queryExecution().analyzed().toString()
+    assert "TransformWithState" in plan and "parquet" not in plan and "Join" not in plan
