@@ -15,7 +15,7 @@ from playcohort.operators import attribution, dims, kpi
 from playcohort.operators.buckets import BUCKETS, BucketTable
 from playcohort.sources import records
 from playcohort.sources.logs import parse_log
-from playcohort.streaming import state
+from playcohort.streaming import state, touches
 from playcohort.streaming.details import DetailTable, total
 
 PARTS = "parent_channel string, child_channel string, pkg_code string"
@@ -260,6 +260,38 @@ class AccountPipeline:
         return self.table.read()
 
 
+@dataclass
+class ClickPipeline:
+    """The click table of the media, refreshed and used up as the lines come, in buckets.
+
+    A batch changes the rows of its devices only; lines later than ``delay`` are dropped. ``games`` are the advertised games (static).
+    """
+
+    spark: SparkSession
+    base: str
+    games: DataFrame
+    delay: str
+    buckets: int = BUCKETS
+
+    @property
+    def table(self) -> BucketTable:
+        schema = ("pkg_id string, imei string, opened timestamp, ts timestamp, callback string, game_id int, os string, adv_name int, idea_id string, first_level string, "
+                  "second_level string, matched int")
+        # by package and device: the rows of a device share a bucket
+        return BucketTable(self.spark, f"{self.base}/clicks", schema, ["pkg_id", "imei"], self.buckets)
+
+    def start(self, lines: DataFrame, interval: str | None = None) -> StreamingQuery:
+        state.use_state_store(self.spark)
+        return start(touches.click_rows(lines, self.games, self.delay), self.process, f"{self.base}-checkpoint", interval)
+
+    def process(self, rows: DataFrame, batch: int) -> None:
+        """Merge a batch's changed rows."""
+        self.table.merge(rows, batch, lambda old, new: touches.newest_rows(old.unionByName(new)))
+
+    def read(self) -> DataFrame:
+        return self.table.read().drop("opened")
+
+
 def dedup_orders(orders: DataFrame, seconds: int = C.ORDER_DEDUP_SECONDS, arrived: str = "arrived") -> DataFrame:
     """Drop repeats of (order, time, account) that arrive within the given time of the first.
 

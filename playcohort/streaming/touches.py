@@ -19,7 +19,7 @@ from itertools import groupby
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
-from pyspark.sql.types import BooleanType, LongType, StructField, StructType, TimestampType
+from pyspark.sql.types import BooleanType, IntegerType, LongType, StructField, StructType, TimestampType
 
 from playcohort import constants as C
 from playcohort.functions import channel as ch
@@ -133,18 +133,22 @@ def latest_touch(events: DataFrame, touches: DataFrame, on: Sequence[str], event
                         *[F.col(n).alias(f"touch_{c}") for c, n in touch_cols.items()])
 
 
-def attributed_activations(lines: DataFrame, games: DataFrame, delay: str) -> DataFrame:
-    """A stream of activations credited to their latest click of seven days; a click serves one activation.
-
-    ``lines`` carry the media's JSON clicks and the own log; ``games`` are the advertised games (static).
-    """
+def _used_clicks(lines: DataFrame, games: DataFrame, delay: str) -> DataFrame:
+    """A stream of activations with the click each has used, in ``touch_`` columns."""
     third, own = records.route(lines)
     clicks = attribution.click_touches(records.parse_ad_clicks(third)[0])
     active = ch.with_channel_parts(parse_log(own, "active")[0], "expand_channel")
     active = active.withColumn("event_id", F.xxhash64(*sorted(c for c in active.columns if c != "expand_channel")))
     events = attribution.activation_events(active, games)
-    hits = latest_touch(events, clicks, attribution.CLICK_KEY, "active_time", "ts", "event_id", attribution.CLICK_COLS, C.CLICK_LOOKBACK_DAYS, delay, consume=True)
-    return attribution.credit_activations(hits, "at")
+    return latest_touch(events, clicks, attribution.CLICK_KEY, "active_time", "ts", "event_id", attribution.CLICK_COLS, C.CLICK_LOOKBACK_DAYS, delay, consume=True)
+
+
+def attributed_activations(lines: DataFrame, games: DataFrame, delay: str) -> DataFrame:
+    """A stream of activations credited to their latest click of seven days; a click serves one activation.
+
+    ``lines`` carry the media's JSON clicks and the own log; ``games`` are the advertised games (static).
+    """
+    return attribution.credit_activations(_used_clicks(lines, games, delay), "at")
 
 
 def attributed_registrations(lines: DataFrame, activations: DataFrame, delay: str) -> DataFrame:
@@ -154,3 +158,93 @@ def attributed_registrations(lines: DataFrame, activations: DataFrame, delay: st
     hits = latest_touch(attribution.registration_events(regi), attribution.activation_touches(activations, "at"), attribution.ACTIVATION_KEY, "reg_time", "active_time", "event_id",
                         attribution.ACTIVATION_COLS, C.ACTIVATION_LOOKBACK_DAYS, delay, open_start=True, chained=True)
     return attribution.credit_registrations(hits, "at")
+
+
+#: A row of the click table as it stands: ``opened`` is the second of its first click and, with the key, names the row.
+CLICK_ROW_KEY = ("pkg_id", "imei", "opened")
+
+
+class ClickRows(StatefulProcessor):
+    """A device in a package: clicks and uses that wait for the watermark, and the open row of the click table.
+
+    Rows come out whenever they change, each time as a whole: open, refreshed, used.
+    """
+
+    def __init__(self, waiting: StructType, opened: StructType, out: StructType, first: list[str]):
+        self.waiting_schema, self.open_schema, self.row, self.first = waiting, opened, Row(*out.names), first
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.waiting = handle.getListState("waiting", self.waiting_schema)
+        self.open = handle.getValueState("open", self.open_schema)
+
+    def handleInputRows(self, key: tuple, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        timers = set()
+        for r in rows:
+            self.waiting.appendValue(tuple(r[c] for c in self.waiting_schema.names))
+            timers.add(r.ms)
+        for at in timers:
+            self.handle.registerTimer(at)
+        return iter(())
+
+    def _shown(self, key: tuple, row: tuple, used: int) -> Row:
+        opened, ms = (datetime.fromtimestamp(at / 1000, timezone.utc) for at in row[:2])
+        return self.row(*key, opened, ms, *row[2:], used)
+
+    def handleExpiredTimer(self, key: tuple, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        now = expiredTimerInfo.getExpiryTimeInMs()
+        rows = [Row(*self.waiting_schema.names)(*r) for r in self.waiting.get()] if self.waiting.exists() else []
+        due, later = [r for r in rows if r.ms <= now], [r for r in rows if r.ms > now]
+        if not due:
+            return iter(())
+        row, changed, out = tuple(self.open.get()) if self.open.exists() else None, False, []
+        for ms, second in groupby(sorted(due, key=lambda r: r.ms), key=lambda r: r.ms):
+            second = list(second)
+            clicks = [r for r in second if not r.used]
+            if clicks:  # a click of the second in which the row is used comes before that
+                callback, changed = max(r.callback for r in clicks), True
+                head = (row[0], *row[3:]) if row else (ms, *min((tuple(r[c] for c in self.first) for r in clicks), key=_ordered))
+                row = (head[0], ms, callback, *head[1:])
+            if row and len(clicks) < len(second):
+                out.append(self._shown(key, row, 1))
+                row, changed = None, False
+        if row:
+            self.open.update(row)
+            out += [self._shown(key, row, 0)] if changed else []
+        else:
+            self.open.clear()
+        if later:
+            self.waiting.put([tuple(r) for r in later])
+        else:
+            self.waiting.clear()
+        return iter(out)
+
+    def close(self) -> None:
+        pass
+
+
+def click_rows(lines: DataFrame, games: DataFrame, delay: str) -> DataFrame:
+    """A stream of changed rows of the click table, the streaming form of ``attribution.click_table``.
+
+    Two stateful operators in one query: the first finds the clicks that activations use, the second keeps per package and device
+    the open row. Of a row's versions the one with the greatest ``ts, matched`` holds, see ``newest_rows``.
+    """
+    used = _used_clicks(lines, games, delay)
+    clicks = attribution.valid_clicks(records.parse_ad_clicks(records.route(lines)[0])[0])
+    first = [c for c in clicks.columns if c not in ("pkg_id", "imei", "ts", "callback")]
+    clicks = clicks.withColumn("at", F.col("ts")).withWatermark("at", delay).select(
+        "pkg_id", "imei", "at", F.unix_millis(F.date_trunc("second", "ts")).alias("ms"), F.lit(False).alias("used"), "callback", *first)
+    used = used.select(F.col("touch_pkg_id").alias("pkg_id"), F.col("touch_imei").alias("imei"), "at", F.unix_millis("active_time").alias("ms"), F.lit(True).alias("used"))
+    rows = clicks.unionByName(used, allowMissingColumns=True)
+    fields = {f.name: StructField(f.name, f.dataType) for f in rows.schema.fields}
+    kept = [fields[c] for c in ("callback", *first)]
+    out = StructType([fields["pkg_id"], fields["imei"], StructField("opened", TimestampType()), StructField("ts", TimestampType()), *kept, StructField("matched", IntegerType())])
+    processor = ClickRows(StructType([fields["ms"], fields["used"], *kept]), StructType([StructField("opened", LongType()), fields["ms"], *kept]), out, first)
+    return rows.groupBy("pkg_id", "imei").transformWithState(processor, out, "Append", "EventTime")
+
+
+def newest_rows(versions: DataFrame) -> DataFrame:
+    """Each row of the click table once, as its last version says."""
+    rest = [c for c in versions.columns if c not in (*CLICK_ROW_KEY, "ts", "matched")]
+    last = versions.groupBy(*CLICK_ROW_KEY).agg(F.max(F.struct("ts", "matched", *rest)).alias("_r"))
+    return last.select(*CLICK_ROW_KEY, "_r.*").select(versions.columns)

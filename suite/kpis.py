@@ -311,7 +311,8 @@ def click_stats(t):
     return attribution.click_stats(t.ad_click)
 
 
-@query("str11_latest_clicks", "pkg_id:s imei:s ts:s callback:s adv_name:i idea_id:s first_level:s second_level:s matched:i", f"""
+LATEST_SPEC = "pkg_id:s imei:s ts:s callback:s adv_name:i idea_id:s first_level:s second_level:s matched:i"
+LATEST_CLICKS = f"""
     WITH {ACTS}, v AS (SELECT * FROM ad_click WHERE {GOOD.format('imei')} AND NOT (os = 'android' AND adv_name IN (1, 3) AND imei = '5284047f4ffb4e04824a2fd1d1f0cd62')),
     w AS (SELECT v.*, (SELECT count(DISTINCT aj.t) FROM aj WHERE aj.pkg_id = v.pkg_id AND aj.cimei = v.imei AND aj.t < v.ts) AS before,
                  (SELECT count(DISTINCT aj.t) FROM aj WHERE aj.pkg_id = v.pkg_id AND aj.cimei = v.imei) AS uses FROM v)
@@ -320,7 +321,10 @@ def click_stats(t):
            CASE WHEN max(uses) > max(before) THEN 1 ELSE 0 END AS matched
     FROM (SELECT *, row_number() OVER (PARTITION BY pkg_id, imei, before ORDER BY ts, event_id) AS first,
                  row_number() OVER (PARTITION BY pkg_id, imei, before ORDER BY ts DESC, callback DESC) AS last FROM w)
-    GROUP BY pkg_id, imei, before""")
+    GROUP BY pkg_id, imei, before"""
+
+
+@query("str11_latest_clicks", LATEST_SPEC, LATEST_CLICKS)
 def latest_clicks(t):
     return attribution.click_table(t.ad_click, attribution.matched_clicks(ch.with_channel_parts(t.active, "expand_channel"), t.ad_click))
 

@@ -14,7 +14,7 @@ from playcohort.sources.logs import parse_log
 from playcohort.sources.tables import file_lines
 from playcohort.streaming import pipelines, touches
 from suite import lines
-from suite.kpis import (ACTIVE, ACTS, CLICK_ROWS, HOUR, LOGIN_OUT, LOGIN_SPLIT, ORDER_LOG, ORDER_STATS, REGI_OUT, REGS, STAT, STAT_SPEC, WALL, WALL_SPEC,
+from suite.kpis import (ACTIVE, ACTS, CLICK_ROWS, HOUR, LATEST_CLICKS, LATEST_SPEC, LOGIN_OUT, LOGIN_SPLIT, ORDER_LOG, ORDER_STATS, REGI_OUT, REGS, STAT, STAT_SPEC, WALL, WALL_SPEC,
                         _login_kpi, _registration, first_per_day)
 from suite.lines import GOOD
 from suite.registry import query
@@ -224,7 +224,7 @@ def stream_wall_rejects(t):
     return wall_pipeline(t).rejects()
 
 
-STREAM_CLICKS = """SELECT event_id, pkg_id, game_id, os, imei, ts, adv_name, CASE WHEN adv_name = 1 THEN '' ELSE idea_id END AS idea_id,
+STREAM_CLICKS = """SELECT event_id, pkg_id, game_id, os, imei, ts, callback, adv_name, CASE WHEN adv_name = 1 THEN '' ELSE idea_id END AS idea_id,
     CASE WHEN adv_name = 2 THEN first_level ELSE '' END AS first_level, CASE WHEN adv_name = 1 THEN '' ELSE second_level END AS second_level
     FROM ad_click WHERE event_id % 19 <> 0"""
 CLICK_COPY = "event_id % 5 = 0"
@@ -308,6 +308,20 @@ def timely_replay(t, made: DataFrame, closing: DataFrame, purpose: str) -> DataF
     return file_lines(t.spark, path, files_per_trigger=1)
 
 
+def touch_lines(t, purpose: str) -> DataFrame:
+    """Clicks, some of them twice, activations and registrations in the order of ``timely_replay``."""
+    made = lines.ad_click_lines(t.ad_click).union(lines.ad_click_lines(t.ad_click.filter(CLICK_COPY)))
+    for make in (lines.active_lines, lines.regi_lines):
+        made = made.union(make(t.ev))
+    far = t.ev.limit(1).selectExpr("*", "timestamp '2025-01-01 00:00:00' AS _ts").drop("ts").withColumnRenamed("_ts", "ts").withColumn("event_id", F.lit(1).cast("bigint"))
+    far = far.withColumns({"imei": F.lit("closing-line"), "game_id": F.lit(1)})
+    click = t.ad_click.filter("event_id % 19 <> 0").limit(1).withColumns({"ts": F.lit("2025-01-01 00:00:00").cast("timestamp"), "imei": F.lit("closing-line")})
+    closing = lines.ad_click_lines(click)
+    for kind, make in (("error", lines.active_lines), ("signup", lines.regi_lines)):
+        closing = closing.union(make(far.withColumn("event_type", F.lit(kind))))
+    return timely_replay(t, made, closing, purpose)
+
+
 _TOUCHES: dict[tuple[str, str], tuple[DataFrame, DataFrame]] = {}
 
 
@@ -315,16 +329,7 @@ def touch_streams(t) -> tuple[DataFrame, DataFrame]:
     """Attributed activations and registrations of one replay, by two stateful operators over the lines; the second is chained to the first."""
     key = (t.spark.sparkContext.applicationId, t.dir)
     if key not in _TOUCHES:
-        made = lines.ad_click_lines(t.ad_click).union(lines.ad_click_lines(t.ad_click.filter(CLICK_COPY)))
-        for make in (lines.active_lines, lines.regi_lines):
-            made = made.union(make(t.ev))
-        far = t.ev.limit(1).selectExpr("*", "timestamp '2025-01-01 00:00:00' AS _ts").drop("ts").withColumnRenamed("_ts", "ts").withColumn("event_id", F.lit(1).cast("bigint"))
-        far = far.withColumns({"imei": F.lit("closing-line"), "game_id": F.lit(1)})
-        click = t.ad_click.filter("event_id % 19 <> 0").limit(1).withColumns({"ts": F.lit("2025-01-01 00:00:00").cast("timestamp"), "imei": F.lit("closing-line")})
-        closing = lines.ad_click_lines(click)
-        for kind, make in (("error", lines.active_lines), ("signup", lines.regi_lines)):
-            closing = closing.union(make(far.withColumn("event_type", F.lit(kind))))
-        stream = timely_replay(t, made, closing, "touch-lines")
+        stream = touch_lines(t, "touch-lines")
         games = t.ad_click.select("game_id").distinct()
         activations = _to_table(t, touches.attributed_activations(stream, games, DELAY), "touch-activations")
         chained = touches.attributed_registrations(stream, touches.attributed_activations(stream, games, DELAY), DELAY)
@@ -344,6 +349,14 @@ def touch_registrations(t):
     return attribution.registration_stats(touch_streams(t)[1]).select("day", *STAT.split(", "), "regi_num")
 
 
+@query("job21_touch_click_table", LATEST_SPEC, _streamed_chain(LATEST_CLICKS))
+def touch_click_table(t):
+    """The click table kept in buckets by two chained stateful operators."""
+    pipeline = pipelines.ClickPipeline(t.spark, shared_dir(t.spark, "click-table"), t.ad_click.select("game_id").distinct(), DELAY, 8)
+    pipeline.start(touch_lines(t, "click-table-lines")).awaitTermination()
+    return pipeline.read().drop("game_id", "os")
+
+
 @query("str17_account_stream", "game_account:s owner_id:s user_type:i regi_time:s last_login_time:s is_recharge:i", f"""
     WITH r AS (SELECT 'u' || u AS acc, cast(u % 40 AS varchar) AS owner_id, max(ts) AS t FROM ev WHERE event_type = 'signup' AND event_id % 31 <> 0 AND event_id % 37 <> 0 GROUP BY 1, 2),
     l AS (SELECT 'u' || u AS acc, max(ts) AS t FROM ev WHERE event_type = 'view' AND event_id % 31 <> 0 AND event_id % 37 <> 0 GROUP BY 1),

@@ -2,13 +2,18 @@
 
 import os
 import random
+from datetime import datetime, timezone
 
 import pytest
 from pyspark.sql import functions as F
 
-from playcohort.operators import asof
+from playcohort.functions import channel
+from playcohort.operators import asof, attribution
+from playcohort.session import shared_dir
+from playcohort.sources import records
+from playcohort.sources.logs import parse_log
 from playcohort.sources.tables import file_lines
-from playcohort.streaming import touches
+from playcohort.streaming import pipelines, touches
 
 START = 1_704_067_200  # 2024-01-01
 COLUMNS = "kind string, k string, at bigint, id bigint, note string"
@@ -104,3 +109,43 @@ def test_a_frequent_key_keeps_a_day_and_one_touch(spark, tmp_path):
     _, query = streamed(spark, path, consume=True)
     held = [p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress]
     assert max(held[2:-2]) < 5 * 24 * 2
+
+
+def click(device, at, pkg="12M77", callback="cb"):
+    return ('bi_thirddata {"adv_name":"bi_adv_baidu_click","pkg_id":"%s","os":"1","imei":"%s","ts":"%d","callback_url":"%s","aid":"i%d","uid":"f","pid":"s"}'
+            % (pkg, device, START + at, callback, at % 3))
+
+
+def activation(device, at, pkg="12M77", game=12):
+    time = datetime.fromtimestamp(START + at, timezone.utc).strftime("%Y-%m-%d %H:%M:%S")
+    return f"2024-01-01 10:00:00,001 [INFO] bi: bi_active|{game}|x|x|m_s_{pkg}|{time}|x|android|{device}"
+
+
+def test_the_click_table_of_the_stream_is_that_of_the_whole_log(spark, tmp_path):
+    """Rows are opened, refreshed, used and opened again; clicks in one second, also that of an activation; a device too far from its clicks."""
+    rng, path, hour = random.Random(5), str(tmp_path / "lines"), 3600
+    timed = [(0, click("seen-1", 0)), (0, click("seen-1", 0, callback="dd")), (hour, activation("seen-1", hour)), (hour, click("seen-1", hour)), (9 * 24 * hour, click("seen-1", 9 * 24 * hour)),
+             (5 * hour, click("far-2", 5 * hour)), (20 * 24 * hour, activation("far-2", 20 * 24 * hour))]
+    for i in range(300):
+        at, device = rng.randrange(30 * 24) * hour // 2, f"device-{rng.randrange(6)}"
+        timed.append((at, (activation if rng.random() < 0.3 else click)(device, at)))
+    os.makedirs(path)
+    for number in range(6):
+        lines = [line for at, line in timed if min(at // (5 * 24 * hour), 5) == number]
+        if number == 5:
+            lines += [click("closing", 400 * 24 * hour), activation("closing", 400 * 24 * hour)]
+        with open(f"{path}/{number}.txt", "w") as out:
+            out.write("\n".join(lines))
+        os.utime(f"{path}/{number}.txt", (START + number, START + number))
+    games = spark.createDataFrame([(12,)], "game_id int")
+    pipeline = pipelines.ClickPipeline(spark, shared_dir(spark, "clicks-test"), games, "1 day", 4)
+    pipeline.start(file_lines(spark, path, files_per_trigger=1)).awaitTermination()
+    got = pipeline.read()
+
+    third, own = records.route(spark.createDataFrame([(line,) for _, line in timed], "value string"))
+    clicks = records.parse_ad_clicks(third)[0]
+    active = channel.with_channel_parts(parse_log(own, "active")[0], "expand_channel")
+    matched = attribution.matched_clicks(active.withColumn("event_id", F.xxhash64(*active.columns)), clicks, games)
+    want = attribution.click_table(clicks, matched).select(got.columns)
+    assert want.filter("matched = 1").count() > 10 and want.filter("matched = 0").count() > 3
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
