@@ -29,8 +29,8 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The remaining documents as token pieces with their places in sequences."""
-    return packing.pack_documents(docs)
+    """The remaining documents as token pieces, with their ids and their places in sequences."""
+    return packing.pack_documents(docs, keep_ids=True)
 
 
 STAGES = [
