@@ -6,7 +6,8 @@ configurations (multisets of lengths that fit one sequence) is solved by multipl
 knapsack dynamic program prices the best configuration, and is then rounded; what the rounding leaves is
 filled by largest fit. The prices also bound the number of sequences from below: a plan of full configurations
 and largest fit is taken if it is within ``GAP`` (and one sequence) of that bound; otherwise the program goes on
-with configurations that waste room until every length is covered, and the best plan is taken. Pieces take their places by their rank among the pieces of their length, so no task
+with configurations that waste room until every length is covered, for at most ``ROUNDS`` rounds, and the best plan is taken, that of
+best-fit decreasing on the same histogram included. Pieces take their places by their rank among the pieces of their length, so no task
 ever holds more than a slice of a length and the driver holds the histogram and the plan only.
 
 Edge cases: a null or empty text is the end token alone; a text longer than ``capacity`` is cut into full
@@ -32,6 +33,8 @@ from playcohort.session import materialize
 CAPACITY, END_ID = 1024, 2
 #: Sequences above the lower bound, as a share of it, at which the search for a better plan ends.
 GAP = 0.001
+#: Rounds after which the covering program ends, at whatever gap; the plan then is the best of all found and of best-fit decreasing.
+ROUNDS = 3_000
 #: A run this long goes to `tokenizers`: the fast library takes quadratic time on one.
 LONG_RUN = 400
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
@@ -164,7 +167,7 @@ def solve(lengths: np.ndarray, counts: np.ndarray, capacity: int) -> Iterator[tu
             yield _joined(uses), bound
     yield _joined(uses), bound
     best, kept, scale, total = np.inf, 0, 1.0, 0.0
-    for uses, covered, bound, _ in cover(lengths, counts, capacity, False, 3000, 0.1, 1.0):
+    for uses, covered, bound, _ in cover(lengths, counts, capacity, False, ROUNDS, 0.1, 1.0):
         total += uses[-1][1] if uses else 0.0
         if covered.min() > 0:
             value = total / covered.min()
@@ -182,6 +185,42 @@ def _joined(uses: list[tuple[np.ndarray, float]]) -> list[tuple[np.ndarray, floa
     return [(config, amount) for config, amount in solution.values()]
 
 
+def best_fit(lengths: np.ndarray, counts: np.ndarray, capacity: int) -> list[tuple[np.ndarray, float]]:
+    """Best-fit decreasing as a solution: [(configuration, how many sequences)].
+
+    Sequences filled alike are one entry with a number, so the work follows from the lengths and not from the pieces. A sequence that took
+    a piece is the tightest fit for the next one of that length, so it takes as many as it has room for.
+    """
+    rooms: dict[int, list[tuple[tuple, int]]] = {}
+    for i in range(len(lengths) - 1, -1, -1):
+        length, left = int(lengths[i]), int(counts[i])
+        for room in [*sorted(room for room in rooms if length <= room < capacity), capacity]:
+            entries = rooms.pop(room, []) if room < capacity else [((), left)]
+            per, kept = room // length, []
+            for config, times in entries:
+                full = min(times, left // per)
+                rest = left - full * per if full < times else 0
+                rest = min(rest, per - 1) if left else 0
+                for n, sequences in ((per, full), (rest, 1 if rest else 0)):
+                    if sequences:
+                        rooms.setdefault(room - n * length, []).append(((*config, (i, n)), sequences))
+                        left -= n * sequences
+                        times -= sequences
+                if times and room < capacity:
+                    kept.append((config, times))
+            if kept:
+                rooms.setdefault(room, []).extend(kept)
+            if not left:
+                break
+    solution = []
+    for config, times in (entry for entries in rooms.values() for entry in entries):
+        made = np.zeros(len(lengths), np.int64)
+        for i, n in config:
+            made[i] += n
+        solution.append((made, float(times)))
+    return solution
+
+
 def round_off(solution: list[tuple[np.ndarray, float]], lengths: np.ndarray, counts: np.ndarray, capacity: int) -> tuple[list, int]:
     """Rows of a plan, and its number of sequences: whole sequences of the solution, then largest fit."""
     left, taken, sequence, rows = counts.copy(), np.zeros_like(counts), 0, []
@@ -231,16 +270,23 @@ def round_off(solution: list[tuple[np.ndarray, float]], lengths: np.ndarray, cou
     return rows, sequence
 
 
+def _candidates(lengths: np.ndarray, counts: np.ndarray, capacity: int) -> Iterator[tuple[list[tuple[np.ndarray, float]], float]]:
+    """The solutions of the program, then that of best-fit decreasing, which adds no bound."""
+    yield from solve(lengths, counts, capacity)
+    yield best_fit(lengths, counts, capacity), 0.0
+
+
 def plan(histogram: dict[int, int], capacity: int) -> np.ndarray:
     """Rows (length, first rank, ranks, copies per sequence, first sequence, offset) that place every piece.
 
-    Of the rounded solutions, the first that is within ``GAP`` of the bound, or else the one of fewest sequences.
+    Of the rounded solutions, the first that is within ``GAP`` of the bound, or else the one of fewest sequences; best-fit
+    decreasing is one of these.
     """
     lengths = np.array(sorted(histogram), np.int64)
     counts = np.array([histogram[int(n)] for n in lengths], np.int64)
     best, fewest, least = [], np.inf, 0.0
     if len(lengths):
-        for solution, bound in solve(lengths, counts, capacity):
+        for solution, bound in _candidates(lengths, counts, capacity):
             rows, sequences = round_off(solution, lengths, counts, capacity)
             least = max(least, np.ceil(bound - 1e-6))
             if sequences < fewest:

@@ -159,6 +159,24 @@ ORACLES: dict[str, str] = {
             sha256(coalesce(list, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
         FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)
     """,
+    "op9_quality_rules": r"""
+        WITH d AS (
+            SELECT doc_id, coalesce(text, '') AS t, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w,
+                list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines FROM documents
+        ), windows AS (SELECT doc_id, p, array_to_string(w[p:p + 2], ' ') AS s FROM d, unnest(range(1, len(w) - 1)) AS r(p) WHERE len(w) >= 3),
+        twice AS (SELECT doc_id, p FROM windows QUALIFY count(*) OVER (PARTITION BY doc_id, s) > 1),
+        repeats AS (SELECT doc_id, count(DISTINCT p + o) AS n FROM twice, unnest([0, 1, 2]) AS k(o) GROUP BY doc_id),
+        c AS (
+            SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, length(array_to_string(w, '')) AS word_chars, length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS n_symbols,
+                CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines, coalesce(n, 0) AS n_repeat_words, len(lines) AS n_lines,
+                length(t) - length(regexp_replace(t, '[A-Z]', '', 'g')) AS n_upper, length(t) - length(regexp_replace(t, '[0-9]', '', 'g')) AS n_digits
+            FROM d LEFT JOIN repeats USING (doc_id)
+        ), b AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM c)
+        SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+            NOT (base_failed OR 10 * n_symbols > 3 * n_words OR 2 * n_dup_lines > n_lines OR word_chars < 2 * n_words OR word_chars > 15 * n_words
+                 OR 2 * n_upper > word_chars OR 2 * n_digits > word_chars) AS kept
+        FROM b
+    """,
     "op10_chat_formatting": r"""
         WITH c AS (
             SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations

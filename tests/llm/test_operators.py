@@ -1,5 +1,6 @@
 """Each operator against its plain version on a table with every edge case, and on an empty one."""
 
+import bisect
 import itertools
 import random
 import zlib
@@ -97,6 +98,26 @@ def test_packing(docs):
     assert len(places) <= 1.02 * total / 64 + 1
 
 
+def test_best_fit_decreasing_on_a_histogram_is_that_of_the_pieces():
+    rng = random.Random(8)
+    for _ in range(60):
+        capacity, rooms, full = rng.choice([20, 100, 1024]), [], 0
+        least = rng.randint(1, capacity // 2)
+        chosen = sorted(rng.sample(range(least, capacity + 1), rng.randint(1, min(40, capacity - least + 1))))
+        histogram = {n: rng.choice([1, 2, 5, rng.randint(1, 60)]) for n in chosen}
+        for n in (n for n in reversed(chosen) for _ in range(histogram[n])):
+            at = bisect.bisect_left(rooms, n)
+            room = (rooms.pop(at) if at < len(rooms) else capacity) - n
+            full += not room
+            if room:
+                bisect.insort(rooms, room)
+        lengths, counts = np.array(chosen), np.array([histogram[n] for n in chosen])
+        solution = packing.best_fit(lengths, counts, capacity)
+        assert sum(times for _, times in solution) == len(rooms) + full
+        assert (sum(config * times for config, times in solution) == counts).all() and all(config @ lengths <= capacity for config, _ in solution)
+        assert packing.round_off(solution, lengths, counts, capacity)[1] <= len(rooms) + full
+
+
 def test_packing_of_nothing(empty):
     assert packing.pack_documents(empty).count() == 0
 

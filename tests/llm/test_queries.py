@@ -146,7 +146,9 @@ def test_pipeline(spark, folder):
     items = [tuple(r) for r in spark.read.parquet(f"{folder}/benchmark.parquet").collect()]
     docs = [(d, t) for d, t in docs if not next(iter(plain.contaminated([(d, t)], items)))[2]]
     assert 20 < len(docs) < len(rows)
-    check_packing(corpus_pipeline.run(spark, folder).collect(), docs)
+    packed = corpus_pipeline.run(spark, folder).collect()
+    check_packing(packed, docs)
+    assert all(zlib.crc32(np.array(r["ids"], "<u4").tobytes()) == r["ids_crc32"] and len(r["ids"]) == r["length"] for r in packed)
 
 
 _COMPONENTS = {}
