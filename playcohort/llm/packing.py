@@ -87,7 +87,7 @@ def token_pieces(
                 for piece, (lo, hi) in enumerate(zip(bounds, bounds[1:], strict=False)):
                     row = (doc_id, piece, lo, hi - lo, zlib.crc32(ids[lo:hi].tobytes()))
                     out.append((*row, ids[lo:hi].astype(np.int32)) if keep_ids else row)
-                if len(out) >= 4096:
+                if len(out) >= (512 if keep_ids else 4096):
                     yield table(out)
                     out = []
             if out:
@@ -328,5 +328,13 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
 
 
 def pack_documents(docs: DataFrame, capacity: int = CAPACITY, keep_ids: bool = False) -> DataFrame:
-    """Tokenize and pack: one row per piece with its sequence and offset."""
-    return pack(materialize(token_pieces(docs, capacity, keep_ids=keep_ids), "pieces"), capacity)
+    """Tokenize and pack: one row per piece with its sequence and offset.
+
+    Ids that are kept meet their pieces at the end, by a number of the written row: only lengths are ranked and placed.
+    """
+    if not keep_ids:
+        return pack(materialize(token_pieces(docs, capacity), "pieces"), capacity)
+    pieces = materialize(token_pieces(docs, capacity, keep_ids=True).withColumn("_row", F.monotonically_increasing_id()), "pieces")
+    placed = pack(pieces.drop("ids"), capacity)
+    names = [c for c in placed.columns if c != "_row"]
+    return placed.join(pieces.select("_row", "ids"), "_row").select(*names, "ids")
