@@ -2,10 +2,11 @@
 
 The streaming form of ``operators.asof.latest_touch``, with the same rules. State is kept per key: what lies after the watermark
 waits, of what lies before it only the latest touch is needed, and with ``consume`` not even that once an event has used
-it. An event-time timer at each event decides it; timers at the end of a touch's day fold the touches of that day into
-one, and a last one drops a touch that no event can reach any more. So a key holds the rows of the watermark's delay and of one
-day, and one touch, however often it is touched; a key without recent touches holds nothing. Lines later than the
-delay are dropped.
+it. One event-time timer of a key, at its first undecided event or the end of its first waiting touch's day, settles all rows the
+watermark has passed: events are decided, touches fold into one. A last timer drops a touch that no event can reach any more. So a key
+holds the rows of the watermark's delay and of one day, and one touch, however often it is touched; a key without recent touches
+holds nothing. Every call to the state goes to the JVM and back, so a key makes a fixed number of them per batch. Lines
+later than the delay are dropped.
 
 Operators chain: the output carries its event time in ``at``, and a second attribution may read it in the same query.
 """
@@ -47,24 +48,27 @@ class LatestTouch(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.waiting = handle.getListState("waiting", self.schema)
-        self.last = handle.getValueState("last", StructType([self.schema["ms"], *[self.schema[c] for c in self.touches]]))
-        self.used = handle.getValueState("used", "ms bigint")
+        # the last event that used touches, the latest touch
+        self.kept = handle.getValueState("kept", StructType([StructField("used", LongType()), self.schema["ms"], *[self.schema[c] for c in self.touches]]))
+
+    @staticmethod
+    def _timer(rows: list) -> int:
+        """When the first of the rows is to be looked at: an event at its second, a touch when its day is over."""
+        return min(r.ms if r.is_event else r.close for r in rows)
 
     def handleInputRows(self, key: tuple, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        timers = set()
-        for r in rows:
-            self.waiting.appendValue(tuple(r[c] for c in self.schema.names))
-            timers.add(r.ms if r.is_event else r.close)
-        for at in timers:
-            self.handle.registerTimer(at)
+        rows = list(rows)
+        self.waiting.appendList([tuple(r[c] for c in self.schema.names) for r in rows])
+        self.handle.registerTimer(self._timer(rows))
         return iter(())
 
     def handleExpiredTimer(self, key: tuple, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        now = expiredTimerInfo.getExpiryTimeInMs()
-        rows = [Row(*self.schema.names)(*r) for r in self.waiting.get()] if self.waiting.exists() else []
+        now = timerValues.getCurrentWatermarkInMs()
+        waiting = Row(*self.schema.names)
+        rows = [waiting(*r) for r in self.waiting.get()]
         due, later = [r for r in rows if r.ms <= now], [r for r in rows if r.ms > now]
-        last = tuple(self.last.get()) if self.last.exists() else None
-        used = self.used.get()[0] if self.used.exists() else None
+        before = self.kept.get() or (None,) * (2 + len(self.touches))
+        used, last = before[0], tuple(before[1:]) if before[1] is not None else None
         out = []
         for ms, second in groupby(sorted(due, key=lambda r: r.ms), key=lambda r: r.ms):
             second = list(second)
@@ -84,16 +88,19 @@ class LatestTouch(StatefulProcessor):
         if used is not None and not later and last is None:
             used = None  # a touch that comes now is later than it
         if due:
-            self.waiting.put([tuple(r) for r in later]) if later else self.waiting.clear()
-        if last is None:
-            self.last.clear()
-        else:
-            self.last.update(last)
-            self.handle.registerTimer(last[0] + self.lookback + _DAY)
-        if used is None:
-            self.used.clear()
-        else:
-            self.used.update((used,))
+            if later:
+                self.waiting.put([tuple(r) for r in later])
+                self.handle.registerTimer(self._timer(later))
+            else:
+                self.waiting.clear()
+        after = (used, *(last or (None,) * (1 + len(self.touches))))
+        if after != tuple(before):
+            if last is None and used is None:
+                self.kept.clear()
+            else:
+                self.kept.update(after)
+            if last is not None and last[0] != before[1]:
+                self.handle.registerTimer(last[0] + self.lookback + _DAY)
         return iter(out)
 
     def close(self) -> None:
@@ -123,7 +130,7 @@ def latest_touch(events: DataFrame, touches: DataFrame, on: Sequence[str], event
     left = _rows(touches, on, touch_time, touch_cols, False, lookback_days, None if chained else delay)
     right = _rows(events, on, event_time, event_cols, True, lookback_days, delay)
     rows = left.unionByName(right, allowMissingColumns=True)
-    kept = [StructField("ms", LongType()), StructField("oldest", LongType()), StructField("is_event", BooleanType()), *[rows.schema[c] for c in (*event_cols.values(), *touch_cols.values())]]
+    kept = [StructField("ms", LongType()), StructField("oldest", LongType()), StructField("close", LongType()), StructField("is_event", BooleanType()), *[rows.schema[c] for c in (*event_cols.values(), *touch_cols.values())]]
     kept = StructType([StructField(f.name, f.dataType) for f in kept])
     out = StructType([*[StructField(c, rows.schema[c].dataType) for c in on], StructField("at", TimestampType()), StructField("ms", LongType()), StructField("touch_ms", LongType()),
                       *[StructField(c, rows.schema[c].dataType) for c in (*event_cols.values(), *touch_cols.values())]])
@@ -167,7 +174,8 @@ CLICK_ROW_KEY = ("pkg_id", "imei", "opened")
 class ClickRows(StatefulProcessor):
     """A device in a package: clicks and uses that wait for the watermark, and the open row of the click table.
 
-    Rows come out whenever they change, each time as a whole: open, refreshed, used.
+    Rows come out when the watermark has passed a change, each time as a whole: open, refreshed, used; of several changes in between only
+    the last one shows. One timer of a key, at its first waiting row, settles all rows the watermark has passed.
     """
 
     def __init__(self, waiting: StructType, opened: StructType, out: StructType, first: list[str]):
@@ -179,12 +187,9 @@ class ClickRows(StatefulProcessor):
         self.open = handle.getValueState("open", self.open_schema)
 
     def handleInputRows(self, key: tuple, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        timers = set()
-        for r in rows:
-            self.waiting.appendValue(tuple(r[c] for c in self.waiting_schema.names))
-            timers.add(r.ms)
-        for at in timers:
-            self.handle.registerTimer(at)
+        rows = list(rows)
+        self.waiting.appendList([tuple(r[c] for c in self.waiting_schema.names) for r in rows])
+        self.handle.registerTimer(min(r.ms for r in rows))
         return iter(())
 
     def _shown(self, key: tuple, row: tuple, used: int) -> Row:
@@ -192,12 +197,14 @@ class ClickRows(StatefulProcessor):
         return self.row(*key, opened, ms, *row[2:], used)
 
     def handleExpiredTimer(self, key: tuple, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        now = expiredTimerInfo.getExpiryTimeInMs()
-        rows = [Row(*self.waiting_schema.names)(*r) for r in self.waiting.get()] if self.waiting.exists() else []
+        now = timerValues.getCurrentWatermarkInMs()
+        waiting = Row(*self.waiting_schema.names)
+        rows = [waiting(*r) for r in self.waiting.get()]
         due, later = [r for r in rows if r.ms <= now], [r for r in rows if r.ms > now]
         if not due:
             return iter(())
-        row, changed, out = tuple(self.open.get()) if self.open.exists() else None, False, []
+        held = self.open.get()
+        row, changed, out = tuple(held) if held is not None else None, False, []
         for ms, second in groupby(sorted(due, key=lambda r: r.ms), key=lambda r: r.ms):
             second = list(second)
             clicks = [r for r in second if not r.used]
@@ -211,10 +218,11 @@ class ClickRows(StatefulProcessor):
         if row:
             self.open.update(row)
             out += [self._shown(key, row, 0)] if changed else []
-        else:
+        elif held is not None:
             self.open.clear()
         if later:
             self.waiting.put([tuple(r) for r in later])
+            self.handle.registerTimer(min(r.ms for r in later))
         else:
             self.waiting.clear()
         return iter(out)
