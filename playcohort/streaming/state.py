@@ -11,6 +11,7 @@ measures in the order of ``MEASURES``.
 
 from __future__ import annotations
 
+import json
 from collections import defaultdict
 from collections.abc import Iterator
 from datetime import date
@@ -18,6 +19,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.streaming.stateful_processor import MapState
 
 from playcohort import constants as C
 from playcohort.functions import channel as ch
@@ -59,13 +61,18 @@ def _changes(before: dict[Place, list[int]], after: dict[Place, list[int]]) -> I
             yield Row(name=place[0], at=place[1], game_id=place[2], parent_channel=place[3], child_channel=place[4], pkg_code=place[5], m=moved)
 
 
+def _month(kept: MapState, month: str) -> dict:
+    """What an entity's state holds of a month; every read or write of state is a call to the JVM, so a month is one value."""
+    value = kept.getValue((month,))
+    return json.loads(value[0]) if value is not None else {}
+
+
 class Registrations(StatefulProcessor):
-    """A device key: its first day, its distinct accounts per hour."""
+    """A device key: its first day, its accounts per day and hour. An account of an hour arrives once."""
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.first = handle.getValueState("first", "day string")
-        self.seen = handle.getMapState("seen", "hour string, account string", "n int")
-        self.days = handle.getMapState("days", "day string", "hours array<int>")
+        self.months = handle.getMapState("months", "month string", "days string")
 
     def _facts(self, key: tuple, days: dict[str, list[int]], first: str | None) -> dict[Place, list[int]]:
         name, place = ("registration_opera" if key[0] == "opera" else "registration"), key[1:5]
@@ -79,24 +86,21 @@ class Registrations(StatefulProcessor):
                     out[(f"{name}_hour", f"{day} {hour:02d}", *place)] = [n, new * n, 1, new]
         return out
 
-    def _day(self, day: str) -> list[int]:
-        return list(self.days.getValue((day,))[0]) if self.days.containsKey((day,)) else [0] * 24
-
     def handleInputRows(self, key: tuple, rows: Iterator[Row], timerValues) -> Iterator[Row]:
         added: dict[str, list[int]] = {}
-        for hour, account in {(r.hour, r.game_account) for r in rows}:
-            if not self.seen.containsKey((hour, account)):
-                self.seen.updateValue((hour, account), (1,))
-                added.setdefault(hour[:10], [0] * 24)[int(hour[11:])] += 1
-        if not added:
-            return
-        old = self.first.get()[0] if self.first.exists() else None
+        for r in rows:
+            added.setdefault(r.hour[:10], [0] * 24)[int(r.hour[11:])] += 1
+        held = self.first.get()
+        old = held[0] if held is not None else None
         first = min([*added, *([old] if old else [])])
-        touched = {day: self._day(day) for day in {*added, first, *([old] if old else [])}}
+        days = {*added, first, *([old] if old else [])} if first != old else {*added}
+        months = {month: _month(self.months, month) for month in {day[:7] for day in days}}
+        touched = {day: months[day[:7]].get(day, [0] * 24) for day in days}
         now = {day: [a + b for a, b in zip(hours, added.get(day, [0] * 24), strict=True)] for day, hours in touched.items()}
         yield from _changes(self._facts(key, touched, old), self._facts(key, now, first))
-        for day in added:
-            self.days.updateValue((day,), (now[day],))
+        for month in {day[:7] for day in added}:
+            kept = months[month] | {day: now[day] for day in added if day[:7] == month}
+            self.months.updateValue((month,), (json.dumps(kept),))
         if first != old:
             self.first.update((first,))
 
@@ -112,7 +116,8 @@ class Activations(StatefulProcessor):
 
     def handleInputRows(self, key: tuple, rows: Iterator[Row], timerValues) -> Iterator[Row]:
         hour = min(r.hour for r in rows)
-        old = self.first.get()[0] if self.first.exists() else None
+        held = self.first.get()
+        old = held[0] if held is not None else None
         if old is None or hour < old:
             place = ("activation_opera" if key[0] == "opera" else "activation", key[1:5])
             yield from _changes({(place[0], old, *place[1]): [1]} if old else {}, {(place[0], hour, *place[1]): [1]})
@@ -123,66 +128,76 @@ class Activations(StatefulProcessor):
 
 
 class Payments(StatefulProcessor):
-    """An account: its first registration, its orders, and what it paid per game and hour.
+    """An account: its first registration, whether it has paid, and what it paid per game and hour. An order arrives once.
 
     Before a registration is known the money stands under the channel of unknown accounts; the registration, or an
     earlier one, moves all of it.
     """
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.registered = handle.getValueState("registered", "reg_time string, game_id int, parent_channel string, child_channel string, pkg_code string")
-        self.orders = handle.getMapState("orders", "order_no string, order_time string", "n int")
-        self.days = handle.getMapState("days", "game_id int, day string", "money array<bigint>, price array<bigint>, orders array<int>")
+        self.account = handle.getValueState("account", "reg_time string, game_id int, parent_channel string, child_channel string, pkg_code string, paid int")
+        self.months = handle.getMapState("months", "month string", "games string")
 
     @staticmethod
-    def _facts(owner: tuple | None, days: dict[tuple[int, str], list[list[int]]], payer: bool) -> dict[Place, list[int]]:
+    def _facts(owner: tuple | None, days: dict[tuple[int, str], dict[int, list[int]]], payer: bool) -> dict[Place, list[int]]:
+        """``days`` hold money, price and number of orders per hour of a game's day."""
         channel = tuple(owner[2:5]) if owner else (C.UNKNOWN_ACCOUNT_CHANNEL, "", "")
         start, game = (date.fromisoformat(owner[0][:10]), owner[1]) if owner else (None, 0)
         home = (start.isoformat() if start else None, game, None, None, None)
         out: dict[Place, list[int]] = defaultdict(lambda: [0] * (1 + len(C.PAY_LTV)))
         if payer:
             out[("first_payer", *home)] = [1]
-        for (paid_in, day), (money, price, orders) in days.items():
-            if not any(orders):
+        for (paid_in, day), hours in days.items():
+            if not hours:
                 continue
-            out[("money", day, paid_in, *channel)] = [sum(money)]
+            out[("money", day, paid_in, *channel)] = [sum(money for money, _, _ in hours.values())]
             out[("payer", day, paid_in, *channel)] = [1]
-            for hour in range(24):
-                if orders[hour]:
-                    out[("money_hour", f"{day} {hour:02d}", paid_in, *channel)] = [money[hour]]
-                    out[("payer_hour", f"{day} {hour:02d}", paid_in, *channel)] = [1]
+            for hour, (money, _, _) in hours.items():
+                out[("money_hour", f"{day} {hour:02d}", paid_in, *channel)] = [money]
+                out[("payer_hour", f"{day} {hour:02d}", paid_in, *channel)] = [1]
             offset = (date.fromisoformat(day) - start).days if start else None
-            total = sum(price)
+            total = sum(price for _, price, _ in hours.values())
             value = [total, *[total if offset is not None and (offset == 0 if n == 1 else offset <= n - 1) else 0 for n in C.PAY_LTV]]
             out[("ltv", *home)] = [a + b for a, b in zip(out[("ltv", *home)], value, strict=True)]
         return out
 
+    @staticmethod
+    def _packed(days: dict[tuple[int, str], dict[int, list[int]]]) -> str:
+        return json.dumps([[game, day, [[hour, *sums] for hour, sums in hours.items()]] for (game, day), hours in days.items()])
+
+    @staticmethod
+    def _unpacked(games: str) -> dict[tuple[int, str], dict[int, list[int]]]:
+        return {(game, day): {hour: sums for hour, *sums in hours} for game, day, hours in json.loads(games)}
+
     def handleInputRows(self, key: tuple, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        old = tuple(self.registered.get()) if self.registered.exists() else None
+        held = self.account.get()
+        old = tuple(held[:5]) if held is not None and held[0] is not None else None
+        paid = held is not None and bool(held[5])
         owner, added = old, {}
         for r in rows:
             if r.order_no is None:
                 mine = (r.time, r.game_id, r.parent_channel, r.child_channel, r.pkg_code)
                 owner = mine if owner is None else min(owner, mine)
-            elif not self.orders.containsKey((r.order_no, r.time)):
-                self.orders.updateValue((r.order_no, r.time), (1,))
-                day = added.setdefault((r.game_id, r.time[:10]), [[0] * 24, [0] * 24, [0] * 24])
-                for part, n in zip(day, (r.money, r.price, 1), strict=True):
-                    part[int(r.time[11:13])] += n
+            else:
+                sums = added.setdefault((r.game_id, r.time[:10]), {}).setdefault(int(r.time[11:13]), [0, 0, 0])
+                for i, n in enumerate((r.money, r.price, 1)):
+                    sums[i] += n
         if not added and owner == old:
             return
-        paid = self.days.exists()
         if owner == old:
-            touched = {k: [list(x) for x in self.days.getValue(k)] for k in added if self.days.containsKey(k)}
+            months = {month: self.months.getValue((month,)) for month in {day[:7] for _, day in added}}
         else:
-            touched = {tuple(k): [list(x) for x in v] for k, v in self.days.iterator()}
+            months = {tuple(month)[0]: games for month, games in self.months.iterator()} if paid else {}
+        touched = {place: hours for games in months.values() if games is not None for place, hours in self._unpacked(games[0]).items()}
         now = dict(touched)
-        for k, more in added.items():
-            now[k] = [[a + b for a, b in zip(x, y, strict=True)] for x, y in zip(touched[k], more, strict=True)] if k in touched else more
-            self.days.updateValue(k, tuple(now[k]))
+        for place, more in added.items():
+            before = touched.get(place, {})
+            now[place] = before | {hour: [a + b for a, b in zip(before.get(hour, [0, 0, 0]), sums, strict=True)] for hour, sums in more.items()}
+        for month in {day[:7] for _, day in added}:
+            self.months.updateValue((month,), (self._packed({place: hours for place, hours in now.items() if place[1][:7] == month}),))
         yield from _changes(self._facts(old, touched, paid), self._facts(owner, now, paid or bool(added)))
-        if owner != old:
-            self.registered.update(owner)
+        if owner != old or not paid:
+            self.account.update((*(owner or [None] * 5), int(paid or bool(added))))
 
     def close(self) -> None:
         pass
@@ -191,15 +206,13 @@ class Payments(StatefulProcessor):
 class WallDevices(StatefulProcessor):
     """A device of the incentive wall: its first click and first activation of each day, and the days of its own activations and registrations.
 
-    What a wall activation counts for follows from days alone, so a device holds a row per day and game and kind, however many lines it sends.
+    What a wall activation counts for follows from days alone, so a device holds an entry per day and game and kind, however many lines it sends.
     A line that makes a day earlier, or an earlier first event of a day, changes the flags of the activations it bears on only.
     """
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        day = "day string, {} string, game_id int".format
-        self.clicks = handle.getMapState("clicks", "day string", "at string, game_id int")
-        self.actives = handle.getMapState("actives", "day string", "at string, game_id int")
-        self.own = handle.getMapState("own", day("kind"), "n int")
+        self.clicks = handle.getMapState("clicks", "month string", "days string")
+        self.acts = handle.getMapState("acts", "month string", "days string")
 
     @staticmethod
     def _facts(named: bool, clicks: dict[str, tuple], actives: dict[str, tuple], own: set[tuple[str, str, int | None]]) -> dict[Place, list[int]]:
@@ -218,39 +231,47 @@ class WallDevices(StatefulProcessor):
                 named and (day, "regi", game) in own, registered is None or registered >= day))
         return out
 
-    def handleInputRows(self, key: tuple, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+    @staticmethod
+    def _first(rows: Iterator[Row]) -> tuple[dict[str, dict[str, tuple]], set, dict[tuple, int]]:
+        """First click and wall activation of each day, the days of the own log, the number of clicks."""
         first: dict[str, dict[str, tuple]] = {"click": {}, "wall": {}}
-        days, number = set(), defaultdict(int)
+        own, number = set(), defaultdict(int)
         for r in rows:
-            day = r.at[:10]
-            if r.kind in first:
-                mine = (r.at, r.game_id)
-                first[r.kind][day] = min(first[r.kind].get(day, mine), mine)
-                if r.kind == "click":
-                    number[day, r.game_id] += 1
+            at, kind, game = r.at, r.kind, r.game_id
+            day = at[:10]
+            if kind in first:
+                mine, of = (at, game), first[kind]
+                if day not in of or mine < of[day]:
+                    of[day] = mine
+                if kind == "click":
+                    number[day, game] += 1
             else:
-                days.add((day, r.kind, r.game_id))
+                own.add((day, kind, game))
+        return first, own, number
+
+    def handleInputRows(self, key: tuple, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        first, added, number = self._first(rows)
         for (day, game), n in number.items():
             yield Row(name="wall_opera", at=day, game_id=game, parent_channel=None, child_channel=None, pkg_code=None, m=[n, *[0] * (len(MEASURES["wall_opera"]) - 1)])
-        earlier = {}
-        for kind, state in (("click", self.clicks), ("wall", self.actives)):
-            earlier[kind] = {day: tuple(state.getValue((day,))) for day in first[kind] if state.containsKey((day,))}
-            first[kind] = {day: mine for day, mine in first[kind].items() if day not in earlier[kind] or mine < earlier[kind][day]}
-            earlier[kind] = {day: earlier[kind][day] for day in first[kind] if day in earlier[kind]}
-        days = {d for d in days if not self.own.containsKey(d)}
-        clicks = earlier["click"], earlier["click"] | first["click"]
+        held = {month: _month(self.clicks, month) for month in {day[:7] for day in first["click"]}}
+        earlier = {day: tuple(mine) for days in held.values() for day, mine in days.items()}
+        new = {day: mine for day, mine in first["click"].items() if day not in earlier or mine < earlier[day]}
+        clicks = {day: earlier[day] for day in new if day in earlier}, new
+        for month in {day[:7] for day in new}:
+            self.clicks.updateValue((month,), (json.dumps(held[month] | {day: mine for day, mine in new.items() if day[:7] == month}),))
         actives, own = ({}, {}), (set(), set())
-        if first["wall"] or days:
-            held = {tuple(k)[0]: tuple(v) for k, v in self.actives.iterator()}
-            known = {tuple(k) for k in self.own.keys()}
-            actives, own = (held, held | first["wall"]), (known, known | days)
+        if first["wall"] or added:
+            months = {tuple(month)[0]: json.loads(days[0]) for month, days in self.acts.iterator()}
+            before = {day: tuple(mine) for month in months.values() for day, mine in month["wall"].items()}
+            known = {tuple(d) for month in months.values() for d in month["own"]}
+            new, fresh = {day: mine for day, mine in first["wall"].items() if day not in before or mine < before[day]}, added - known
+            if new or fresh:
+                actives, own = (before, before | new), (known, known | fresh)
+                for month in {day[:7] for day in new} | {d[0][:7] for d in fresh}:
+                    of = lambda day, month=month: day[:7] == month
+                    kept = {"wall": {day: mine for day, mine in actives[1].items() if of(day)}, "own": [d for d in own[1] if of(d[0])]}
+                    self.acts.updateValue((month,), (json.dumps(kept),))
         yield from _changes(*(self._facts(key[0] is not None, *state) for state in zip(clicks, actives, own, strict=True)))
-        for day, mine in first["click"].items():
-            self.clicks.updateValue((day,), mine)
-        for day, mine in first["wall"].items():
-            self.actives.updateValue((day,), mine)
-        for d in days:
-            self.own.updateValue(d, (1,))
 
     def close(self) -> None:
         pass
@@ -271,7 +292,7 @@ def registration_changes(lines: DataFrame) -> DataFrame:
     """Signed changes of the registration tables from a stream of log lines."""
     rows = ch.with_channel_parts(parse_log(lines, "regi")[0], "expand_channel").filter("game_account <> ''")
     rows = _grains(rows.select("game_id", *ch.CHANNEL_COLS, "imei", "game_account", hour_key(F.col("reg_time")).alias("hour")))
-    return rows.groupBy(*DEVICE).transformWithState(Registrations(), CHANGE, "Append", "None")
+    return rows.dropDuplicates().groupBy(*DEVICE).transformWithState(Registrations(), CHANGE, "Append", "None")
 
 
 def activation_changes(lines: DataFrame) -> DataFrame:
@@ -288,7 +309,7 @@ def payment_changes(lines: DataFrame) -> DataFrame:
     regi = regi.select("game_account", F.date_format("reg_time", SECOND).alias("time"), "game_id", *ch.CHANNEL_COLS, none("string", "order_no"), none("bigint", "money"), none("bigint", "price"))
     orders = parse_log(lines, "order")[0]
     orders = orders.select("game_account", F.date_format("order_time", SECOND).alias("time"), "game_id", *[none("string", c) for c in ch.CHANNEL_COLS], "order_no",
-                           cents(F.col("ori_price") + F.col("total_amt")).alias("money"), cents(F.col("ori_price")).alias("price"))
+                           cents(F.col("ori_price") + F.col("total_amt")).alias("money"), cents(F.col("ori_price")).alias("price")).dropDuplicates(["game_account", "order_no", "time"])
     return regi.unionByName(orders).groupBy("game_account").transformWithState(Payments(), CHANGE, "Append", "None")
 
 
