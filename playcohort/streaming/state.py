@@ -3,7 +3,8 @@
 Each processor keeps one entity (a device key, an account) and turns its new lines into signed changes of the KPI
 tables, so a micro-batch reads the state of the entities it touches and no history. A line that comes late and moves a first day
 takes the old credit back and gives the new one in the same batch; a line that comes again changes nothing, because the state
-knows it. Lines of any age are taken: there is no watermark, and the state of an entity stays.
+knows it. Lines of any age are taken: there is no watermark, and the state of an entity stays. Device keys and accounts that
+share a hash lie together under one key of the store (``Bundle``).
 
 A change is ``name, at, game_id, channel parts, m``: the table, its unit of time (or registration day), the keys and the
 measures in the order of ``MEASURES``.
@@ -13,7 +14,7 @@ from __future__ import annotations
 
 import json
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession
@@ -67,12 +68,116 @@ def _month(kept: MapState, month: str) -> dict:
     return json.loads(value[0]) if value is not None else {}
 
 
+#: Bundles of a query's entities. A batch makes a few calls per bundle at most, and reads and writes the bundles it touches.
+BUNDLES = 4096
+
+
+class _BundleValue:
+    """A variable of the entity at hand, as an entry of a part of its bundle."""
+
+    def __init__(self, bundle: Bundle, part: str) -> None:
+        self.bundle, self.part = bundle, part
+
+    def get(self) -> tuple | None:
+        value = self.bundle.held(self.part).get(self.bundle.entity)
+        return None if value is None else tuple(value)
+
+    def update(self, value: tuple) -> None:
+        self.bundle.put(self.part, value)
+
+
+class _BundleMap:
+    """A map of the entity at hand; each of its keys is a part of the bundle."""
+
+    def __init__(self, bundle: Bundle, name: str) -> None:
+        self.bundle, self.name = bundle, name
+
+    def getValue(self, key: tuple) -> tuple | None:  # noqa: N802
+        return _BundleValue(self.bundle, f"{self.name}/{key[0]}").get()
+
+    def updateValue(self, key: tuple, value: tuple) -> None:  # noqa: N802
+        self.bundle.put(f"{self.name}/{key[0]}", value)
+
+    def iterator(self) -> Iterator[tuple[tuple, tuple]]:
+        head = f"{self.name}/"
+        for part, held in self.bundle.all_parts():
+            if part.startswith(head) and self.bundle.entity in held:
+                yield (part[len(head):],), tuple(held[self.bundle.entity])
+
+
+class Bundle(StatefulProcessor):
+    """The entities of one hash under one key of the store, each handled by the processor ``one``.
+
+    A key costs several calls to the JVM and back however little it does, far more than the work on an entity. So a bundle holds
+    one text per variable of ``one``, or per month of a map, with the entries of all its entities: a batch reads the parts it needs
+    and writes those it has changed, once each. ``keys`` are the columns that name an entity.
+    """
+
+    def __init__(self, one: StatefulProcessor, keys: Sequence[str]) -> None:
+        self.one, self.keys = one, tuple(keys)
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.store = handle.getMapState("parts", "part string", "entities string")
+        self._forget()
+        self.one.init(self)
+
+    def _forget(self) -> None:
+        self.parts, self.changed, self.whole, self.entity = {}, set(), False, None
+
+    def getValueState(self, name: str, schema: str) -> _BundleValue:  # noqa: N802
+        return _BundleValue(self, name)
+
+    def getMapState(self, name: str, key: str, value: str) -> _BundleMap:  # noqa: N802
+        return _BundleMap(self, name)
+
+    def held(self, part: str) -> dict[str, list]:
+        if part not in self.parts:
+            text = None if self.whole else self.store.getValue((part,))
+            self.parts[part] = {} if text is None else json.loads(text[0])
+        return self.parts[part]
+
+    def all_parts(self) -> list[tuple[str, dict[str, list]]]:
+        if not self.whole:
+            stored = {tuple(part)[0]: text[0] for part, text in self.store.iterator()}
+            self.parts = {part: json.loads(text) for part, text in stored.items() if part not in self.parts} | self.parts
+            self.whole = True
+        return list(self.parts.items())
+
+    def put(self, part: str, value: tuple) -> None:
+        self.held(part)[self.entity] = value
+        self.changed.add(part)
+
+    def handleInputRows(self, key: tuple, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        entities, places = defaultdict(list), None
+        for r in rows:
+            places = places or [r.__fields__.index(k) for k in self.keys]
+            entities[tuple([r[i] for i in places])].append(r)
+        self._forget()
+        for entity, mine in entities.items():
+            self.entity = json.dumps(entity)
+            yield from self.one.handleInputRows(entity, iter(mine), timerValues)
+        for part in self.changed:
+            self.store.updateValue((part,), (json.dumps(self.parts[part], separators=(",", ":")),))
+        self._forget()
+
+    def close(self) -> None:
+        self.one.close()
+
+
 class Registrations(StatefulProcessor):
     """A device key: its first day, its accounts per day and hour. An account of an hour arrives once."""
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.first = handle.getValueState("first", "day string")
-        self.months = handle.getMapState("months", "month string", "days string")
+        self.months = handle.getMapState("months", "month string", "hours string")
+
+    def _month(self, month: str) -> dict[str, list[int]]:
+        """Accounts per hour of the month's days; kept as day, hour and number where there are any."""
+        kept = self.months.getValue((month,))
+        days: dict[str, list[int]] = {}
+        for day, hour, n in json.loads(kept[0]) if kept is not None else []:
+            days.setdefault(f"{month}-{day:02d}", [0] * 24)[hour] = n
+        return days
 
     def _facts(self, key: tuple, days: dict[str, list[int]], first: str | None) -> dict[Place, list[int]]:
         name, place = ("registration_opera" if key[0] == "opera" else "registration"), key[1:5]
@@ -94,13 +199,14 @@ class Registrations(StatefulProcessor):
         old = held[0] if held is not None else None
         first = min([*added, *([old] if old else [])])
         days = {*added, first, *([old] if old else [])} if first != old else {*added}
-        months = {month: _month(self.months, month) for month in {day[:7] for day in days}}
+        months = {month: self._month(month) for month in {day[:7] for day in days}}
         touched = {day: months[day[:7]].get(day, [0] * 24) for day in days}
         now = {day: [a + b for a, b in zip(hours, added.get(day, [0] * 24), strict=True)] for day, hours in touched.items()}
         yield from _changes(self._facts(key, touched, old), self._facts(key, now, first))
         for month in {day[:7] for day in added}:
             kept = months[month] | {day: now[day] for day in added if day[:7] == month}
-            self.months.updateValue((month,), (json.dumps(kept),))
+            hours = [(int(day[8:]), hour, n) for day, of in kept.items() for hour, n in enumerate(of) if n]
+            self.months.updateValue((month,), (json.dumps(hours, separators=(",", ":")),))
         if first != old:
             self.first.update((first,))
 
@@ -163,11 +269,15 @@ class Payments(StatefulProcessor):
 
     @staticmethod
     def _packed(days: dict[tuple[int, str], dict[int, list[int]]]) -> str:
-        return json.dumps([[game, day, [[hour, *sums] for hour, sums in hours.items()]] for (game, day), hours in days.items()])
+        """Game, day of the month, hour and sums of what was paid in a month."""
+        return json.dumps([[game, int(day[8:]), hour, *sums] for (game, day), hours in days.items() for hour, sums in hours.items()], separators=(",", ":"))
 
     @staticmethod
-    def _unpacked(games: str) -> dict[tuple[int, str], dict[int, list[int]]]:
-        return {(game, day): {hour: sums for hour, *sums in hours} for game, day, hours in json.loads(games)}
+    def _unpacked(month: str, games: str) -> dict[tuple[int, str], dict[int, list[int]]]:
+        out: dict[tuple[int, str], dict[int, list[int]]] = defaultdict(dict)
+        for game, day, hour, *sums in json.loads(games):
+            out[game, f"{month}-{day:02d}"][hour] = sums
+        return out
 
     def handleInputRows(self, key: tuple, rows: Iterator[Row], timerValues) -> Iterator[Row]:
         held = self.account.get()
@@ -188,7 +298,7 @@ class Payments(StatefulProcessor):
             months = {month: self.months.getValue((month,)) for month in {day[:7] for _, day in added}}
         else:
             months = {tuple(month)[0]: games for month, games in self.months.iterator()} if paid else {}
-        touched = {place: hours for games in months.values() if games is not None for place, hours in self._unpacked(games[0]).items()}
+        touched = {place: hours for month, games in months.items() if games is not None for place, hours in self._unpacked(month, games[0]).items()}
         now = dict(touched)
         for place, more in added.items():
             before = touched.get(place, {})
@@ -288,18 +398,24 @@ def _grains(rows: DataFrame) -> DataFrame:
 DEVICE = ("grain", "game_id", *ch.CHANNEL_COLS, "imei")
 
 
+def _bundled(rows: DataFrame, keys: Sequence[str], one: StatefulProcessor) -> DataFrame:
+    """The changes ``one`` finds for the entities of ``rows``, in bundles."""
+    bundle = F.pmod(F.xxhash64(*keys), F.lit(BUNDLES)).cast("int")
+    return rows.withColumn("bundle", bundle).groupBy("bundle").transformWithState(Bundle(one, keys), CHANGE, "Append", "None")
+
+
 def registration_changes(lines: DataFrame) -> DataFrame:
     """Signed changes of the registration tables from a stream of log lines."""
     rows = ch.with_channel_parts(parse_log(lines, "regi")[0], "expand_channel").filter("game_account <> ''")
     rows = _grains(rows.select("game_id", *ch.CHANNEL_COLS, "imei", "game_account", hour_key(F.col("reg_time")).alias("hour")))
-    return rows.dropDuplicates().groupBy(*DEVICE).transformWithState(Registrations(), CHANGE, "Append", "None")
+    return _bundled(rows.dropDuplicates(), DEVICE, Registrations())
 
 
 def activation_changes(lines: DataFrame) -> DataFrame:
     """Signed changes of the activation tables from a stream of log lines."""
     rows = ch.with_channel_parts(parse_log(lines, "active")[0], "expand_channel")
     rows = _grains(rows.select("game_id", *ch.CHANNEL_COLS, "imei", hour_key(F.col("active_time")).alias("hour")))
-    return rows.groupBy(*DEVICE).transformWithState(Activations(), CHANGE, "Append", "None")
+    return _bundled(rows, DEVICE, Activations())
 
 
 def payment_changes(lines: DataFrame) -> DataFrame:
@@ -310,7 +426,7 @@ def payment_changes(lines: DataFrame) -> DataFrame:
     orders = parse_log(lines, "order")[0]
     orders = orders.select("game_account", F.date_format("order_time", SECOND).alias("time"), "game_id", *[none("string", c) for c in ch.CHANNEL_COLS], "order_no",
                            cents(F.col("ori_price") + F.col("total_amt")).alias("money"), cents(F.col("ori_price")).alias("price")).dropDuplicates(["game_account", "order_no", "time"])
-    return regi.unionByName(orders).groupBy("game_account").transformWithState(Payments(), CHANGE, "Append", "None")
+    return _bundled(regi.unionByName(orders), ["game_account"], Payments())
 
 
 def wall_changes(lines: DataFrame) -> DataFrame:
