@@ -4,7 +4,7 @@ Each processor keeps one entity (a device key, an account) and turns its new lin
 tables, so a micro-batch reads the state of the entities it touches and no history. A line that comes late and moves a first day
 takes the old credit back and gives the new one in the same batch; a line that comes again changes nothing, because the state
 knows it. Lines of any age are taken: there is no watermark, and the state of an entity stays. Device keys and accounts that
-share a hash lie together under one key of the store (``Bundle``).
+share a hash lie together under one key of the store, where ``bundles`` does in columns what the processor of one entity says (``in_columns``).
 
 A change is ``name, at, game_id, channel parts, m``: the table, its unit of time (or registration day), the keys and the
 measures in the order of ``MEASURES``.
@@ -29,6 +29,8 @@ from playcohort.functions.times import SECOND, hour_key
 from playcohort.operators.kpi import WALL_FLAGS
 from playcohort.sources import records
 from playcohort.sources.logs import parse_log
+from playcohort.streaming import bundles
+from playcohort.streaming.bundles import Bundle
 
 PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 CHANGE = "name string, at string, game_id int, parent_channel string, child_channel string, pkg_code string, m array<bigint>"
@@ -68,105 +70,15 @@ def _month(kept: MapState, month: str) -> dict:
     return json.loads(value[0]) if value is not None else {}
 
 
-#: Bundles of a query's entities. A batch makes a few calls per bundle at most, and reads and writes the bundles it touches.
-BUNDLES = 4096
-
-
-class _BundleValue:
-    """A variable of the entity at hand, as an entry of a part of its bundle."""
-
-    def __init__(self, bundle: Bundle, part: str) -> None:
-        self.bundle, self.part = bundle, part
-
-    def get(self) -> tuple | None:
-        value = self.bundle.held(self.part).get(self.bundle.entity)
-        return None if value is None else tuple(value)
-
-    def update(self, value: tuple) -> None:
-        self.bundle.put(self.part, value)
-
-
-class _BundleMap:
-    """A map of the entity at hand; each of its keys is a part of the bundle."""
-
-    def __init__(self, bundle: Bundle, name: str) -> None:
-        self.bundle, self.name = bundle, name
-
-    def getValue(self, key: tuple) -> tuple | None:  # noqa: N802
-        return _BundleValue(self.bundle, f"{self.name}/{key[0]}").get()
-
-    def updateValue(self, key: tuple, value: tuple) -> None:  # noqa: N802
-        self.bundle.put(f"{self.name}/{key[0]}", value)
-
-    def iterator(self) -> Iterator[tuple[tuple, tuple]]:
-        head = f"{self.name}/"
-        for part, held in self.bundle.all_parts():
-            if part.startswith(head) and self.bundle.entity in held:
-                yield (part[len(head):],), tuple(held[self.bundle.entity])
-
-
-class Bundle(StatefulProcessor):
-    """The entities of one hash under one key of the store, each handled by the processor ``one``.
-
-    A key costs several calls to the JVM and back however little it does, far more than the work on an entity. So a bundle holds
-    one text per variable of ``one``, or per month of a map, with the entries of all its entities: a batch reads the parts it needs
-    and writes those it has changed, once each. ``keys`` are the columns that name an entity.
-    """
-
-    def __init__(self, one: StatefulProcessor, keys: Sequence[str]) -> None:
-        self.one, self.keys = one, tuple(keys)
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.store = handle.getMapState("parts", "part string", "entities string")
-        self._forget()
-        self.one.init(self)
-
-    def _forget(self) -> None:
-        self.parts, self.changed, self.whole, self.entity = {}, set(), False, None
-
-    def getValueState(self, name: str, schema: str) -> _BundleValue:  # noqa: N802
-        return _BundleValue(self, name)
-
-    def getMapState(self, name: str, key: str, value: str) -> _BundleMap:  # noqa: N802
-        return _BundleMap(self, name)
-
-    def held(self, part: str) -> dict[str, list]:
-        if part not in self.parts:
-            text = None if self.whole else self.store.getValue((part,))
-            self.parts[part] = {} if text is None else json.loads(text[0])
-        return self.parts[part]
-
-    def all_parts(self) -> list[tuple[str, dict[str, list]]]:
-        if not self.whole:
-            stored = {tuple(part)[0]: text[0] for part, text in self.store.iterator()}
-            self.parts = {part: json.loads(text) for part, text in stored.items() if part not in self.parts} | self.parts
-            self.whole = True
-        return list(self.parts.items())
-
-    def put(self, part: str, value: tuple) -> None:
-        self.held(part)[self.entity] = value
-        self.changed.add(part)
-
-    def handleInputRows(self, key: tuple, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        entities, places = defaultdict(list), None
-        for r in rows:
-            places = places or [r.__fields__.index(k) for k in self.keys]
-            entities[tuple([r[i] for i in places])].append(r)
-        self._forget()
-        for entity, mine in entities.items():
-            self.entity = json.dumps(entity)
-            yield from self.one.handleInputRows(entity, iter(mine), timerValues)
-        for part in self.changed:
-            self.store.updateValue((part,), (json.dumps(self.parts[part], separators=(",", ":")),))
-        self._forget()
-
-    def close(self) -> None:
-        self.one.close()
+#: Bundles of a query's entities. A batch makes a few calls per bundle at most, and reads and writes the bundles it touches; few bundles make long columns.
+BUNDLES = 256
 
 
 class Registrations(StatefulProcessor):
     """A device key: its first day, its accounts per day and hour. An account of an hour arrives once."""
 
+    in_columns = staticmethod(bundles.registrations)
+
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.first = handle.getValueState("first", "day string")
         self.months = handle.getMapState("months", "month string", "hours string")
@@ -217,6 +129,8 @@ class Registrations(StatefulProcessor):
 class Activations(StatefulProcessor):
     """A device key: the hour of its earliest activation."""
 
+    in_columns = staticmethod(bundles.activations)
+
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.first = handle.getValueState("first", "hour string")
 
@@ -240,6 +154,8 @@ class Payments(StatefulProcessor):
     earlier one, moves all of it.
     """
 
+    in_columns = staticmethod(bundles.payments)
+
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.account = handle.getValueState("account", "reg_time string, game_id int, parent_channel string, child_channel string, pkg_code string, paid int")
         self.months = handle.getMapState("months", "month string", "games string")
@@ -401,7 +317,7 @@ DEVICE = ("grain", "game_id", *ch.CHANNEL_COLS, "imei")
 def _bundled(rows: DataFrame, keys: Sequence[str], one: StatefulProcessor) -> DataFrame:
     """The changes ``one`` finds for the entities of ``rows``, in bundles."""
     bundle = F.pmod(F.xxhash64(*keys), F.lit(BUNDLES)).cast("int")
-    return rows.withColumn("bundle", bundle).groupBy("bundle").transformWithState(Bundle(one, keys), CHANGE, "Append", "None")
+    return rows.withColumn("bundle", bundle).groupBy("bundle").transformWithStateInPandas(Bundle(one, keys), CHANGE, "Append", "None")
 
 
 def registration_changes(lines: DataFrame) -> DataFrame:
@@ -422,7 +338,7 @@ def payment_changes(lines: DataFrame) -> DataFrame:
     """Signed changes of the payment tables from a stream of log lines."""
     regi = ch.with_channel_parts(parse_log(lines, "regi")[0], "expand_channel")
     none = lambda kind, name: F.lit(None).cast(kind).alias(name)
-    regi = regi.select("game_account", F.date_format("reg_time", SECOND).alias("time"), "game_id", *ch.CHANNEL_COLS, none("string", "order_no"), none("bigint", "money"), none("bigint", "price"))
+    regi = regi.select("game_account", F.date_format("reg_time", SECOND).alias("time"), "game_id", *ch.CHANNEL_COLS, none("string", "order_no"), *[F.lit(0).cast("bigint").alias(c) for c in ("money", "price")])
     orders = parse_log(lines, "order")[0]
     orders = orders.select("game_account", F.date_format("order_time", SECOND).alias("time"), "game_id", *[none("string", c) for c in ch.CHANNEL_COLS], "order_no",
                            cents(F.col("ori_price") + F.col("total_amt")).alias("money"), cents(F.col("ori_price")).alias("price")).dropDuplicates(["game_account", "order_no", "time"])
