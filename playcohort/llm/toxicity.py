@@ -46,8 +46,8 @@ PRIOR = 2.0
 #: Words between quotation marks before any label is seen: one in ten of abuse, one in two of reports.
 QUOTED = (1.0, 5.0, 10.0)
 LONGEST = 60
-#: Words a worker remembers as no match before it starts afresh.
-REMEMBERED = 1_000_000
+#: Words a worker remembers as no match, and as near a term, before it starts afresh.
+REMEMBERED, REMEMBERED_NEAR = 1_000_000, 100_000
 #: Signs inside a word that hide a letter, and all that separates words.
 _HIDING = b"*@$"
 SEPARATORS = np.array([b < 128 and not chr(b).isalnum() and b not in _HIDING for b in range(256)])
@@ -160,6 +160,11 @@ class Finder:
         self.near: dict[int, tuple[int, int]] = {}
 
     def find(self, group: Group) -> Found:
+        # before the words are looked up: what is known of this group must stay until the group is done
+        if len(self.nothing) > REMEMBERED:
+            self.nothing = np.zeros(0, np.uint64)
+        if len(self.near) > REMEMBERED_NEAR:
+            self.near = {}
         codes, first, back = np.unique(group.hash, return_index=True, return_inverse=True)
         new = np.flatnonzero(~_among(codes, self.nothing))
         new = new[[c not in self.near for c in codes[new].tolist()]] if len(new) else new
@@ -172,8 +177,6 @@ class Finder:
         return Found(token, term[back][token], distance[back][token])
 
     def _learn(self, group: Group, codes: np.ndarray, word: np.ndarray) -> None:
-        if len(self.nothing) > REMEMBERED:
-            self.nothing = np.zeros(0, np.uint64)
         letters, before = _characters(group.data)
         hiding = np.isin(group.data, [*_HIDING])
         lo, hi = group.start[word].copy(), group.end[word].copy()

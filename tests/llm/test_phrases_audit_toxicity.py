@@ -3,12 +3,14 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from playcohort.llm import collocations, interactions, toxicity
+from playcohort.llm.words import groups
 from tests.llm import plain
 
 LABELS = "doc_id bigint, quality int, toxic int, text string, part string"
@@ -163,3 +165,18 @@ def test_training_rows_are_bounded_and_not_held_out(spark, tables):
     assert rows.groupBy("toxic").count().where("count > 50").isEmpty() and rows.count() == 100
     ids = rows.join(docs.withColumn("text", toxicity.plain(F.col("text"))), "text").where(toxicity.held_out(F.col("doc_id")))
     assert ids.isEmpty()
+
+
+def test_words_seen_before_are_found_when_the_memory_is_full(monkeypatch):
+    """Groups of old and new words, with room for few: what is forgotten is looked up anew."""
+    monkeypatch.setattr(toxicity, "REMEMBERED", 5)
+    monkeypatch.setattr(toxicity, "REMEMBERED_NEAR", 1)
+    lexicon = toxicity.Lexicon(["badword", "nasty"])
+    texts = [f"old badword badwork w{i} v{i} nasty nastx u{i} t{i}" for i in range(12)]
+    finder, got = toxicity.Finder(lexicon), []
+    for text in texts:
+        for group in groups(pa.array([text]), toxicity.SEPARATORS, lower=True):
+            found = finder.find(group)
+            got.append((found.token.tolist(), found.term.tolist(), found.distance.tolist()))
+    assert got == [([1, 2, 5, 6], [0, 0, 1, 1], [0, 1, 0, 1])] * len(texts)
+    assert len(finder.nothing) < 5 + 10 and len(finder.near) <= 4
