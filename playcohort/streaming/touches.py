@@ -20,7 +20,7 @@ from itertools import groupby
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
-from pyspark.sql.types import BooleanType, IntegerType, LongType, StructField, StructType, TimestampType
+from pyspark.sql.types import IntegerType, LongType, StructField, StructType, TimestampType
 
 from playcohort import constants as C
 from playcohort.functions import channel as ch
@@ -28,6 +28,7 @@ from playcohort.operators import attribution
 from playcohort.sources import records
 from playcohort.sources.logs import parse_log
 from playcohort.streaming.state import use_state_store
+from playcohort.streaming.waits import Touches, bounded, for_frames
 
 _DAY = 86_400_000
 
@@ -109,13 +110,10 @@ class LatestTouch(StatefulProcessor):
 
 def _rows(df: DataFrame, on: Sequence[str], time: str, named: dict[str, str], is_event: bool, lookback_days: int, delay: str | None) -> DataFrame:
     """Events or touches in one shape; ``delay`` sets the watermark, None leaves that of the input's ``at``."""
-    df = df.withColumn("at", F.col(time)).withWatermark("at", delay) if delay else df
+    df = df.withColumn("at", bounded(F.col(time))).withWatermark("at", delay) if delay else df
     second = F.date_trunc("second", time)
-    oldest = F.unix_millis(F.date_sub(F.to_date(time), lookback_days).cast("timestamp"))
-    close = F.unix_millis(F.date_add(F.to_date(time), 1).cast("timestamp"))
-    none = F.lit(None).cast("bigint")
-    return df.select(*on, "at", F.unix_millis(second).alias("ms"), (oldest if is_event else none).alias("oldest"), (none if is_event else close).alias("close"),
-                     F.lit(is_event).alias("is_event"), *[F.col(c).alias(n) for c, n in named.items()])
+    oldest = F.unix_millis(F.date_sub(F.to_date(time), lookback_days).cast("timestamp")) if is_event else F.lit(None).cast("bigint")
+    return df.select(*on, "at", F.unix_millis(second).alias("ms"), oldest.alias("oldest"), F.lit(is_event).alias("is_event"), *[F.col(c).alias(n) for c, n in named.items()])
 
 
 def latest_touch(events: DataFrame, touches: DataFrame, on: Sequence[str], event_time: str, touch_time: str, event_id: str, touch_cols: Sequence[str],
@@ -130,12 +128,16 @@ def latest_touch(events: DataFrame, touches: DataFrame, on: Sequence[str], event
     left = _rows(touches, on, touch_time, touch_cols, False, lookback_days, None if chained else delay)
     right = _rows(events, on, event_time, event_cols, True, lookback_days, delay)
     rows = left.unionByName(right, allowMissingColumns=True)
-    kept = [StructField("ms", LongType()), StructField("oldest", LongType()), StructField("close", LongType()), StructField("is_event", BooleanType()), *[rows.schema[c] for c in (*event_cols.values(), *touch_cols.values())]]
-    kept = StructType([StructField(f.name, f.dataType) for f in kept])
-    out = StructType([*[StructField(c, rows.schema[c].dataType) for c in on], StructField("at", TimestampType()), StructField("ms", LongType()), StructField("touch_ms", LongType()),
-                      *[StructField(c, rows.schema[c].dataType) for c in (*event_cols.values(), *touch_cols.values())]])
-    processor = LatestTouch(kept, out, list(event_cols.values()), list(touch_cols.values()), lookback_days, consume, open_start)
-    found = rows.groupBy(*on).transformWithState(processor, out, "Append", "EventTime", eventTimeColumnName="at")
+    of_event, of_touch = list(event_cols.values()), list(touch_cols.values())
+    kinds = {f.name: f.dataType for f in rows.schema}
+    rows = for_frames(rows, on, [*on, "ms", "oldest", "is_event", *of_event, *of_touch])
+    some = lambda *columns: [StructField(c, rows.schema[c].dataType) for c in columns]
+    waiting = StructType(some(*rows.columns[3:]))
+    kept = StructType([*some(*on), StructField("used", LongType()), *some("ms", *of_touch)])
+    out = StructType([*some(*on), StructField("at", TimestampType()), *some("ms"), StructField("touch_ms", LongType()), *some(*of_event, *of_touch)])
+    processor = Touches(on, waiting, kept, of_event, of_touch, lookback_days, consume, open_start)
+    found = rows.groupBy("bundle").transformWithStateInPandas(processor, out, "Append", "EventTime", eventTimeColumnName="at")
+    found = found.withColumns({c: F.timestamp_micros(c) for c in (*on, *of_event, *of_touch) if isinstance(kinds[c], TimestampType)})
     return found.select(*on, "at", F.timestamp_millis("ms").alias(event_time), *[F.col(n).alias(c) for c, n in event_cols.items()], F.timestamp_millis("touch_ms").alias("touch_time"),
                         *[F.col(n).alias(f"touch_{c}") for c, n in touch_cols.items()])
 
