@@ -28,7 +28,7 @@ from playcohort.operators import attribution
 from playcohort.sources import records
 from playcohort.sources.logs import parse_log
 from playcohort.streaming.state import use_state_store
-from playcohort.streaming.waits import Touches, bounded, for_frames
+from playcohort.streaming.waits import Clicks, Touches, bounded, for_frames
 
 _DAY = 86_400_000
 
@@ -242,15 +242,16 @@ def click_rows(lines: DataFrame, games: DataFrame, delay: str) -> DataFrame:
     used = _used_clicks(lines, games, delay)
     clicks = attribution.valid_clicks(records.parse_ad_clicks(records.route(lines)[0])[0])
     first = [c for c in clicks.columns if c not in ("pkg_id", "imei", "ts", "callback")]
-    clicks = clicks.withColumn("at", F.col("ts")).withWatermark("at", delay).select(
+    clicks = clicks.withColumn("at", bounded(F.col("ts"))).withWatermark("at", delay).select(
         "pkg_id", "imei", "at", F.unix_millis(F.date_trunc("second", "ts")).alias("ms"), F.lit(False).alias("used"), "callback", *first)
     used = used.select(F.col("touch_pkg_id").alias("pkg_id"), F.col("touch_imei").alias("imei"), "at", F.unix_millis("active_time").alias("ms"), F.lit(True).alias("used"))
-    rows = clicks.unionByName(used, allowMissingColumns=True)
+    on = ["pkg_id", "imei"]
+    rows = for_frames(clicks.unionByName(used, allowMissingColumns=True), on, [*on, "ms", "used", "callback", *first])
     fields = {f.name: StructField(f.name, f.dataType) for f in rows.schema.fields}
-    kept = [fields[c] for c in ("callback", *first)]
-    out = StructType([fields["pkg_id"], fields["imei"], StructField("opened", TimestampType()), StructField("ts", TimestampType()), *kept, StructField("matched", IntegerType())])
-    processor = ClickRows(StructType([fields["ms"], fields["used"], *kept]), StructType([StructField("opened", LongType()), fields["ms"], *kept]), out, first)
-    return rows.groupBy("pkg_id", "imei").transformWithState(processor, out, "Append", "EventTime")
+    keys, rest = [fields[c] for c in on], [fields[c] for c in ("callback", *first)]
+    out = StructType([*keys, StructField("opened", TimestampType()), StructField("ts", TimestampType()), *rest, StructField("matched", IntegerType())])
+    processor = Clicks(on, StructType([*keys, fields["ms"], fields["used"], *rest]), StructType([*keys, StructField("opened", LongType()), fields["ms"], *rest]), first)
+    return rows.groupBy("bundle").transformWithStateInPandas(processor, out, "Append", "EventTime")
 
 
 def newest_rows(versions: DataFrame) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Bundles of touch keys, in columns: what ``touches.LatestTouch`` decides for one key, decided for all keys of a bundle at once.
+"""Bundles of touch keys, in columns: what the processors of ``touches`` decide for one key, decided for all keys of a bundle at once.
 
 A key costs Python far more than its rows do, and most keys have a row or two in a batch. So keys of one hash share a key of the state
 store, their rows are Arrow tables there as they are here, and settling is sorting and searching whole columns. A bundle has one timer,
@@ -261,3 +261,44 @@ class Touches(Waiting):
         for c, column in zip(columns, _some(touches, latest[some]).columns, strict=True):
             after = after.append_column(c, column)
         return out, after.cast(self.kept_rows)
+
+
+class Clicks(Waiting):
+    """As ``touches.ClickRows`` for each device in a package: kept are the open rows of the click table."""
+
+    def __init__(self, on: Sequence[str], rows: StructType, kept: StructType, first: list[str]):
+        super().__init__(on, rows, kept)
+        self.first = first
+
+    def settle(self, due: pa.Table, kept: pa.Table, now: int) -> tuple[pd.DataFrame | None, pa.Table]:
+        code = _codes(pa.concat_tables([due.select(self.on), kept.select(self.on)]))
+        n, ms, is_use = len(due), _numbers(due["ms"]), due["used"].to_numpy()
+        base = int(ms.min(initial=0 if not n else ms[0])) // 1000
+        place = (code[:n] << SECONDS) + (ms // 1000 - base)
+        uses = np.unique(place[is_use])
+        clicks = due.filter(~is_use)
+        at, callback = _one_each(place[~is_use], clicks.select(["callback"]), last=True)
+        _, first = _one_each(place[~is_use], clicks.select(self.first), last=False)
+        # a key's stretch of clicks up to a use: by the number of uses before it; a click of the use's second comes before that
+        stretches = len(uses) + 1
+        stretch = (at >> SECONDS) * stretches + np.searchsorted(uses, at, "left")
+        held = code[n:] * stretches + np.searchsorted(uses, code[n:] << SECONDS, "left")
+        begin, end = _ends(stretch)
+        every = np.union1d(stretch, held)
+        opened, begun, ended = (np.full(len(every), -1, np.int64) for _ in range(3))
+        opened[np.searchsorted(every, held)] = np.arange(len(held))
+        begun[np.searchsorted(every, stretch[begin])], ended[np.searchsorted(every, stretch[end])] = begin, end
+        heads = pa.concat_tables([clicks.take(first).select([*self.on, "ms", *self.first]).rename_columns([*self.on, "opened", *self.first]), kept.select([*self.on, "opened", *self.first])])
+        tails = pa.concat_tables([clicks.take(callback).select(["ms", "callback"]), kept.select(["ms", "callback"])])
+        heads = heads.take(np.where(opened >= 0, len(at) + opened, begun))
+        tails = tails.take(np.where(ended >= 0, ended, len(at) + opened))
+        rows = pa.table({c: (tails if c in ("ms", "callback") else heads)[c] for c in self.kept_rows.names})
+        by = every % stretches  # the use that ends the stretch, if it is the key's
+        used = by < len(uses)
+        used[used] = uses[by[used]] >> SECONDS == every[used] // stretches
+        shown, out = used | (ended >= 0), None
+        if shown.any():
+            out = _frame(rows.filter(shown))
+            out["opened"], out["ms"] = (_times(out[c].to_numpy(np.int64)) for c in ("opened", "ms"))
+            out = out.rename(columns={"ms": "ts"}).assign(matched=used[shown].astype(np.int32))
+        return out, rows.filter(~used).cast(self.kept_rows)

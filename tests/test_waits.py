@@ -113,6 +113,31 @@ def test_a_bundle_of_touch_keys_finds_what_each_key_finds(seed, consume, open_st
     assert processor.kept.held is None and not processor.waiting.held and not handle.timers
 
 
+@pytest.mark.parametrize("seed", range(4))
+def test_a_bundle_of_click_rows_shows_what_each_device_shows(seed):
+    rng = random.Random(seed)
+    payload = fields(callback=StringType, idea=StringType, n=IntegerType)
+    rows_of, opened = StructType(fields(ms=LongType, used=BooleanType) + payload), StructType(fields(opened=LongType, ms=LongType) + payload)
+    keys = fields(pkg_id=StringType, imei=StringType)
+    out = StructType(keys + fields(opened=LongType, ts=LongType) + payload + fields(matched=IntegerType))
+    single = Store(lambda: touches.ClickRows(rows_of, opened, out, ["idea", "n"]))
+    columns, kept = StructType([*keys, *rows_of.fields]), StructType([*keys, *opened.fields])
+    bundle = Store(lambda: waits.Clicks(["pkg_id", "imei"], columns, kept, ["idea", "n"]))
+
+    def one(ms):
+        used, some = rng.random() < 0.3, lambda *values: rng.choice(values)
+        return {"pkg_id": some("1M1", "2M2"), "imei": some("a", "b", "c"), "ms": ms, "used": used, "callback": None if used else some("c1", "c2"),
+                "idea": None if used else some("i", None), "n": None if used else some(1, 2, None)}
+
+    shown = 0
+    for rows, now in batches(rng, one):
+        got = plain(bundle.batch({(0,): [frame(rows, columns.names, ["ms", "n"])]} if rows else {}, now), out.names)
+        want = plain(single.batch(by_key(rows, ("pkg_id", "imei"), lambda r: Row(**{c: r[c] for c in rows_of.names})), now), out.names)
+        assert got == want
+        shown += len(want)
+    assert shown > 20
+
+
 def test_calls_of_a_bundle_do_not_grow_with_its_keys():
     columns = StructType(fields(k=StringType, ms=LongType, oldest=LongType, is_event=BooleanType, e_id=LongType, t_note=StringType))
     kept = StructType(fields(k=StringType, used=LongType, ms=LongType, t_note=StringType))
